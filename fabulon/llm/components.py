@@ -9,42 +9,36 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 
-def _stars(scratch: Scratch, edges: DataFrame, large: bool) -> DataFrame:
-    """One step over edges (a, b). The minima are written first, so that either side of the join is dealt out anew and
-    a node with very many neighbours is split by AQE."""
+def _stars(scratch: Scratch, edges: DataFrame, large: bool) -> tuple[DataFrame, int]:
+    """One step over edges (a, b), and how many of them it changes. The minima are written first, so that both sides of the
+    join are dealt out anew and a node with very many neighbours is split by AQE."""
     turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     around = edges.unionAll(turned) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = scratch.cut(around.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")))
     met = around.join(least, F.col("a") == F.col("n"))
+    seen = Observation()
     if large:
-        new = met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        new = met.filter("b > a").observe(seen, F.count(F.when(F.col("m") != F.col("a"), 1)).alias("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        new = met.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
-    seen = Observation()
-    out = scratch.cut(new.filter("a != b").distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1))).alias("s")))
-    out._state = (seen.get["n"], seen.get["s"])
+        new = met.filter("b != m").observe(seen, F.count(F.lit(1)).alias("n")).select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
+    out = scratch.cut(new)
     scratch.drop(least)
-    return out
+    return out, seen.get["n"]
 
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, component) for each end of the edges (a long, b long); component is the smallest node reachable.
 
     Nulls and loops are ignored. Every step is a distributed job on the edges, written to the shared folder; the driver
-    sees two numbers a step. The steps end when both leave the set of edges as it was, which is then a star for each component.
+    sees one number a step. The steps end when two in a row, one of each kind, change no edge: a star for each component.
     """
     at = scratch.cut(edges.filter("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
-    while True:
-        for large in (True, False):
-            new = _stars(scratch, at, large)
-            scratch.drop(at)
-            at = new
-        if at._state == state or not at._state[0]:
-            break
-        state = at._state
-    roots = at.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return scratch.cut(at.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots))
+    still, large = 0, True
+    while still < 2:
+        new, changed = _stars(scratch, at, large)
+        scratch.drop(at)
+        at, large, still = new, not large, 0 if changed else still + 1
+    return scratch.cut(at.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(at.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct())
 
 
 def local(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@
 2. Representatives that share a band key are joined to the smallest one of that key (one edge each, never all pairs).
    The components of these edges are the candidate groups: two texts that share any band are in the same group.
 3. A group is checked in tiles of bounded size. In a tile signatures are compared first, and what may reach the threshold is
-   confirmed on the full sets, unless both texts are linked by way of others already. Only a spanning forest leaves a tile.
+   confirmed on the full sets, unless both texts are linked by way of others already. Only a star for each component leaves a tile.
    A group above the tile size is dealt into blocks, each with the group's smallest text; texts that this does not link to
    that one meet all the blocks in a second pass. So no link is lost and no task holds more than a tile.
 4. Large-star and small-star give the components of the confirmed edges.
@@ -81,8 +81,8 @@ def _signed(k: int, bands: int, rows: int):
     return run
 
 
-def _forest(texts: pa.ChunkedArray, nodes: np.ndarray, k: int, percent: int, n_hashes: int) -> tuple[list, list]:
-    """Edges of a spanning forest of the confirmed links in one tile."""
+def _forest(texts: pa.ChunkedArray, nodes: np.ndarray, k: int, percent: int, n_hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    """An edge from each text to the smallest one that the confirmed links of one tile connect it to."""
     order = np.argsort(nodes, kind="stable")
     nodes = nodes[order]
     data, offsets = words.utf8(texts.take(pa.array(order)))
@@ -97,7 +97,6 @@ def _forest(texts: pa.ChunkedArray, nodes: np.ndarray, k: int, percent: int, n_h
     size = np.array([len(x) for x in sets])
     near = percent / 100 - 6 * np.sqrt(percent / 100 * (1 - percent / 100) / n_hashes)  # six standard deviations below
     label = np.arange(len(nodes))
-    a, b = [], []
     for i in range(len(nodes) - 1):
         if not size[i]:
             continue
@@ -110,9 +109,8 @@ def _forest(texts: pa.ChunkedArray, nodes: np.ndarray, k: int, percent: int, n_h
             both = np.intersect1d(sets[i], sets[x], assume_unique=True).size
             if 100 * both >= percent * (size[i] + size[x] - both):
                 label[label == max(label[x], label[i])] = min(label[x], label[i])
-                a.append(int(nodes[x]))
-                b.append(int(nodes[i]))
-    return a, b
+    far = np.flatnonzero(nodes[label] != nodes)
+    return nodes[far], nodes[label[far]]
 
 
 def _tiled(keys: int, k: int, percent: int, n_hashes: int):
@@ -121,7 +119,7 @@ def _tiled(keys: int, k: int, percent: int, n_hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in words.groups(batches, keys):
             a, b = _forest(group.column(keys + 1).combine_chunks(), group.column(keys).to_numpy(), k, percent, n_hashes)
-            if a:
+            if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
@@ -157,13 +155,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
 
     wide = texts.filter("blocks > 1")
     if not wide.isEmpty():
-        linked = components(scratch, edges)
-        far = scratch.cut(
-            wide.select("node", "grp", "blocks").distinct()
-            .join(linked.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left")
-            .filter(F.coalesce("component", "node") != F.col("grp"))
-            .select(F.col("node").alias("far"), F.col("grp").alias("of"), "blocks")
-        )
+        apart = (F.col("node") == F.col("a")) & (F.col("grp") == F.col("b"))
+        far = scratch.cut(wide.filter("node != grp").select("node", "grp").distinct().join(edges, apart, "left_anti").select(F.col("node").alias("far"), F.col("grp").alias("of")))
         parts = far.groupBy(F.col("of").alias("grp2")).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts"))
         parts = scratch.cut(parts)
         whole = wide.join(parts, F.col("grp") == F.col("grp2")).select("grp", F.col("block").alias("tile"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node", "text")
