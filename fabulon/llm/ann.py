@@ -72,9 +72,7 @@ class Index:
         for _ in range(tables):
             a, b = rng.normal(size=(data.shape[1], k)), rng.random(k)
             keys = self._keys(np.floor(data @ a / self.width + b).astype(np.int64))
-            buckets, of = np.unique(keys, return_inverse=True)
-            order = np.argsort(of, kind="stable")
-            self.tables.append((a, b, buckets, order, np.concatenate([[0], np.cumsum(np.bincount(of))])))
+            self.tables.append((a, b, *np.unique(keys, return_inverse=True)))
 
     def _keys(self, cells: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -82,22 +80,22 @@ class Index:
 
     def candidates(self, queries: np.ndarray) -> list[np.ndarray]:
         """For each query the rows in the buckets that it visits."""
-        marks = perturbations(self.k, self.probes)
-        found: list[list[np.ndarray]] = [[] for _ in queries]
-        for a, b, buckets, order, starts in self.tables:
+        marks = perturbations(self.k, self.probes).T.copy()
+        walls_of = np.concatenate([-self.mult, self.mult])  # what a step over each wall adds to the key
+        seen = np.zeros((len(queries), len(self.data)), dtype=bool)
+        for a, b, buckets, of in self.tables:
             at = queries @ a / self.width + b
             cell = np.floor(at)
-            up = 1 - (at - cell)
-            walls = np.concatenate([at - cell, up], axis=1)  # to the cell below, to the cell above
+            walls = np.concatenate([at - cell, 1 - (at - cell)], axis=1)  # to the cell below, to the cell above
             rank = np.argsort(walls, axis=1, kind="stable")
-            step = np.empty((len(queries), marks.shape[0], 2 * self.k), dtype=np.int64)
-            np.put_along_axis(step, np.broadcast_to(rank[:, None, :], step.shape), np.broadcast_to(marks[None], step.shape), axis=2)
-            keys = self._keys(cell.astype(np.int64)[:, None, :] + step[:, :, self.k :] - step[:, :, : self.k])
+            with np.errstate(over="ignore"):
+                keys = self._keys(cell.astype(np.int64))[:, None] + walls_of[rank] @ marks
             place = np.minimum(np.searchsorted(buckets, keys), len(buckets) - 1)
-            hit = buckets[place] == keys
-            for q in range(len(queries)):
-                found[q] += [order[starts[p] : starts[p + 1]] for p in place[q][hit[q]].tolist()]
-        return [np.unique(np.concatenate(f)) if f else np.zeros(0, dtype=np.int64) for f in found]
+            q, p = np.nonzero(buckets[place] == keys)
+            visited = np.zeros((len(queries), len(buckets)), dtype=bool)
+            visited[q, place[q, p]] = True
+            seen |= visited[:, of]
+        return [np.flatnonzero(x) for x in seen]
 
     def search(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows (query, row, score) of the best `top` of each query among its candidates, itself left out."""
@@ -107,7 +105,7 @@ class Index:
                 rows = rows[ids[rows] != query_ids[i]]
                 if len(rows) < max(top, FEW):
                     rows = np.flatnonzero(ids != query_ids[i])
-                score = np.einsum("ij,j->i", self.data[rows], queries[i])
+                score = self.data[rows] @ queries[i]
                 if len(rows) > top:
                     limit = np.partition(score, len(score) - top)[len(score) - top]
                     rows, score = rows[score >= limit], score[score >= limit]
