@@ -15,13 +15,16 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
-CACHE = 200_000
+from .batches import small_batches
+
+CACHE = 150_000
 
 
 def byte_chars() -> list[str]:
@@ -69,34 +72,51 @@ class ByteBPE:
         self.bytes_of = {i: bytes(self.back[c] for c in t) for t, i in self.model.get_vocab().items()}
         self.split = regex.compile(pattern).findall
         self.ranks = ranks
-        self.known: dict[str, tuple[list[int], str, bytes]] = {}
+        self.size = np.array([len(self.bytes_of.get(i, b"")) for i in range(max(ranks.values()) + 1)])
+        self.number = [str(i) for i in range(max(ranks.values()) + 1)]
+        # what is known of a match: number of ids, ids as text, bytes; of two generations the older is dropped
+        self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
+
+    def _ids(self, raw: list[bytes]) -> list[list[int]]:
+        """The ids of matches, of which none is empty. The byte 0xFF is in no UTF-8 text and parts them."""
+        chars = b"\xff".join(raw).decode("latin-1").translate(self.table).split(self.table[0xFF])
+        ids = self.model.encode_batch_fast([chars], is_pretokenized=True, add_special_tokens=False)[0].ids
+        # offsets: the ids of a match end where its bytes end
+        cuts = [0, *(np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(r) for r in raw])) + 1).tolist()]
+        # a match that is a token as a whole is that token
+        return [[self.ranks[r]] if r in self.ranks else ids[a:b] for r, a, b in zip(raw, cuts, cuts[1:], strict=False)]
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that the cache lacks; each is decoded again from its ids."""
         if len(self.known) + len(pieces) > CACHE:
-            self.known.clear()
-        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
-        found = self.model.encode_batch([r.decode("latin-1").translate(self.table) for r in raw], add_special_tokens=False)
-        for piece, r, x in zip(pieces, raw, found, strict=True):
-            ids = [self.ranks[r]] if r in self.ranks else x.ids  # a match that is a token as a whole is that token
-            self.known[piece] = (ids, " ".join(map(str, ids)), self.decode(ids))
-
-    def pieces(self, text: str) -> list[tuple[list[int], str, bytes]]:
-        found = self.split(text)
-        out = []
-        for at in range(0, len(found), CACHE // 4):
-            part = found[at : at + CACHE // 4]
-            new = [p for p in dict.fromkeys(part) if p not in self.known]
-            if new:
-                self._learn(new)
-                lost = [p for p in dict.fromkeys(part) if p not in self.known]
-                if lost:
-                    self._learn(lost)
-            out += map(self.known.__getitem__, part)
-        return out
+            self.older, self.known = self.known, {}
+        back = [p for p in pieces if p in self.older]
+        for p in back:
+            self.known[p] = self.older[p]
+        new = [p for p in pieces if p not in self.older] if back else pieces
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            for piece, ids in zip(part, self._ids([p.encode() for p in part]), strict=True):
+                self.known[piece] = (len(ids), " ".join([self.number[i] for i in ids]), self.decode(ids))
+
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
+    def pieces(self, texts: list[str]) -> Iterator[list[tuple[int, str, bytes]]]:
+        """What is known of each match in each text. Matches that are new are learned together for all the texts."""
+        found = [self.split(t) for t in texts]
+        first = [list(map(self.known.get, f)) for f in found]
+        new = dict.fromkeys(p for f, known in zip(found, first, strict=True) if None in known for p, x in zip(f, known, strict=True) if x is None)
+        before = self.known
+        if new:
+            self._learn(list(new))
+        more = self.known
+        for f, known in zip(found, first, strict=True):
+            yield [x or more.get(p) or before[p] for p, x in zip(f, known, strict=True)] if None in known else known
 
     def encode(self, text: str) -> list[int]:
-        return [i for x in self.pieces(text) for i in x[0]]
+        return [int(i) for found in self.pieces([text]) for x in found for i in x[1].split()]
 
     def offsets(self, ids: list[int]) -> list[tuple[int, int]]:
         """The range of bytes of the text that each id covers; characters may be split between ids."""
@@ -151,15 +171,18 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         bpe = codec(path, pattern)
         for batch in batches:
             n, of_ids, of_bytes = [], [], []
-            for text in batch.column(1):
-                found = bpe.pieces(text.as_py() or "")
-                n.append(sum([len(x[0]) for x in found]))
-                of_ids.append(hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest())
-                of_bytes.append(hashlib.sha256(b"".join([x[2] for x in found])).hexdigest())
+            for lo in range(0, batch.num_rows, 64):
+                for found in bpe.pieces([t or "" for t in batch.column(1).slice(lo, 64).to_pylist()]):
+                    count, ids, raw = zip(*found, strict=True) if found else ((), (), ())
+                    n.append(sum(count))
+                    of_ids.append(hashlib.sha256(" ".join(ids).encode()).hexdigest())
+                    of_bytes.append(hashlib.sha256(b"".join(raw)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return _two(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _two(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
