@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .batches import trimmed
 from .scratch import Scratch
 from .vectors import matrix, usable
 from .words import groups
@@ -137,6 +138,6 @@ def nearest(vectors: DataFrame, is_query: Column, *, top: int = 20, vector: str
                 yield pa.RecordBatch.from_arrays([pa.array(ids[q][of]), pa.array(ids[own][row]), pa.array(score)], ["query_id", "vec_id", "score"])
 
     keys = ["dim", "shard", "block"]
-    found = base.unionAll(asked).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "query_id long, vec_id long, score double")
+    found = base.unionAll(asked).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimmed(run), "query_id long, vec_id long, score double")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scratch.cut(found).withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
-from .batches import small_batches
+from .batches import small_batches, trimmed
 
 CACHE = 150_000
 
@@ -149,7 +149,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ids = [bpe.encode(t or "") for t in batch.column(1).slice(lo, 256).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), pa.array(ids, pa.list_(pa.int32())), pa.array([[a for a, _ in bpe.offsets(x)] for x in ids], pa.list_(pa.int64())), pa.array([len(x) for x in ids], pa.int64())], ["doc_id", "ids", "offsets", "n_tokens"])
 
-    return _two(docs).mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>, n_tokens long")
+    return _two(docs).mapInArrow(trimmed(run), "doc_id long, ids array<int>, offsets array<long>, n_tokens long")
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -160,7 +160,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x if x is None else bpe.decode_text(x) for x in batch.column(1).to_pylist()], pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -180,7 +180,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         bpe.forget()
 
-    return _two(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _two(docs).mapInArrow(trimmed(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _two(docs: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches, trimmed
 from .words import mix, numbers
 
 ORDER, PER_LANGUAGE = 4, 300
@@ -206,6 +207,7 @@ def _counted(order: int):
 def train(labelled: DataFrame, *, order: int = ORDER, per_language: int = PER_LANGUAGE) -> Tables:
     """Tables from labelled documents (doc_id, text, lang). The driver gets n-gram counts, and the texts held back for the limits:
     about `per_language` documents of each language in all."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("doc_id is not null and lang is not null and text is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
@@ -217,7 +219,7 @@ def train(labelled: DataFrame, *, order: int = ORDER, per_language: int = PER_LA
     sample = rows.filter(draw < share)
     held = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(5)) == 0
     counts: dict[str, dict[str, int]] = defaultdict(dict)
-    grams = sample.filter(~held).select("lang", "text").mapInArrow(_counted(order), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    grams = sample.filter(~held).select("lang", "text").mapInArrow(trimmed(_counted(order)), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     for lang, gram, n in grams.itertuples(index=False):
         counts[lang][gram] = int(n)
     tables = Tables(dict(counts), order)
@@ -238,7 +240,7 @@ def identify(docs: DataFrame, tables: Tables) -> DataFrame:
                 names, score, out = shared.value.classify(batch.column(1).slice(lo, 512).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 512), pa.array(names), pa.array(score), pa.array(out)], ["doc_id", "lang_pred", "score", "rejected"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(run), "doc_id long, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, tables: Tables) -> DataFrame:
@@ -252,4 +254,4 @@ def keep_identified(docs: DataFrame, tables: Tables) -> DataFrame:
                 part = batch.slice(lo, 512)
                 yield part.filter(pa.array(~shared.value.classify(part.column(at).to_pylist())[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .batches import small_batches, trimmed
 from .components import components
 from .scratch import Scratch
 
@@ -127,7 +128,7 @@ def _tiled(keys: int, k: int, percent: int, n_hashes: int):
 
 def _check(tiles: DataFrame, keys: list[str], k: int, percent: int, n_hashes: int) -> DataFrame:
     dealt = tiles.select(*keys, "node", "text").repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(_tiled(len(keys), k, percent, n_hashes), "a long, b long")
+    return dealt.mapInArrow(trimmed(_tiled(len(keys), k, percent, n_hashes)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, tile: int = TILE) -> DataFrame:
@@ -137,9 +138,10 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
     component_id is the smallest doc_id reachable by links, kept says whether it is the row's own.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = scratch.cut(docs.mapInArrow(_signed(k, bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"))
+    signed = scratch.cut(docs.mapInArrow(trimmed(_signed(k, bands, rows)), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"))
     of_set = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = scratch.cut(of_set.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")))
     keyed = classes.select("rep", F.explode("bands").alias("key"))

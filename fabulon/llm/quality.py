@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .batches import small_batches, trimmed
 
 BITS, BOUND, EPOCHS, SCALE = 18, 6000, 4, 20.0
 U = np.uint64
@@ -89,6 +90,7 @@ class Ftrl:
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bound: int = BOUND, epochs: int = EPOCHS) -> np.ndarray:
     """Weights (bias last) from docs (doc_id, text) and labels (doc_id, <label> 0 or 1)."""
+    small_batches(docs.sparkSession)
     truth = labels.select(F.col("doc_id").cast("long").alias("of"), F.col(label).cast("int").alias("y")).filter("of is not null and y in (0, 1)")
     n = truth.count()
     model = Ftrl()
@@ -104,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", bound:
                     packed = [np.array(np.unique(f[a:b], return_counts=True), dtype=np.int32).tobytes() for a, b in zip(at, at[1:], strict=False)]
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(packed, pa.binary()), batch.column(2).slice(lo, hi - lo)], ["doc_id", "f", "y"])
 
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(truth, F.col("doc_id") == F.col("of")).select("doc_id", "text", "y").mapInArrow(run, "doc_id long, f binary, y int").collect()
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(truth, F.col("doc_id") == F.col("of")).select("doc_id", "text", "y").mapInArrow(trimmed(run), "doc_id long, f binary, y int").collect()
         examples = []
         for r in sorted(rows, key=lambda r: (hash_of(r["doc_id"]), r["f"])):
             at, count = np.frombuffer(r["f"], dtype=np.int32).reshape(2, -1)
@@ -135,4 +137,4 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 p = 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(run), "doc_id long, score double, predicted int")

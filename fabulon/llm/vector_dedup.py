@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import trimmed
 from .components import components, local
 from .scratch import Scratch
 from .vectors import matrix, usable
@@ -113,7 +114,7 @@ def near_duplicate_vectors(vectors: DataFrame, *, limit: float = 0.98, vector: s
     meets = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = meets.select(F.xxhash64("label", "dim").alias("t"), "dim", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "weight", "v")
     keys = ["t", "dim", "lo", "hi"]
-    found = scratch.cut(tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile(limit, 4), "id long, links long, root long"))
+    found = scratch.cut(tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimmed(_tile(limit, 4)), "id long, links long, root long"))
     # a vec_id of several classes: they are one node
     own = classes.select(F.col("label").alias("l2"), F.col("v").alias("v2"), "id", "weight")
     members = rows.filter("ok").join(own, (F.col("label") == F.col("l2")) & (F.col("v") == F.col("v2"))).select("vec_id", "id", "weight").distinct()
