@@ -114,13 +114,13 @@ def mix(docs: DataFrame, sources: Column, size: Column, *, weights: tuple[float,
     scratch = Scratch(spark)
     new = ["size", "source_size", "target", "taken"]
     rest = [c for c in docs.columns if c not in new]
-    base = docs.withColumns({"_size": size, "_of": F.array_sort(F.array_distinct(sources)), "_h": F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), F.lit(1 << 40))})
-    base = base.withColumn("_of", F.to_json(F.struct(F.col("_of").alias("s")))).withColumn("_bin", F.expr(f"cast(_h div {(1 << 40) // BINS} as int)"))
-    slim = scratch.cut(base.select(F.col("doc_id").cast("long").alias("id"), "_size", "_of", "_h", "_bin"))
-    found = slim.groupBy("_of").agg(F.sum("_size").alias("n")).limit(MAX_PATTERNS + 1).collect()
+    base = docs.withColumns({"__mix_size": size, "__mix_of": F.array_sort(F.array_distinct(sources)), "__mix_h": F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), F.lit(1 << 40))})
+    base = base.withColumn("__mix_of", F.to_json(F.struct(F.col("__mix_of").alias("s")))).withColumn("__mix_bin", F.expr(f"cast(__mix_h div {(1 << 40) // BINS} as int)"))
+    slim = scratch.cut(base.select(F.col("doc_id").cast("long").alias("id"), "__mix_size", "__mix_of", "__mix_h", "__mix_bin"))
+    found = slim.groupBy("__mix_of").agg(F.sum("__mix_size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    patterns = sorted((r["_of"], json.loads(r["_of"]).get("s") or [None], r["n"]) for r in found) if found else []
+    patterns = sorted((r["__mix_of"], json.loads(r["__mix_of"]).get("s") or [None], r["n"]) for r in found) if found else []
     names = sorted({s for _, of, _ in patterns for s in of}, key=lambda s: (s is None, [ord(c) for c in s or ""]))
     place = {s: i for i, s in enumerate(names)}
     sizes = [0] * len(names)
@@ -141,26 +141,26 @@ def mix(docs: DataFrame, sources: Column, size: Column, *, weights: tuple[float,
         return F.broadcast(spark.createDataFrame([tuple(x) for x in plan], T.StructType([T.StructField(*f) for f in fields])))
 
     of_key = {x[0]: x for x in plan}
-    bins = slim.join(table(), F.col("_of") == F.col("k")).filter("part > 0").groupBy("k", "part", "_bin").agg(F.sum("_size").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("k").orderBy("_bin"))
-    for r in bins.withColumn("upto", upto).filter("upto > part and upto - n <= part").select("k", "_bin", (F.col("part") - F.col("upto") + F.col("n")).alias("gap")).collect():
-        of_key[r["k"]][5], of_key[r["k"]][6] = r["_bin"], r["gap"]
+    bins = slim.join(table(), F.col("__mix_of") == F.col("k")).filter("part > 0").groupBy("k", "part", "__mix_bin").agg(F.sum("__mix_size").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("k").orderBy("__mix_bin"))
+    for r in bins.withColumn("upto", upto).filter("upto > part and upto - n <= part").select("k", "__mix_bin", (F.col("part") - F.col("upto") + F.col("n")).alias("gap")).collect():
+        of_key[r["k"]][5], of_key[r["k"]][6] = r["__mix_bin"], r["gap"]
     # the bin in which a pattern's flow ends, in order of the hash
-    edge = slim.join(table(), (F.col("_of") == F.col("k")) & (F.col("_bin") == F.col("cut")) & (F.col("part") > 0))
-    run = F.sum("_size").over(Window.partitionBy("k").orderBy("_h"))
-    chosen = scratch.cut(edge.withColumn("run", run).filter("run <= gap and id is not null").select("k", "id", "_size"))
-    for r in chosen.groupBy("k").agg(F.sum("_size").alias("n")).collect():
+    edge = slim.join(table(), (F.col("__mix_of") == F.col("k")) & (F.col("__mix_bin") == F.col("cut")) & (F.col("part") > 0))
+    run = F.sum("__mix_size").over(Window.partitionBy("k").orderBy("__mix_h"))
+    chosen = scratch.cut(edge.withColumn("run", run).filter("run <= gap and id is not null").select("k", "id", "__mix_size"))
+    for r in chosen.groupBy("k").agg(F.sum("__mix_size").alias("n")).collect():
         of_key[r["k"]][6] -= r["n"]
     picks: list[tuple[str, int]] = []
     taken_ids = chosen.select(F.col("k").alias("k2"), F.col("id").alias("id2")).distinct()
-    free = slim.join(table().select("k", "cut"), F.col("_of") == F.col("k")).filter("_bin >= cut and cut >= 0 and id is not null and _size > 0")
-    free = scratch.cut(free.join(taken_ids, (F.col("k") == F.col("k2")) & (F.col("id") == F.col("id2")), "left_anti").select("k", "id", "_h", "_size").groupBy("k", "id", "_h").agg(F.sum("_size").alias("_size")))
+    free = slim.join(table().select("k", "cut"), F.col("__mix_of") == F.col("k")).filter("__mix_bin >= cut and cut >= 0 and id is not null and __mix_size > 0")
+    free = scratch.cut(free.join(taken_ids, (F.col("k") == F.col("k2")) & (F.col("id") == F.col("id2")), "left_anti").select("k", "id", "__mix_h", "__mix_size").groupBy("k", "id", "__mix_h").agg(F.sum("__mix_size").alias("__mix_size")))
     for _ in range(FILLS):
-        fits = free.join(table().select(F.col("k").alias("k2"), "gap"), F.col("k") == F.col("k2")).filter("_size <= gap")
+        fits = free.join(table().select(F.col("k").alias("k2"), "gap"), F.col("k") == F.col("k2")).filter("__mix_size <= gap")
         if picks:
             mine = F.broadcast(spark.createDataFrame(picks, "k3 string, id3 long"))  # FILLS rows a pattern at most
             fits = fits.join(mine, (F.col("k") == F.col("k3")) & (F.col("id") == F.col("id3")), "left_anti")
-        rows = fits.groupBy("k").agg(F.max_by("id", F.col("_size") * (1 << 20) + F.col("_h") % (1 << 20)).alias("id"), F.max("_size").alias("n")).collect()
+        rows = fits.groupBy("k").agg(F.max_by("id", F.col("__mix_size") * (1 << 20) + F.col("__mix_h") % (1 << 20)).alias("id"), F.max("__mix_size").alias("n")).collect()
         for r in rows:
             of_key[r["k"]][6] -= r["n"]
             picks.append((r["k"], r["id"]))
@@ -168,7 +168,8 @@ def mix(docs: DataFrame, sources: Column, size: Column, *, weights: tuple[float,
         chosen = scratch.cut(chosen.select("k", "id").unionAll(spark.createDataFrame(picks, "k string, id long")).distinct())
     else:
         chosen = chosen.select("k", "id").distinct()
-    chosen = chosen.select(F.col("k").alias("_ck"), F.col("id").alias("_cid"))
-    out = base.join(table(), F.col("_of") == F.col("k"), "left").join(chosen, (F.col("_of") == F.col("_ck")) & (F.col("doc_id").cast("long") == F.col("_cid")), "left")
-    extra = ((F.col("_bin") < F.col("cut")) & (F.col("part") > 0)) | F.col("_cid").isNotNull()
-    return out.select(*[F.col(f"`{c}`") for c in rest], F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * (F.col("whole") + extra.cast("long"))).alias("taken"))
+    chosen = chosen.select(F.col("k").alias("__mix_ck"), F.col("id").alias("__mix_cid"))
+    plan_of = table().select(*(F.col(c).alias(f"__mix_{c}") for c in ("k", "whole", "part", "source_size", "target", "cut")))
+    out = base.join(plan_of, F.col("__mix_of") == F.col("__mix_k"), "left").join(chosen, (F.col("__mix_of") == F.col("__mix_ck")) & (F.col("doc_id").cast("long") == F.col("__mix_cid")), "left")
+    extra = ((F.col("__mix_bin") < F.col("__mix_cut")) & (F.col("__mix_part") > 0)) | F.col("__mix_cid").isNotNull()
+    return out.select(*[F.col(f"`{c}`") for c in rest], F.col("__mix_size").alias("size"), F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"), (F.col("__mix_size") * (F.col("__mix_whole") + extra.cast("long"))).alias("taken"))
