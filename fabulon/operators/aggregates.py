@@ -142,3 +142,16 @@ def lexicon_subset(words: DataFrame) -> DataFrame:
     short = words.filter((F.length("w") <= 2) & F.col("pos").isin("noun", "verb", "adj", "adv"))
     pol = short.groupBy("w", "pol").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).groupBy("w").agg(F.max_by("pol", F.struct("n", -F.col("first"))).alias("pol"))
     return short.groupBy("w").agg(F.min_by("pos", "at").alias("pos"), F.array_join(F.sort_array(F.collect_set("cls")), ",").alias("cls")).join(pol, "w")
+
+
+def coverage_gap(classes: DataFrame, hits: DataFrame) -> DataFrame:
+    """Hits of each class (name) of a list, 0 for classes without any."""
+    n = hits.groupBy(F.col("name").alias("hit")).agg(F.count(F.lit(1)).alias("n"))
+    return classes.join(n, F.col("name") == F.col("hit"), "left").select("name", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def polarity_vote(shares: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per document the share of segments whose lexicon vote (positive first, then negative, neutral without words) is the annotated polarity."""
+    vote = F.when((F.col("positive") > 0) & (F.col("positive") >= F.col("negative")), "positive").when(F.col("negative") > 0, "negative").otherwise("neutral")
+    met = shares.withColumn("vote", vote).join(rows.select("doc_id", "idx", "pol"), ["doc_id", "idx"])
+    return met.groupBy("doc_id").agg(F.round(F.avg(F.when(F.col("vote") == F.col("pol"), 1.0).otherwise(0.0)), 6).alias("consistency"))

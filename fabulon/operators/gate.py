@@ -59,9 +59,10 @@ def repeated_paragraphs(docs: DataFrame, least: int = 20) -> DataFrame:
 
 def gram_repetition(docs: DataFrame, size: int = 5, head: int = 5000) -> DataFrame:
     """Share of repeated character n-grams in the first `head` characters (the measure's own window)."""
-    part = F.left("text", F.lit(head))
-    n = F.greatest(F.length(part) - size + 1, F.lit(0))
-    rows = docs.select("doc_id", n.alias("n"), F.size(F.array_distinct(F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(part, i, F.lit(size)))).otherwise(F.array().cast("array<string>")))).alias("d"))
+    # characters are split once, in a projection of their own: a lambda would split them again for each gram
+    rows = docs.select("doc_id", F.split(F.left("text", F.lit(head)), "").alias("c"), F.greatest(F.least(F.length("text"), F.lit(head)) - size + 1, F.lit(0)).alias("n"))
+    grams = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.concat(*(F.get("c", i + j) for j in range(size))))
+    rows = rows.select("doc_id", "n", F.size(F.array_distinct(F.when(F.col("n") > 0, grams).otherwise(F.array().cast("array<string>")))).alias("d"))
     return rows.select("doc_id", F.col("n").cast("long").alias("n_grams"), F.col("d").cast("long").alias("n_distinct"), F.round(share(F.col("n") - F.col("d"), F.col("n")), 6).alias("repeated"))
 
 

@@ -108,3 +108,17 @@ def paired_last_in(rows: DataFrame, opening: str = "隐藏", closing: str = "揭
     rows = rows.filter("not lost").withColumn("depth", F.col("sum") - F.col("floor") + F.when(F.col("step") == -1, 1).otherwise(0))
     at = Window.partitionBy("doc_id", "depth").orderBy("idx")
     return rows.withColumn("src", F.lag("idx").over(at)).withColumn("was", F.lag("step").over(at)).filter("step = -1 and was = 1").selectExpr("doc_id", "src", "idx as tgt")
+
+
+def reuse_edges(rows: DataFrame, column: str) -> DataFrame:
+    """Edges between successive segments of a document that name the same value."""
+    order = Window.partitionBy("doc_id", column).orderBy("idx")
+    known = rows.filter(F.col(column).isNotNull()).select("doc_id", "idx", F.col(column).alias("value")).withColumnRenamed("value", column)
+    return known.withColumn("src", F.lag("idx").over(order)).filter("src is not null").select("doc_id", F.col(column).alias("value"), "src", F.col("idx").alias("tgt"))
+
+
+def boundary_lookup(pairs: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """Adjacent pairs (idx, next_idx) with what a boundary table (a, b, is_boundary) says of them; false where it says nothing."""
+    b = boundaries.select(F.col("doc_id").alias("d2"), "a", "b", "is_boundary")
+    met = pairs.join(b, (F.col("doc_id") == F.col("d2")) & (F.col("idx") == F.col("a")) & (F.col("next_idx") == F.col("b")), "left")
+    return met.select("doc_id", "idx", "next_idx", F.coalesce("is_boundary", F.lit(False)).alias("is_boundary"))

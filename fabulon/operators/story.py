@@ -110,3 +110,30 @@ def redacted(rows: DataFrame, hidden: tuple[str, ...] = ("txt", "text", "anchor"
         if any(h in c for h in hidden) and dict(rows.dtypes)[c] == "string":
             out = out.withColumn(f"{c}_length", F.length(c).cast("long")).withColumn(c, F.when(F.col(c).isNotNull(), F.lit("[redacted]")))
     return out
+
+
+def traits(items: DataFrame, lexicon: dict[str, list[str]], most: int = 5) -> DataFrame:
+    """The strongest traits of each character from weighted texts (doc_id, who, text, weight): every key word that a text holds counts."""
+    hits = F.array(*(F.struct(F.lit(t).alias("trait"), sum(F.contains(F.col("text"), F.lit(w)).cast("int") for w in ws).alias("hits")) for t, ws in lexicon.items()))
+    rows = items.select("doc_id", "who", "weight", F.explode(hits).alias("h")).filter("h.hits > 0")
+    score = rows.groupBy("doc_id", "who", F.col("h.trait").alias("trait")).agg(F.round(F.sum(F.col("h.hits") * F.col("weight")), 6).alias("score"))
+    by = Window.partitionBy("doc_id", "who").orderBy(F.desc("score"), "trait")
+    return score.withColumn("rank", F.row_number().over(by).cast("long")).filter(F.col("rank") <= most)
+
+
+def biographies(mentions: DataFrame, rows: DataFrame, mood: DataFrame, edges: DataFrame, most: int = 8) -> DataFrame:
+    """Main characters with their span, turning rows, and strongest relations (as text, `most` at most)."""
+    main = main_characters(mentions, rows)
+    met = mentions.join(rows.select("doc_id", "idx", "d01"), ["doc_id", "idx"]).join(mood, ["doc_id", "idx"])
+    life = met.groupBy("doc_id", "who").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count_if(F.col("d01").isin("转折", "高潮")).alias("n_turning"), F.round(F.avg("intensity"), 6).alias("mean_intensity"))
+    both = edges.select("doc_id", F.col("a").alias("who"), F.col("b").alias("other"), "strength").unionByName(edges.select("doc_id", F.col("b").alias("who"), F.col("a").alias("other"), "strength"))
+    by = Window.partitionBy("doc_id", "who").orderBy(F.desc("strength"), "other")
+    near = both.withColumn("rn", F.row_number().over(by)).filter(F.col("rn") <= most).groupBy("doc_id", "who").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rn", "other"))), lambda s: s["other"]), ",").alias("relations"))
+    return main.join(life, ["doc_id", "who"]).join(near, ["doc_id", "who"], "left").fillna("", ["relations"])
+
+
+def genre(scores: DataFrame) -> DataFrame:
+    """The genre of the highest score (ties by name) and its share of all scores."""
+    by = Window.partitionBy("doc_id").orderBy(F.desc("score"), "genre")
+    total = F.sum("score").over(Window.partitionBy("doc_id"))
+    return scores.withColumn("confidence", F.round(F.col("score") / total, 6)).withColumn("rn", F.row_number().over(by)).filter("rn = 1").select("doc_id", "genre", "confidence")

@@ -221,6 +221,32 @@ register("adapter_plot_buckets", on_ann(story.plot_buckets), f", {NUM} SELECT do
 register("story_graph", on_ann(lambda a: story.story_graph(scenes=Q.scenes(a).select("doc_id", "scene", "first_idx", "last_idx"), objects=G.object_chains(a).select("doc_id", "cl", "n"))))
 
 
+# further summaries
+TRAITS = {"first": ["tag1", "tag2"], "second": ["tag2", "c3"], "third": ["tag7", "c5", "cl1"]}
+
+
+def trait_items(a: DataFrame) -> DataFrame:
+    said = a.select("doc_id", F.col("s1").alias("who"), F.concat("t1", F.lit(" "), "s2").alias("text"), F.lit(1.0).alias("weight"))
+    return said.unionByName(a.select("doc_id", F.col("s2").alias("who"), F.concat("t2", F.lit(" "), "cl").alias("text"), F.lit(0.5).alias("weight")))
+
+
+_trait = lambda ws: " + ".join(f"contains(text, '{w}')::INT" for w in ws)
+register("char_traits", on_ann(lambda a: story.traits(trait_items(a), TRAITS)), ", it AS (SELECT doc_id, s1 AS who, concat(t1, ' ', s2) AS text, 1.0::DOUBLE AS weight FROM ann UNION ALL SELECT doc_id, s2, concat(t2, ' ', cl), 0.5::DOUBLE FROM ann), h AS (" + " UNION ALL ".join(f"SELECT doc_id, who, '{t}' AS trait, ({_trait(ws)}) AS hits, weight FROM it" for t, ws in TRAITS.items()) + "), sc AS (SELECT doc_id, who, trait, round(sum(hits * weight), 6) AS score FROM h WHERE hits > 0 GROUP BY 1, 2, 3) SELECT *, row_number() OVER (PARTITION BY doc_id, who ORDER BY score DESC, trait) AS rank FROM sc QUALIFY rank <= 5")
+MAIN = "tot AS (SELECT doc_id, count(*) AS total FROM ann GROUP BY 1), cnt AS (SELECT doc_id, who, count(*) AS n, min(idx) AS f FROM spk GROUP BY 1, 2), mainc AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f, who) AS rank, who, n FROM cnt JOIN tot USING (doc_id) WHERE n >= greatest(3, total * 0.05::DOUBLE) QUALIFY rank <= 15)"
+register("char_biography", on_ann(lambda a: story.biographies(speakers(a), a, mood(a), network(a))), f", {NET}, {MAIN}, life AS (SELECT doc_id, who, min(idx) AS first_idx, max(idx) AS last_idx, count(*) FILTER (d01 IN ('转折','高潮')) AS n_turning, round(avg(intensity), 6) AS mean_intensity FROM spk JOIN ann USING (doc_id, idx) JOIN mood USING (doc_id, idx) GROUP BY 1, 2), bo AS (SELECT doc_id, a AS who, b AS other, strength FROM net UNION ALL SELECT doc_id, b, a, strength FROM net), nr AS (SELECT doc_id, who, string_agg(other, ',' ORDER BY rn) AS relations FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, who ORDER BY strength DESC, other) AS rn FROM bo) WHERE rn <= 8 GROUP BY 1, 2) SELECT m.doc_id, m.who, m.rank, m.n, first_idx, last_idx, n_turning, mean_intensity, coalesce(relations, '') AS relations FROM mainc m JOIN life USING (doc_id, who) LEFT JOIN nr USING (doc_id, who)")
+_scores = "sco AS (" + " UNION ALL ".join(f"SELECT doc_id, '{g}' AS genre, count(*) AS score FROM tags WHERE {' OR '.join(f"contains(tag, '{w}')" for w in ws)} GROUP BY 1" for g, ws in GENRES.items()) + ")"
+register("story_genre", on_ann(lambda a: story.genre(A.keyword_scores(tags(a), GENRES))), f", {_scores} SELECT doc_id, genre, round(score / sum(score) OVER (PARTITION BY doc_id), 6) AS confidence FROM sco QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, genre) = 1")
+register("jn_target_reuse", on_ann(lambda a: joins.reuse_edges(a, "emo_tgt")), "SELECT * FROM (SELECT doc_id, emo_tgt AS value, lag(idx) OVER (PARTITION BY doc_id, emo_tgt ORDER BY idx) AS src, idx AS tgt FROM ann WHERE emo_tgt IS NOT NULL) WHERE src IS NOT NULL")
+register("jn_imagery_reuse", on_ann(lambda a: joins.reuse_edges(a, "cl")), "SELECT * FROM (SELECT doc_id, cl AS value, lag(idx) OVER (PARTITION BY doc_id, cl ORDER BY idx) AS src, idx AS tgt FROM ann) WHERE src IS NOT NULL")
+register("jn_boundary_lookup", on_ann(lambda a: joins.boundary_lookup(Q.adjacent_pairs(a).select("doc_id", "idx", "next_idx"), refs(a).select("doc_id", F.col("src").alias("a"), F.col("tgt").alias("b"), F.lit(True).alias("is_boundary")))), f", p AS (SELECT * FROM (SELECT doc_id, idx, lead(idx) {W} AS next_idx FROM ann) WHERE next_idx IS NOT NULL) SELECT p.doc_id, p.idx, p.next_idx, r.src IS NOT NULL AS is_boundary FROM p LEFT JOIN refs r ON r.doc_id = p.doc_id AND r.src = p.idx AND r.tgt = p.next_idx")
+register("agg_coverage_gap", lambda s, d: A.coverage_gap(s.createDataFrame([(e,) for e in [*E.EMOTIONS, "none"]], "name string"), annotated(s, d).select(F.col("emo").alias("name"))), f", c(name) AS (VALUES {', '.join(f"('{e}')" for e in [*E.EMOTIONS, 'none'])}) SELECT name, count(emo) AS n FROM c LEFT JOIN ann ON emo = name GROUP BY 1")
+register("agg_polarity_vote", lambda s, d: A.polarity_vote(metrics.lexicon_shares(segments(s, d), s.createDataFrame(LEXICON, "w string, pos string, pol int")), annotated(s, d)), f", {TOK}, lex(w, pos, lp) AS (VALUES {', '.join(map(str, LEXICON))}), e AS (SELECT doc_id, idx, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS x FROM tok), v AS (SELECT doc_id, idx, count(*) FILTER (lp = 1) AS p, count(*) FILTER (lp = 2) AS n FROM e LEFT JOIN lex ON lower(x) = w GROUP BY 1, 2) SELECT doc_id, round(avg(CASE WHEN (CASE WHEN p > 0 AND p >= n THEN 'positive' WHEN n > 0 THEN 'negative' ELSE 'neutral' END) = pol THEN 1.0 ELSE 0.0 END), 6) AS consistency FROM v JOIN ann USING (doc_id, idx) GROUP BY 1")
+register("val_craft", on_ann(lambda a: validate.checked(a.selectExpr("doc_id", "idx", "'D15' as dim", "CASE WHEN cl = 'cl3' THEN '无' ELSE itype END as kind", "left(txt, 6) as text", "0 as start", "CASE WHEN cl = 'cl4' THEN length(txt) + 1 ELSE 1 END as `end`", "txt as segment"), validate.craft_rules()).selectExpr("doc_id", "idx", "array_join(errors, ';') as errors")), f"SELECT doc_id, idx, {listed(('text', "trim(left(txt, 6), ' ') = ''"), ('kind', "cl = 'cl3'"), ('bounds', "cl = 'cl4'"))} AS errors FROM ann")
+register("norm_segment_number", lambda s, d: Q.with_previous(segments(s, d)).select("doc_id", "idx", X.segment_number(F.concat(F.lit("d_"), F.when(F.col("idx") % 3 == 0, "seg_").when(F.col("idx") % 3 == 1, "scene_").otherwise("x"), F.col("idx").cast("string"))).cast("long").alias("number")), "SELECT doc_id, idx, idx AS number FROM seg")
+register("sink_sampling_plan", on_ann(lambda a: validate.sampling_tier(a).groupBy("doc_id", "tier").agg(F.array_join(F.sort_array(F.collect_list("idx")), ",").alias("segments"))), ", t AS (SELECT doc_id, idx, CASE WHEN d01 IN ('激励事件','转折','高潮','结局') OR inten >= 6 OR sw = 0 THEN 'deep' WHEN d01 IN ('过渡','背景铺垫') THEN 'skip' ELSE 'light' END AS tier FROM ann) SELECT doc_id, tier, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS segments FROM t GROUP BY 1, 2")
+register("lexicon_subset", on_ann(lambda a: A.lexicon_subset(a.selectExpr("loc as w0", "CASE itype WHEN '自然意象' THEN 'noun' WHEN '器物意象' THEN 'verb' WHEN '人体意象' THEN 'adj' ELSE 'x' END as pos", "cl as cls", "inten % 3 as pol", "doc_id * 100000 + idx as at").withColumn("w", F.right("w0", F.lit(2))).filter("w is not null"))), ", x AS (SELECT right(loc, 2) AS w, CASE itype WHEN '自然意象' THEN 'noun' WHEN '器物意象' THEN 'verb' WHEN '人体意象' THEN 'adj' ELSE 'x' END AS pos, cl AS cls, inten % 3 AS pol, doc_id * 100000 + idx AS at_ FROM ann WHERE loc IS NOT NULL), y AS (SELECT * FROM x WHERE pos <> 'x'), p AS (SELECT w, pol, count(*) AS n, min(at_) AS f FROM y GROUP BY 1, 2), q AS (SELECT w, pol FROM p QUALIFY row_number() OVER (PARTITION BY w ORDER BY n DESC, f) = 1) SELECT w, arg_min(pos, at_) AS pos, string_agg(DISTINCT cls, ',' ORDER BY cls) AS cls, q.pol AS pol FROM y JOIN q USING (w) GROUP BY w, q.pol")
+
+
 def queries() -> dict[str, Query]:
     from fabulon.streaming import events
 
