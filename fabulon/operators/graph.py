@@ -106,9 +106,8 @@ def entities(mentions: DataFrame) -> DataFrame:
 
 
 def scene_presence(scenes: DataFrame, mentions: DataFrame) -> DataFrame:
-    """How often each name is in each scene: a name's segments lie in one scene, found by the scene's range within the document."""
-    met = mentions.join(scenes, "doc_id").filter(F.col("idx").between(F.col("first_idx"), F.col("last_idx")))
-    return met.groupBy("doc_id", "scene", "who").agg(F.count(F.lit(1)).alias("n"))
+    """How often each name is in each scene, from rows numbered by scene: an equality join on the segment, not a range join on the document."""
+    return mentions.join(scenes.select("doc_id", "idx", "scene"), ["doc_id", "idx"]).groupBy("doc_id", "scene", "who").agg(F.count(F.lit(1)).alias("n"))
 
 
 def narrative_speed(rows: DataFrame) -> DataFrame:

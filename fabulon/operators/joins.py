@@ -86,26 +86,27 @@ def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(new.select(*KEY), KEY, "left_anti").unionByName(new)
 
 
-def paired_first_in(opens: DataFrame, closes: DataFrame) -> DataFrame:
-    """The n-th open of a document with its n-th close (queue order), if that comes later."""
-    order = Window.partitionBy("doc_id").orderBy("idx")
-    a = opens.select("doc_id", F.col("idx").alias("src"), F.row_number().over(order).alias("rn"))
-    b = closes.select("doc_id", F.col("idx").alias("tgt"), F.row_number().over(order).alias("rn"))
-    return a.join(b, ["doc_id", "rn"]).filter("tgt > src").select("doc_id", "src", "tgt")
-
-
-def paired_last_in(rows: DataFrame, opening: str = "隐藏", closing: str = "揭示") -> DataFrame:
-    """Bracket pairs of one document (stack order): an open and the next close at its depth.
-
-    A close without an open before it is left out. Depth is a running sum less its running minimum, so that such closes do not count.
-    """
+def brackets(rows: DataFrame, opening: str, closing: str) -> DataFrame:
+    """Opening (step 1) and closing (step -1) rows with their running sum and its floor; a close without an open before it is left out."""
     order = Window.partitionBy("doc_id").orderBy("idx")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     step = F.when(F.col("d06") == opening, 1).when(F.col("d06") == closing, -1)
     rows = rows.withColumn("step", step).filter("step is not null").withColumn("sum", F.sum("step").over(so_far))
     rows = rows.withColumn("floor", F.least(F.lit(0), F.min("sum").over(so_far)))
-    rows = rows.withColumn("lost", (F.col("step") == -1) & (F.col("floor") < F.coalesce(F.lag("floor").over(order), F.lit(0))))
-    rows = rows.filter("not lost").withColumn("depth", F.col("sum") - F.col("floor") + F.when(F.col("step") == -1, 1).otherwise(0))
+    return rows.withColumn("lost", (F.col("step") == -1) & (F.col("floor") < F.coalesce(F.lag("floor").over(order), F.lit(0)))).filter("not lost")
+
+
+def paired_first_in(rows: DataFrame, opening: str = "隐藏", closing: str = "揭示") -> DataFrame:
+    """Bracket pairs of one document in queue order: the n-th open with the n-th close that finds one open."""
+    at = Window.partitionBy("doc_id", "step").orderBy("idx")
+    n = brackets(rows, opening, closing).withColumn("rn", F.row_number().over(at))
+    out = n.groupBy("doc_id", "rn").agg(F.max(F.when(F.col("step") == 1, F.col("idx"))).alias("src"), F.max(F.when(F.col("step") == -1, F.col("idx"))).alias("tgt"))
+    return out.filter("src is not null and tgt is not null").select("doc_id", "src", "tgt")
+
+
+def paired_last_in(rows: DataFrame, opening: str = "隐藏", closing: str = "揭示") -> DataFrame:
+    """Bracket pairs of one document (stack order): an open and the next close at its depth."""
+    rows = brackets(rows, opening, closing).withColumn("depth", F.col("sum") - F.col("floor") + F.when(F.col("step") == -1, 1).otherwise(0))
     at = Window.partitionBy("doc_id", "depth").orderBy("idx")
     return rows.withColumn("src", F.lag("idx").over(at)).withColumn("was", F.lag("step").over(at)).filter("step = -1 and was = 1").selectExpr("doc_id", "src", "idx as tgt")
 

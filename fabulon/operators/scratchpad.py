@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from fabulon.functions.similarity import alias_similarity, ratio
 
 MOST_ALIASES, CUT, SAME_EVENT, KNOWN = 10, 50, 0.75, 0.5
+FIRST_PERSON = "我"
 TRIGGERS = {"激励事件", "上升行动", "转折", "高潮", "结局"}
 
 
@@ -24,6 +25,7 @@ class Scratchpad:
 
     characters: dict[str, dict] = field(default_factory=dict)
     events: list[dict] = field(default_factory=list)
+    items: list[dict] = field(default_factory=list)
 
     def add_character(self, name: str, segment: int | None = None, aliases: tuple[str, ...] = (), description: str = "") -> dict:
         name = name.strip()
@@ -79,6 +81,49 @@ class Scratchpad:
         if hit:
             hit[-1]["status"] = "closed"
 
+    def close_event(self, event_id: str) -> bool:
+        for e in self.events:
+            if e["event_id"] == event_id:
+                e["status"] = "closed"
+                return True
+        return False
+
+    def open_events(self) -> list[dict]:
+        return [e for e in self.events if e["status"] == "open"]
+
+    def describe(self, name: str, text: str) -> None:
+        """Set the description of a known character, cut to its limit."""
+        if c := self.find(name):
+            c["description"] = text[:CUT]
+
+    def undescribed(self, least: int = 3, short: int = 10) -> list[str]:
+        """Names mentioned often whose description is still short."""
+        return [k for k, c in self.characters.items() if c["mention_count"] >= least and len(c["description"]) < short]
+
+    def add_item(self, name: str, segment: int, note: str = "") -> dict:
+        """A thing of the story with the notes on what it means, in the order met."""
+        item = self.find_item(name)
+        if item is None:
+            item = {"name": name.strip(), "first_segment": segment, "last_segment": segment, "notes": []}
+            self.items.append(item)
+        item["last_segment"] = segment
+        if note and note not in item["notes"]:
+            item["notes"].append(note)
+        return item
+
+    def find_item(self, name: str) -> dict | None:
+        return next((i for i in self.items if i["name"] == name.strip()), None)
+
+    def bind_first_person(self, segment: int) -> None:
+        """The narrator's "I" becomes an alias of the most mentioned (then earliest) character, once for each such character."""
+        if not self.characters:
+            return
+        c = max(self.characters.values(), key=lambda c: (c["mention_count"], -(c["first_segment"] or 0)))
+        if FIRST_PERSON not in (*c["aliases"], c["canonical_name"]):
+            c["aliases"] = [*c["aliases"], FIRST_PERSON][:MOST_ALIASES]
+            c["mention_count"] += 1
+            c["last_segment"] = segment
+
     def resolve(self, segment: int) -> str | None:
         """Whom a pronoun means: near and often mentioned; the first of equals."""
         best = None
@@ -90,13 +135,16 @@ class Scratchpad:
 
     def step(self, segment: int, target: str | None, speakers: tuple[str, ...], d01: str | None, d06: str | None, text: str) -> None:
         """Take in one segment: people first, then events, then what is planted or revealed."""
-        for name in dict.fromkeys(x for x in (target, *speakers) if x):
+        named = dict.fromkeys(x.strip() for x in (target, *speakers) if x and x.strip())
+        for name in (x for x in named if x != FIRST_PERSON):
             if self.find(name):
                 self.add_character(self.find(name)["canonical_name"], segment)
             elif (near := self.similar(name)) and name not in self.characters[near]["pending"] and near != name and alias_similarity(name, near) < 1 and len(name) > 2:
                 self.characters[near]["pending"].append(name)
             else:
                 self.add_character(name, segment)
+        if FIRST_PERSON in named:
+            self.bind_first_person(segment)
         here = tuple(k for k, c in self.characters.items() if segment in (c["first_segment"], c["last_segment"]))
         if d01 in TRIGGERS:
             self.add_event(f"{d01}: {text[:40]}", segment, here, "plot")

@@ -40,14 +40,18 @@ def event_function(column: str = "d01") -> Column:
     return out
 
 
-def scenes(rows: DataFrame) -> DataFrame:
-    """Sessions of rows whose time, place and function go on from the row before."""
+def with_scenes(rows: DataFrame) -> DataFrame:
+    """rows with the number of their scene: a session whose time, place and function go on from the row before."""
     rows = with_previous(rows.withColumn("fn", event_function()), "year", "loc", "fn")
     time = F.col("year").isNull() | F.col("prev_year").isNull() | (F.col("year") >= F.col("prev_year"))
     place = F.col("loc").isNull() | F.col("prev_loc").isNull() | F.contains("loc", "prev_loc") | F.contains("prev_loc", "loc")
     new = F.when(F.col("prev").isNull() | ~(time & place & (F.col("fn") == F.col("prev_fn"))), 1).otherwise(0)
-    numbered = rows.withColumn("new", new).withColumn("scene", F.sum("new").over(order().rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("doc_id", "scene").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("new", new).withColumn("scene", F.sum("new").over(order().rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def scenes(rows: DataFrame) -> DataFrame:
+    """First and last row and size of each scene."""
+    return with_scenes(rows).groupBy("doc_id", "scene").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.count(F.lit(1)).alias("n"))
 
 
 def time_transitions(rows: DataFrame, years: int = 2) -> DataFrame:

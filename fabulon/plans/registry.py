@@ -149,8 +149,6 @@ JACCARD = "jac AS (SELECT a.doc_id, a.idx, count(b.idx) AS n, round(coalesce(sum
 register("jn_neighbor_jaccard", on_ann(joins.neighbour_overlap), f", {JACCARD} SELECT * FROM jac")
 register("jn_alias_normalize", lambda s, d: joins.canonical_names(speakers(annotated(s, d)), s.createDataFrame([("c1", "c0"), ("c4", "c3")], "alias string, canonical string")).select("doc_id", "idx", "name"), "SELECT doc_id, idx, CASE who WHEN 'c1' THEN 'c0' WHEN 'c4' THEN 'c3' ELSE who END AS name FROM spk")
 register("jn_containment", on_ann(lambda a: joins.contained(a.select("doc_id", F.col("cl").alias("a")).distinct(), a.select("doc_id", F.concat(F.col("cl"), F.lit("0")).alias("b")).distinct())), ", x AS (SELECT DISTINCT doc_id, cl AS a FROM ann), y AS (SELECT DISTINCT doc_id, concat(cl, '0') AS b FROM ann) SELECT x.doc_id, a, b FROM x JOIN y USING (doc_id) WHERE contains(a, b) OR contains(b, a)")
-register("jn_bracket_queue", on_ann(lambda a: joins.paired_first_in(a.filter("d06 = '隐藏'"), a.filter("d06 = '揭示'"))), ", o AS (SELECT doc_id, idx, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS rn FROM ann WHERE d06 = '隐藏'), c AS (SELECT doc_id, idx, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS rn FROM ann WHERE d06 = '揭示') SELECT o.doc_id, o.idx AS src, c.idx AS tgt FROM o JOIN c USING (doc_id, rn) WHERE c.idx > o.idx")
-register("jn_bracket_stack", on_ann(joins.paired_last_in))
 register("set_dedup_priority", on_ann(lambda a: joins.deduplicated(refs(a).withColumn("rank", F.lit(0)).unionByName(refs(a).withColumns({"rel": F.lit("zz"), "rank": F.lit(1)})), "rank").select("doc_id", "src", "tgt", "rel")), "SELECT doc_id, src, tgt, rel FROM refs")
 register("upsert_last_wins", on_ann(lambda a: joins.upsert(a.select("doc_id", "idx", "d01"), a.filter("done = 0").select("doc_id", "idx", F.col("pol").alias("d01")))), "SELECT doc_id, idx, CASE WHEN done = 0 THEN pol ELSE d01 END AS d01 FROM ann")
 
@@ -203,7 +201,7 @@ NET = f"{MOOD}, pr AS (SELECT x.doc_id, x.idx, x.who AS a, y.who AS b FROM spk x
 register("graph_network_edges", on_ann(network), f", {NET} SELECT * FROM net")
 register("graph_communities", on_ann(lambda a: G.communities(network(a))), f", {NET} SELECT doc_id, relation, string_agg(DISTINCT who, ',' ORDER BY who) AS members FROM (SELECT doc_id, relation, a AS who FROM net UNION ALL SELECT doc_id, relation, b FROM net) GROUP BY 1, 2")
 register("graph_entities", on_ann(lambda a: G.entities(speakers(a))), "SELECT doc_id, who, count(*) AS n, min(idx) AS first_idx, max(idx) AS last_idx FROM spk GROUP BY 1, 2")
-register("graph_scene_presence", on_ann(lambda a: G.scene_presence(Q.scenes(a).select("doc_id", "scene", "first_idx", "last_idx"), speakers(a))), f", {SCENES} SELECT spk.doc_id, scene, who, count(*) AS n FROM spk JOIN scenes ON scenes.doc_id = spk.doc_id AND idx BETWEEN first_idx AND last_idx GROUP BY 1, 2, 3")
+register("graph_scene_presence", on_ann(lambda a: G.scene_presence(Q.with_scenes(a), speakers(a))), f", {SCENES} SELECT spk.doc_id, scene, who, count(*) AS n FROM spk JOIN scenes ON scenes.doc_id = spk.doc_id AND idx BETWEEN first_idx AND last_idx GROUP BY 1, 2, 3")
 register("narrative_speed", on_ann(G.narrative_speed), "SELECT doc_id, idx, CASE WHEN r > 1.5 AND d10 IS NOT NULL THEN '场景' WHEN r < 0.5 THEN '概述' ELSE '正常' END AS speed FROM (SELECT *, length(txt) / avg(length(txt)) OVER (PARTITION BY doc_id) AS r FROM ann)")
 
 # characters and stories
@@ -250,7 +248,7 @@ register("lexicon_subset", on_ann(lambda a: A.lexicon_subset(a.selectExpr("loc a
 def queries() -> dict[str, Query]:
     from fabulon.streaming import events
 
-    from . import custom
+    from . import custom, narrative  # noqa: F401
 
     return dict(_queries) | custom.queries() | events.queries()
 
@@ -258,4 +256,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from fabulon.streaming import events
 
+    from . import narrative  # noqa: F401
+
     return dict(_sql) | events.oracle_sql()

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import html
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LAYERS = ("structure", "interpretation", "emotion", "craft")
 # fixed values: what has to be done again when a layer is reset
 CASCADE = {"structure": ("relations", "merge", "report"), "interpretation": ("merge", "report"), "emotion": ("merge", "report"), "craft": ("merge", "report")}
 
+# sections of the report and the column of each
+SECTIONS = {"functions": "d01", "perspectives": "persp", "information": "d06", "dialogue": "d10", "emotions": "emo", "polarity": "emo_pol", "targets": "emo_tgt", "imagery": "itype", "themes": "t1", "places": "loc", "seasons": "season"}
+
 
 def json_lines(rows: DataFrame, path: str) -> None:
     """Spark's commit protocol makes the write atomic by task and job."""
@@ -52,14 +55,32 @@ def curve(values: list[float], width: int = 600, height: int = 120) -> str:
     return f'<svg viewBox="0 0 {width} {height}"><polyline fill="none" stroke="currentColor" points="{points}"/></svg>'
 
 
-def report(spark: SparkSession, rows: DataFrame, doc_id: int, style: str = "html") -> str:
-    """Report of one document: rows (doc_id, idx, d01, inten, pace, pol), collected for that document only."""
-    own = rows.filter(F.col("doc_id") == doc_id).select("idx", "d01", "inten", "pace", "pol").orderBy("idx").collect()
-    functions: dict[str, int] = {}
-    for r in own:
-        functions[r["d01"]] = functions.get(r["d01"], 0) + 1
-    top = sorted(functions.items(), key=lambda x: -x[1])[:10]
+def sections(rows: DataFrame, most: int = 10) -> DataFrame:
+    """The `most` frequent values (ties: first met) of each section of the report by document; one pass and one aggregate for all sections."""
+    one = F.array(*(F.struct(F.lit(name).alias("section"), F.col(column).cast("string").alias("value")) for name, column in SECTIONS.items()))
+    n = rows.select("doc_id", "idx", F.explode(one).alias("s")).filter("s.value is not null").groupBy("doc_id", F.col("s.section").alias("section"), F.col("s.value").alias("value")).agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("first"))
+    by = Window.partitionBy("doc_id", "section").orderBy(F.desc("n"), "first", "value")
+    return n.withColumn("rank", F.row_number().over(by).cast("long")).filter(F.col("rank") <= most).select("doc_id", "section", "rank", "value", "n")
+
+
+def report(rows: DataFrame, doc_id: int, style: str = "html") -> str:
+    """Report of one document: three curves (mood, pace, polarity) and a table for each section that rows have columns for.
+
+    What is collected is the curves of that one document and ten values a section.
+    """
+    own = rows.filter(F.col("doc_id") == doc_id)
+    line = own.select("idx", "inten", "pace", "pol").orderBy("idx").collect()
+    known = {name: column for name, column in SECTIONS.items() if column in rows.columns}
+    wide = own.select("doc_id", "idx", *known.values(), *(F.lit(None).cast("string").alias(c) for c in SECTIONS.values() if c not in rows.columns))
+    found = sections(wide).orderBy("section", "rank").collect()
+    tables = {name: [(r["value"], r["n"]) for r in found if r["section"] == name] for name in known}
     if style == "markdown":
-        return "\n".join([f"# Document {doc_id}", "", f"{len(own)} segments", "", "| function | n |", "|-|-|", *(f"| {k} | {n} |" for k, n in top)]) + "\n"
-    cells = "".join(f"<tr><td>{html.escape(k)}</td><td>{n}</td></tr>" for k, n in top)
-    return f"<html><body><h1>Document {doc_id}</h1><p>{len(own)} segments</p>{curve([r['inten'] for r in own])}{curve([r['pace'] for r in own])}<table>{cells}</table></body></html>"
+        out = [f"# Document {doc_id}", "", f"{len(line)} segments", ""]
+        for name, values in tables.items():
+            out += [f"## {name}", "", "| value | n |", "|-|-|", *(f"| {v.replace('|', '/')} | {n} |" for v, n in values), ""]
+        return "\n".join(out)
+    polarity = {"positive": 1, "negative": -1}
+    curves = [("Intensity", [r["inten"] for r in line]), ("Pace", [r["pace"] for r in line]), ("Polarity", [polarity.get(r["pol"], 0) for r in line])]
+    drawn = "".join(f"<h2>{n}</h2>{curve(v)}" for n, v in curves)
+    body = "".join(f"<h2>{html.escape(name)}</h2><table>{''.join(f'<tr><td>{html.escape(v)}</td><td>{n}</td></tr>' for v, n in values)}</table>" for name, values in tables.items())
+    return f"<html><body><h1>Document {doc_id}</h1><p>{len(line)} segments</p>{drawn}{body}</body></html>"

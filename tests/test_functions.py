@@ -76,3 +76,20 @@ def test_scratchpad():
     pad.close("藏起了一把钥匙")
     assert pad.statistics() == {"characters": 1, "events": 2, "open": 1, "pending": 0}
     assert Scratchpad.load(pad.dump()).dump() == pad.dump() and pad.resolve(6) == "福贵" and "福贵(2)" in pad.summary()
+
+
+def test_first_person_and_items():
+    pad = Scratchpad()
+    pad.step(1, "我", (), None, None, "")
+    assert not pad.characters  # nobody to bind to
+    pad.step(2, "福贵", ("家珍",), None, None, "")
+    pad.step(3, "福贵", ("我",), None, None, "")
+    pad.step(4, None, ("我",), None, None, "")
+    assert pad.find("我")["canonical_name"] == "福贵" and pad.characters["福贵"]["mention_count"] == 3 and "我" not in pad.characters
+    pad.describe("我", "x" * 60)
+    assert len(pad.characters["福贵"]["description"]) == 50 and pad.undescribed(1) == ["家珍"]
+    pad.add_item("钥匙", 2, "秘密")
+    assert pad.add_item(" 钥匙 ", 5, "秘密") == {"name": "钥匙", "first_segment": 2, "last_segment": 5, "notes": ["秘密"]} and pad.find_item("门") is None
+    event = pad.add_event("他走了", 5)["event_id"]
+    assert len(pad.open_events()) == 1 and pad.close_event(event) and not pad.open_events() and not pad.close_event("evt_999")
+    assert Scratchpad.load(pad.dump()) == pad

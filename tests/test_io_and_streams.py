@@ -41,7 +41,7 @@ def test_progress_and_report(spark):
     assert done.filter("done").count() == some.count()
     undone, phases = writers.reset(done, "craft")
     assert undone.filter("done").count() == 0 and phases == ("merge", "report")
-    assert "<svg" in writers.report(spark, ann, 1) and writers.report(spark, ann, 1, "markdown").startswith("# Document 1")
+    assert "<svg" in writers.report(ann, 1) and writers.report(ann, 1, "markdown").startswith("# Document 1")
 
 
 def test_stack_pairs_equal_a_fold(spark):
@@ -92,3 +92,31 @@ def test_running_memory(spark, tmp_path):
     q.awaitTermination()
     assert sorted(map(tuple, spark.table("pads").collect())) == sorted(map(tuple, scratchpad.fold(rows).collect()))
     assert rows.agg(F.count_distinct("doc_id")).first()[0] == spark.table("pads").count()
+
+
+def test_report_has_all_sections(spark):
+    rows = spark.createDataFrame([(1, i, "高潮", 5 + i, 3, "positive", "tag<b>" if i else "a|b") for i in range(3)], "doc_id long, idx long, d01 string, inten int, pace int, pol string, t1 string")
+    text, page = writers.report(rows, 1, "markdown"), writers.report(rows, 1)
+    assert "## functions" in text and "| 高潮 | 3 |" in text and "| a/b | 1 |" in text and "## places" not in text
+    assert page.count("<svg") == 3 and "tag&lt;b&gt;" in page and "tag<b>" not in page
+    assert writers.report(rows, 9).count("<td>") == 0
+
+
+def test_empty_tables_give_empty_results(spark):
+    from fabulon.operators import layers, portrait, techniques
+
+    rows = spark.createDataFrame([], "doc_id long, idx long, d01 string, d06 string, persp string, sw int, time string, txt string, raw string")
+    for out in (techniques.narrative_style(rows), techniques.time_structure(rows), techniques.beat_signals(rows), techniques.structure_health(rows), layers.structure(rows), layers.emotion(rows)):
+        assert out.count() == 0
+    said = spark.createDataFrame([], "doc_id long, idx long, item int, who string, pattern string, verb string, turn int")
+    assert portrait.voices(said).count() == portrait.decisions(said).count() == 0
+
+
+def test_layers_of_broken_rows(spark):
+    from fabulon.operators import layers
+
+    texts = [None, "", "not json", "{}", '{"layers": null}', '{"layers": {"structure": {"D04": {"intensity": 7.0}, "D08": "spring"}}}', '{"emotion": {"target": "' + "x" * 21 + '"}}']
+    rows = spark.createDataFrame([(1, i, t) for i, t in enumerate(texts)], "doc_id long, idx long, raw string")
+    assert all(r["d01"] is None and r["switch"] is False for r in layers.structure(rows).collect())
+    assert all(r["emo"] is None and r["emo_tgt"] is None for r in layers.emotion(rows).collect())
+    assert [r[0] for r in rows.select(layers.kind()).collect()] == ["unknown"] * 5 + ["structure", "emotion"]
