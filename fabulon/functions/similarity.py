@@ -20,6 +20,17 @@ def ratio(a: str | None, b: str | None) -> float:
     return SequenceMatcher(None, a or "", b or "").ratio()
 
 
+def best_match(texts: list[str], b: str, least: float) -> tuple[float, int] | None:
+    """The highest ratio(text, b) of at least `least` and the first text that has it. Cheap upper bounds of the ratio spare most comparisons."""
+    m, best = SequenceMatcher(None, "", b), None
+    for i, a in enumerate(texts):
+        enough = least if best is None else best[0]
+        m.set_seq1(a)
+        if m.real_quick_ratio() >= enough and m.quick_ratio() >= enough and (r := m.ratio()) >= enough and (best is None or r > best[0]):
+            best = (r, i)
+    return best
+
+
 def squeezed(text: str, drop: str) -> tuple[str, list[int]]:
     """The text without characters of a class, and the place that each one had."""
     places = [i for i, c in enumerate(text) if not re.match(drop, c)]

@@ -60,3 +60,15 @@ def committed(items: DataFrame) -> DataFrame:
     rows = rows.select(*names, "_fine", mended("start", F.col("_f.start")), mended("end", F.col("_f.end")), mended("text", cut))
     outcome = F.when(F.col("_fine"), "valid").when(F.col("is_valid"), "repaired").otherwise("rejected")
     return checked(rows, craft_rules()).withColumn("outcome", outcome).drop("_fine", "errors", "warnings", "is_valid")
+
+
+def prompts(rows: DataFrame) -> DataFrame:
+    """(doc_id, idx, prompt): what a model is asked for a segment (idx, txt, context_prev, context_next, reasons, summary).
+
+    Empty contexts say that the text begins or ends there; reasons is an array of what triggers the emotion layer, summary may be null.
+    """
+    context = lambda c, none: F.when(F.coalesce(F.trim(c), F.lit("")) == "", F.lit(none)).otherwise(F.trim(c))
+    why = F.when(F.size("reasons") > 0, F.concat(F.lit("emotion layer: "), F.array_join("reasons", "; "))).otherwise("emotion layer: no trigger")
+    memory = F.when(F.coalesce("summary", F.lit("")) != "", F.concat(F.lit("\nmemory: "), F.col("summary"))).otherwise("")
+    text = F.concat(F.lit("segment: "), F.col("idx").cast("string"), F.lit("\nbefore: "), context("context_prev", "(start)"), F.lit("\nafter: "), context("context_next", "(end)"), F.lit("\n---\n"), F.col("txt"), F.lit("\n---"), memory, F.lit("\n"), why)
+    return rows.select("doc_id", "idx", text.alias("prompt"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabulon.functions.text import CLOSE, OPEN
 
 TOKEN = "[一-鿿]|[a-zA-Z0-9]+"
+SINGLE = re.compile(TOKEN)
 ENDS = "[。！？!?.…]+"
 MARKS = r"[，。！？；：、\"'「」『』（）《》【】—…·,.!?;:()\[\]{}\-]"
 
@@ -17,6 +21,32 @@ def tokens(rows: DataFrame) -> DataFrame:
     return rows.withColumn("tokens", F.regexp_extract_all("txt", F.lit(TOKEN), F.lit(0)))
 
 
+def split_by(text: str, lexicon: frozenset[str]) -> list[str]:
+    """From left to right: a word of two characters of the lexicon, else an ideograph, else a run of letters and digits; all else is passed."""
+    out, i = [], 0
+    while i < len(text):
+        if text[i : i + 2] in lexicon:
+            out.append(text[i : i + 2])
+        elif m := SINGLE.match(text, i):
+            out.append(m[0])
+        else:
+            i += 1
+            continue
+        i += len(out[-1])
+    return out
+
+
+def tokens_by(rows: DataFrame, lexicon: list[str]) -> DataFrame:
+    """tokens with a lexicon (its words of two characters count; its size is that of a dictionary, which goes to each task)."""
+    known = frozenset(w for w in lexicon if len(w) == 2)
+
+    def run(x: pd.Series) -> pd.Series:
+        return x.map(lambda t: split_by(t or "", known))
+
+    run.__annotations__ = {"x": pd.Series, "return": pd.Series}
+    return rows.withColumn("tokens", F.pandas_udf(run, "array<string>")("txt"))
+
+
 def counts(rows: DataFrame) -> DataFrame:
     sentences = F.size(F.filter(F.split("txt", ENDS), lambda s: F.trim(s) != "")).cast("long")
     rows = tokens(rows).select("doc_id", "idx", F.length("txt").cast("long").alias("char_count"), F.size("tokens").cast("long").alias("word_count"), sentences.alias("sentence_count"))

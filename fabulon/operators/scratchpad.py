@@ -12,7 +12,7 @@ from dataclasses import asdict, dataclass, field
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from fabulon.functions.similarity import alias_similarity, ratio
+from fabulon.functions.similarity import alias_similarity, best_match
 
 MOST_ALIASES, CUT, SAME_EVENT, KNOWN = 10, 50, 0.75, 0.5
 FIRST_PERSON = "我"
@@ -61,9 +61,8 @@ class Scratchpad:
 
     def add_event(self, text: str, segment: int, who: tuple[str, ...] = (), kind: str = "") -> dict:
         text = text[:CUT]
-        alike = max(((ratio(e["description"], text), -i) for i, e in enumerate(self.events)), default=(0.0, 0))
-        if alike[0] >= SAME_EVENT:
-            e = self.events[-alike[1]]
+        if alike := best_match([e["description"] for e in self.events], text, SAME_EVENT):
+            e = self.events[alike[1]]
             e["segment"] = segment
             e["involved"] = sorted({*e["involved"], *who})
         else:

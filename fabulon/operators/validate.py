@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from fabulon.functions import enums as E
 
+# fixed values: keys that a merged row must have
+MERGED = ("segment_id", "chapter", "section_type", "text_span")
+
 Rule = tuple[str, str, Column]
 
 
@@ -27,6 +30,17 @@ def envelope_rules(raw: str = "raw") -> list[Rule]:
     return [(f"missing {k}", "error", ~F.array_contains(F.json_object_keys(raw), k)) for k in keys]
 
 
+def type_rules(raw: str = "raw") -> list[Rule]:
+    """Reasons for nulls are an object and alternatives an array, where they are there and not null."""
+    begins = lambda key, mark: F.coalesce(~F.startswith(F.get_json_object(raw, f"$.{key}"), F.lit(mark)), F.lit(False))
+    return [("null_reasons", "error", begins("null_reasons", "{")), ("alternatives", "error", begins("alternatives", "["))]
+
+
+def merged_rules(raw: str = "raw") -> list[Rule]:
+    """Keys of a merged row."""
+    return [(f"missing {k}", "error", F.coalesce(~F.array_contains(F.json_object_keys(raw), k), F.lit(True))) for k in MERGED]
+
+
 def span_rules() -> list[Rule]:
     return [("span order", "error", F.col("start_char") > F.col("end_char")), ("span length", "error", F.length("txt") != F.col("end_char") - F.col("start_char"))]
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from fabulon.functions import enums as E
 from fabulon.operators import graph as G
-from fabulon.operators import joins, layers, portrait, story
+from fabulon.operators import joins, layers, metrics, portrait, story, validate
+from fabulon.operators import segmentation as S
+from fabulon.operators import sequence as Q
 from fabulon.operators import techniques as T
 from fabulon.sources import writers
 
@@ -143,3 +145,35 @@ register(
 )
 _section = lambda name, column, table="ann": f"SELECT doc_id, '{name}' AS section, {column} AS value, min(idx) AS f, count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY 1, 3"
 register("report_sections", on_ann(writers.sections), f", s AS ({' UNION ALL '.join(_section(n, c) for n, c in writers.SECTIONS.items())}) SELECT doc_id, section, row_number() OVER (PARTITION BY doc_id, section ORDER BY n DESC, f, value) AS rank, value, n FROM s QUALIFY rank <= 10")
+
+
+# texts: segments, clean lines, titles, tokens by a lexicon, prompts
+def headed(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "concat('一、', source, '\\n\\n', left(text, 300), '\\n第一章 ', lang, '\\n', text, '\\nChapter 2\\n', right(text, 500), '\\n尾声\\n', left(text, 50)) as text")
+
+
+register("seg_documents", lambda s, d: S.segmented(headed(s, d)))
+register("seg_plain_documents", lambda s, d: S.segmented(s.read.parquet(f"{d}/documents.parquet")))
+_clean = "concat(text, chr(10), chr(10), chr(10), 'www.abc.com x', chr(10), '求月票 ', lang, chr(10))"
+_nested = _clean
+for _w in S.WATERMARKS:
+    _nested = f"regexp_replace({_nested}, '{_w}', '', 'g')"
+register("seg_clean", lambda s, d: S.cleaned(s.read.parquet(f"{d}/documents.parquet").selectExpr("doc_id", f"{_clean.replace('chr(10)', 'char(10)')} as text")).select("doc_id", F.sha2("text", 256).alias("sha256")), f"SELECT doc_id, sha256(regexp_replace(regexp_replace({_nested}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')) AS sha256 FROM documents", raw=True)
+register(
+    "seg_titles",
+    lambda s, d: S.possible_titles(s.read.parquet(f"{d}/documents.parquet").selectExpr("doc_id", "posexplode(split(text, '\\n')) as (p, txt)").selectExpr("doc_id", "cast(p as bigint) as idx", "txt")),
+    "WITH l AS (SELECT doc_id, i - 1 AS idx, trim(l[i], ' ') AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)), n AS (SELECT *, coalesce(lag(t) OVER w, '') = '' AS b, coalesce(lead(t) OVER w, '') = '' AS a FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY idx)) SELECT doc_id, idx, t AS title FROM n WHERE length(t) BETWEEN 2 AND 15 AND NOT contains('。！？，、；：', right(t, 1)) AND NOT (length(t) > 10 AND contains(t, ' ')) AND b AND (a OR length(t) <= 8)",
+    raw=True,
+)
+PAIRS = ["th", "e ", "un", " d", "qu", "es", "。”"]
+register("qm_lexicon_tokens", on_ann(lambda a: metrics.tokens_by(a, PAIRS).select("doc_id", "idx", F.size("tokens").cast("long").alias("n"), F.sha2(F.array_join("tokens", "|"), 256).alias("sha256"))), f", t AS (SELECT doc_id, idx, regexp_extract_all(txt, '{'|'.join(PAIRS)}|[一-鿿]|[a-zA-Z0-9]+') AS t FROM seg) SELECT doc_id, idx, len(t) AS n, sha256(array_to_string(t, '|')) AS sha256 FROM t")
+register(
+    "proj_prompts",
+    on_ann(lambda a: layers.prompts(Q.context_anchors(a).join(a.selectExpr("doc_id", "idx", "txt", "array_compact(array(if(inten >= 4, 'intensity', null), if(d10 is not null, 'dialogue', null))) as reasons", "if(gap = 1, t1, null) as summary"), ["doc_id", "idx"])).select("doc_id", "idx", F.sha2("prompt", 256).alias("sha256"))),
+    f", c AS (SELECT *, coalesce(nullif(trim(right(lag(txt) {W}, 200), ' '), ''), '(start)') AS p, coalesce(nullif(trim(left(lead(txt) {W}, 200), ' '), ''), '(end)') AS n FROM ann) SELECT doc_id, idx, sha256(concat('segment: ', idx, chr(10), 'before: ', p, chr(10), 'after: ', n, chr(10), '---', chr(10), txt, chr(10), '---', CASE WHEN gap = 1 THEN concat(chr(10), 'memory: ', t1) END, chr(10), CASE WHEN inten < 4 AND d10 IS NULL THEN 'emotion layer: no trigger' ELSE concat('emotion layer: ', concat_ws('; ', CASE WHEN inten >= 4 THEN 'intensity' END, CASE WHEN d10 IS NOT NULL THEN 'dialogue' END)) END)) AS sha256 FROM c",
+)
+register(
+    "val_json_types",
+    on_ann(lambda a: validate.checked(a.selectExpr("doc_id", "idx", "CASE gap WHEN 1 THEN '{\"null_reasons\": [], \"alternatives\": []}' WHEN 2 THEN '{\"null_reasons\": {}, \"alternatives\": 3}' WHEN 3 THEN '{\"null_reasons\": null}' WHEN 4 THEN '{\"chapter\": 1, \"section_type\": null, \"segment_id\": \"a\", \"text_span\": {}}' END as raw"), validate.type_rules() + validate.merged_rules()).select("doc_id", "idx", F.array_join("errors", ";").alias("errors"))),
+    f"SELECT doc_id, idx, CASE gap WHEN 1 THEN 'null_reasons;' WHEN 2 THEN 'alternatives;' ELSE '' END || CASE WHEN gap = 4 THEN '' ELSE '{';'.join(f'missing {k}' for k in validate.MERGED)}' END AS errors FROM ann",
+)

@@ -93,3 +93,35 @@ def test_first_person_and_items():
     event = pad.add_event("他走了", 5)["event_id"]
     assert len(pad.open_events()) == 1 and pad.close_event(event) and not pad.open_events() and not pad.close_event("evt_999")
     assert Scratchpad.load(pad.dump()) == pad
+
+
+def test_segments_of_a_whole_text():
+    text = "一、缘起\n" + "序。" * 20 + "\n第一章 山\n" + "风。" * 30 + "\n第二章 水\n雨下了一夜才停。\n尾声\n完。\n"
+    got = segmentation.segments_of(text)
+    assert [(r[0], r[1], r[2]) for r in got] == [("frontmatter", 0, "frontmatter"), ("第一章 山", 2, "body"), ("第二章 水", 3, "body"), ("尾声", 4, "epilogue")]
+    assert "".join(text[r[3] : r[4]] for r in got) == text and not any(r[6] for r in got)
+    assert segmentation.segments_of("") == segmentation.segments_of(" \n ") == []
+    bare = segmentation.segments_of("无标题。\n只有正文。")
+    assert [(r[0], r[2], r[6]) for r in bare] == [("", "frontmatter", True)]
+
+
+def test_long_texts_are_cut_by_size():
+    text = "一二三四五六七八九。" * 900
+    got = segmentation.segments_of(text)
+    assert len(got) == 5 and all(r[6] and r[2] == "body" for r in got) and [r[4] - r[3] for r in got] == [2000] * 4 + [1000]
+    assert "".join(text[r[3] : r[4]] for r in got) == text
+    assert [r[4] - r[3] for r in segmentation.segments_of("x" * 9000)] == [9000]
+
+
+@given(st.lists(st.text("abc", max_size=12), max_size=8), st.text("abc", max_size=12))
+def test_best_match_equals_brute_force(texts, b):
+    scores = [similarity.ratio(a, b) for a in texts]
+    want = max(((r, -i) for i, r in enumerate(scores) if r >= 0.75), default=None)
+    assert similarity.best_match(texts, b, 0.75) == (want and (want[0], -want[1]))
+
+
+def test_words_of_a_lexicon():
+    from fabulon.operators.metrics import split_by
+
+    assert split_by("快乐的abc12 乐。", frozenset({"快乐", "bc"})) == ["快乐", "的", "abc12", "乐"]
+    assert split_by("快乐", frozenset()) == ["快", "乐"] and split_by("", frozenset({"快乐"})) == []
