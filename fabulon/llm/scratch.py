@@ -11,7 +11,7 @@ LOCAL_DIR = "file:///tmp/checkpoints/fabulon"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a local one only under a local master."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
