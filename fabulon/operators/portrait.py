@@ -93,3 +93,65 @@ def appraisals(line: DataFrame, decided: DataFrame, traits: DataFrame, rows: Dat
         part(F.col("own").isNotNull(), F.lit("。性格特征："), F.col("own")), F.lit("。"),
     )
     return rows.select("doc_id", "who", role.alias("role"), kind.alias("kind"), text.alias("appraisal"))
+
+
+# fixed values: functions in which a character acts or is acted upon, weights of complexity
+ACTIVE, PASSIVE = ("激励事件", "高潮", "转折", "结局", "上升行动", "下降行动"), ("背景铺垫", "过渡")
+COMPLEXITY = {"traits": 0.4, "variance": 0.3, "presence": 0.3}
+ROUND, POINTED = 0.6, 0.3
+
+
+def halves(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, who, idx) with their number and how many there are for the character."""
+    return rows.withColumn("rn", F.row_number().over(of("idx"))).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "who")))
+
+
+def arcs(mentions: DataFrame, mood: DataFrame) -> DataFrame:
+    """Arc of each character's polarity: trend between the halves of its rows, variance, and the last row."""
+    from .story import polarity_score
+
+    rows = halves(mentions.join(mood, ["doc_id", "idx"]).filter("polarity is not null").withColumn("score", polarity_score("polarity")))
+    early = F.col("rn") <= F.floor(F.col("n") / 2)
+    half = lambda c: F.coalesce(F.avg(F.when(~early, F.col(c))), F.lit(0.0)) - F.coalesce(F.avg(F.when(early, F.col(c))), F.lit(0.0))
+    out = rows.groupBy("doc_id", "who").agg(F.count(F.lit(1)).alias("n"), half("score").alias("trend"), F.var_pop("score").alias("variance"), F.max_by("score", "idx").cast("long").alias("final"), half("intensity").alias("intensity_trend"))
+    out = out.withColumns({c: F.round(c, 6) for c in ("trend", "variance", "intensity_trend")})  # sums in another order give the same class
+    kind = F.when((F.col("trend") > 0.3) & (F.col("final") > 0), "rise").when((F.col("trend") < -0.3) & (F.col("final") < 0), "fall").when(F.col("variance") > 0.5, "wave").when((F.abs("trend") < 0.2) & (F.col("variance") < 0.3), "level").otherwise("mixed")
+    return out.select("doc_id", "who", kind.alias("arc"), "trend", "variance", "final", "intensity_trend", F.round(F.least(F.lit(1.0), F.col("n") / 20), 6).alias("confidence"))
+
+
+def agency_curves(line: DataFrame) -> DataFrame:
+    """Shares of rows of a timeline in which a character acts (by function or by speaking), is acted upon or looks on, and the trend of acting."""
+    level = F.when(F.col("d01").isin(*ACTIVE) | F.col("has_dialogue"), "active").when(F.col("d01").isin(*PASSIVE), "passive").otherwise("observer")
+    rows = halves(line.withColumn("level", level))
+    early = F.col("rn") <= F.floor(F.col("n") / 2)
+    acts = F.when(F.col("level") == "active", 1.0).otherwise(0.0)
+    part = lambda v: F.round(F.count_if(F.col("level") == v) / F.count(F.lit(1)), 6).alias(v)
+    out = rows.groupBy("doc_id", "who").agg(F.count(F.lit(1)).alias("n"), part("active"), part("passive"), part("observer"), F.avg(F.when(early, acts)).alias("first"), F.avg(F.when(~early, acts)).alias("second"))
+    trend = F.when(F.col("n") < 4, "unknown").when(F.col("second") > F.col("first") + 0.1, "rise").when(F.col("second") < F.col("first") - 0.1, "fall").otherwise("level")
+    return out.select("doc_id", "who", "n", "active", "passive", "observer", trend.alias("trend"))
+
+
+def roles(curves: DataFrame, rows: DataFrame) -> DataFrame:
+    """Part that a character plays, from its agency and presence."""
+    total = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total"))
+    out = curves.join(total, "doc_id").withColumn("presence", F.col("n") / F.col("total"))
+    role = F.when((F.col("active") > 0.5) & (F.col("presence") > 0.3), "主要行动者").when(F.col("passive") > 0.5, "阻碍者").when(F.col("presence") < 0.3, "辅助者").otherwise("未知")
+    gaps = F.when(F.col("presence") < 0.5, F.floor((0.5 - F.col("presence")) * 10 + 1e-9) + 1).otherwise(0).cast("long")
+    return out.select("doc_id", "who", F.round("presence", 6).alias("presence"), role.alias("role"), gaps.alias("gaps"))
+
+
+def complexity(arc: DataFrame, traits: DataFrame, curves: DataFrame) -> DataFrame:
+    """Score of complexity from the number of traits, the variance of the arc and presence; flat, pointed or round; static or dynamic."""
+    n = traits.groupBy("doc_id", "who").agg(F.count(F.lit(1)).alias("n_traits"))
+    rows = arc.join(curves.select("doc_id", "who", "n"), ["doc_id", "who"]).join(n, ["doc_id", "who"], "left").fillna(0, ["n_traits"])
+    part = lambda c, full, name: F.least(F.col(c) / full, F.lit(1.0)) * COMPLEXITY[name]
+    score = F.round(part("n_traits", 3, "traits") + part("variance", 0.5, "variance") + part("n", 20, "presence"), 3)
+    shape = F.when(F.col("score") >= ROUND, "圆形").when(F.col("score") >= POINTED, "尖形").otherwise("扁平")
+    return rows.withColumn("score", score).select("doc_id", "who", "score", shape.alias("shape"), ((F.col("variance") > 0.3) & (F.col("n") > 10)).alias("dynamic"))
+
+
+def dialogue_dominance(said: DataFrame) -> DataFrame:
+    """Share of a document's voice items that are a character's."""
+    n = said.groupBy("doc_id", "who").agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("doc_id"))
+    return n.select("doc_id", "who", "n", F.round(share, 6).alias("ratio"), F.when(share >= 0.4, "lead").when(share >= 0.2, "major").otherwise("minor").alias("level"))

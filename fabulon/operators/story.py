@@ -26,7 +26,7 @@ def trajectories(mentions: DataFrame, mood: DataFrame, strong: int = 7) -> DataF
 def agency(mentions: DataFrame, rows: DataFrame) -> DataFrame:
     """Share of a character's rows with an active function."""
     met = mentions.join(rows.select("doc_id", "idx", "d01"), ["doc_id", "idx"])
-    active = F.col("d01").isin("激励事件", "上升行动", "转折", "高潮")
+    active = F.col("d01").isin("激励事件", "高潮", "转折", "结局", "上升行动", "下降行动")
     return met.groupBy("doc_id", "who").agg(F.round(F.avg(F.when(active, 1.0).otherwise(0.0)), 6).alias("agency"))
 
 
@@ -137,3 +137,31 @@ def genre(scores: DataFrame) -> DataFrame:
     by = Window.partitionBy("doc_id").orderBy(F.desc("score"), "genre")
     total = F.sum("score").over(Window.partitionBy("doc_id"))
     return scores.withColumn("confidence", F.round(F.col("score") / total, 6)).withColumn("rn", F.row_number().over(by)).filter("rn = 1").select("doc_id", "genre", "confidence")
+
+
+def event_chain(scenes: DataFrame) -> DataFrame:
+    """Scenes of a story as events in order, from rows numbered by scene: function by mode (ties: first met), first known place and time."""
+    per = scenes.groupBy("doc_id", "scene", "d01").agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("first"))
+    label = per.groupBy("doc_id", "scene").agg(F.max_by("d01", F.struct("n", -F.col("first"))).alias("label"))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("idx"))).alias(c)
+    out = scenes.groupBy("doc_id", "scene").agg(F.min("idx").alias("start"), F.max("idx").alias("end"), F.count(F.lit(1)).alias("duration"), first("loc"), first("season"), F.max("inten").alias("max_intensity"))
+    return out.join(label, ["doc_id", "scene"]).withColumn("event_id", F.format_string("evt_%03d", "scene")).drop("scene")
+
+
+def rhetorical_relations(edges: DataFrame) -> DataFrame:
+    """Causal edges as numbered relations of events."""
+    by = Window.partitionBy("doc_id").orderBy("src", "tgt", "edge_type")
+    kind = F.when(F.col("edge_type") == "CAUSE", "cause").when(F.col("edge_type") == "ENABLE", "enablement").when(F.col("edge_type") == "PREVENT", "prevention").otherwise("elaboration")
+    return edges.select("doc_id", F.format_string("rel_%03d", F.row_number().over(by)).alias("relation_id"), kind.alias("type"), "src", "tgt", "confidence")
+
+
+def participants(entities: DataFrame) -> DataFrame:
+    """Names as numbered participants, the most mentioned first."""
+    by = Window.partitionBy("doc_id").orderBy(F.desc("n"), "first_idx", "who")
+    return entities.withColumn("participant_id", F.format_string("p_%03d", F.row_number().over(by))).select("doc_id", "participant_id", "who", "n", "first_idx", "last_idx")
+
+
+def object_threads(chains: DataFrame) -> DataFrame:
+    """Chains of objects as numbered threads, in order of their first segment."""
+    by = Window.partitionBy("doc_id").orderBy("first_idx", "cl")
+    return chains.withColumn("thread_id", F.format_string("obj_%03d", F.row_number().over(by))).select("doc_id", "thread_id", "cl", "itype", "n")

@@ -15,7 +15,7 @@ from fabulon.sources import writers
 
 from . import registry as R
 from .fixture import refs, speakers, tags
-from .registry import CAUSAL, MOOD, NUM, TRAITS, W, mood, on_ann, register, trait_items
+from .registry import CAUSAL, MOOD, SCENES, SCORE, NUM, TRAITS, W, mood, on_ann, register, trait_items
 
 WORDS = ("the", "und", "que")
 
@@ -177,3 +177,43 @@ register(
     on_ann(lambda a: validate.checked(a.selectExpr("doc_id", "idx", "CASE gap WHEN 1 THEN '{\"null_reasons\": [], \"alternatives\": []}' WHEN 2 THEN '{\"null_reasons\": {}, \"alternatives\": 3}' WHEN 3 THEN '{\"null_reasons\": null}' WHEN 4 THEN '{\"chapter\": 1, \"section_type\": null, \"segment_id\": \"a\", \"text_span\": {}}' END as raw"), validate.type_rules() + validate.merged_rules()).select("doc_id", "idx", F.array_join("errors", ";").alias("errors"))),
     f"SELECT doc_id, idx, CASE gap WHEN 1 THEN 'null_reasons;' WHEN 2 THEN 'alternatives;' ELSE '' END || CASE WHEN gap = 4 THEN '' ELSE '{';'.join(f'missing {k}' for k in validate.MERGED)}' END AS errors FROM ann",
 )
+
+
+# classes of characters
+HALF = "round(coalesce(avg(CASE WHEN rn > n // 2 THEN {0} END), 0) - coalesce(avg(CASE WHEN rn <= n // 2 THEN {0} END), 0), 6)"
+ARCS = f"{MOOD}, cr AS (SELECT doc_id, who, idx, {SCORE} AS score, intensity, row_number() OVER (PARTITION BY doc_id, who ORDER BY idx) AS rn, count(*) OVER (PARTITION BY doc_id, who) AS n FROM spk JOIN mood USING (doc_id, idx)), ca AS (SELECT doc_id, who, count(*) AS m, {HALF.format('score')} AS trend, round(var_pop(score), 6) AS variance, arg_max(score, idx)::BIGINT AS final, {HALF.format('intensity')} AS intensity_trend FROM cr GROUP BY 1, 2)"
+register(
+    "char_arcs",
+    on_ann(lambda a: portrait.arcs(speakers(a), mood(a))),
+    f", {ARCS} SELECT doc_id, who, CASE WHEN trend > 0.3::DOUBLE AND final > 0 THEN 'rise' WHEN trend < -0.3::DOUBLE AND final < 0 THEN 'fall' WHEN variance > 0.5::DOUBLE THEN 'wave' WHEN abs(trend) < 0.2::DOUBLE AND variance < 0.3::DOUBLE THEN 'level' ELSE 'mixed' END AS arc, trend, variance, final, intensity_trend, round(least(1, m / 20), 6) AS confidence FROM ca",
+)
+
+
+def curves(a: DataFrame) -> DataFrame:
+    return portrait.agency_curves(portrait.timeline(speakers(a), a, said(a).filter("item = 0")))
+
+
+_in = lambda values: "(" + ", ".join(f"'{v}'" for v in values) + ")"
+LEVEL = f"lv AS (SELECT doc_id, who, idx, CASE WHEN d01 IN {_in(portrait.ACTIVE)} OR who = s1 THEN 'active' WHEN d01 IN {_in(portrait.PASSIVE)} THEN 'passive' ELSE 'observer' END AS level, row_number() OVER (PARTITION BY doc_id, who ORDER BY idx) AS rn, count(*) OVER (PARTITION BY doc_id, who) AS n FROM spk JOIN ann USING (doc_id, idx)), cu AS (SELECT doc_id, who, max(n) AS n, {', '.join(f"round(avg((level = '{v}')::INT), 6) AS {v}" for v in ('active', 'passive', 'observer'))}, avg(CASE WHEN rn <= n // 2 THEN (level = 'active')::INT END) AS f, avg(CASE WHEN rn > n // 2 THEN (level = 'active')::INT END) AS s FROM lv GROUP BY 1, 2)"
+register("char_agency_curve", on_ann(curves), f", {LEVEL} SELECT doc_id, who, n, active, passive, observer, CASE WHEN n < 4 THEN 'unknown' WHEN s > f + 0.1::DOUBLE THEN 'rise' WHEN s < f - 0.1::DOUBLE THEN 'fall' ELSE 'level' END AS trend FROM cu")
+register(
+    "char_roles",
+    on_ann(lambda a: portrait.roles(curves(a), a)),
+    f", {LEVEL}, pr AS (SELECT *, n / (SELECT count(*) FROM ann a WHERE a.doc_id = cu.doc_id) AS p FROM cu) SELECT doc_id, who, round(p, 6) AS presence, CASE WHEN active > 0.5 AND p > 0.3::DOUBLE THEN '主要行动者' WHEN passive > 0.5 THEN '阻碍者' WHEN p < 0.3::DOUBLE THEN '辅助者' ELSE '未知' END AS role, CASE WHEN p < 0.5 THEN floor((0.5 - p) * 10 + 1e-9::DOUBLE)::BIGINT + 1 ELSE 0 END AS gaps FROM pr",
+)
+register(
+    "char_complexity",
+    on_ann(lambda a: portrait.complexity(portrait.arcs(speakers(a), mood(a)), traits(a), curves(a))),
+    f", {ARCS}, nt AS (SELECT doc_id, who, count(*) AS t FROM {sub('char_traits')} GROUP BY 1, 2), sc AS (SELECT doc_id, who, m, variance, round(least(coalesce(t, 0) / 3, 1) * 0.4::DOUBLE + least(variance / 0.5, 1) * 0.3::DOUBLE + least(m / 20, 1) * 0.3::DOUBLE, 3) AS score FROM ca LEFT JOIN nt USING (doc_id, who)) SELECT doc_id, who, score, CASE WHEN score >= 0.6::DOUBLE THEN '圆形' WHEN score >= 0.3::DOUBLE THEN '尖形' ELSE '扁平' END AS shape, variance > 0.3::DOUBLE AND m > 10 AS dynamic FROM sc",
+)
+register("char_dialogue_dominance", on_ann(lambda a: portrait.dialogue_dominance(said(a))), f", {SAID}, c AS (SELECT doc_id, who, count(*) AS n FROM said GROUP BY 1, 2), r AS (SELECT *, n / sum(n) OVER (PARTITION BY doc_id) AS q FROM c) SELECT doc_id, who, n, round(q, 6) AS ratio, CASE WHEN q >= 0.4::DOUBLE THEN 'lead' WHEN q >= 0.2::DOUBLE THEN 'major' ELSE 'minor' END AS level FROM r")
+
+# adapters
+register(
+    "adapter_event_chain",
+    on_ann(lambda a: story.event_chain(Q.with_scenes(a))),
+    f", {SCENES}, fc AS (SELECT doc_id, scene, d01, count(*) AS c, min(idx) AS f FROM sc GROUP BY 1, 2, 3), lb AS (SELECT doc_id, scene, (list(d01 ORDER BY c DESC, f))[1] AS label FROM fc GROUP BY 1, 2) SELECT sc.doc_id, printf('evt_%03d', sc.scene) AS event_id, label, min(idx) AS start, max(idx) AS end, count(*) AS duration, arg_min(loc, idx) FILTER (loc IS NOT NULL) AS loc, arg_min(season, idx) FILTER (season IS NOT NULL) AS season, max(inten) AS max_intensity FROM sc JOIN lb ON lb.doc_id = sc.doc_id AND lb.scene = sc.scene GROUP BY sc.doc_id, sc.scene, label",
+)
+register("adapter_relations", on_ann(lambda a: story.rhetorical_relations(G.accepted(G.causal_edges(refs(a), a)))), f", {CAUSAL} SELECT doc_id, printf('rel_%03d', row_number() OVER (PARTITION BY doc_id ORDER BY src, tgt, edge_type)) AS relation_id, CASE edge_type WHEN 'CAUSE' THEN 'cause' ELSE 'enablement' END AS type, src, tgt, confidence FROM edges")
+register("adapter_participants", on_ann(lambda a: story.participants(G.entities(speakers(a)))), ", e AS (SELECT doc_id, who, count(*) AS n, min(idx) AS first_idx, max(idx) AS last_idx FROM spk GROUP BY 1, 2) SELECT doc_id, printf('p_%03d', row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first_idx, who)) AS participant_id, who, n, first_idx, last_idx FROM e")
+register("adapter_object_threads", on_ann(lambda a: story.object_threads(G.object_chains(a))), f", o AS {sub('graph_object_chains')} SELECT doc_id, printf('obj_%03d', row_number() OVER (PARTITION BY doc_id ORDER BY first_idx, cl)) AS thread_id, cl, itype, n FROM o")

@@ -206,7 +206,7 @@ register("narrative_speed", on_ann(G.narrative_speed), "SELECT doc_id, idx, CASE
 
 # characters and stories
 register("char_trajectory", on_ann(lambda a: story.trajectories(speakers(a), mood(a))), f", {MOOD} SELECT doc_id, who, count(*) AS n, round(avg(intensity), 6) AS mean_intensity, count(*) FILTER (intensity >= 7) AS n_key, arg_max(polarity, idx) AS final_polarity, sum({SCORE})::BIGINT AS balance FROM spk JOIN mood USING (doc_id, idx) GROUP BY 1, 2")
-register("char_agency", on_ann(lambda a: story.agency(speakers(a), a)), "SELECT doc_id, who, round(avg(CASE WHEN d01 IN ('激励事件','上升行动','转折','高潮') THEN 1.0 ELSE 0.0 END), 6) AS agency FROM spk JOIN ann USING (doc_id, idx) GROUP BY 1, 2")
+register("char_agency", on_ann(lambda a: story.agency(speakers(a), a)), "SELECT doc_id, who, round(avg(CASE WHEN d01 IN ('激励事件','高潮','转折','结局','上升行动','下降行动') THEN 1.0 ELSE 0.0 END), 6) AS agency FROM spk JOIN ann USING (doc_id, idx) GROUP BY 1, 2")
 register("char_dominance", on_ann(lambda a: story.dominance(speakers(a))), ", c AS (SELECT doc_id, who, count(*) AS n FROM spk GROUP BY 1, 2) SELECT doc_id, who, round(n / sum(n) OVER (PARTITION BY doc_id), 6) AS share, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, who) AS rank FROM c")
 register("char_main", on_ann(lambda a: story.main_characters(speakers(a), a)), ", t AS (SELECT doc_id, count(*) AS total FROM ann GROUP BY 1), c AS (SELECT doc_id, who, count(*) AS n, min(idx) AS f FROM spk GROUP BY 1, 2) SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f, who) AS rank, who, n FROM c JOIN t USING (doc_id) WHERE n >= greatest(3, total * 0.05::DOUBLE) QUALIFY rank <= 15")
 register("narrative_focalization", on_ann(story.focalization), ", c AS (SELECT doc_id, persp, count(*) AS n, min(idx) AS f FROM ann GROUP BY 1, 2), m AS (SELECT doc_id, persp AS dominant FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) = 1) SELECT doc_id, dominant, count(DISTINCT persp) AS n_types, count(*) FILTER (sw = 0) AS n_switches FROM ann JOIN m USING (doc_id) GROUP BY 1, 2")
