@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -66,12 +68,17 @@ def fuzzy_span(text: str, quote: str, least: float = NEAR) -> tuple[int, int, st
         a, b = places[at], places[at + len(needle) - 1] + 1
         return a, b, "punctuation", ratio(quote, text[a:b])
     best = (0.0, 0, 0)
-    n = len(quote)
+    n, letters = len(quote), Counter(quote)
+    shared = [0, *accumulate(c in letters for c in text)]  # a window's characters that the quote has bound its matches
     for size in sorted({max(1, int(n * f)) for f in (0.7, 0.85, 1.0, 1.25, 1.5)}, key=lambda s: abs(s - n)):
         for a in range(0, max(1, len(text) - size + 1), max(1, n // 4)):
-            score = ratio(quote, text[a : a + size])
+            b = min(len(text), a + size)
+            hopeless = lambda m: 2.0 * m / (n + b - a) < least or 2.0 * m / (n + b - a) <= best[0]  # noqa: B023, E731
+            if hopeless(min(n, shared[b] - shared[a])) or hopeless((letters & Counter(text[a:b])).total()):
+                continue
+            score = ratio(quote, text[a:b])
             if score > best[0]:
-                best = (score, a, min(len(text), a + size))
+                best = (score, a, b)
                 if score >= SURE:
                     return best[1], best[2], "window", score
     return (best[1], best[2], "window", best[0]) if best[0] >= least else None

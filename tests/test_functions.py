@@ -125,3 +125,18 @@ def test_words_of_a_lexicon():
 
     assert split_by("快乐的abc12 乐。", frozenset({"快乐", "bc"})) == ["快乐", "的", "abc12", "乐"]
     assert split_by("快乐", frozenset()) == ["快", "乐"] and split_by("", frozenset({"快乐"})) == []
+
+
+@given(st.text("ab。c ", min_size=1, max_size=40), st.text("abc", min_size=1, max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_fuzzy_windows_equal_brute_force(body, quote):
+    found = similarity.fuzzy_span(body, quote, 0.6)
+    if found and found[2] != "window":
+        return
+    n, best = len(quote), (0.0, 0, 0)
+    for size in sorted({max(1, int(n * f)) for f in (0.7, 0.85, 1.0, 1.25, 1.5)}, key=lambda s: abs(s - n)):
+        for a in range(0, max(1, len(body) - size + 1), max(1, n // 4)):
+            score = similarity.ratio(quote, body[a : a + size])
+            if score > best[0] and best[0] < similarity.SURE:
+                best = (score, a, min(len(body), a + size))
+    assert found == ((best[1], best[2], "window", best[0]) if best[0] >= 0.6 else None)
