@@ -35,8 +35,8 @@ def best_match(texts: list[str], b: str, least: float) -> tuple[float, int] | No
 
 def squeezed(text: str, drop: str) -> tuple[str, list[int]]:
     """The text without characters of a class, and the place that each one had."""
-    places = [i for i, c in enumerate(text) if not re.match(drop, c)]
-    return "".join(text[i] for i in places), places
+    places = [m.start() for m in re.finditer(f"(?!{drop}).", text, re.DOTALL)]
+    return "".join([text[i] for i in places]), places
 
 
 def find_span(text: str, quote: str) -> tuple[int, int] | None:
