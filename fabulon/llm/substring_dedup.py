@@ -1,16 +1,18 @@
 """Fuzzy passage deduplication by collinear chaining of shared word k-mer seeds.
 
-1. Seeds: of the hashes of k words in a row the minimizers of every window of `window`; two texts that share window + k - 1 words
-   in a row share a seed. What a text has of one seed beyond the first is a seed by its number as well, so that a line that
+1. Seeds: of the hashes of k words in a row those below 2^64 / DENSE, whatever stands around them, so that a changed word costs the k
+   seeds that hold it and no other; and the minimizers of every window of `window`, so that two texts that share window + k - 1
+   words in a row share a seed. What a text has of one seed beyond the first is a seed by its number as well, so that a line that
    is repeated many times meets the same line in another text at as many places.
-2. Every occurrence of a seed is joined with its first one (the smallest doc_id, and there the first place) - one row for each
-   occurrence, however common the passage.
+2. Every occurrence of a seed meets its first one (the smallest doc_id, and there the first place) - one row for each occurrence,
+   however common the passage. The occurrences are sorted and read as a stream, so that a seed of any frequency takes no memory.
 3. For each document the anchors to one earlier document are merged along diagonals and chained: a chain rises in both texts, and
    gives up `gap` for each word that it skips in either. A Fenwick tree over the places in the other text finds the best chain that
    each anchor continues, in O(n log n).
-4. The words of the other text around a chain are fetched (in blocks of words, each sent once for each chain that needs it), the chain is
-   extended word by word over at most `slack` words, and aligned by a longest common subsequence; it counts when `similar` of the longer
-   side agrees. Counting passages of one document that touch are united, and passages of more than `least` words are repeats.
+4. The words of the other text around a chain (of PIECE words at most) are fetched (in blocks of words, each sent once for each chain that needs it).
+   The chain and `slack` words on either side are aligned by a longest common subsequence, and the stretches of it that are dense
+   in equal words count when `similar` of the longer side agrees, or else their longest part of which that holds. Counting passages of
+   one document that touch are united, and passages of more than `least` words are repeats.
 
 A text keeps the passages that first occur in it; later documents lose theirs. Within one document nothing is a repeat of
 itself. Order is by doc_id. Rows that repeat a doc_id with different texts are one document, whose texts stand in the order of
@@ -30,7 +32,11 @@ from . import words
 from .batches import small_batches, trimmed
 from .scratch import Scratch
 
-K, WINDOW, GAP, SLACK, SIMILAR, LEAST, BLOCK = 5, 16, 0.25, 24, 0.8, 50, 64
+K, WINDOW, DENSE, GAP, SLACK, SIMILAR, LEAST, BLOCK = 4, 16, 3, 0.04, 32, 0.8, 50, 64
+#: Words between the ends of a chain (fewer are not aligned, as chance makes them), of one alignment, and by which places in the other text can shift.
+SPAN, PIECE, SHIFT = 10, 1024, 8
+#: What a word without its equal takes from a stretch, to which an equal word adds 1, and the fall from its height at which a stretch ends.
+MISS, FALL = 1.0, 12.0
 U = np.uint64
 TOP = U(0xFFFFFFFFFFFFFFFF)
 
@@ -67,7 +73,7 @@ def _seeded(k: int, window: int):
                 counts_k = np.where(counts >= k, counts, 0)
                 whole = counts_k[rows] > 0
                 s, r, p = words.shingles(words.hashes(part, starts, ends)[whole], rows[whole], counts_k, k)
-                keep = minimizers(s, r, hi - lo, window)
+                keep = minimizers(s, r, hi - lo, window) | (s < TOP // U(DENSE))
                 s, r, p = s[keep], r[keep], p[keep]
                 order = np.lexsort((p, s, r))
                 s, r, p = s[order], r[order], p[order]
@@ -76,12 +82,29 @@ def _seeded(k: int, window: int):
                 number = again - np.flatnonzero(first)[np.cumsum(first)[again] - 1]
                 with np.errstate(over="ignore"):
                     counted = words.mix(s[again] + number.astype(np.uint64) * U(0x9E3779B97F4A7C15))
-                s, r, p, first = np.concatenate([s, counted]), np.concatenate([r, r[again]]), np.concatenate([p, p[again]]), np.concatenate([first, np.ones(len(again), bool)])
-                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(ids[lo:hi][r]), pa.array(p.astype(np.int32)), pa.array(first)], ["seed", "doc", "pos", "first"])
+                s, r, p = np.concatenate([s, counted]), np.concatenate([r, r[again]]), np.concatenate([p, p[again]])
+                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(ids[lo:hi][r]), pa.array(p.astype(np.int32))], ["seed", "doc", "pos"])
 
     return run
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (seed, doc, pos) sorted by all three -> (doc, other, x, y): each occurrence with the first one of its seed in an earlier text."""
+    held = None  # seed, and doc and place of its first occurrence
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        s, d, p = (batch.column(i).to_numpy() for i in range(3))
+        new = np.concatenate([[held is None or held[0] != s[0]], s[1:] != s[:-1]])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
+        other, y = d[at], p[at]  # of rows before the first new seed put right below
+        if held is not None:
+            other, y = np.where(at < 0, held[1], other), np.where(at < 0, held[2], y)
+        held = (s[-1], other[-1], y[-1])
+        hit = d != other
+        yield pa.RecordBatch.from_arrays([pa.array(d[hit]), pa.array(other[hit]), pa.array(p[hit]), pa.array(y[hit].astype(np.int32))], ["doc", "other", "x", "y"])
+
+
 def diagonals(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> np.ndarray:
     """Segments (x0, x1, y0, y1, words) of anchors on one diagonal that follow within `reach` words; ends are exclusive."""
     order = np.lexsort((x, x - y))
@@ -151,6 +174,19 @@ def chains(segments: np.ndarray, gap: float) -> list[list[int]]:
     return out
 
 
+def pieces(chain: np.ndarray, most: int = PIECE) -> list[tuple[int, int, int, int]]:
+    """The segments of a chain put together to pieces (x0, x1, y0, y1) of about `most` words, longer ones cut."""
+    out: list[list[int]] = []
+    for x0, x1, y0, y1, _ in chain.tolist():
+        for x in range(x0, x1, most):
+            z = min(x + most, x1)
+            if out and z - out[-1][0] <= most and y0 + z - x0 - out[-1][2] <= 2 * most:
+                out[-1][1], out[-1][3] = z, y0 + z - x0
+            else:
+                out.append([x, z, y0 + x - x0, y0 + z - x0])
+    return [tuple(p) for p in out]
+
+
 def _chained(k: int, window: int, gap: float, least: int):
     """Rows (doc, other, x, y) sorted by doc and other -> (doc, other, x0, x1, y0, y1)."""
 
@@ -164,11 +200,10 @@ def _chained(k: int, window: int, gap: float, least: int):
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if x[a:b].max() - x[a:b].min() + k < least:
                     continue
-                segments = diagonals(x[a:b], y[a:b], k, window + k)
+                segments = diagonals(x[a:b], y[a:b], k, 2 * window)
                 for chain in chains(segments, gap):
-                    x0, x1, y0, y1 = segments[chain[0], 0], segments[chain[-1], 1], segments[chain[0], 2], segments[chain[-1], 3]
-                    if x1 - x0 >= least:
-                        found.append((other[a], x0, x1, y0, y1))
+                    if segments[chain[-1], 1] - segments[chain[0], 0] >= least:
+                        found += [(other[a], *piece) for piece in pieces(segments[chain])]
             if found:
                 of, *places = np.array(found).T
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), group.column(0)[0].as_py())), pa.array(of), *(pa.array(v.astype(np.int32)) for v in places)], ["doc", "other", "x0", "x1", "y0", "y1"])
@@ -192,25 +227,6 @@ def _blocks(size: int):
     return run
 
 
-def extended(a: list, b: list, i: int, j: int, step: int, slack: int) -> tuple[int, int]:
-    """Places next to the last match when words from a[i], b[j] on (in direction step) are matched; one word that differs, is added
-    or is left out is passed if the three words after it agree, or those up to the end of a."""
-    most = slack
-    while most and 0 <= i < len(a) and 0 <= j < len(b):
-        if a[i] == b[j]:
-            i, j, most = i + step, j + step, most - 1
-            continue
-        for di, dj in ((1, 1), (1, 0), (0, 1)):
-            p, q = i + di * step, j + dj * step
-            ahead = [(a[u], b[v]) for u, v in zip(range(p, p + 3 * step, step), range(q, q + 3 * step, step), strict=True) if 0 <= u < len(a) and 0 <= v < len(b)]
-            if ahead and all(u == v for u, v in ahead) and (len(ahead) == 3 or not 0 <= p + len(ahead) * step < len(a)):
-                i, j, most = p, q, most - 1
-                break
-        else:
-            break
-    return i, j
-
-
 def common(a: list, b: list) -> int:
     """Length of the longest common subsequence, bit-parallel."""
     where: dict = {}
@@ -224,6 +240,60 @@ def common(a: list, b: list) -> int:
     return len(a) - v.bit_count()
 
 
+def aligned(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, bit-parallel, the rows kept to find the way back."""
+    where: dict = {}
+    for i, w in enumerate(a):
+        where[w] = where.get(w, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    rows = [full]
+    for w in b:
+        v = rows[-1]
+        u = v & where.get(w, 0)
+        rows.append(((v + u) | (v - u)) & full)
+    # a zero bit i in row j: word i of a adds one to what the words of a up to it share with the first j of b
+    out, i, j = [], len(a) - 1, len(b)
+    while i >= 0 and j:
+        if rows[j] >> i & 1:
+            i -= 1
+        elif rows[j - 1] >> i & 1:
+            j -= 1
+            out.append((i, j))
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
+def stretches(pairs: list[tuple[int, int]], similar: float) -> list[tuple[int, int, int, int, float]]:
+    """(p0, p1, q0, q1, similarity) of the stretches of an alignment that are dense in equal words and as similar as asked."""
+    runs, start, best, score, high = [], 0, 0, 1.0, 1.0
+    for n in range(1, len(pairs) + 1):
+        fall = MISS * (max(pairs[n][0] - pairs[n - 1][0], pairs[n][1] - pairs[n - 1][1]) - 1) if n < len(pairs) else np.inf
+        if score - fall < max(0.0, high - FALL):
+            runs.append((start, best))
+            start, best, score, high = n, n, 1.0, 1.0
+        else:
+            score += 1 - fall
+            if score >= high:
+                best, high = n, score
+    out = []
+    for lo, hi in runs if pairs else []:
+        x, y = np.array(pairs[lo : hi + 1]).T
+        n = hi + 1 - lo
+        alike = n / max(x[-1] - x[0] + 1, y[-1] - y[0] + 1)
+        i, j = 0, n - 1
+        if alike < similar:
+            # matches less similar * words, from each first to each last match; the longest part where it is not below 0
+            m = np.arange(n)
+            width = np.maximum(x[None, :] - x[:, None], y[None, :] - y[:, None]) + 1
+            length = np.where((m[None, :] - m[:, None] + 1 >= similar * width) & (m[None, :] >= m[:, None]), width, 0)
+            i, j = divmod(int(length.argmax()), n)
+            alike = (j - i + 1) / width[i, j]
+        out.append((int(x[i]), int(x[j]) + 1, int(y[i]), int(y[j]) + 1, float(alike)))
+    return out
+
+
 def repeats(text: str, found: list[tuple], least: int, similar: float, slack: int, block: int) -> list[tuple[int, int, int, float]]:
     """Passages (first word, word after the last, other document, similarity) of a text, from chains (other, x0, x1, y0, y1,
     blocks of the other text's words)."""
@@ -233,13 +303,16 @@ def repeats(text: str, found: list[tuple], least: int, similar: float, slack: in
         blocks = sorted(blocks)
         b = b" ".join(body for _, body in blocks).split()
         base = blocks[0][0] * block if blocks else 0
-        p0, q0 = extended(w, b, x0 - 1, y0 - base - 1, -1, slack)
-        p1, q1 = extended(w, b, x1, y1 - base, 1, slack)
-        one, two = w[p0 + 1 : p1], b[q0 + 1 : q1]
-        if one and two:
-            alike = common(one, two) / max(len(one), len(two))
-            if alike >= similar:
-                spans.append((p0 + 1, p1, other, alike))
+        if any(o == other and a <= x0 and x1 <= z for a, z, o, _ in spans):
+            continue
+        lo, low = max(x0 - slack, 0), max(y0 - base - slack - SHIFT, 0)
+        one, two = w[lo : x1 + slack], b[low : max(y1 - base, 0) + slack + SHIFT]
+        for p0, p1, q0, q1, alike in stretches(aligned(one, two), similar):
+            while p0 and q0 and one[p0 - 1] == two[q0 - 1]:
+                p0, q0 = p0 - 1, q0 - 1
+            while p1 < len(one) and q1 < len(two) and one[p1] == two[q1]:
+                p1, q1 = p1 + 1, q1 + 1
+            spans.append((lo + p0, lo + p1, other, alike))
     spans.sort(key=lambda s: (s[0], -s[1]))
     out: list[list] = []
     for a, z, other, alike in spans:
@@ -271,16 +344,12 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     """(of, chains): for each doc_id with chains, its chains with the words of the other texts."""
     small_batches(docs.sparkSession)
     text = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).filter("doc is not null and text is not null")
-    seeds = scratch.cut(text.mapInArrow(trimmed(_seeded(k, window)), "seed long, doc long, pos int, first boolean"))
-    shared = seeds.filter("first").groupBy("seed").agg(F.min("doc").alias("other"), F.min_by("pos", "doc").alias("y"), F.max("doc").alias("last")).filter("last > other")
-    shared = scratch.cut(shared.select(F.col("seed").alias("of_seed"), "other", "y"))
-    anchors = seeds.join(shared, F.col("seed") == F.col("of_seed")).filter("doc != other").select("doc", "other", F.col("pos").alias("x"), "y")
-    span = max(k, least - 2 * (window - 1) - slack // 4)
-    found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, span)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
-    scratch.drop(seeds)
+    seeds = text.mapInArrow(trimmed(_seeded(k, window)), "seed long, doc long, pos int")
+    anchors = seeds.repartition("seed").sortWithinPartitions("seed", "doc", "pos").mapInArrow(trimmed(_met), "doc long, other long, x int, y int")
+    found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
     sources = scratch.cut(found.select("other").distinct())
     pieces = text.join(sources, F.col("doc") == F.col("other"), "left_semi").select("doc", "text").mapInArrow(trimmed(_blocks(block)), "src long, block int, body binary")
-    needs = found.withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {2 * slack}, 0) div {block}").cast("int"), F.expr(f"(y1 + {2 * slack}) div {block}").cast("int"))))
+    needs = found.withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {slack + SHIFT}, 0) div {block}").cast("int"), F.expr(f"(y1 + {slack + SHIFT}) div {block}").cast("int"))))
     met = needs.join(scratch.cut(pieces), (F.col("other") == F.col("src")) & (F.col("need") == F.col("block")))
     of_chain = met.groupBy("doc", "other", "x0", "x1", "y0", "y1").agg(F.collect_list(F.struct("block", "body")).alias("blocks"))
     return scratch.cut(of_chain.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("other", "x0", "x1", "y0", "y1", "blocks")).alias("chains")))

@@ -350,6 +350,36 @@ def test_exact_repeats_are_covered(spark, docs, texts):
     assert runs and all(len(v - got.get(i, set())) <= 0.02 * len(v) for i, v in runs.items())
 
 
+@pytest.mark.parametrize("replaced", [0.05, 0.1, 0.15])
+def test_fuzzy_passages_are_found(spark, replaced):
+    """Passages with words replaced that stay as similar as asked, told by construction: at most a fifth of the words differ."""
+    rng = np.random.default_rng(int(replaced * 100))
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    rows, want = [], {}
+    for i in range(300):
+        n = (60, 80, 120)[i % 3]
+        passage = fresh(n)
+        changed = list(passage)
+        for at in rng.choice(np.arange(1, n - 1), round(replaced * n), replace=False):
+            changed[at] = fresh(1)[0]
+        rows += [(i, " ".join(fresh(70) + passage + fresh(70))), (1000 + i, " ".join(fresh(70) + changed + fresh(70)))]
+        want[1000 + i] = n
+    got = Counter()
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r["other_id"] == r["doc_id"] - 1000 and r["first_word"] >= 70 and r["end_word"] <= 70 + want[r["doc_id"]] and r["similarity"] >= 0.8
+        got[r["doc_id"]] += r["n_words"]
+    for n in (60, 80, 120):
+        ids = [i for i in want if want[i] == n]
+        assert sum(got[i] >= 0.8 * n for i in ids) >= 0.97 * len(ids), (n, sum(got[i] >= 0.8 * n for i in ids))
+
+
+@given(st.lists(st.integers(0, 5), max_size=25), st.lists(st.integers(0, 5), max_size=25))
+@settings(max_examples=200, deadline=None)
+def test_alignment_is_a_longest_one(a, b):
+    pairs = substring_dedup.aligned(a, b)
+    assert len(pairs) == substring_dedup.common(a, b) and all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in itertools.pairwise(pairs))
+
+
 @given(st.lists(st.integers(0, 5), max_size=25), st.lists(st.integers(0, 5), max_size=25))
 @settings(max_examples=200, deadline=None)
 def test_common_subsequence(a, b):
