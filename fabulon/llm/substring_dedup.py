@@ -4,8 +4,10 @@
    seeds that hold it and no other; and the minimizers of every window of `window`, so that two texts that share window + k - 1
    words in a row share a seed. What a text has of one seed beyond the first is a seed by its number as well, so that a line that
    is repeated many times meets the same line in another text at as many places.
-2. Every occurrence of a seed meets its first one (the smallest doc_id, and there the first place) - one row for each occurrence,
-   however common the passage. The occurrences are sorted and read as a stream, so that a seed of any frequency takes no memory.
+2. Every occurrence of a seed meets its first one (the smallest doc_id, and there the first place) and the one in the document
+   before its own among those with the seed - two rows at most for each occurrence, however common the passage. So a passage whose seeds stand
+   somewhere earlier as well still meets the last text that holds it. The occurrences are sorted and read as a stream, so that a
+   seed of any frequency takes no memory.
 3. For each document the anchors to one earlier document are merged along diagonals and chained: a chain rises in both texts, and
    gives up `gap` for each word that it skips in either. A Fenwick tree over the places in the other text finds the best chain that
    each anchor continues, in O(n log n).
@@ -89,20 +91,30 @@ def _seeded(k: int, window: int):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (seed, doc, pos) sorted by all three -> (doc, other, x, y): each occurrence with the first one of its seed in an earlier text."""
-    held = None  # seed, and doc and place of its first occurrence
+    """Rows (seed, doc, pos) sorted by all three -> (doc, other, x, y): each occurrence with the first ones of its seed in the
+    earliest text and in the last one before its own."""
+    held = None  # seed; doc and place of its first occurrence, of that in the last doc, and in the doc before that one
     for batch in batches:
         if not batch.num_rows:
             continue
-        s, d, p = (batch.column(i).to_numpy() for i in range(3))
-        new = np.concatenate([[held is None or held[0] != s[0]], s[1:] != s[:-1]])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
-        other, y = d[at], p[at]  # of rows before the first new seed put right below
-        if held is not None:
-            other, y = np.where(at < 0, held[1], other), np.where(at < 0, held[2], y)
-        held = (s[-1], other[-1], y[-1])
-        hit = d != other
-        yield pa.RecordBatch.from_arrays([pa.array(d[hit]), pa.array(other[hit]), pa.array(p[hit]), pa.array(y[hit].astype(np.int32))], ["doc", "other", "x", "y"])
+        s, d, p = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+        if held is not None:  # what is known of the seed so far, as rows before the batch
+            s, d, p = np.concatenate([np.full(3, held[0]), s]), np.concatenate([held[1], d]), np.concatenate([held[2], p])
+        new = np.concatenate([[True], s[1:] != s[:-1]])
+        text = new | np.concatenate([[True], d[1:] != d[:-1]])
+        number = np.arange(len(s))
+        first, own = (np.maximum.accumulate(np.where(m, number, 0)) for m in (new, text))
+        last = np.where(new[own], own, np.concatenate([[0], own[:-1]])[own])
+        own_only = number >= (3 if held is not None else 0)
+        z = len(s) - 1
+        out = []
+        for partner in (first, last):
+            hit = own_only & (d != d[partner]) & ((partner != first) | (partner is first))
+            out.append((d[hit], d[partner[hit]], p[hit], p[partner[hit]]))
+        back = [first[z], last[z], own[z]]
+        held = (s[z], d[back], p[back])
+        found = [np.concatenate(c) for c in zip(*out, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(found, (np.int64, np.int64, np.int32, np.int32), strict=True)], ["doc", "other", "x", "y"])
 
 
 def diagonals(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> np.ndarray:

@@ -373,6 +373,34 @@ def test_fuzzy_passages_are_found(spark, replaced):
         assert sum(got[i] >= 0.8 * n for i in ids) >= 0.97 * len(ids), (n, sum(got[i] >= 0.8 * n for i in ids))
 
 
+def test_passage_of_common_seeds_is_found(spark):
+    """All seeds of a passage stand in earlier texts, each in another one; the passage itself is in two later texts."""
+    rng = np.random.default_rng(6)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    passage = fresh(60)
+    rows = [(i, " ".join([*fresh(30), *passage[i : i + 5], *fresh(30)])) for i in range(56)]
+    rows += [(100, " ".join([*fresh(20), *passage, *fresh(20)])), (200, " ".join([*fresh(40), *passage, *fresh(5)]))]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["first_word"], r["end_word"], r["other_id"]) for r in got] == [(200, 40, 100, 100)]
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 3)), unique=True, max_size=40), st.integers(1, 7))
+@settings(max_examples=200, deadline=None)
+def test_partners_of_seeds(rows, size):
+    import pyarrow as pa
+
+    rows = sorted(rows)
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a : a + size]], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], ["seed", "doc", "pos"]) for a in range(0, len(rows), size)]
+    got = sorted(r for b in substring_dedup._met(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    want = []
+    for s, d, p in rows:
+        before = [r for r in rows if r[0] == s and r[1] < d]
+        if before:
+            last = next(r for r in before if r[1] == before[-1][1])
+            want += [(d, r[1], p, r[2]) for r in {before[0], last}]
+    assert got == sorted(want)
+
+
 @given(st.lists(st.integers(0, 5), max_size=25), st.lists(st.integers(0, 5), max_size=25))
 @settings(max_examples=200, deadline=None)
 def test_alignment_is_a_longest_one(a, b):
