@@ -1,14 +1,17 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Vectors are dealt into shards of bounded size by a hash of vec_id; each shard has its own index, so that recall does not depend
-on the number of vectors, and a shard is all that a task holds. A table of the index hashes a vector by `k` projections on
-normal (2-stable) directions, cut into cells of width `width` times the vectors' root mean square norm. A query visits in each table the
-buckets with the lowest sums of squared distances to the cells' walls, the estimated order of success: its own bucket, then sets of
+on the number of vectors, and a shard is all that a task holds. The rows of a shard are split by norm into bands (norms within RATIO of
+each other, but FEW rows at least), and each band is indexed: the largest inner product becomes the smallest distance when a row x gets one
+more component, sqrt(M^2 - |x|^2) with M the largest norm of the band, and a query gets 0 and the norm M. A table of the index hashes a
+vector by `k` projections on normal (2-stable) directions, cut into cells of width `width` times M. A query visits in each table the buckets with the lowest sums of squared distances to the cells' walls, the estimated order of success: its own bucket, then sets of
 perturbed cells in the order of their expected sums. What the tables find is merged and ranked exactly, by inner products in
 double precision on the vectors as given; the best of all shards are merged.
 
-The queries meet every shard in blocks of bounded size: rows between tasks are queries times shards, never candidates. A query that
-finds fewer than FEW candidates (or `top`, if more) in a shard is compared with all of that shard.
+A query goes from the band of the largest norms to the smallest, and leaves out a band only if no inner product there can reach the best
+`top` that it has (|q| M bounds them). If it finds fewer than FEW candidates (or `top`, if more) in a band it is compared with all of the band.
+
+The queries meet every shard in blocks of bounded size: rows between tasks are queries times shards, never candidates.
 
 Vectors that are null, empty, zero or hold null or non-finite components neither ask nor answer. Only vectors of one length are
 compared. Rows that repeat a vec_id count once (the least vector by array order). Ties go to the smaller vec_id. A null vec_id
@@ -34,8 +37,10 @@ from .vectors import matrix, usable
 from .words import groups
 
 SHARD, QUERY_BLOCK, TABLES, K, WIDTH, PROBES = 16384, 4096, 12, 10, 2.0, 500
-#: A query with fewer candidates in a shard is compared with the whole shard.
+#: A query with fewer candidates in a band is compared with the whole band.
 FEW = 1024
+#: Largest norm of a band to the smallest.
+RATIO = 1.1
 
 
 @lru_cache(maxsize=8)
@@ -62,12 +67,15 @@ def perturbations(k: int, probes: int) -> np.ndarray:
 
 
 class Index:
-    """Hash tables over the rows of one shard."""
+    """Hash tables over the rows of one band."""
 
     def __init__(self, data: np.ndarray, *, tables: int = TABLES, k: int = K, width: float = WIDTH, probes: int = PROBES, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.data, self.k, self.probes = data, k, probes
-        self.width = width * max(float(np.sqrt((data * data).sum(axis=1).mean())), 1e-300)
+        squares = (data * data).sum(axis=1)
+        self.most = max(float(np.sqrt(squares.max())), 1e-300)
+        self.width = width * self.most
+        data = np.concatenate([data, np.sqrt(np.maximum(self.most**2 - squares, 0))[:, None]], axis=1)
         self.mult = rng.integers(1, 1 << 62, size=k, dtype=np.int64) | 1
         self.tables = []
         for _ in range(tables):
@@ -84,6 +92,8 @@ class Index:
         marks = perturbations(self.k, self.probes).T.copy()
         walls_of = np.concatenate([-self.mult, self.mult])  # what a step over each wall adds to the key
         seen = np.zeros((len(queries), len(self.data)), dtype=bool)
+        norms = np.maximum(np.sqrt((queries * queries).sum(axis=1, keepdims=True)), 1e-300)
+        queries = np.concatenate([queries * (self.most / norms), np.zeros((len(queries), 1))], axis=1)
         for a, b, buckets, of in self.tables:
             at = queries @ a / self.width + b
             cell = np.floor(at)
@@ -98,21 +108,44 @@ class Index:
             seen |= visited[:, of]
         return [np.flatnonzero(x) for x in seen]
 
-    def search(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows (query, row, score) of the best `top` of each query among its candidates, itself left out."""
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for lo in range(0, len(queries), 64):
-            for i, rows in enumerate(self.candidates(queries[lo : lo + 64]), lo):
-                rows = rows[ids[rows] != query_ids[i]]
+
+def bands(norms: np.ndarray) -> list[np.ndarray]:
+    """Rows by falling norm, cut where the norm has fallen by RATIO, but not before FEW rows."""
+    order = np.argsort(-norms, kind="stable")
+    out, a = [], 0
+    while a < len(order):
+        z = int(np.searchsorted(-norms[order], -norms[order[a]] / RATIO, "right"))
+        z = max(z, a + FEW)
+        out.append(np.sort(order[a:z]))
+        a = z
+    return out
+
+
+def search(data: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, top: int, **index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (query, row, score) of the best `top` of each query among its candidates in the rows of a shard, itself left out."""
+    norms, lengths = (np.sqrt((x * x).sum(axis=1)) for x in (data, queries))
+    best = [(np.zeros(0, int), np.zeros(0)) for _ in queries]
+    for band in bands(norms):
+        own, most = data[band], norms[band].max()
+        table = Index(own, **index) if len(band) > max(top, FEW) else None
+        # a bound a little above |q| M, for rounding
+        open_ = np.array([i for i, (rows, score) in enumerate(best) if len(rows) < top or lengths[i] * most * (1 + 1e-9) >= score[-1]], dtype=int)
+        for lo in range(0, len(open_), 64):
+            part = open_[lo : lo + 64]
+            found = table.candidates(queries[part]) if table else [np.arange(len(band))] * len(part)
+            for i, rows in zip(part.tolist(), found, strict=True):
+                rows = rows[ids[band[rows]] != query_ids[i]]
                 if len(rows) < max(top, FEW):
-                    rows = np.flatnonzero(ids != query_ids[i])
-                score = self.data[rows] @ queries[i]
+                    rows = np.flatnonzero(ids[band] != query_ids[i])
+                score = own[rows] @ queries[i]
                 if len(rows) > top:
                     limit = np.partition(score, len(score) - top)[len(score) - top]
                     rows, score = rows[score >= limit], score[score >= limit]
-                best = np.lexsort((ids[rows], -score))[:top]
-                out.append((np.full(len(best), i), rows[best], score[best]))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+                rows, score = np.concatenate([best[i][0], band[rows]]), np.concatenate([best[i][1], score])
+                order = np.lexsort((ids[rows], -score))[:top]
+                best[i] = rows[order], score[order]
+    of = np.repeat(np.arange(len(best)), [len(rows) for rows, _ in best])
+    return of, np.concatenate([np.zeros(0, int), *(rows for rows, _ in best)]), np.concatenate([np.zeros(0), *(score for _, score in best)])
 
 
 def nearest(vectors: DataFrame, is_query: Column, *, top: int = 20, vector: str = "embedding", shard: int = SHARD, **index) -> DataFrame:
@@ -134,7 +167,7 @@ def nearest(vectors: DataFrame, is_query: Column, *, top: int = 20, vector: str
             own, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             if len(own) and len(q):
                 own = own[np.argsort(ids[own])]
-                of, row, score = Index(data[own], **index).search(ids[own], ids[q], data[q], top)
+                of, row, score = search(data[own], ids[own], ids[q], data[q], top, **index)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[q][of]), pa.array(ids[own][row]), pa.array(score)], ["query_id", "vec_id", "score"])
 
     keys = ["dim", "shard", "block"]

@@ -129,6 +129,27 @@ def test_ann_recall(spark):
     assert hits / (150 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("sigma", [0.0, 0.3, 0.5, 0.8])
+def test_ann_recall_on_varied_norms(sigma):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(16000, 64))
+    x *= np.exp(sigma * rng.normal(size=(len(x), 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+    ids, q = np.arange(len(x)), np.arange(0, len(x), 400)
+    of, row, score = ann.search(x, ids, ids[q], x[q], 20)
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    assert np.allclose(score, s[of, row]) and np.bincount(of).tolist() == [20] * len(q)
+    hits = sum(len(set(row[of == i].tolist()) & set(np.argsort(-s[i])[:20].tolist())) for i in range(len(q)))
+    assert hits >= 0.9 * 20 * len(q)
+
+
+def test_bands():
+    norms = np.exp(np.random.default_rng(12).normal(size=9000))
+    cut = ann.bands(norms)
+    assert sorted(np.concatenate(cut).tolist()) == list(range(9000)) and all(norms[a].min() >= norms[b].max() for a, b in itertools.pairwise(cut))
+    assert all(len(b) <= ann.FEW or norms[b].max() <= ann.RATIO * norms[b].min() for b in cut) and ann.bands(np.zeros(0)) == []
+
+
 def test_ann_awkward(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (20, [0.0, 1.0]), (40, []), (60, [float("inf"), 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(1))
