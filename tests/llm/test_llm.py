@@ -482,6 +482,28 @@ def test_head_size_does_not_matter(spark, docs):
     assert score(10) == score(1 << 18)
 
 
+def test_subwords_and_training_take_all_texts(spark, monkeypatch):
+    """A word that stands in none of the few texts of the start is a subword, and every training token teaches."""
+    rows = [(i, " ".join(["common"] * 5 if i % 50 else ["rarely", "seen"] * 40)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    counted, held = [], []
+    choose, train = lm.choose_subwords, lm.train_on_all
+    monkeypatch.setattr(lm, "choose_subwords", lambda *a: held.append(choose(*a)) or held[-1])
+    monkeypatch.setattr(lm, "train_on_all", lambda *a: counted.append((a[3], train(*a))) or counted[-1][1])
+    monkeypatch.setattr(lm, "SHARD", 50)
+    vocabulary = {b"common", b"rarely", b"seen", b"se", b"Common", b"absent"}
+    got = lm.score_texts(df, F.lit(True), vocabulary, steps=3, bound=1).collect()
+    assert len(got) == 400 and held[0].n == 2 + 3 + 4  # three whole words; common, rarely, seen and se begin words
+    text = b"common rarely seen sea other"
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    h, ids, _ = lm._tokens(data, offsets, held[0])
+    starts, ends, _ = words.bounds(data, offsets)
+    assert held[0].ids_of(h, np.append(lm.beginnings(data, starts, ends), 0)).tolist() == ids.tolist() and (ids == 0).sum() == 1
+    start, model = counted[0]
+    inputs, wanted, weight, _ = lm.windows(np.tile(lm._tokens(*(lambda x: (np.frombuffer(x, np.uint8), np.array([0, len(x)])))(b"rarely seen " * 40), held[0])[1], 1), np.array([81]), held[0].n)
+    assert (model.log10(inputs, wanted) * weight).sum() > (start.log10(inputs, wanted) * weight).sum()
+
+
 def test_attention_is_causal_and_its_gradient_right():
     m = lm.Attention(12, np.full(12, 1 / 12))
     rng = np.random.default_rng(0)
