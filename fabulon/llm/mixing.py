@@ -4,7 +4,8 @@ Documents are summed by membership pattern, the set of sources that they belong
 pattern offers its words once at no cost and again at rising costs (repetition is convex), to any source of the pattern, up to
 each source's quota. Then documents are selected by a seeded hash: whole copies for everybody, and for what is left of a
 pattern's flow the documents of the lowest hashes. Hashes fall into bins, whose sums find the bin in which the flow ends; only
-that bin (1/4096 of a pattern) is ordered, and a few more documents that still fit close the gap.
+that bin (1/4096 of a pattern) is ordered. What the flow still lacks is filled in the same way from the documents left that fit into the gap,
+the bins in order of the hash, in passes until no document left fits: a document longer than the gap is passed over, never the end.
 
 The driver holds a row for each pattern and source (bounded by MAX_PATTERNS), never documents. Reruns give the same choice.
 Null source: a source of its own, last in order. Null text has size 0 and is never taken. Repeated rows are rows of their own,
@@ -25,7 +26,7 @@ from pyspark.sql import Window
 
 from .scratch import Scratch
 
-BINS, MAX_PATTERNS, FILLS = 4096, 100_000, 4
+BINS, MAX_PATTERNS = 4096, 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -103,6 +104,35 @@ def min_cost_flow(patterns: list[tuple[int, tuple[int, ...]]], quotas: list[int]
     return out
 
 
+def filled(scratch: Scratch, free: DataFrame, chosen: DataFrame, of_key: dict[str, list]) -> DataFrame:
+    """chosen (k, id) with documents of free (k, id, __mix_h, __mix_bin, n) that fill the gaps of of_key until none left fits.
+
+    A pass looks at the documents not longer than the gap, takes whole bins of them while they fit, and orders the bin in which they
+    no longer do. The first document of a pass always fits, so that each pass takes some and the passes end.
+    """
+    spark = free.sparkSession
+    while True:
+        gaps = [(k, x[6]) for k, x in of_key.items() if x[5] >= 0 and x[6] > 0]
+        if not gaps:
+            return chosen
+        open_ = F.broadcast(spark.createDataFrame(gaps, "k4 string, gap long"))  # MAX_PATTERNS rows at most
+        fits = free.join(open_, F.col("k") == F.col("k4")).filter("n <= gap").drop("k4")
+        fits = scratch.cut(fits.join(chosen.select(F.col("k").alias("k5"), F.col("id").alias("id5")), (F.col("k") == F.col("k5")) & (F.col("id") == F.col("id5")), "left_anti").drop("k5", "id5"))
+        bins = fits.groupBy("k", "gap", "__mix_bin").agg(F.sum("n").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("k").orderBy("__mix_bin"))
+        bins = scratch.cut(bins.withColumn("upto", upto).select(F.col("k").alias("k6"), F.col("__mix_bin").alias("bin6"), "upto", F.col("n").alias("of_bin")))
+        met = fits.join(bins, (F.col("k") == F.col("k6")) & (F.col("__mix_bin") == F.col("bin6"))).drop("k6", "bin6")
+        run = F.col("upto") - F.col("of_bin") + F.sum("n").over(Window.partitionBy("k").orderBy("__mix_h", "id"))
+        edge = met.filter("upto > gap and upto - of_bin <= gap").withColumn("run", run).filter("run <= gap")
+        more = scratch.cut(met.filter("upto <= gap").select("k", "id", "n").unionAll(edge.select("k", "id", "n")))
+        sums = more.groupBy("k").agg(F.sum("n").alias("n")).collect()
+        if not sums:
+            return chosen
+        for r in sums:
+            of_key[r["k"]][6] -= r["n"]
+        chosen = scratch.cut(chosen.unionAll(more.select("k", "id")))
+
+
 def mix(docs: DataFrame, sources: Column, size: Column, *, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 17) -> DataFrame:
     """docs with size, source_size, target (of the first source, in order, of the row's pattern) and taken, in words.
 
@@ -151,23 +181,11 @@ def mix(docs: DataFrame, sources: Column, size: Column, *, weights: tuple[float,
     chosen = scratch.cut(edge.withColumn("run", run).filter("run <= gap and id is not null").select("k", "id", "__mix_size"))
     for r in chosen.groupBy("k").agg(F.sum("__mix_size").alias("n")).collect():
         of_key[r["k"]][6] -= r["n"]
-    picks: list[tuple[str, int]] = []
     taken_ids = chosen.select(F.col("k").alias("k2"), F.col("id").alias("id2")).distinct()
     free = slim.join(table().select("k", "cut"), F.col("__mix_of") == F.col("k")).filter("__mix_bin >= cut and cut >= 0 and id is not null and __mix_size > 0")
-    free = scratch.cut(free.join(taken_ids, (F.col("k") == F.col("k2")) & (F.col("id") == F.col("id2")), "left_anti").select("k", "id", "__mix_h", "__mix_size").groupBy("k", "id", "__mix_h").agg(F.sum("__mix_size").alias("__mix_size")))
-    for _ in range(FILLS):
-        fits = free.join(table().select(F.col("k").alias("k2"), "gap"), F.col("k") == F.col("k2")).filter("__mix_size <= gap")
-        if picks:
-            mine = F.broadcast(spark.createDataFrame(picks, "k3 string, id3 long"))  # FILLS rows a pattern at most
-            fits = fits.join(mine, (F.col("k") == F.col("k3")) & (F.col("id") == F.col("id3")), "left_anti")
-        rows = fits.groupBy("k").agg(F.max_by("id", F.col("__mix_size") * (1 << 20) + F.col("__mix_h") % (1 << 20)).alias("id"), F.max("__mix_size").alias("n")).collect()
-        for r in rows:
-            of_key[r["k"]][6] -= r["n"]
-            picks.append((r["k"], r["id"]))
-    if picks:
-        chosen = scratch.cut(chosen.select("k", "id").unionAll(spark.createDataFrame(picks, "k string, id long")).distinct())
-    else:
-        chosen = chosen.select("k", "id").distinct()
+    free = free.join(taken_ids, (F.col("k") == F.col("k2")) & (F.col("id") == F.col("id2")), "left_anti").select("k", "id", "__mix_h", "__mix_bin", "__mix_size")
+    free = scratch.cut(free.groupBy("k", "id", "__mix_h", "__mix_bin").agg(F.sum("__mix_size").alias("n")))
+    chosen = filled(scratch, free, chosen.select("k", "id").distinct(), of_key)
     chosen = chosen.select(F.col("k").alias("__mix_ck"), F.col("id").alias("__mix_cid"))
     plan_of = table().select(*(F.col(c).alias(f"__mix_{c}") for c in ("k", "whole", "part", "source_size", "target", "cut")))
     out = base.join(plan_of, F.col("__mix_of") == F.col("__mix_k"), "left").join(chosen, (F.col("__mix_of") == F.col("__mix_ck")) & (F.col("doc_id").cast("long") == F.col("__mix_cid")), "left")

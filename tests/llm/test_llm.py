@@ -330,6 +330,16 @@ def test_op6(spark, texts):
     assert all(r["size"] == len(word_list(texts[r["doc_id"]])) for r in queries.op6_mixing(spark, DIR).collect())
 
 
+def test_mixing_fills_past_a_long_document(spark):
+    """One text holds half of the words of a source; the flow is met to within the shortest document left, whatever the hash order."""
+    for seed in range(8):
+        rows = [(i, "a", 50 + i % 40) for i in range(400)] + [(1000, "a", 28_000)]
+        df = spark.createDataFrame(rows, "doc_id long, source string, n long")
+        got = mixing.mix(df, F.array("source"), F.col("n"), share=0.6, seed=seed).collect()
+        lack = got[0]["target"] - sum(r["taken"] for r in got)
+        assert 0 <= lack < min((r["size"] for r in got if not r["taken"]), default=1), seed
+
+
 def test_mixing_awkward(spark, awkward):
     got = mixing.mix(awkward, F.array("source"), mixing.words_of()).collect()
     assert len(got) == awkward.count() and all(r["taken"] <= 2 * r["size"] for r in got) and {r["taken"] for r in got if not r["size"]} == {0}
