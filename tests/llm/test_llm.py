@@ -649,6 +649,15 @@ def test_pipeline(spark, docs, texts, reference_bpe, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, DIR).collect())) == sorted(map(tuple, kept["byte_level_bpe"]))
 
 
+def test_texts_that_share_a_doc_id_are_kept_unless_near(spark):
+    other = " ".join(f"o{i}" for i in range(120))
+    rows = [(1, TEXT * 3, "en", "a", 1), (1, other, "en", "a", 2), (1, other + " more", "en", "a", 3), (1, other, "en", "b", 2), (2, " ".join(f"p{i}" for i in range(90)), "en", "a", 4), (2, other + " x", "en", "a", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for given_docs in (df, df.orderBy(F.desc("n_chars"))):
+        got = corpus_pipeline.near_dedup_stage(spark, given_docs, DIR).collect()
+        assert sorted((r["doc_id"], r["n_chars"], r["source"]) for r in got) == [(1, 1, "a"), (1, 2, "a"), (2, 4, "a")]
+
+
 def test_stages_on_awkward_rows(spark, awkward, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, awkward, DIR).count() >= 0, name
