@@ -91,7 +91,7 @@ WITH RECURSIVE v AS (
   WHERE list_cosine_similarity(a.e, b.e) >= 0.98
 ), reach AS (
   SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
-), low AS (SELECT a, min(b) AS b FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+), low AS (SELECT a, min(b) AS b FROM reach GROUP BY a), n AS (SELECT a, count(DISTINCT b) AS n FROM link GROUP BY a)
 SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id,
   vec_id = least(vec_id, coalesce(low.b, vec_id)) AS kept
 FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN n ON n.a = vec_id

@@ -9,8 +9,10 @@ A tile gives a count of links for each vector and the edges of a spanning forest
 label form a class first, of which one vector goes into the tiles. Components come from large-star and small-star steps.
 
 Vectors that are null, empty, zero or hold null or non-finite components, null labels and null vec_ids link with nothing. Vectors of
-different lengths are never linked. Rows that repeat a vec_id are rows of their own with the counts and component of all rows of
-that vec_id (a link between rows of one vec_id is not counted). Other columns are not read; empty tables give an empty result.
+different lengths are never linked. Rows that repeat a vec_id are rows of their own with the count and component of all rows of
+that vec_id: n_links is the number of other vec_ids of which some vector is linked with one of its own. A vec_id with several
+different vectors must be counted once wherever it is met, so only for the classes of such vec_ids a tile gives the pairs of
+classes as well (none where vec_ids are unique). Other columns are not read; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -71,15 +73,16 @@ def linked(x: np.ndarray, y: np.ndarray | None, limit: float, step: int = 256) -
 
 
 def _tile(limit: float, keys: int):
-    """Rows (keys.., side, id, weight, v) sorted by the keys -> (id, links, root): links of the class representatives, counted
-    with the weights of the others, and the smallest id that the tile connects to."""
+    """Rows (keys.., side, id, weight, several, class, v) sorted by the keys -> (class, links, root, id, other): links of the classes,
+    counted with the weights of the others, and the smallest id that the tile connects to; or, with `other`, a pair of classes of which one
+    is marked `several`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, keys):
-            side, ids, weight = (group.column(keys + c).to_numpy() for c in range(3))
-            data = matrix(group.column(keys + 3))
-            order = np.lexsort((ids, side))
-            side, ids, weight, data = side[order], ids[order], weight[order], data[order]
+            side, ids, weight, several, number = (group.column(keys + c).to_numpy() for c in range(5))
+            data = matrix(group.column(keys + 5))
+            order = np.lexsort((number, ids, side))
+            side, ids, weight, several, number, data = side[order], ids[order], weight[order], several[order], number[order], data[order]
             n = int((side == 0).sum())
             if n == len(ids):
                 i, j = linked(data, None, limit)
@@ -95,8 +98,16 @@ def _tile(limit: float, keys: int):
             place = np.empty_like(rank)
             place[rank] = np.arange(len(rank))
             root = ids[rank][local(len(ids), place[i], place[j])[place]]
-            some = links > 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], ["id", "links", "root"])
+            met = np.zeros(len(ids), dtype=bool)
+            met[i] = met[j] = True
+            of = [pa.array(number[met]), pa.array(links[met].astype(np.int64)), pa.array(root[met]), pa.array(ids[met]), pa.nulls(int(met.sum()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(of, ["class", "links", "root", "id", "other"])
+            pair = (several[i] | several[j]) > 0
+            if pair.any():
+                i, j = i[pair], j[pair]
+                x, y = np.concatenate([i, j]), np.concatenate([j, i])
+                none = np.zeros(len(x), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(number[x]), pa.array(none), pa.array(ids[x]), pa.array(ids[x]), pa.array(number[y])], ["class", "links", "root", "id", "other"])
 
     return run
 
@@ -106,22 +117,33 @@ def near_duplicate_vectors(vectors: DataFrame, *, limit: float = 0.98, vector: s
     scratch = Scratch(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.withColumn("ok", F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable("v"))
-    rows = scratch.cut(rows.select("vec_id", "label", F.when(F.col("ok"), F.col("v")).alias("v"), "ok", F.when(F.col("ok"), F.xxhash64("label", "v")).alias("h")))
-    classes = rows.filter("ok").groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("weight"))
-    classes = scratch.cut(classes.withColumn("dim", F.size("v")))
+    rows = scratch.cut(rows.select("vec_id", "label", F.when(F.col("ok"), F.col("v")).alias("v"), "ok"))
+    # a class is told by two hashes of label and vector
+    named = lambda: [F.xxhash64("label", "v").alias("h1"), F.xxhash64(F.lit(7), "v", "label").alias("h2")]
+    of_class = scratch.cut(rows.filter("ok").select("vec_id", "label", "v", *named()).groupBy("h1", "h2", "vec_id").agg(F.first("label").alias("label"), F.first("v").alias("v")))
+    spread = of_class.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n_classes")).filter("n_classes > 1").select(F.col("vec_id").alias("many"))
+    marked = of_class.join(scratch.cut(spread), F.col("vec_id") == F.col("many"), "left").withColumn("several", F.col("many").isNotNull())
+    # weight: the vec_ids that stand in this class alone
+    classes = marked.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.when(~F.col("several"), 1)).alias("weight"), F.max(F.col("several").cast("int")).alias("several"), F.first("label").alias("label"), F.first("v").alias("v"))
+    classes = scratch.cut(classes.withColumns({"dim": F.size("v"), "class": F.monotonically_increasing_id()}))
     sizes = scratch.cut(classes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).select(F.col("label").alias("of"), F.col("dim").alias("of_dim"), "blocks"))
     dealt = classes.join(sizes, (F.col("label") == F.col("of")) & (F.col("dim") == F.col("of_dim"))).withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks").cast("long")).cast("int"))
     meets = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = meets.select(F.xxhash64("label", "dim").alias("t"), "dim", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "weight", "v")
+    tiles = meets.select(F.xxhash64("label", "dim").alias("t"), "dim", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).cast("int").alias("side"), "id", "weight", "several", "class", "v")
     keys = ["t", "dim", "lo", "hi"]
-    found = scratch.cut(tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimmed(_tile(limit, 4)), "id long, links long, root long"))
+    found = scratch.cut(tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimmed(_tile(limit, 4)), "class long, links long, root long, id long, other long"))
+    members = scratch.cut(marked.select("vec_id", "several", F.col("h1").alias("g1"), F.col("h2").alias("g2")).join(classes.select("h1", "h2", "class", "id", "weight"), (F.col("g1") == F.col("h1")) & (F.col("g2") == F.col("h2"))).select("vec_id", "several", "class", "id", "weight"))
     # a vec_id of several classes: they are one node
-    own = classes.select(F.col("label").alias("l2"), F.col("v").alias("v2"), "id", "weight")
-    members = rows.filter("ok").join(own, (F.col("label") == F.col("l2")) & (F.col("v") == F.col("v2"))).select("vec_id", "id", "weight").distinct()
-    members = scratch.cut(members)
-    group = components(scratch, found.select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(members.filter("id != vec_id").select(F.col("id").alias("a"), F.col("vec_id").alias("b"))))
-    links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    counted = members.join(scratch.cut(links), F.col("id") == F.col("rep"), "left").groupBy(F.col("vec_id").alias("v_id")).agg(F.sum(F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"))
+    group = components(scratch, found.filter("other is null").select(F.col("id").alias("a"), F.col("root").alias("b")).unionAll(members.filter("id != vec_id").select(F.col("id").alias("a"), F.col("vec_id").alias("b"))))
+    links = scratch.cut(found.filter("other is null").groupBy(F.col("class").alias("c2")).agg(F.sum("links").alias("links")))
+    single = members.filter("not several").join(links, F.col("class") == F.col("c2"), "left").select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"))
+    # what the pairs of classes add: for a vec_id of one class the other vec_ids of several, and for one of several all that its classes meet
+    pairs = scratch.cut(found.filter("other is not null").select(F.col("class").alias("c1"), "other").unionAll(members.filter("several").select(F.col("class").alias("c1"), F.col("class").alias("other"))).distinct())
+    mine = members.select(F.col("vec_id").alias("u"), F.col("several").alias("u_several"), F.col("class").alias("uc")).join(pairs, F.col("uc") == F.col("c1")).select("u", "u_several", "other").distinct()
+    mine = scratch.cut(mine)
+    by_many = mine.join(members.filter("several").select("vec_id", "class"), F.col("other") == F.col("class")).filter("u != vec_id").select("u", "vec_id").distinct().groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    by_class = mine.filter("u_several").join(classes.select("class", "weight"), F.col("other") == F.col("class")).groupBy("u").agg(F.sum("weight").alias("n"))
+    counted = single.select("vec_id", "n").unionAll(by_many).unionAll(by_class).groupBy(F.col("vec_id").alias("v_id")).agg(F.sum("n").alias("n"))
     counted = scratch.cut(counted.join(group, F.col("v_id") == F.col("node"), "left").select("v_id", "n", "component"))
     out = rows.select("vec_id").join(counted, F.col("vec_id") == F.col("v_id"), "left")
     component = F.coalesce("component", "vec_id")

@@ -143,11 +143,36 @@ def test_ann_recall_on_varied_norms(sigma):
     assert hits >= 0.9 * 20 * len(q)
 
 
+@pytest.mark.parametrize(("table", "rows", "most"), [("sf0.01", 500, 0.95), ("sf0.1", 2000, 0.65), (None, 50_000, 0.35)])
+def test_ann_visits_a_share_of_the_rows(monkeypatch, table, rows, most):
+    """Recall and the share of the rows that a query visits: on the tables (random directions, where neighbours are hardly nearer than others), and in clusters."""
+    if table:
+        import pyarrow.parquet as pq
+
+        x = np.array(pq.read_table(f"/root/testdata/{table}/embeddings.parquet").column("embedding").to_pylist())
+    else:
+        rng = np.random.default_rng(3)
+        x = rng.normal(size=(400, 64))[rng.integers(0, 400, rows)] + 0.35 * rng.normal(size=(rows, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    seen, found = [], ann.Index.candidates
+    monkeypatch.setattr(ann.Index, "candidates", lambda self, *a: [seen.append(len(r) / len(self.data)) or r for r in found(self, *a)])
+    assert len(x) == rows
+    ids, q = np.arange(len(x)), np.arange(0, len(x), max(20, len(x) // 60))
+    best = [[] for _ in q]
+    for k in range(0, len(x), ann.SHARD):
+        for i, row, score in zip(*ann.search(x[k : k + ann.SHARD], ids[k : k + ann.SHARD], ids[q], x[q], 20), strict=True):
+            best[i].append((-score, k + row))
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    hits = sum(len({j for _, j in sorted(b)[:20]} & set(np.argsort(-s[i])[:20].tolist())) for i, b in enumerate(best))
+    assert hits >= 0.9 * 20 * len(q) and np.mean(seen) <= most
+
+
 def test_bands():
     norms = np.exp(np.random.default_rng(12).normal(size=9000))
     cut = ann.bands(norms)
     assert sorted(np.concatenate(cut).tolist()) == list(range(9000)) and all(norms[a].min() >= norms[b].max() for a, b in itertools.pairwise(cut))
-    assert all(len(b) <= ann.FEW or norms[b].max() <= ann.RATIO * norms[b].min() for b in cut) and ann.bands(np.zeros(0)) == []
+    assert all(len(b) <= ann.BAND or norms[b].max() <= ann.RATIO * norms[b].min() for b in cut) and ann.bands(np.zeros(0)) == []
 
 
 def test_ann_awkward(spark):
@@ -184,6 +209,18 @@ def test_vector_dedup(spark):
     assert all(r["n_links"] == n[i] and r["component_id"] == want[i] and r["kept"] == (want[i] == i) for i, r in got.items())
 
 
+@pytest.mark.parametrize("block", [3, 2048])
+def test_repeated_vec_ids_count_once(spark, block):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(6, 8))
+    rows = [(int(rng.integers(0, 25)), (base[rng.integers(0, 6)] + 0.12 * rng.integers(0, 3, 8)).tolist(), int(rng.integers(0, 2))) for _ in range(90)]
+    got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in vector_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), block=block).collect()}
+    cosine = lambda x, y: np.dot(x, y) / np.sqrt(np.dot(x, x) * np.dot(y, y))
+    links = {(a, b) for (a, x, p), (b, y, q) in itertools.product(rows, rows) if a != b and p == q and cosine(x, y) >= 0.98}
+    want = groups({r[0] for r in rows}, links)
+    assert len(links) > 60 and got == {(i, sum(a == i for a, _ in links), want[i]) for i in want}
+
+
 def test_quantisation_bound():
     rng = np.random.default_rng(3)
     x, y = rng.normal(size=(60, 24)), rng.normal(size=(60, 24))
@@ -197,6 +234,8 @@ def test_vector_dedup_awkward(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = sorted(map(tuple, vector_dedup.near_duplicate_vectors(df).collect()), key=str)
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (None, 0, None, True), (6, 0, 6, True), (7, 0, 7, True), (8, 2, 1, False)], key=str)
+    near = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [1.0, 0.01], 1), (2, [1.0, 0.005], 1)], "vec_id long, embedding array<double>, label int")
+    assert sorted(map(tuple, vector_dedup.near_duplicate_vectors(near).collect())) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False)]
     assert vector_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
