@@ -353,6 +353,23 @@ def test_flow_is_greatest(patterns, quotas):
     # by the cut theorem the flow is the least, over sets of sources, of their room from patterns and the quotas of the others
     cut = min(sum(2 * n for n, s in patterns if s & side) + sum(q for i, q in enumerate(quotas) if i not in side) for k in range(4) for side in map(set, itertools.combinations(range(3), k)))
     assert sum(per) == cut
+    # second copies are the least: what the greatest flow has beyond the greatest of first copies alone
+    once = min(sum(n for n, s in patterns if s & side) + sum(q for i, q in enumerate(quotas) if i not in side) for k in range(4) for side in map(set, itertools.combinations(range(3), k)))
+    assert sum(max(0, sum(f.values()) - n) for f, (n, _) in zip(flow, patterns, strict=True)) == cut - once
+
+
+def test_flow_of_many_patterns_is_fast():
+    import time
+
+    rng = np.random.default_rng(4)
+    took = []
+    for n in (4000, 16000):
+        patterns = [(int(rng.integers(1, 1000)), tuple(sorted(rng.choice(40, rng.integers(1, 5), replace=False).tolist()))) for _ in range(n)]
+        began = time.time()
+        flow = mixing.min_cost_flow(patterns, [sum(x for x, _ in patterns) // 27] * 40, (0, 1))
+        took.append(time.time() - began)
+        assert sum(sum(f.values()) for f in flow) > 1.4 * sum(x for x, _ in patterns)
+    assert took[1] < 10 * took[0] + 1
 
 
 def test_op6(spark, texts):
@@ -383,6 +400,8 @@ def test_mixing_awkward(spark, awkward):
     got = mixing.mix(awkward, F.array("source"), mixing.words_of()).collect()
     assert len(got) == awkward.count() and all(r["taken"] <= 2 * r["size"] for r in got) and {r["taken"] for r in got if not r["size"]} == {0}
     both = mixing.mix(awkward.select("doc_id", "text"), F.array(F.lit("a"), F.when(F.col("doc_id") > 6, "b").otherwise("c")), mixing.words_of()).collect()
+    named = mixing.mix(awkward.withColumns({"__mix_k": F.lit(1), "__mix_of": F.lit(2)}), F.array("source"), mixing.words_of())
+    assert [(c, r[c]) for r in named.collect() for c in ("taken", "__mix_k")] == [x for r in got for x in (("taken", r["taken"]), ("__mix_k", 1))]
     assert len(both) == len(got) and mixing.mix(awkward.limit(0), F.array("source"), mixing.words_of()).count() == 0
 
 
