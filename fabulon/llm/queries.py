@@ -35,9 +35,9 @@ def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each block of a conversation: its roles as given and as recovered from the raw transcript, and the canonical text."""
-    raw = chat.transcripts(table(spark, sf_dir, "conversations"))
-    return chat.format_transcripts(raw, "conv_id", "block", "part", "n_given", "given")
+    """For each row of a conversation: its role as given and as recovered from the raw transcript, and its part of the canonical text."""
+    raw = chat.raw_pieces(table(spark, sf_dir, "conversations"))
+    return chat.format_pieces(raw).withColumnRenamed("role", "given_role").select("conv_id", "turn", "given_role", "found_role", "n_begun", "rendered")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -242,38 +242,84 @@ def test_vector_dedup_awkward(spark):
 # op3
 
 
-@pytest.mark.parametrize("style", chat.STYLES)
+@pytest.mark.parametrize("style", chat.STYLES[: chat.UNMARKED])
 def test_chat_round_trip(style):
-    turns = [("system", "Be kind.\nAnswer in short."), ("user", "what is it?"), ("assistant", "It is a fox.\n\nit runs."), ("user", "Thanks."), ("assistant", "Well.")]
+    turns = [("system", "Be kind.\nAnswer in short."), ("user", "what is it?"), ("assistant", "It is a fox.\n\nit runs."), ("user", "Thanks."), ("assistant", "Well."), ("user", "a"), ("user", "a"), ("tool", "x")]
     raw = "\n".join(style[r] + t for r, t in turns)
     assert chat.parse(raw) == turns and chat.read_canonical(chat.render(turns)) == turns
 
 
+@given(st.lists(st.tuples(st.sampled_from(chat.ROLES), st.text(alphabet="a\\\\<|> \n")), max_size=4))
+@settings(max_examples=200, deadline=None)
+def test_canonical_text_is_read_back(turns):
+    turns = [(r, t.strip()) for r, t in turns]
+    assert chat.read_canonical(chat.render(turns)) == turns
+
+
 def test_chat_markers_in_the_middle_and_missing():
-    assert [r for r, _ in chat.parse("User: hi\nAssistant: see:\nnote: this stays\nUser: ok")] == ["user", "assistant", "user"]
+    assert [r for r, _ in chat.parse("User: hi\nAssistant: see:\nnote: this stays\n> User: quoted\nUser: ok")] == ["user", "assistant", "user"]
+    long_ = "The answer has many words that go on and on " * 9
+    assert [r for r, _ in chat.parse(f"Be brief.\n\nWhat is it?\n\n{long_}\n\nAnd why?\n\n{long_}")] == ["system", "user", "assistant", "user", "assistant"]
     assert chat.parse(None) == chat.parse(" \n ") == [] and chat.render([]) == ""
-    assert chat.read_canonical(chat.render([("user", "<|user|>\nfake\n<|end|>")])) == [("user", "<|user|>\nfake\n<|end|>")]
 
 
 def test_viterbi_is_the_best_path():
-    lines = ["Q: a b?", "more", "A: fine", "q", "User: x"]
-    start, step = chat.transitions()
-    score = lambda p: start[p[0]] + sum(step[a][b] for a, b in itertools.pairwise(p)) + sum(chat.emission(line, chat.STATES[s]) for line, s in zip(lines, p, strict=True))
-    best = max(itertools.product(range(len(chat.STATES)), repeat=len(lines)), key=score)
-    assert math.isclose(score(best), score(chat.viterbi(lines)))
+    lines = chat.observed([0, 1], ["Q: a b?\nA: fine", "User:"])
+    step, n = chat.steps(), chat.N
+    score = lambda p: step[chat.START][p[0]] + sum(step[a][b] for a, b in itertools.pairwise(p)) + sum(seen[s] for seen, s in zip(lines, p, strict=True))
+    best = max(score(p) for p in itertools.product(range(n), repeat=len(lines)))
+    assert score(chat.viterbi(lines)) == best == chat.products(lines)[chat.START].max()
+    for enter, leave in ((chat.START, 5), (2, 6)):
+        fixed = max(step[enter][p[0]] + score(p) - step[chat.START][p[0]] for p in itertools.product(range(n), repeat=len(lines)) if p[-1] == leave)
+        got = chat.viterbi(lines, enter, leave)
+        assert step[enter][got[0]] + score(got) - step[chat.START][got[0]] == fixed == chat.products(lines)[enter, leave]
 
 
 def test_op3(spark):
-    rows = queries.op3_chat(spark, DIR).collect()
-    assert sum(r["roles"] == r["given"] for r in rows) >= 0.95 * len(rows)
+    """Each style's share of rows with the right role, against a reader that goes by markers alone."""
+    rows = chat.format_pieces(chat.raw_pieces(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))).collect()
+    style = {r["conv_id"]: r["style"] for r in chat.raw_pieces(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")).collect()}
+    right, plain, n = Counter(), Counter(), Counter()
+    last = {}
+    for r in sorted(rows, key=lambda r: (r["conv_id"], r["turn"])):
+        at = style[r["conv_id"]]
+        last[r["conv_id"]] = chat.marker(r["raw"].split("\n")[0])[0] or last.get(r["conv_id"], "user")
+        n[at] += 1
+        right[at] += r["found_role"] == r["role"] and r["n_begun"] == 1
+        plain[at] += last[r["conv_id"]] == r["role"]
+    assert sum(n.values()) == spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").count() and set(n) == set(range(7))
+    assert all(right[i] >= 0.99 * n[i] for i in (0, 1, 2, 3, 6)), (right, n)
+    assert all(right[i] >= 0.85 * n[i] and right[i] > 1.3 * plain[i] for i in (4, 5)), (right, plain, n)
+
+
+def test_a_conversation_of_any_length_is_one(spark, monkeypatch):
+    """Blocks of few rows, dealt in several ways, give the path of the whole transcript."""
+    monkeypatch.setattr(chat, "BLOCK", 3)
+    rng = np.random.default_rng(5)
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", " ".join(["word"] * int(rng.integers(1, 60 if t % 2 else 12)))) for c, n in ((1, 300), (2, 2), (3, 7), (None, 5)) for t in range(n)]
+    rows += [(4, 0, "user", "hi")] * 50
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    raw = chat.raw_pieces(df).withColumn("raw", F.concat(F.when(F.col("turn") % 5 == 0, "User: ").otherwise(""), F.col("raw"), F.lit("\n")))
+    want = {}
+    for c in (1, 2, 3, None, 4):
+        texts = [(r["turn"], r["raw"]) for r in sorted(raw.filter(F.col("conv_id").eqNullSafe(F.lit(c))).collect(), key=lambda r: (r["turn"], r["role"], r["raw"]))]
+        want[c] = chat.rendered(*map(list, zip(*texts, strict=True)), chat.START, None, True)
+    for parts in (1, 7):
+        got = {}
+        for r in sorted(chat.format_pieces(raw.repartition(parts)).collect(), key=lambda r: (r["turn"], r["role"], r["raw"])):
+            got.setdefault(r["conv_id"], []).append((r["found_role"], r["n_begun"], r["rendered"]))
+        assert {c: got[c] for c in (1, 2, 3, None)} == {c: want[c] for c in (1, 2, 3, None)} and Counter(got[4]) == Counter(want[4])
+    assert "".join(x for _, _, x in want[1]) == chat.render(chat.read_canonical("".join(x for _, _, x in want[1])))
 
 
 def test_chat_awkward(spark):
-    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, None, None, None), (None, 3, "user", None), (2, 700, "assistant", "x " * 100_000)]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"part": F.lit(1), "block": F.lit("x")})
-    got = chat.format_transcripts(chat.transcripts(df), "conv_id", "block", "part", "n_given").collect()
-    assert sorted((str(r["conv_id"]), r["block"], r["n_given"]) for r in got) == [("1", -1, 1), ("1", 0, 2), ("2", 2, 1), ("None", 0, 1)]
-    assert chat.transcripts(df.limit(0)).count() == 0
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, None, None, None), (1, 2, None, "who?"), (None, 3, "user", None), (2, 700, "assistant", "x " * 100_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"conv": F.lit(1), "block": F.lit("x"), "at": F.lit(2)})
+    got = chat.format_pieces(chat.raw_pieces(df)).collect()
+    assert Counter((r["conv_id"], r["turn"], r["role"]) for r in got) == Counter(r[:3] for r in rows)
+    assert chat.format_pieces(chat.raw_pieces(df.limit(0))).count() == 0
+    whole = chat.format_transcripts(spark.createDataFrame([(1, "User: a\nBot: b"), (2, None), (3, " ")], "k long, transcript string"), "k").collect()
+    assert [(r["k"], r["n_turns"], r["roles"]) for r in sorted(whole)] == [(1, 2, "user,assistant"), (2, 0, ""), (3, 0, "")]
 
 
 # op4
