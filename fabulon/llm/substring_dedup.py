@@ -6,19 +6,24 @@
    is repeated many times meets the same line in another text at as many places.
 2. Every occurrence of a seed meets its first one (the smallest doc_id, and there the first place) and the one in the document
    before its own among those with the seed - two rows at most for each occurrence, however common the passage. So a passage whose seeds stand
-   somewhere earlier as well still meets the last text that holds it. The occurrences are sorted and read as a stream, so that a
-   seed of any frequency takes no memory.
+   somewhere earlier as well mostly meets the last text that holds it. The occurrences are sorted and read as a stream, so that a
+   seed of any frequency takes no memory; seeds that a sample shows to be frequent are dealt by ranges of documents as well, each of which begins with
+   the seed's first occurrence and the last one before the range.
+   Where all short seeds of a passage stand in other earlier texts, its seeds of `least` + 1 words decide: every such window whose middle
+   (minimizers of `least` + 2 - window words, of which a window holds one) stands in two documents is a seed, so that each word for
+   word repeat of more than `least` words meets the first text that holds it, whatever else does.
 3. For each document the anchors to one earlier document are merged along diagonals and chained: a chain rises in both texts, and
    gives up `gap` for each word that it skips in either. A Fenwick tree over the places in the other text finds the best chain that
    each anchor continues, in O(n log n).
 4. The words of the other text around a chain (of PIECE words at most) are fetched (in blocks of words, each sent once for each chain that needs it).
    The chain and `slack` words on either side are aligned by a longest common subsequence, and the stretches of it that are dense
-   in equal words count when `similar` of the longer side agrees, or else their longest part of which that holds. Counting passages of
-   one document that touch are united, and passages of more than `least` words are repeats.
+   in equal words count when `similar` of the longer side agrees, or else their longest part of which that holds. Passages of
+   one other document that touch are united, and those of more than `least` words are repeats.
 
 A text keeps the passages that first occur in it; later documents lose theirs. Within one document nothing is a repeat of
-itself. Order is by doc_id. Rows that repeat a doc_id with different texts are one document, whose texts stand in the order of
-the texts; null doc_ids take no part. Null and empty texts have no passage. Other columns pass through. Empty tables give empty results.
+itself. Order is by doc_id. Of different texts that share a doc_id the least stands under it, and the others are documents of their own, which
+come after all doc_ids; equal rows have one fate. Null doc_ids take no part. Null and empty texts have no passage. Other columns pass through.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words
@@ -39,6 +44,10 @@ K, WINDOW, DENSE, GAP, SLACK, SIMILAR, LEAST, BLOCK = 4, 16, 3, 0.04, 32, 0.8, 5
 SPAN, PIECE, SHIFT = 10, 1024, 8
 #: What a word without its equal takes from a stretch, to which an equal word adds 1, and the fall from its height at which a stretch ends.
 MISS, FALL = 1.0, 12.0
+#: Part of the documents that shows which seeds are frequent, share of its rows that makes a seed so, and ranges of documents of such a seed.
+SAMPLE, FREQUENT, RANGES = 64, 10_000, 64
+#: Kinds of seeds: short ones, middles of long ones, and windows of more than `least` words.
+SHORT, MIDDLE, LONG = 0, 1, 2
 U = np.uint64
 TOP = U(0xFFFFFFFFFFFFFFFF)
 
@@ -63,58 +72,114 @@ def minimizers(s: np.ndarray, rows: np.ndarray, n: int, window: int) -> np.ndarr
     return high[at] == s
 
 
-def _seeded(k: int, window: int):
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Chunks of rows (doc, text, ..): batch, first row and row after the last, word hashes, row of each word, words of each row."""
+    for batch in batches:
+        data, offsets = words.utf8(batch.column(1))
+        for lo, hi in words.chunks(offsets):
+            part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            starts, ends, rows = words.bounds(part, at)
+            yield batch, lo, hi, words.hashes(part, starts, ends), rows, np.bincount(rows, minlength=hi - lo)
+
+
+def _of_k(h: np.ndarray, rows: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of k words of the rows that have as many."""
+    counts = np.where(counts >= k, counts, 0)
+    whole = counts[rows] > 0
+    return words.shingles(h[whole], rows[whole], counts, k)
+
+
+def _seeded(k: int, window: int, least: int):
+    """(doc, text) -> (seed, doc, pos, kind): short seeds and middles of long ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            data, offsets = words.utf8(batch.column(1))
-            for lo, hi in words.chunks(offsets):
-                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                starts, ends, rows = words.bounds(part, at)
-                counts = np.bincount(rows, minlength=hi - lo)
-                counts_k = np.where(counts >= k, counts, 0)
-                whole = counts_k[rows] > 0
-                s, r, p = words.shingles(words.hashes(part, starts, ends)[whole], rows[whole], counts_k, k)
-                keep = minimizers(s, r, hi - lo, window) | (s < TOP // U(DENSE))
-                s, r, p = s[keep], r[keep], p[keep]
-                order = np.lexsort((p, s, r))
-                s, r, p = s[order], r[order], p[order]
-                first = np.concatenate([[True], (s[1:] != s[:-1]) | (r[1:] != r[:-1])]) if len(s) else np.zeros(0, bool)
-                again = np.flatnonzero(~first)
-                number = again - np.flatnonzero(first)[np.cumsum(first)[again] - 1]
-                with np.errstate(over="ignore"):
-                    counted = words.mix(s[again] + number.astype(np.uint64) * U(0x9E3779B97F4A7C15))
-                s, r, p = np.concatenate([s, counted]), np.concatenate([r, r[again]]), np.concatenate([p, p[again]])
-                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(ids[lo:hi][r]), pa.array(p.astype(np.int32))], ["seed", "doc", "pos"])
+        for batch, lo, hi, h, rows, counts in _texts(batches):
+            s, r, p = _of_k(h, rows, counts, k)
+            keep = minimizers(s, r, hi - lo, window) | (s < TOP // U(DENSE))
+            s, r, p = s[keep], r[keep], p[keep]
+            order = np.lexsort((p, s, r))
+            s, r, p = s[order], r[order], p[order]
+            first = np.concatenate([[True], (s[1:] != s[:-1]) | (r[1:] != r[:-1])]) if len(s) else np.zeros(0, bool)
+            again = np.flatnonzero(~first)
+            number = again - np.flatnonzero(first)[np.cumsum(first)[again] - 1]
+            with np.errstate(over="ignore"):
+                counted = words.mix(s[again] + number.astype(np.uint64) * U(0x9E3779B97F4A7C15))
+            s2, r2, p2 = _of_k(h, rows, counts, max(least + 2 - window, 1))
+            keep = minimizers(s2, r2, hi - lo, min(window, least + 1)) & (counts[r2] > least)
+            s2, r2, p2 = s2[keep], r2[keep], p2[keep]
+            kind = np.repeat([SHORT, MIDDLE], [len(s) + len(again), len(s2)]).astype(np.int8)
+            s, r, p = np.concatenate([s, counted, s2]), np.concatenate([r, r[again], r2]), np.concatenate([p, p[again], p2])
+            ids = batch.column(0).to_numpy()[lo:hi]
+            yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(ids[r]), pa.array(p.astype(np.int32)), pa.array(kind)], ["seed", "doc", "pos", "kind"])
+
+    return run
+
+
+def _windows(window: int, least: int):
+    """(doc, text, places of shared middles) -> (seed, doc, pos, kind): all windows of least + 1 words that hold one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, lo, hi, h, rows, counts in _texts(batches):
+            s, r, p = _of_k(h, rows, counts, least + 1)
+            base = np.concatenate([[0], np.cumsum(counts)])
+            wanted = np.zeros(len(h) + window + 1, dtype=np.int32)
+            for i, places in enumerate(batch.column(2).slice(lo, hi - lo)):
+                at = np.asarray(places.values)
+                np.add.at(wanted, base[i] + np.maximum(at - window + 1, 0), 1)
+                np.add.at(wanted, base[i] + at + 1, -1)
+            keep = np.cumsum(wanted)[base[r] + p] > 0
+            s, r, p = s[keep], r[keep], p[keep]
+            ids = batch.column(0).to_numpy()[lo:hi]
+            yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(ids[r]), pa.array(p.astype(np.int32)), pa.array(np.full(len(s), LONG, np.int8))], ["seed", "doc", "pos", "kind"])
 
     return run
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (seed, doc, pos) sorted by all three -> (doc, other, x, y): each occurrence with the first ones of its seed in the
-    earliest text and in the last one before its own."""
-    held = None  # seed; doc and place of its first occurrence, of that in the last doc, and in the doc before that one
+    """Rows (seed, part, kind, ghost, doc, pos) sorted by seed, part, doc and pos -> (doc, other, x, y, kind): each occurrence that is no ghost with the
+    first ones of its seed in the earliest text and in the last one before its own."""
+    held = None  # the key; doc and place of its first occurrence, of that in the last doc, and in the doc before that one
     for batch in batches:
         if not batch.num_rows:
             continue
-        s, d, p = (batch.column(i).to_numpy().astype(np.int64) for i in range(3))
+        s, part, kind, ghost, d, p = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6))
         if held is not None:  # what is known of the seed so far, as rows before the batch
-            s, d, p = np.concatenate([np.full(3, held[0]), s]), np.concatenate([held[1], d]), np.concatenate([held[2], p])
-        new = np.concatenate([[True], s[1:] != s[:-1]])
+            s, part, kind, ghost = (np.concatenate([np.full(3, x), y]) for x, y in zip(held[0], (s, part, kind, ghost), strict=True))
+            d, p = np.concatenate([held[1], d]), np.concatenate([held[2], p])
+        new = np.concatenate([[True], (s[1:] != s[:-1]) | (part[1:] != part[:-1])])
         text = new | np.concatenate([[True], d[1:] != d[:-1]])
         number = np.arange(len(s))
         first, own = (np.maximum.accumulate(np.where(m, number, 0)) for m in (new, text))
         last = np.where(new[own], own, np.concatenate([[0], own[:-1]])[own])
-        own_only = number >= (3 if held is not None else 0)
+        own_only = (number >= (3 if held is not None else 0)) & (ghost == 0)
         z = len(s) - 1
         out = []
         for partner in (first, last):
             hit = own_only & (d != d[partner]) & ((partner != first) | (partner is first))
-            out.append((d[hit], d[partner[hit]], p[hit], p[partner[hit]]))
+            out.append((d[hit], d[partner[hit]], p[hit], p[partner[hit]], kind[hit]))
         back = [first[z], last[z], own[z]]
-        held = (s[z], d[back], p[back])
+        held = ((s[z], part[z], kind[z], 0), d[back], p[back])
         found = [np.concatenate(c) for c in zip(*out, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(found, (np.int64, np.int64, np.int32, np.int32), strict=True)], ["doc", "other", "x", "y"])
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(found, (np.int64, np.int64, np.int32, np.int32, np.int8), strict=True)], ["doc", "other", "x", "y", "kind"])
+
+
+def partners(seeds: DataFrame, frequent: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc, other, x, y, kind) for the occurrences (seed, doc, pos, kind). frequent (hot): seeds, FREQUENT at most, whose occurrences are
+    dealt by ranges of documents too."""
+    hot = seeds.join(F.broadcast(frequent), F.col("seed") == F.col("hot"), "left")
+    bounds = scratch.cut(hot.filter("hot is not null").select("doc")).agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
+    # documents of one range: those up to a bound, and beyond the one before
+    part = F.lit(0)
+    for i, bound in enumerate(sorted(set(bounds)), 1):
+        part = F.when(F.col("doc") > bound, F.lit(i)).otherwise(part)
+    dealt = hot.withColumn("part", F.when(F.col("hot").isNotNull(), part).otherwise(0))
+    sums = dealt.filter("hot is not null").groupBy("seed", "kind", "part").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max(F.struct("doc", (-F.col("pos")).alias("pos"))).alias("high"))
+    sums = scratch.cut(sums.select("seed", "kind", "part", "low", F.struct(F.col("high.doc").alias("doc"), (-F.col("high.pos")).alias("pos")).alias("high")))
+    by = Window.partitionBy("seed").orderBy("part")  # RANGES rows at most
+    known = sums.select("seed", "kind", "part", F.first("low").over(by).alias("low"), F.lag("high").over(by).alias("high")).filter("high is not null")
+    ghosts = known.withColumn("g", F.explode(F.array_distinct(F.array("low", "high")))).select("seed", "part", "kind", F.lit(1).alias("ghost"), F.col("g.doc").alias("doc"), F.col("g.pos").alias("pos"))
+    rows = dealt.select("seed", "part", "kind", F.lit(0).alias("ghost"), "doc", "pos").unionAll(ghosts)
+    return rows.repartition("seed", "part").sortWithinPartitions("seed", "part", "doc", "pos").mapInArrow(trimmed(_met), "doc long, other long, x int, y int, kind byte")
 
 
 def diagonals(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> np.ndarray:
@@ -199,12 +264,18 @@ def pieces(chain: np.ndarray, most: int = PIECE) -> list[tuple[int, int, int, in
     return [tuple(p) for p in out]
 
 
-def _chained(k: int, window: int, gap: float, least: int):
-    """Rows (doc, other, x, y) sorted by doc and other -> (doc, other, x0, x1, y0, y1)."""
+def _chained(k: int, window: int, gap: float, least: int, words_of_window: int):
+    """Rows (doc, other, x, y, kind) sorted by doc -> (doc, other, x0, x1, y0, y1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in words.groups(batches, 1):
-            other, x, y = (group.column(c).to_numpy().astype(np.int64) for c in (1, 2, 3))
+            other, x, y, kind = (group.column(c).to_numpy().astype(np.int64) for c in (1, 2, 3, 4))
+            wide = kind == LONG
+            if wide.any():  # a window stands for short seeds at its ends and between
+                steps = np.unique([*range(0, words_of_window - k, window), words_of_window - k])
+                other = np.concatenate([other[~wide], np.repeat(other[wide], len(steps))])
+                x, y = (np.concatenate([v[~wide], (v[wide][:, None] + steps).ravel()]) for v in (x, y))
+                other, x, y = np.unique(np.stack([other, x, y]), axis=1)
             order = np.argsort(other, kind="stable")
             other, x, y = other[order], x[order], y[order]
             found = []
@@ -325,16 +396,22 @@ def repeats(text: str, found: list[tuple], least: int, similar: float, slack: in
             while p1 < len(one) and q1 < len(two) and one[p1] == two[q1]:
                 p1, q1 = p1 + 1, q1 + 1
             spans.append((lo + p0, lo + p1, other, alike))
-    spans.sort(key=lambda s: (s[0], -s[1]))
+    # what touches is one passage if it is of one other text; only then lengths count
+    own = [s for other in sorted({s[2] for s in spans}) for s in united([s for s in spans if s[2] == other]) if s[1] - s[0] > least]
+    return united(own)
+
+
+def united(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+    """Spans (first word, word after the last, other document, similarity) that overlap or touch as one, of the first's document."""
     out: list[list] = []
-    for a, z, other, alike in spans:
+    for a, z, other, alike in sorted(spans, key=lambda s: (s[0], -s[1], s[2])):
         if out and a <= out[-1][1]:
             if z > out[-1][1]:
                 out[-1][3] = min(out[-1][3], alike)
                 out[-1][1] = z
         else:
             out.append([a, z, other, alike])
-    return [tuple(s) for s in out if s[1] - s[0] > least]
+    return [tuple(s) for s in out]
 
 
 def without(text: str, spans: list[tuple]) -> str:
@@ -353,12 +430,23 @@ def without(text: str, spans: list[tuple]) -> str:
 
 
 def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int = WINDOW, gap: float = GAP, least: int = LEAST, slack: int = SLACK, block: int = BLOCK) -> DataFrame:
-    """(of, chains): for each doc_id with chains, its chains with the words of the other texts."""
+    """(of, chains): for each doc of the rows (doc, text) with chains, its chains with the words of the other texts."""
     small_batches(docs.sparkSession)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).filter("doc is not null and text is not null")
-    seeds = text.mapInArrow(trimmed(_seeded(k, window)), "seed long, doc long, pos int")
-    anchors = seeds.repartition("seed").sortWithinPartitions("seed", "doc", "pos").mapInArrow(trimmed(_met), "doc long, other long, x int, y int")
-    found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
+    text = docs.select("doc", "text").filter("doc is not null and text is not null")
+    kinds = "seed long, doc long, pos int, kind byte"
+    seeds = scratch.cut(text.mapInArrow(trimmed(_seeded(k, window, least)), kinds))
+    # middles that stand in two documents, and the windows around them
+    middles = seeds.filter(F.col("kind") == MIDDLE)
+    shared = middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("seed").alias("held"))
+    places = middles.join(scratch.cut(shared), F.col("seed") == F.col("held"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    windows = text.join(scratch.cut(places), F.col("doc") == F.col("in")).select("doc", "text", "at").mapInArrow(trimmed(_windows(window, least)), kinds)
+    every = seeds.filter(F.col("kind") == SHORT).unionAll(scratch.cut(windows))
+    few = every.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0).groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    few = scratch.cut(few.filter("n > 1"))
+    least_n = max(64, (few.agg(F.sum("n")).first()[0] or 0) // FREQUENT + 1)
+    frequent = few.filter(F.col("n") >= least_n).select(F.col("seed").alias("hot"))  # FREQUENT rows at most
+    anchors = partners(every, frequent, scratch)
+    found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least + 1)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
     sources = scratch.cut(found.select("other").distinct())
     pieces = text.join(sources, F.col("doc") == F.col("other"), "left_semi").select("doc", "text").mapInArrow(trimmed(_blocks(block)), "src long, block int, body binary")
     needs = found.withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {slack + SHIFT}, 0) div {block}").cast("int"), F.expr(f"(y1 + {slack + SHIFT}) div {block}").cast("int"))))
@@ -367,6 +455,29 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     return scratch.cut(of_chain.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("other", "x0", "x1", "y0", "y1", "blocks")).alias("chains")))
 
 
+def numbered(docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """docs with a column `name`: doc_id, and for texts that share one, beyond the least of them, a number above all doc_ids."""
+    doc, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    rows = docs.select(doc.alias("doc"), text.alias("text")).filter("doc is not null and text is not null")
+    many = scratch.cut(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc").alias("many")))
+    if many.isEmpty():
+        return docs.withColumn(name, doc)
+    marks = lambda d, t: [F.xxhash64(d, t), F.xxhash64(t, d)]
+    texts = rows.join(many, F.col("doc") == F.col("many"), "left_semi").groupBy(F.col("doc").alias(name + "d"), *(m.alias(f"{name}{i}") for i, m in enumerate(marks("doc", "text")))).agg(F.min(F.substring("text", 1, 64)).alias("head"))
+    late = F.pmod(F.col(name + "0"), F.lit(1 << 61)) + F.lit(1 << 62)
+    first = F.row_number().over(Window.partitionBy(name + "d").orderBy("head", name + "0")) == 1
+    texts = scratch.cut(texts.withColumn(name + "n", F.when(~first, late)).filter(f"{name}n is not null").drop("head"))
+    same = (doc == F.col(name + "d")) & (marks(doc, text)[0] == F.col(name + "0")) & (marks(doc, text)[1] == F.col(name + "1"))
+    return docs.join(texts, same, "left").withColumn(name, F.coalesce(F.col(name + "n"), doc)).select(*[F.col(f"`{c}`") for c in docs.columns], name)
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A name that no column of docs begins with."""
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name += "_"
+    return name
+
+
 def _passages(row_text: str | None, found: list | None, least: int, similar: float, slack: int, block: int) -> list[tuple[int, int, int, float]]:
     if not row_text or not found:
         return []
@@ -376,7 +487,11 @@ def _passages(row_text: str | None, found: list | None, least: int, similar: flo
 
 def repeated_passages(docs: DataFrame, *, least: int = LEAST, similar: float = SIMILAR, slack: int = SLACK, block: int = BLOCK, **seeding) -> DataFrame:
     """(doc_id, first_word, end_word, n_words, other_id, similarity): the passages that a document repeats from earlier ones."""
-    found = find_chains(docs, Scratch(docs.sparkSession), least=least, slack=slack, block=block, **seeding)
+    scratch = Scratch(docs.sparkSession)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = numbered(base, scratch, "doc")
+    found = find_chains(rows, scratch, least=least, slack=slack, block=block, **seeding)
+    late = rows.filter("doc != doc_id").select(F.col("doc").alias("number"), F.col("doc_id").alias("owner")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
@@ -384,19 +499,21 @@ def repeated_passages(docs: DataFrame, *, least: int = LEAST, similar: float = S
             rows = [(doc, a, z, z - a, other, alike) for doc, text, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True) for a, z, other, alike in _passages(text, c, least, similar, slack, block)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "first_word", "end_word", "n_words", "other_id", "similarity"])
 
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return text.join(found, F.col("doc_id") == F.col("of")).select("doc_id", "text", "chains").mapInArrow(trimmed(run), "doc_id long, first_word long, end_word long, n_words long, other_id long, similarity double")
+    spans = rows.join(found, F.col("doc") == F.col("of")).select("doc_id", "text", "chains").mapInArrow(trimmed(run), "doc_id long, first_word long, end_word long, n_words long, other_id long, similarity double")
+    return spans.join(late, F.col("other_id") == F.col("number"), "left").withColumn("other_id", F.coalesce("owner", "other_id")).drop("number", "owner")
 
 
 def drop_repeats(docs: DataFrame, *, least: int = LEAST, similar: float = SIMILAR, slack: int = SLACK, block: int = BLOCK, **seeding) -> DataFrame:
     """docs, in all their columns, with the repeated passages cut out of text."""
-    found = find_chains(docs, Scratch(docs.sparkSession), least=least, slack=slack, block=block, **seeding).select(F.col("of").alias("__passages_of"), F.col("chains").alias("__passages"))
+    scratch, own = Scratch(docs.sparkSession), unused(docs, "__passages")
+    rows = numbered(docs, scratch, own)
+    found = find_chains(rows.select(F.col(own).alias("doc"), F.col("text").cast("string").alias("text")), scratch, least=least, slack=slack, block=block, **seeding).select(F.col("of").alias(own + "of"), F.col("chains").alias(own + "chains"))
     at = docs.columns.index("text")
     width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = batch.column(width + 1)
+            held = batch.column(width)
             texts = batch.column(at)
             if held.null_count < len(held):
                 new = texts.to_pylist()
@@ -407,4 +524,5 @@ def drop_repeats(docs: DataFrame, *, least: int = LEAST, similar: float = SIMILA
             columns[at] = texts
             yield pa.RecordBatch.from_arrays(columns, names=list(batch.schema.names[:width]))
 
-    return docs.join(found, F.col("doc_id").cast("long") == F.col("__passages_of"), "left").mapInArrow(trimmed(run), docs.schema)
+    met = rows.join(found, F.col(own) == F.col(own + "of"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], own + "chains")
+    return met.mapInArrow(trimmed(run), docs.schema)

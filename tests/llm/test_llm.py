@@ -519,21 +519,78 @@ def test_passage_of_common_seeds_is_found(spark):
     assert [(r["doc_id"], r["first_word"], r["end_word"], r["other_id"]) for r in got] == [(200, 40, 100, 100)]
 
 
+def test_a_passage_of_which_parts_stand_in_earlier_texts(spark):
+    """Texts before hold the middle, or both overlapping halves, of a passage of 60 words; two later ones hold all of it. All pairs are tried."""
+    rng = np.random.default_rng(7)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    rows, want = [], {}
+    for i in range(40):
+        passage = fresh(60)
+        parts = [passage[8:52]] if i % 2 else [passage[:45], passage[15:]]
+        rows += [(1000 * i + 10 * j, " ".join([*fresh(30), *part, *fresh(30)])) for j, part in enumerate(parts)]
+        rows += [(1000 * i + 500, " ".join([*fresh(20), *passage, *fresh(20)]))]
+        # parts stand between the two as well
+        rows += [(1000 * i + 510 + j, " ".join([*fresh(9), *part])) for j, part in enumerate(parts)]
+        rows += [(1000 * i + 600, " ".join([*fresh(40), *passage, *fresh(5)]))]
+        want[1000 * i + 600] = (40, 100, 1000 * i + 500)
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["first_word"], r["end_word"], r["other_id"]) for r in got} == want
+
+
+def test_every_repeat_of_more_than_50_words_is_covered(spark, docs, texts):
+    """Against brute force over all windows of 51 words."""
+    got = {}
+    for r in substring_dedup.repeated_passages(docs).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["first_word"], r["end_word"]))
+    first, runs = {}, {}
+    for i in sorted(texts):
+        w = word_list(texts[i])
+        for j in range(len(w) - 50):
+            if first.setdefault(tuple(w[j : j + 51]), i) != i:
+                runs.setdefault(i, set()).update(range(j, j + 51))
+    assert runs and all(v <= got.get(i, set()) for i, v in runs.items()), [(i, len(v - got.get(i, set()))) for i, v in runs.items() if v - got.get(i, set())]
+
+
+def test_texts_that_share_a_doc_id(spark):
+    rng = np.random.default_rng(9)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    one, two, three = fresh(70), fresh(70), fresh(70)
+    rows = [(1, " ".join(["a", *one])), (1, " ".join(["b", *two])), (1, " ".join(["b", *two])), (2, " ".join([*fresh(9), *one])), (2, " ".join([*fresh(9), *three])), (3, " ".join([*two, *fresh(9)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"__passages": F.lit(1), "seed": F.lit("s")})
+    assert {(r["doc_id"], r["n_words"], r["other_id"]) for r in substring_dedup.repeated_passages(df).collect()} == {(2, 70, 1), (1, 70, 3)}
+    left = Counter((r["doc_id"], len(r["text"].split())) for r in substring_dedup.drop_repeats(df).collect())
+    assert left == Counter({(1, 71): 1, (1, 1): 2, (2, 9): 1, (2, 79): 1, (3, 79): 1})
+
+
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 3)), unique=True, max_size=40), st.integers(1, 7))
 @settings(max_examples=200, deadline=None)
 def test_partners_of_seeds(rows, size):
     import pyarrow as pa
 
     rows = sorted(rows)
-    batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a : a + size]], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], ["seed", "doc", "pos"]) for a in range(0, len(rows), size)]
-    got = sorted(r for b in substring_dedup._met(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-    want = []
+    columns = lambda part: [pa.array([r[0] for r in part], pa.int64()), *(pa.array([0] * len(part), pa.int32()) for _ in range(3)), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int32())]
+    batches = [pa.RecordBatch.from_arrays(columns(rows[a : a + size]), ["seed", "part", "kind", "ghost", "doc", "pos"]) for a in range(0, len(rows), size)]
+    got = sorted(r[:4] for b in substring_dedup._met(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    assert got == sorted(partners_of(rows))
+
+
+def partners_of(rows):
+    out = []
     for s, d, p in rows:
         before = [r for r in rows if r[0] == s and r[1] < d]
         if before:
             last = next(r for r in before if r[1] == before[-1][1])
-            want += [(d, r[1], p, r[2]) for r in {before[0], last}]
-    assert got == sorted(want)
+            out += [(d, r[1], p, r[2]) for r in {before[0], last}]
+    return out
+
+
+def test_frequent_seeds_dealt_by_ranges_have_the_same_partners(spark):
+    rng = np.random.default_rng(10)
+    rows = sorted({(int(s), int(d), int(p)) for s, d, p in zip(rng.integers(0, 4, 3000), rng.integers(0, 500, 3000), rng.integers(0, 9, 3000), strict=True)})
+    seeds = spark.createDataFrame([(*r, 0) for r in rows], "seed long, doc long, pos int, kind byte")
+    for hot in ([], [1, 3]):
+        got = substring_dedup.partners(seeds, spark.createDataFrame([(h,) for h in hot], "hot long"), Scratch(spark)).collect()
+        assert sorted(tuple(r)[:4] for r in got) == sorted(partners_of(rows))
 
 
 @given(st.lists(st.integers(0, 5), max_size=25), st.lists(st.integers(0, 5), max_size=25))
