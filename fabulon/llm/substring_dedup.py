@@ -9,13 +9,15 @@
    somewhere earlier as well mostly meets the last text that holds it. The occurrences are sorted and read as a stream, so that a
    seed of any frequency takes no memory; seeds that a sample shows to be frequent are dealt by ranges of documents as well, each of which begins with
    the seed's first occurrence and the last one before the range.
-   Where all short seeds of a passage stand in other earlier texts, its seeds of `least` + 1 words decide: every such window whose middle
-   (minimizers of `least` + 2 - window words, of which a window holds one) stands in two documents is a seed, so that each word for
-   word repeat of more than `least` words meets the first text that holds it, whatever else does.
+   Word for word repeats of more than `least` words are found whatever else holds parts of them. Each has a middle of `least` + 2 - window words (a
+   minimizer) in both texts; occurrences of middles that stand in two documents meet like those of short seeds. Where the middles in a row of one
+   text do not amount to more than `least` words with one other, and a third text has the middle, every window of `least` + 1 words around
+   that middle is a seed in all texts that hold it, and so meets the first text with the whole window.
+   Runs of equal middles or windows of more than `least` words are repeats as they stand; chains within them need no alignment.
 3. For each document the anchors to one earlier document are merged along diagonals and chained: a chain rises in both texts, and
    gives up `gap` for each word that it skips in either. A Fenwick tree over the places in the other text finds the best chain that
    each anchor continues, in O(n log n).
-4. The words of the other text around a chain (of PIECE words at most) are fetched (in blocks of words, each sent once for each chain that needs it).
+4. The words of the other text around any other chain (of PIECE words at most) are fetched (in blocks of words, each sent once for each chain that needs it).
    The chain and `slack` words on either side are aligned by a longest common subsequence, and the stretches of it that are dense
    in equal words count when `similar` of the longer side agrees, or else their longest part of which that holds. Passages of
    one other document that touch are united, and those of more than `least` words are repeats.
@@ -136,7 +138,7 @@ def _windows(window: int, least: int):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (seed, part, kind, ghost, doc, pos) sorted by seed, part, doc and pos -> (doc, other, x, y, kind): each occurrence that is no ghost with the
+    """Rows (seed, part, kind, ghost, doc, pos) sorted by seed, part, doc and pos -> (doc, other, x, y, kind, seed): each occurrence that is no ghost with the
     first ones of its seed in the earliest text and in the last one before its own."""
     held = None  # the key; doc and place of its first occurrence, of that in the last doc, and in the doc before that one
     for batch in batches:
@@ -156,30 +158,27 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for partner in (first, last):
             hit = own_only & (d != d[partner]) & ((partner != first) | (partner is first))
-            out.append((d[hit], d[partner[hit]], p[hit], p[partner[hit]], kind[hit]))
+            out.append((d[hit], d[partner[hit]], p[hit], p[partner[hit]], kind[hit], s[hit]))
         back = [first[z], last[z], own[z]]
         held = ((s[z], part[z], kind[z], 0), d[back], p[back])
         found = [np.concatenate(c) for c in zip(*out, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(found, (np.int64, np.int64, np.int32, np.int32, np.int8), strict=True)], ["doc", "other", "x", "y", "kind"])
-
-
-def partners(seeds: DataFrame, frequent: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc, other, x, y, kind) for the occurrences (seed, doc, pos, kind). frequent (hot): seeds, FREQUENT at most, whose occurrences are
-    dealt by ranges of documents too."""
-    hot = seeds.join(F.broadcast(frequent), F.col("seed") == F.col("hot"), "left")
-    bounds = scratch.cut(hot.filter("hot is not null").select("doc")).agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
-    # documents of one range: those up to a bound, and beyond the one before
-    part = F.lit(0)
-    for i, bound in enumerate(sorted(set(bounds)), 1):
-        part = F.when(F.col("doc") > bound, F.lit(i)).otherwise(part)
-    dealt = hot.withColumn("part", F.when(F.col("hot").isNotNull(), part).otherwise(0))
-    sums = dealt.filter("hot is not null").groupBy("seed", "kind", "part").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max(F.struct("doc", (-F.col("pos")).alias("pos"))).alias("high"))
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(found, (np.int64, np.int64, np.int32, np.int32, np.int8, np.int64), strict=True)], ["doc", "other", "x", "y", "kind", "seed"])
+
+
+def partners(seeds: DataFrame, often: DataFrame, frequent: DataFrame, ranges: list[int] | None, scratch: Scratch) -> DataFrame:
+    """(doc, other, x, y, kind, seed) for the occurrences (seed, doc, pos, kind). often: those of the seeds frequent (hot), of which there are FREQUENT at
+    most; they are dealt by ranges of documents too: up to a bound of `ranges` (or of quantiles), and beyond the one before."""
+    if ranges is None:
+        ranges = often.agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
+    part = F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(ranges))]).cast("array<long>"), lambda b: b < F.col("doc"))) if ranges else F.lit(0)
+    dealt = seeds.join(frequent, F.col("seed") == F.col("hot"), "left").withColumn("part", F.when(F.col("hot").isNotNull(), part).otherwise(0))
+    sums = often.withColumn("part", part).groupBy("seed", "kind", "part").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max(F.struct("doc", (-F.col("pos")).alias("pos"))).alias("high"))
     sums = scratch.cut(sums.select("seed", "kind", "part", "low", F.struct(F.col("high.doc").alias("doc"), (-F.col("high.pos")).alias("pos")).alias("high")))
     by = Window.partitionBy("seed").orderBy("part")  # RANGES rows at most
     known = sums.select("seed", "kind", "part", F.first("low").over(by).alias("low"), F.lag("high").over(by).alias("high")).filter("high is not null")
     ghosts = known.withColumn("g", F.explode(F.array_distinct(F.array("low", "high")))).select("seed", "part", "kind", F.lit(1).alias("ghost"), F.col("g.doc").alias("doc"), F.col("g.pos").alias("pos"))
     rows = dealt.select("seed", "part", "kind", F.lit(0).alias("ghost"), "doc", "pos").unionAll(ghosts)
-    return rows.repartition("seed", "part").sortWithinPartitions("seed", "part", "doc", "pos").mapInArrow(trimmed(_met), "doc long, other long, x int, y int, kind byte")
+    return rows.repartition("seed", "part").sortWithinPartitions("seed", "part", "doc", "pos").mapInArrow(trimmed(_met), "doc long, other long, x int, y int, kind byte, seed long")
 
 
 def diagonals(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> np.ndarray:
@@ -264,28 +263,62 @@ def pieces(chain: np.ndarray, most: int = PIECE) -> list[tuple[int, int, int, in
     return [tuple(p) for p in out]
 
 
-def _chained(k: int, window: int, gap: float, least: int, words_of_window: int):
+def runs(other: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> list[tuple[int, int, int, int, int]]:
+    """(other, x0, x1, y0, y1) of the equal stretches made of equal windows of n words."""
+    if not len(x):
+        return []
+    order = np.lexsort((x, x - y, other))
+    other, x, y = other[order], x[order], y[order]
+    new = np.concatenate([[True], (other[1:] != other[:-1]) | (np.diff(x - y) != 0) | (np.diff(x) > n)])
+    a = np.flatnonzero(new)
+    b = np.append(a[1:], len(x)) - 1
+    return list(zip(other[a].tolist(), x[a].tolist(), (x[b] + n).tolist(), y[a].tolist(), (y[b] + n).tolist(), strict=True))
+
+
+def _unresolved(n: int, least: int):
+    """Rows (doc, other, x, y, seed) of equal middles of n words, sorted by doc -> (open): seeds in no run of more than `least` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in words.groups(batches, 1):
+            other, x, y, seed = (group.column(c).to_numpy().astype(np.int64) for c in (1, 2, 3, 4))
+            held = np.zeros(int(x.max()) + 2, dtype=np.int64)
+            for _, x0, x1, _, _ in runs(other, x, y, n):
+                if x1 - x0 > least:
+                    held[x0] += 1
+                    held[x1 - n + 1] -= 1
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(seed[np.cumsum(held)[x] == 0]))], ["open"])
+
+    return run
+
+
+def _chained(k: int, window: int, gap: float, span: int, least: int):
     """Rows (doc, other, x, y, kind) sorted by doc -> (doc, other, x0, x1, y0, y1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in words.groups(batches, 1):
             other, x, y, kind = (group.column(c).to_numpy().astype(np.int64) for c in (1, 2, 3, 4))
-            wide = kind == LONG
-            if wide.any():  # a window stands for short seeds at its ends and between
-                steps = np.unique([*range(0, words_of_window - k, window), words_of_window - k])
-                other = np.concatenate([other[~wide], np.repeat(other[wide], len(steps))])
-                x, y = (np.concatenate([v[~wide], (v[wide][:, None] + steps).ravel()]) for v in (x, y))
-                other, x, y = np.unique(np.stack([other, x, y]), axis=1)
+            wide, covered = kind != SHORT, None
+            known = [r for n, of in ((max(least + 2 - window, 1), MIDDLE), (least + 1, LONG)) for r in runs(other[kind == of], x[kind == of], y[kind == of], n) if r[2] - r[1] > least]
+            if len(known):  # the anchors of runs are seen at their ends and between; words of the text that runs cover
+                at = [(o, x0 + d, y0 + d) for o, x0, x1, y0, _ in known for d in {*range(0, x1 - x0 - k, window), x1 - x0 - k}]
+                other, x, y = (np.concatenate([v[~wide], w]) for v, w in zip((other, x, y), np.array(at).T, strict=True))
+                covered = np.zeros(int(x.max()) + k + 1, dtype=np.int64)
+                for _, x0, x1, _, _ in known:
+                    covered[x0:x1] = 1
+                covered = np.concatenate([[0], np.cumsum(covered)])
+            else:
+                other, x, y = other[~wide], x[~wide], y[~wide]
             order = np.argsort(other, kind="stable")
             other, x, y = other[order], x[order], y[order]
-            found = []
+            found = [(o, x0, x1, -1, -1) for o, x0, x1, _, _ in known]
             cuts = [0, *(np.flatnonzero(other[1:] != other[:-1]) + 1).tolist(), len(other)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                if x[a:b].max() - x[a:b].min() + k < least:
+                if a == b or x[a:b].max() - x[a:b].min() + k < span:
                     continue
                 segments = diagonals(x[a:b], y[a:b], k, 2 * window)
                 for chain in chains(segments, gap):
-                    if segments[chain[-1], 1] - segments[chain[0], 0] >= least:
+                    lo, hi = segments[chain[0], 0], segments[chain[-1], 1]
+                    if hi - lo >= span and (covered is None or covered[hi] - covered[lo] < hi - lo):
                         found += [(other[a], *piece) for piece in pieces(segments[chain])]
             if found:
                 of, *places = np.array(found).T
@@ -383,6 +416,9 @@ def repeats(text: str, found: list[tuple], least: int, similar: float, slack: in
     w = text.encode().lower().split()
     spans = []
     for other, x0, x1, y0, y1, blocks in found:
+        if y0 < 0:  # a run of equal windows
+            spans.append((x0, x1, other, 1.0))
+            continue
         blocks = sorted(blocks)
         b = b" ".join(body for _, body in blocks).split()
         base = blocks[0][0] * block if blocks else 0
@@ -429,29 +465,45 @@ def without(text: str, spans: list[tuple]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
+def counted_partners(seeds: DataFrame, scratch: Scratch) -> DataFrame:
+    """partners of occurrences (seed, doc, pos, kind, n), n how often the seed occurs in all; seeds of over 1/FREQUENT of the rows are frequent."""
+    many = max(4096, seeds.count() // FREQUENT + 1)
+    often = scratch.cut(seeds.filter(F.col("n") >= many).drop("n"))
+    return partners(seeds.drop("n"), often, F.broadcast(often.select(F.col("seed").alias("hot")).distinct()), None, scratch)
+
+
 def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int = WINDOW, gap: float = GAP, least: int = LEAST, slack: int = SLACK, block: int = BLOCK) -> DataFrame:
     """(of, chains): for each doc of the rows (doc, text) with chains, its chains with the words of the other texts."""
     small_batches(docs.sparkSession)
     text = docs.select("doc", "text").filter("doc is not null and text is not null")
     kinds = "seed long, doc long, pos int, kind byte"
-    seeds = scratch.cut(text.mapInArrow(trimmed(_seeded(k, window, least)), kinds))
-    # middles that stand in two documents, and the windows around them
-    middles = seeds.filter(F.col("kind") == MIDDLE)
-    shared = middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("seed").alias("held"))
-    places = middles.join(scratch.cut(shared), F.col("seed") == F.col("held"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
-    windows = text.join(scratch.cut(places), F.col("doc") == F.col("in")).select("doc", "text", "at").mapInArrow(trimmed(_windows(window, least)), kinds)
-    every = seeds.filter(F.col("kind") == SHORT).unionAll(scratch.cut(windows))
-    few = every.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0).groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
-    few = scratch.cut(few.filter("n > 1"))
+    seeded = lambda rows: rows.mapInArrow(trimmed(_seeded(k, window, least)), kinds)
+    # seeds that are frequent in a part of the documents, FREQUENT at most, and ranges of their documents
+    few = scratch.cut(seeded(text.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0)).filter(F.col("kind") == SHORT).groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 200).alias("docs")).filter("n > 1"))
     least_n = max(64, (few.agg(F.sum("n")).first()[0] or 0) // FREQUENT + 1)
-    frequent = few.filter(F.col("n") >= least_n).select(F.col("seed").alias("hot"))  # FREQUENT rows at most
-    anchors = partners(every, frequent, scratch)
-    found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least + 1)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
-    sources = scratch.cut(found.select("other").distinct())
+    few = few.filter(F.col("n") >= least_n)
+    frequent = F.broadcast(few.select(F.col("seed").alias("hot")))
+    ranges = few.select(F.explode("docs").alias("doc")).agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
+    # middles that stand in two documents, and the occurrences of frequent seeds
+    first = scratch.cut(seeded(text).join(frequent, F.col("seed") == F.col("hot"), "left").filter((F.col("kind") == MIDDLE) | F.col("hot").isNotNull()).drop("hot"))
+    short = partners(seeded(text).filter(F.col("kind") == SHORT), first.filter(F.col("kind") == SHORT), frequent, ranges, scratch)
+    middles = first.filter(F.col("kind") == MIDDLE)
+    shared = scratch.cut(middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).filter("a < b").select(F.col("seed").alias("held"), "n"))
+    middles = scratch.cut(middles.join(shared, F.col("seed") == F.col("held")).drop("held"))
+    met = scratch.cut(counted_partners(middles, scratch))
+    size = max(least + 2 - window, 1)
+    open_ = met.repartition("doc").sortWithinPartitions("doc").select("doc", "other", "x", "y", "seed").mapInArrow(trimmed(_unresolved(size, least)), "open long").distinct()
+    places = middles.filter("n > 2").join(scratch.cut(open_), F.col("seed") == F.col("open"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    windows = scratch.cut(text.join(scratch.cut(places), F.col("doc") == F.col("in")).select("doc", "text", "at").mapInArrow(trimmed(_windows(window, least)), kinds))
+    windows = windows.join(windows.groupBy(F.col("seed").alias("held")).agg(F.count(F.lit(1)).alias("n")), F.col("seed") == F.col("held")).drop("held")
+    anchors = short.unionAll(met).unionAll(counted_partners(windows, scratch)).drop("seed")
+    found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
+    sources = scratch.cut(found.filter("y0 >= 0").select("other").distinct())
     pieces = text.join(sources, F.col("doc") == F.col("other"), "left_semi").select("doc", "text").mapInArrow(trimmed(_blocks(block)), "src long, block int, body binary")
-    needs = found.withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {slack + SHIFT}, 0) div {block}").cast("int"), F.expr(f"(y1 + {slack + SHIFT}) div {block}").cast("int"))))
+    needs = found.filter("y0 >= 0").withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {slack + SHIFT}, 0) div {block}").cast("int"), F.expr(f"(y1 + {slack + SHIFT}) div {block}").cast("int"))))
     met = needs.join(scratch.cut(pieces), (F.col("other") == F.col("src")) & (F.col("need") == F.col("block")))
     of_chain = met.groupBy("doc", "other", "x0", "x1", "y0", "y1").agg(F.collect_list(F.struct("block", "body")).alias("blocks"))
+    of_chain = of_chain.unionAll(found.filter("y0 < 0").withColumn("blocks", F.array().cast("array<struct<block:int,body:binary>>")))
     return scratch.cut(of_chain.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("other", "x0", "x1", "y0", "y1", "blocks")).alias("chains")))
 
 

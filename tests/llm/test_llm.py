@@ -589,7 +589,7 @@ def test_frequent_seeds_dealt_by_ranges_have_the_same_partners(spark):
     rows = sorted({(int(s), int(d), int(p)) for s, d, p in zip(rng.integers(0, 4, 3000), rng.integers(0, 500, 3000), rng.integers(0, 9, 3000), strict=True)})
     seeds = spark.createDataFrame([(*r, 0) for r in rows], "seed long, doc long, pos int, kind byte")
     for hot in ([], [1, 3]):
-        got = substring_dedup.partners(seeds, spark.createDataFrame([(h,) for h in hot], "hot long"), Scratch(spark)).collect()
+        got = substring_dedup.partners(seeds, seeds.filter(F.col("seed").isin(hot)), F.broadcast(spark.createDataFrame([(h,) for h in hot], "hot long")), None, Scratch(spark)).collect()
         assert sorted(tuple(r)[:4] for r in got) == sorted(partners_of(rows))
 
 
