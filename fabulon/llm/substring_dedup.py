@@ -11,9 +11,9 @@
    the seed's first occurrence and the last one before the range.
    Word for word repeats of more than `least` words are found whatever else holds parts of them. Each has a middle of `least` + 2 - window words (a
    minimizer) in both texts; occurrences of middles that stand in two documents meet like those of short seeds. Where the middles in a row of one
-   text do not amount to more than `least` words with one other, and a third text has the middle, every window of `least` + 1 words around
+   text do not amount to more than `least` words with one other, every window of `least` + 1 words around
    that middle is a seed in all texts that hold it, and so meets the first text with the whole window.
-   Runs of equal middles or windows of more than `least` words are repeats as they stand; chains within them need no alignment.
+   Runs of equal middles or windows of more than `least` words are repeats as they stand; but for their ends, chains within them need no alignment.
 3. For each document the anchors to one earlier document are merged along diagonals and chained: a chain rises in both texts, and
    gives up `gap` for each word that it skips in either. A Fenwick tree over the places in the other text finds the best chain that
    each anchor continues, in O(n log n).
@@ -41,7 +41,7 @@ from . import words
 from .batches import small_batches, trimmed
 from .scratch import Scratch
 
-K, WINDOW, DENSE, GAP, SLACK, SIMILAR, LEAST, BLOCK = 4, 16, 3, 0.04, 32, 0.8, 50, 64
+K, WINDOW, DENSE, GAP, SLACK, SIMILAR, LEAST, BLOCK = 5, 16, 2, 0.04, 32, 0.8, 50, 64
 #: Words between the ends of a chain (fewer are not aligned, as chance makes them), of one alignment, and by which places in the other text can shift.
 SPAN, PIECE, SHIFT = 10, 1024, 8
 #: What a word without its equal takes from a stretch, to which an equal word adds 1, and the fall from its height at which a stretch ends.
@@ -311,6 +311,11 @@ def _chained(k: int, window: int, gap: float, span: int, least: int):
             order = np.argsort(other, kind="stable")
             other, x, y = other[order], x[order], y[order]
             found = [(o, x0, x1, -1, -1) for o, x0, x1, _, _ in known]
+            for o, x0, x1, y0, y1 in known:  # a run may go on, word for word or fuzzily, beyond an end at which no other run does
+                if not x0 or covered[x0] == covered[x0 - 1]:
+                    found.append((o, x0, x0 + window, y0, y0 + window))
+                if x1 + 1 >= len(covered) or covered[x1 + 1] == covered[x1]:
+                    found.append((o, x1 - window, x1, y1 - window, y1))
             cuts = [0, *(np.flatnonzero(other[1:] != other[:-1]) + 1).tolist(), len(other)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a == b or x[a:b].max() - x[a:b].min() + k < span:
@@ -422,7 +427,7 @@ def repeats(text: str, found: list[tuple], least: int, similar: float, slack: in
         blocks = sorted(blocks)
         b = b" ".join(body for _, body in blocks).split()
         base = blocks[0][0] * block if blocks else 0
-        if any(o == other and a <= x0 and x1 <= z for a, z, o, _ in spans):
+        if any(o == other and a < x0 and x1 < z for a, z, o, _ in spans):
             continue
         lo, low = max(x0 - slack, 0), max(y0 - base - slack - SHIFT, 0)
         one, two = w[lo : x1 + slack], b[low : max(y1 - base, 0) + slack + SHIFT]
@@ -466,10 +471,11 @@ def without(text: str, spans: list[tuple]) -> str:
 
 
 def counted_partners(seeds: DataFrame, scratch: Scratch) -> DataFrame:
-    """partners of occurrences (seed, doc, pos, kind, n), n how often the seed occurs in all; seeds of over 1/FREQUENT of the rows are frequent."""
+    """partners of written occurrences (seed, doc, pos, kind); seeds of over 1/FREQUENT of the rows are frequent."""
     many = max(4096, seeds.count() // FREQUENT + 1)
-    often = scratch.cut(seeds.filter(F.col("n") >= many).drop("n"))
-    return partners(seeds.drop("n"), often, F.broadcast(often.select(F.col("seed").alias("hot")).distinct()), None, scratch)
+    frequent = F.broadcast(scratch.cut(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= many).select(F.col("seed").alias("hot"))))
+    often = scratch.cut(seeds.join(frequent, F.col("seed") == F.col("hot"), "left_semi"))
+    return partners(seeds, often, frequent, None, scratch)
 
 
 def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int = WINDOW, gap: float = GAP, least: int = LEAST, slack: int = SLACK, block: int = BLOCK) -> DataFrame:
@@ -488,14 +494,13 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     first = scratch.cut(seeded(text).join(frequent, F.col("seed") == F.col("hot"), "left").filter((F.col("kind") == MIDDLE) | F.col("hot").isNotNull()).drop("hot"))
     short = partners(seeded(text).filter(F.col("kind") == SHORT), first.filter(F.col("kind") == SHORT), frequent, ranges, scratch)
     middles = first.filter(F.col("kind") == MIDDLE)
-    shared = scratch.cut(middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count(F.lit(1)).alias("n")).filter("a < b").select(F.col("seed").alias("held"), "n"))
-    middles = scratch.cut(middles.join(shared, F.col("seed") == F.col("held")).drop("held"))
+    shared = scratch.cut(middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("seed").alias("held")))
+    middles = scratch.cut(middles.join(shared, F.col("seed") == F.col("held"), "left_semi"))
     met = scratch.cut(counted_partners(middles, scratch))
     size = max(least + 2 - window, 1)
     open_ = met.repartition("doc").sortWithinPartitions("doc").select("doc", "other", "x", "y", "seed").mapInArrow(trimmed(_unresolved(size, least)), "open long").distinct()
-    places = middles.filter("n > 2").join(scratch.cut(open_), F.col("seed") == F.col("open"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    places = middles.join(scratch.cut(open_), F.col("seed") == F.col("open"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
     windows = scratch.cut(text.join(scratch.cut(places), F.col("doc") == F.col("in")).select("doc", "text", "at").mapInArrow(trimmed(_windows(window, least)), kinds))
-    windows = windows.join(windows.groupBy(F.col("seed").alias("held")).agg(F.count(F.lit(1)).alias("n")), F.col("seed") == F.col("held")).drop("held")
     anchors = short.unionAll(met).unionAll(counted_partners(windows, scratch)).drop("seed")
     found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
     sources = scratch.cut(found.filter("y0 >= 0").select("other").distinct())
