@@ -662,6 +662,7 @@ def test_subwords_and_training_take_all_texts(spark, monkeypatch):
     monkeypatch.setattr(lm, "choose_subwords", lambda *a: held.append(choose(*a)) or held[-1])
     monkeypatch.setattr(lm, "train_on_all", lambda *a: counted.append((a[3], train(*a))) or counted[-1][1])
     monkeypatch.setattr(lm, "SHARD", 50)
+    monkeypatch.setattr(lm, "SHARE", 1)
     vocabulary = {b"common", b"rarely", b"seen", b"se", b"Common", b"absent"}
     got = lm.score_texts(df, F.lit(True), vocabulary, steps=3, bound=1).collect()
     assert len(got) == 400 and held[0].n == 2 + 3 + 4  # three whole words; common, rarely, seen and se begin words
