@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from difflib import SequenceMatcher
 from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import PUNCTUATION
+
 NEAR, SURE = 0.85, 0.99
 # fixed values: honorifics that are stripped from names, in order
-HONORIFICS = ["先生", "小姐", "夫人", "女士", "太太", "老师", "师傅", "大人", "公子", "姑娘", "大哥", "大姐", "叔叔", "阿姨", "爷爷", "奶奶", "哥", "姐", "叔", "姨", "爷", "婆", "弟", "妹", "老爷", "少爷", "掌柜"]
-# fixed values: synonyms that a term is normalised from and to
-SYNONYMS = {"快乐": "喜悦", "高兴": "喜悦", "开心": "喜悦", "伤心": "悲伤", "难过": "悲伤", "气愤": "愤怒", "害怕": "恐惧", "惊恐": "恐惧", "吃惊": "惊讶", "讨厌": "厌恶"}
+HONORIFICS = [
+    "先生", "小姐", "女士", "太太", "夫人", "上尉", "中尉", "少校", "上校", "将军", "司令", "政委", "老师", "教授", "博士", "医生", "护士",
+    "同学", "朋友", "同志", "师傅", "老板", "经理", "主任", "科长", "处长", "局长",
+]
+# fixed values: words of the structure layer and the emotion layer, and the term that each is normalised to
+STRUCTURE_TERMS = {
+    "悲哀": "悲伤", "悲痛": "悲伤", "哀伤": "悲伤", "惊恐": "恐惧", "害怕": "恐惧", "畏惧": "恐惧", "恐慌": "恐惧", "欢喜": "喜悦", "高兴": "喜悦", "开心": "喜悦", "快乐": "喜悦",
+    "期望": "期待", "盼望": "期待", "孤单": "孤独", "孤寂": "孤独", "吃惊": "惊讶", "惊愕": "惊讶", "向往": "渴望", "渴求": "渴望", "羞愧": "羞耻", "丢脸": "羞耻",
+    "厌烦": "厌恶", "反感": "厌恶", "释怀": "释然", "心慌": "焦虑", "焦躁": "焦虑",
+}
+EMOTION_TERMS = {
+    "悲哀": "悲伤", "悲痛": "悲伤", "哀伤": "悲伤", "欢喜": "喜悦", "高兴": "喜悦", "开心": "喜悦", "恼怒": "愤怒", "愤懑": "愤怒", "怒火": "愤怒", "害怕": "恐惧", "畏惧": "恐惧",
+    "惊奇": "惊讶", "愕然": "惊讶", "盼望": "期待", "期盼": "期待", "嫌弃": "厌恶", "厌烦": "厌恶", "信赖": "信任", "怅然": "怅惘", "羞愧": "羞耻", "难堪": "羞耻",
+    "渴求": "渴望", "向往": "渴望", "妒忌": "嫉妒", "妒恨": "嫉妒", "困惑": "迷茫", "迷惘": "迷茫", "茫然": "迷茫", "自得": "得意",
+}
+TERMS = {"structure": STRUCTURE_TERMS, "emotion": EMOTION_TERMS}
 
 
 def ratio(a: str | None, b: str | None) -> float:
@@ -33,55 +47,71 @@ def best_match(texts: list[str], b: str, least: float) -> tuple[float, int] | No
     return best
 
 
-def squeezed(text: str, drop: str) -> tuple[str, list[int]]:
-    """The text without characters of a class, and the place that each one had."""
-    places = [m.start() for m in re.finditer(f"(?!{drop}).", text, re.DOTALL)]
-    return "".join([text[i] for i in places]), places
+def collapsed(text: str) -> tuple[str, list[int]]:
+    """The text with runs of white space as one space and none at its ends, and the place of each character."""
+    places, gap = [], False
+    for i, c in enumerate(text):
+        if not c.isspace():
+            places.append(i)
+        elif not gap:
+            places.append(i)
+        gap = c.isspace()
+    while places and text[places[0]].isspace():
+        places.pop(0)
+    while places and text[places[-1]].isspace():
+        places.pop()
+    return "".join(" " if text[i].isspace() else text[i] for i in places), places
+
+
+def unpunctuated(text: str) -> tuple[str, list[int]]:
+    places = [i for i, c in enumerate(text) if c not in PUNCTUATION]
+    return "".join(text[i] for i in places), places
+
+
+def _found(form: tuple[str, list[int]], needle: str) -> tuple[int, int] | None:
+    at = form[0].find(needle) if needle else -1
+    return (form[1][at], form[1][at + len(needle) - 1] + 1) if at >= 0 else None
 
 
 def find_span(text: str, quote: str) -> tuple[int, int] | None:
-    """Exact, else with white space dropped from both."""
-    for drop in (None, r"\s"):
-        hay, places = squeezed(text, drop) if drop else (text, list(range(len(text))))
-        needle = squeezed(quote, drop)[0] if drop else quote
-        at = hay.find(needle) if needle else -1
-        if at >= 0:
-            return places[at], places[at + len(needle) - 1] + 1
-    return None
+    """Exact, else with runs of white space as one space in both."""
+    quote = (quote or "").strip()
+    if not text or not quote:
+        return None
+    at = text.find(quote)
+    return (at, at + len(quote)) if at >= 0 else _found(collapsed(text), " ".join(quote.split()))
 
 
 def fuzzy_span(text: str, quote: str, least: float = NEAR) -> tuple[int, int, str, float] | None:
-    """(start, end, level, similarity): exact, white space, punctuation, then the best of sliding windows of 0.7 to 1.5 times the
-    quote's length."""
+    """(start, end, level, similarity): exact, white space, punctuation, then the most similar of the windows of every length from 0.7 to 1.5
+    times the quote's, a quarter of their length apart; the first that is SURE ends the search."""
+    quote = (quote or "").strip()
     if not text or not quote:
         return None
     at = text.find(quote)
     if at >= 0:
         return at, at + len(quote), "exact", 1.0
-    found = find_span(text, quote)
-    if found:
-        return *found, "space", ratio(quote, text[found[0] : found[1]])
-    hay, places = squeezed(text, r"[\W_]")
-    needle = squeezed(quote, r"[\W_]")[0]
-    at = hay.find(needle) if needle else -1
-    if at >= 0:
-        a, b = places[at], places[at + len(needle) - 1] + 1
-        return a, b, "punctuation", ratio(quote, text[a:b])
+    needle = " ".join(quote.split())
+    if found := _found(collapsed(text), needle):
+        return *found, "whitespace_normalized", 1.0
+    if found := _found(unpunctuated(text), "".join(c for c in needle if c not in PUNCTUATION)):
+        return *found, "punctuation_removed", 1.0
     best = (0.0, 0, 0)
     n, letters = len(quote), Counter(quote)
+    matcher = SequenceMatcher(None, "", quote)
     shared = [0, *accumulate(c in letters for c in text)]  # a window's characters that the quote has bound its matches
-    for size in sorted({max(1, int(n * f)) for f in (0.7, 0.85, 1.0, 1.25, 1.5)}, key=lambda s: abs(s - n)):
-        for a in range(0, max(1, len(text) - size + 1), max(1, n // 4)):
-            b = min(len(text), a + size)
-            hopeless = lambda m: 2.0 * m / (n + b - a) < least or 2.0 * m / (n + b - a) <= best[0]  # noqa: B023, E731
-            if hopeless(min(n, shared[b] - shared[a])) or hopeless((letters & Counter(text[a:b])).total()):
+    for size in range(max(1, int(n * 0.7)), min(len(text), int(n * 1.5) + 1) + 1):
+        for a in range(0, len(text) - size + 1, max(1, size // 4)):
+            bound = 2.0 * min(n, shared[a + size] - shared[a]) / (n + size)
+            if bound < least or bound <= best[0]:
+                continue
+            matcher.set_seq1(text[a : a + size])
+            if matcher.quick_ratio() < least or (score := matcher.ratio()) <= best[0]:
                 continue
-            score = ratio(quote, text[a:b])
-            if score > best[0]:
-                best = (score, a, b)
-                if score >= SURE:
-                    return best[1], best[2], "window", score
-    return (best[1], best[2], "window", best[0]) if best[0] >= least else None
+            best = (score, a, a + size)
+            if score >= SURE:
+                return a, a + size, "fuzzy_similarity", round(score, 4)
+    return (best[1], best[2], "fuzzy_similarity", round(best[0], 4)) if best[0] >= least else None
 
 
 def slice_similarity(text: str, start: int, end: int, quote: str) -> float:
@@ -139,9 +169,14 @@ def locate(text: str, quote: str) -> Column:
     return F.pandas_udf(run, "start long, end long, level string, similarity double")(text, quote)
 
 
-def normalised_term(c: Column) -> Column:
-    """A term by its synonym, itself if it has none."""
-    out = c
-    for a, b in SYNONYMS.items():
-        out = F.when(c == a, F.lit(b)).otherwise(out)
-    return out
+def normalised_term(c: Column, layer: str = "structure") -> Column:
+    """A term by the synonyms of its layer, itself if it has none."""
+    table = F.create_map(*(F.lit(x) for pair in TERMS[layer].items() for x in pair))
+    return F.coalesce(table[c], c)
+
+
+def normalised_rows(rows: DataFrame, column: str, layer: str = "structure") -> tuple[DataFrame, DataFrame]:
+    """rows with the terms of a column normalised, and the report of changes (old, new, n)."""
+    new = normalised_term(F.col(column), layer)
+    changes = rows.select(F.col(column).alias("old"), new.alias("new")).filter("old <> new").groupBy("old", "new").agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn(column, new), changes

@@ -61,16 +61,70 @@ def season_of(c: Column) -> Column:
     return F.when(found != "", found)
 
 
+# fixed values: words of the four parts of the day, and what sets a text's time by chapter
+DAY = ["早晨|早上|清晨|黎明|破晓", "上午|中午|正午|午时", "下午|午后|傍晚|黄昏|日落", "晚上|夜里|夜晚|午夜|深夜|子时"]
+BY_CHAPTER = r"第[一二三四五六七八九十百千\d]+[章节回]"
+# fixed values: names of a season, of a time of day and of a distance in time
+MARKERS = {
+    "season": "春|夏|秋|冬|春天|夏天|秋天|冬天", "period": "上午|下午|中午|晚上|深夜|凌晨|黄昏|黎明|早晨|清晨",
+    "relative": "多年前|多年后|不久前|不久后|几天后|几个月后|一年后|十年后",
+}
+
+
 def time_hint(c: Column) -> Column:
     """1 to 4 by the time of day that a text names."""
-    # fixed values: words of the four parts of the day
-    parts = ["清晨|早晨|早上|黎明|凌晨|拂晓|上午", "中午|正午|午后|下午", "傍晚|黄昏|日落", "晚上|夜晚|深夜|夜里|半夜|午夜"]
     out = F.lit(None).cast("int")
     for i in range(4, 0, -1):
-        out = F.when(c.rlike(parts[i - 1]), F.lit(i)).otherwise(out)
+        out = F.when(c.rlike(DAY[i - 1]), F.lit(i)).otherwise(out)
     return out
 
 
+def time_marker(c: Column, kind: str) -> Column:
+    """The first season, period or relative time that a text names, or null."""
+    found = F.regexp_extract(c, MARKERS[kind], 0)
+    return F.when(found != "", found)
+
+
+def time_goes_on(before: Column, now: Column) -> Column:
+    """False only if both texts are explicit and the time of day goes back, or one lacks a time of day and the texts differ."""
+    explicit = lambda c: time_hint(c).isNotNull() | c.rlike(BY_CHAPTER)
+    known = (F.coalesce(before, F.lit("")) != "") & (F.coalesce(now, F.lit("")) != "")
+    hints = time_hint(before).isNotNull() & time_hint(now).isNotNull()
+    onward = F.when(hints, time_hint(now) >= time_hint(before)).otherwise(F.trim(before) == F.trim(now))
+    return F.when(known & explicit(before) & explicit(now), onward).otherwise(F.lit(True))
+
+
+def plain_place(c: Column) -> Column:
+    """A place without a leading verb or preposition and a trailing locative; null if nothing is left."""
+    out = F.regexp_replace(c, "^(在|位于|到了|来到|进入|离开)\\s*", "")
+    out = F.trim(F.regexp_replace(out, "\\s*(里|中|内|上|下|旁|附近)$", ""))
+    return F.when(out != "", out)
+
+
+def same_place(a: Column, b: Column) -> Column:
+    """Equal, one in the other, or one unknown."""
+    a, b = plain_place(a), plain_place(b)
+    return F.coalesce(F.contains(a, b) | F.contains(b, a), F.lit(True))
+
+
+def word_form(c: Column) -> Column:
+    """A word without notes in brackets, quote marks and space at its ends."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, "[（(].*?[)）]", ""), "[《》「」『』\"“”'‘’·]", ""))
+
+
+def anchor(c: Column, size: int = 24) -> Column:
+    """(text, start, end): the first characters of a text and the place at which its first six stand; null for a blank text."""
+    head = F.left(c, F.lit(size))
+    at = F.instr(c, F.left(head, F.lit(6))) - 1
+    fits = (at >= 0) & (at + F.length(head) <= F.length(c))
+    return F.when(F.trim(head) != "", F.struct(head.alias("text"), F.when(fits, at).alias("start"), F.when(fits, at + F.length(head)).alias("end")))
+
+
+def rounded(c: Column, digits: int) -> Column:
+    """Half up, in the same steps as the oracle's SQL."""
+    return F.floor(c.cast("double") * F.lit(float(10**digits)) + F.lit(0.5)) / F.lit(float(10**digits))
+
+
 def time_type(c: Column) -> Column:
     """Flashback, flashforward or analepsis by key words, in this order, else linear; unknown for null."""
     # fixed values: key words of each type

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabulon.functions.similarity import leaders, ratio
+from fabulon.functions.text import CJK
 
 
 def merge_aliases(names: list[tuple[str, int]], least: float = 0.6) -> dict[str, str]:
@@ -45,8 +46,55 @@ def object_leaders(items: DataFrame, least: float = 0.6) -> DataFrame:
     return first.groupBy("doc_id").applyInPandas(run, "doc_id long, text string, cluster long")
 
 
+def places(text: str, part: Column) -> Column:
+    """Where (from 1) a text has a part, overlapping places too."""
+    return F.filter(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(F.col(text), i, F.length(part)) == part)
+
+
+def name_places(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """(doc_id, idx, who, pos): each place of a document's names of two characters or more in its segments, unless an ideograph stands right before or
+    after it. Candidates are met by their first two characters, so that a segment meets the names that may stand in it and no others."""
+    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("txt") - 1), lambda i: F.substring(F.col("txt"), i, F.lit(2))))
+    text = rows.filter(F.length("txt") > 1).select("doc_id", "idx", "txt", F.explode(pairs).alias("pair"))
+    met = text.join(names.filter(F.length("who") > 1).select(F.col("doc_id").alias("d2"), "who", F.substring("who", 1, 2).alias("head")).distinct(), (F.col("doc_id") == F.col("d2")) & (F.col("pair") == F.col("head")))
+    found = met.select("doc_id", "idx", "txt", "who", F.explode(places("txt", F.col("who"))).alias("pos"))
+    near = lambda i: F.substring(F.col("txt"), i, F.lit(1)).rlike(CJK)
+    inside = (F.when(F.col("pos") > 1, near(F.col("pos") - 1)).otherwise(False)) | near(F.col("pos") + F.length("who"))
+    return found.filter(~inside).select("doc_id", "idx", "who", F.col("pos").cast("long").alias("pos"))
+
+
 def mentions(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """(doc_id, idx, who, n): occurrences, overlapping ones too, of a document's names in its segments."""
-    met = rows.select("doc_id", "idx", "txt").join(names.select("doc_id", "who"), "doc_id").filter(F.contains("txt", "who"))
-    n = F.size(F.filter(F.sequence(F.lit(1), F.length("txt")), lambda i: F.substring(F.col("txt"), i, F.length("who")) == F.col("who")))
-    return met.select("doc_id", "idx", "who", n.cast("long").alias("n"))
+    """(doc_id, idx, who, n): how often a document's names stand in its segments, by the rule of name_places."""
+    return name_places(rows, names).groupBy("doc_id", "idx", "who").agg(F.count(F.lit(1)).alias("n"))
+
+
+# fixed values: pronouns by gender
+PRONOUNS = {
+    "male": ["他", "他自己", "他俩", "他们", "他们俩", "这位先生", "那男人", "这男人"],
+    "female": ["她", "她自己", "她俩", "她们", "她们俩", "这位女士", "那女人", "这女人"],
+    "neutral": ["它", "它们", "这", "那", "这个", "那个", "此人", "那人", "该人"],
+}
+
+
+def pronouns(rows: DataFrame) -> DataFrame:
+    """(doc_id, idx, text, gender, pos): every place of every pronoun; a short form inside a long one counts as well."""
+    each = F.array(*(F.struct(F.lit(w).alias("text"), F.lit(g).alias("gender")) for g, ws in PRONOUNS.items() for w in ws))
+    met = rows.filter(F.col("txt").rlike("[他她它这那此该]")).select("doc_id", "idx", "txt", F.explode(each).alias("p")).select("doc_id", "idx", "txt", "p.*").filter(F.contains("txt", "text"))
+    return met.select("doc_id", "idx", "text", "gender", F.explode(places("txt", F.col("text"))).alias("pos")).withColumn("pos", F.col("pos").cast("long"))
+
+
+def gender_of(name: Column, female: str, male: str) -> Column:
+    """By the distinct characters of a name in two sets; null for a tie."""
+    n = lambda marks: F.size(F.array_intersect(F.split(name, ""), F.split(F.lit(marks), "")))
+    return F.when(n(female) > n(male), "female").when(n(male) > n(female), "male")
+
+
+def resolved_pronouns(rows: DataFrame, named: DataFrame, said: DataFrame) -> DataFrame:
+    """(doc_id, idx, text, pos, resolved_to, confidence): pronouns (said) with the last name of their gender. named: (doc_id, idx, who, pos, gender); all names of a
+    segment count before its pronouns, the last of them by falling length of the name, then by place. Neutral pronouns stay open."""
+    order = F.struct(-F.length("who"), F.col("pos"), F.col("who"))
+    last = named.groupBy("doc_id", "idx").agg(*(F.max_by(F.when(F.col("gender") == g, F.col("who")), F.when(F.col("gender") == g, order)).alias(g) for g in ("male", "female")))
+    upto = Window.partitionBy("doc_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    known = rows.select("doc_id", "idx").join(last, ["doc_id", "idx"], "left").select("doc_id", "idx", *(F.last(g, ignorenulls=True).over(upto).alias(g) for g in ("male", "female")))
+    who = F.when(F.col("gender") == "male", F.col("male")).when(F.col("gender") == "female", F.col("female"))
+    return said.join(known, ["doc_id", "idx"]).select("doc_id", "idx", "text", "pos", who.alias("resolved_to"), F.lit(0.7).alias("confidence")).filter("resolved_to is not null")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fabulon.functions.text import rounded
+
 # fixed values: ideographs and their punctuation; remains of markup and control characters
 CJK_WIDE = "[一-鿿㐀-䶿　-〿＀-￯]"
 GARBAGE = r"(?i)[\x{fffd}\x00-\x08\x0b\x0c\x0e-\x1f]|&nbsp;|&amp;|&lt;|&gt;|<br\s*/?>|<p\s*>|</p>|<div[^>]*>|</div>"
@@ -37,24 +39,40 @@ def garbage_density(rows: DataFrame, key: str, text: str) -> DataFrame:
     return rows.withColumn("density", share(F.col("n_garbage"), F.col("n_chars"))).withColumn("status", graded(F.col("density"), 0.001, 0.01))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, p): non-blank paragraphs in order."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "p")).filter(F.trim("p") != "")
+def _paragraphs() -> Column:
+    """The text's parts between blank lines, without space at their ends."""
+    return F.filter(F.transform(F.split("text", r"\n\s*\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
 def paragraph_stats(docs: DataFrame) -> DataFrame:
-    n = F.length("p")
-    rows = paragraphs(docs).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.avg(n).alias("mean"), F.stddev_pop(n).alias("sd"), F.avg(F.when(n < 10, 1.0).otherwise(0.0)).alias("short"))
-    cv = F.col("sd") / F.col("mean")
-    status = F.when(F.col("n") <= 2, "warn").when(cv.between(0.2, 1.2) & (F.col("short") < 0.3), "pass").when((cv <= 2) & (F.col("short") < 0.5), "warn").otherwise("fail")
-    return rows.select("doc_id", "n", F.round("mean", 6).alias("mean"), F.round(cv, 6).alias("cv"), F.round("short", 6).alias("short"), status.alias("status"))
+    """Lengths of paragraphs: a row stays where it is, no paragraph leaves it."""
+    rows = docs.select("doc_id", F.transform(_paragraphs(), lambda x: F.length(x).cast("double")).alias("l")).withColumn("n", F.size("l").cast("long")).filter("n >= 0")
+    rows = rows.withColumn("mean", _total(F.col("l")) / F.greatest("n", F.lit(1)))
+    rows = rows.withColumn("sd", F.sqrt(F.greatest(_total(F.transform("l", lambda x: x * x)) / F.greatest("n", F.lit(1)) - F.col("mean") * F.col("mean"), F.lit(0.0))))
+    rows = rows.withColumn("cv", F.when(F.col("mean") > 0, F.col("sd") / F.col("mean")).otherwise(0.0)).withColumn("short", F.size(F.filter("l", lambda x: x < 10)) / F.greatest("n", F.lit(1)))
+    score = F.when(F.col("n") == 0, 0).when(F.col("n") <= 2, 75).when(F.col("cv").between(0.2, 1.2) & (F.col("short") < 0.3), 100).when((F.col("cv") <= 2) & (F.col("short") < 0.5), 70).otherwise(40)
+    return rows.select("doc_id", "n", rounded(F.col("mean"), 1).alias("mean"), rounded(F.col("sd"), 1).alias("sd"), rounded(F.col("cv"), 3).alias("cv"), rounded(F.col("short"), 3).alias("short"), score.cast("long").alias("score")).withColumn("status", by_score())
+
+
+def by_score() -> Column:
+    return F.when(F.col("score") >= 100, "pass").when(F.col("score") >= 70, "warn").otherwise("fail")
+
+
+def repetition(docs: DataFrame, least: int = 20) -> DataFrame:
+    """Paragraphs of more than `least` characters that equal the one before, and the share of repeated character n-grams."""
+    p = docs.select("doc_id", _paragraphs().alias("p"))
+    same = F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.size("p") - 1, F.lit(1))), lambda i: F.coalesce((F.get("p", i) == F.get("p", i - 1)) & (F.length(F.get("p", i)) > least), F.lit(False))))
+    rows = p.select("doc_id", F.size("p").alias("n"), same.cast("long").alias("n_repeated"))
+    grams = gram_repetition(docs).select("doc_id", F.when(F.col("n_grams") > 1, F.col("repeated")).otherwise(0.0).alias("ratio"))
+    return rows.join(grams, "doc_id").select("doc_id", "n", "n_repeated", "ratio").select("doc_id", "n_repeated", rounded(F.col("ratio"), 3).alias("ratio"), _repetition_score().cast("long").alias("score")).withColumn("status", by_score())
 
 
-def repeated_paragraphs(docs: DataFrame, least: int = 20) -> DataFrame:
-    """Paragraphs of more than `least` characters that equal the one before."""
-    order = Window.partitionBy("doc_id").orderBy("pos")
-    rows = paragraphs(docs).withColumn("same", (F.col("p") == F.lag("p").over(order)) & (F.length("p") > least))
-    return rows.groupBy("doc_id").agg(F.count_if(F.coalesce("same", F.lit(False))).alias("n_repeated"))
+def _repetition_score() -> Column:
+    return F.when(F.col("n") <= 0, 0).when((F.col("n_repeated") == 0) & (F.col("ratio") < 0.3), 100).when((F.col("n_repeated") <= 2) & (F.col("ratio") < 0.5), 70).otherwise(40)
 
 
 def gram_repetition(docs: DataFrame, size: int = 5, head: int = 5000) -> DataFrame:
@@ -67,14 +85,21 @@ def gram_repetition(docs: DataFrame, size: int = 5, head: int = 5000) -> DataFra
 
 
 def verdict(docs: DataFrame) -> DataFrame:
-    """Weighted score (pass 100, warn 70, fail 40) and the worst status of the checks."""
-    points = lambda c: F.when(F.col(c) == "pass", 100.0).when(F.col(c) == "warn", 70.0).otherwise(40.0)
-    rows = cjk_ratio(docs).select("doc_id", F.col("status").alias("cjk"))
-    for name, found in {"quotes": quote_balance(docs), "garbage": garbage_density(docs, "doc_id", "text")}.items():
-        rows = rows.join(found.select("doc_id", F.col("status").alias(name)), "doc_id")
-    rows = rows.join(paragraph_stats(docs).select("doc_id", F.col("status").alias("paragraphs")), "doc_id").join(gram_repetition(docs).select("doc_id", graded(F.col("repeated"), 0.5, 0.8).alias("repetition")), "doc_id")
+    """Weighted score and the worst status of the checks."""
+    whole = lambda c: F.least(F.greatest(F.floor(c), F.lit(0)), F.lit(100)).cast("double")
+    marks = {
+        "cjk": (cjk_ratio(docs), F.when(F.col("status") == "pass", 100.0).otherwise(whole(F.col("ratio") / 0.8 * F.when(F.col("status") == "warn", 80.0).otherwise(40.0)))),
+        "quotes": (quote_balance(docs), F.when(F.col("status") == "pass", 100.0).otherwise(whole((1 - F.col("imbalance")) * F.when(F.col("status") == "warn", 80.0).otherwise(50.0)))),
+        "garbage": (garbage_density(docs, "doc_id", "text"), F.when(F.col("n_chars") == 0, 0.0).when(F.col("status") == "pass", 100.0).when(F.col("status") == "warn", whole((1 - F.col("density") * 50) * 80)).otherwise(whole((1 - F.col("density") * 10) * 40))),
+        "paragraphs": (paragraph_stats(docs), F.col("score").cast("double")), "repetition": (repetition(docs), F.col("score").cast("double")),
+    }
+    rows = None
+    for name, (found, points) in marks.items():
+        status = F.when((F.col("n_chars") == 0), "fail").otherwise(F.col("status")) if name == "garbage" else F.col("status")
+        found = found.select("doc_id", status.alias(name), points.alias(name + "_score"))
+        rows = found if rows is None else rows.join(found, "doc_id")
     worst = F.when(F.array_contains(F.array(*WEIGHTS), "fail"), "fail").when(F.array_contains(F.array(*WEIGHTS), "warn"), "warn").otherwise("pass")
-    return rows.select("doc_id", F.round(sum(points(c) * w for c, w in WEIGHTS.items()), 6).alias("score"), worst.alias("verdict"))
+    return rows.select("doc_id", rounded(sum(F.col(c + "_score") * w for c, w in WEIGHTS.items()), 2).alias("score"), worst.alias("verdict"))
 
 
 def recommendations(rows: DataFrame) -> DataFrame:

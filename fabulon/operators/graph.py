@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabulon.functions import enums as E
+from fabulon.functions.text import rounded
 
 from .sequence import event_function
 
@@ -59,17 +60,25 @@ def top_chains(paths: DataFrame, k: int = 20) -> DataFrame:
 
 
 def salience(positions: DataFrame, rows: DataFrame, recurrence: DataFrame) -> DataFrame:
-    """0.4 position + 0.3 length against the document's longest + 0.3 recurrence (share of the reach in which themes come back)."""
+    """0.4 position + 0.3 length (half of that against the document's mean, 1 at most) + 0.3 recurrence (mean overlap with the neighbours, 0.3
+    without any), and whether the event is a core event and a turning point. The parts are rounded first, so that sums have no noise."""
     whole = Window.partitionBy("doc_id")
-    length = rows.select("doc_id", "idx", "d01", (F.length("txt") / F.max(F.length("txt")).over(whole)).alias("length"))
-    met = positions.join(length, ["doc_id", "idx"]).join(recurrence.select("doc_id", "idx", "n", "overlap"), ["doc_id", "idx"])
-    again = F.when(F.col("n") > 0, F.col("overlap") / F.col("n")).otherwise(0.0)
-    met = met.withColumn("salience", F.round(0.4 * F.col("position") + 0.3 * F.col("length") + 0.3 * again, 6))
+    length = F.least(F.length("txt") / F.avg(F.length("txt")).over(whole), F.lit(2.0)) / 2
+    met = positions.join(rows.select("doc_id", "idx", "d01", rounded(length, 9).alias("length")), ["doc_id", "idx"]).join(recurrence.select("doc_id", "idx", "n", "overlap"), ["doc_id", "idx"])
+    again = rounded(F.when(F.col("n") > 0, F.col("overlap") / F.col("n")).otherwise(0.3), 9)
+    met = met.withColumn("salience", rounded(F.col("position") * 0.4 + F.col("length") * 0.3 + again * 0.3, 3))
     core = F.col("d01").isin("激励事件", "高潮", "转折", "结局") & (F.col("salience") >= 0.7)
-    turning = F.col("d01").isin("转折", "高潮") & (F.col("salience") >= 0.8)
+    turning = F.col("d01").isin("转折", "高潮") | (F.col("salience") >= 0.8)
     return met.select("doc_id", "idx", "salience", core.alias("core"), turning.alias("turning"))
 
 
+def causal_types(edges: DataFrame) -> DataFrame:
+    """Per segment of edges (doc_id, src, tgt, kind): conditional if any prevents, indirect if more enable than cause, else direct."""
+    ends = edges.select("doc_id", F.explode(F.array("src", "tgt")).alias("idx"), "kind")
+    n = lambda k: F.count_if(F.col("kind") == k)
+    return ends.groupBy("doc_id", "idx").agg(F.when(n("PREVENT") > 0, "条件因果").when(n("ENABLE") > n("CAUSE"), "间接因果").otherwise("直接因果").alias("causal_type"))
+
+
 def event_sequence(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes of causal edges in order, with their function and edge counts."""
     nodes = degrees(edges, rows).filter("in_degree + out_degree > 0").join(rows.select("doc_id", "idx", "d01", "loc", "year"), ["doc_id", "idx"])
@@ -84,16 +93,36 @@ def object_chains(rows: DataFrame, least: int = 2) -> DataFrame:
     return out.filter(F.col("n") >= least)
 
 
+# fixed values: what an emotion toward someone says about the relation
+RELATION_OF = {
+    "思念": "亲情", "眷恋": "亲情", "爱慕": "爱情", "心动": "爱情", "甜蜜": "爱情", "信任": "友情", "温暖": "友情", "坚定": "战友", "热血": "战友", "愤怒": "敌对", "仇恨": "敌对",
+    "厌恶": "敌对", "敬畏": "上下级", "服从": "上下级", "敬佩": "师徒", "感激": "师徒", "羞涩": "暗恋", "期待": "暗恋", "默契": "合作", "协作": "合作",
+}
+
+
+def relation_of(emotion: Column) -> Column:
+    """The relation of the first word, in order, that an emotion holds; null for none."""
+    return F.coalesce(*(F.when(F.contains(emotion, F.lit(word)), F.lit(relation)) for word, relation in RELATION_OF.items()))
+
+
 def network_edges(pairs: DataFrame, intensity: DataFrame, dialogue: DataFrame) -> DataFrame:
-    """Strength of pairs: 0.4 co-occurrence / 10, 0.3 intensity / 10, 0.3 dialogue / 5, each 1 at most."""
+    """Strength of pairs: 0.4 co-occurrence / 10, 0.3 intensity / 10, 0.3 dialogue / 5, each 1 at most; the relation by the emotions between
+    them (felt: the first that tells one, in intensity's rows), else by dialogue, else by co-occurrence."""
     rows = pairs.join(intensity, ["doc_id", "a", "b"], "left").join(dialogue, ["doc_id", "a", "b"], "left")
     part = lambda c, full, w: F.least(F.coalesce(F.col(c), F.lit(0)) / full, F.lit(1.0)) * w
-    strength = F.round(part("n", 10, 0.4) + part("mean_intensity", 10, 0.3) + part("n_dialogue", 5, 0.3), 6)
+    strength = rounded(part("n", 10, 0.4) + part("mean_intensity", 10, 0.3) + part("n_dialogue", 5, 0.3), 3)
     rows = rows.withColumn("strength", strength)
-    relation = F.when(F.col("strength") < 0.1, "陌生").when(F.coalesce("n_dialogue", F.lit(0)) >= 2, "合作").when(F.col("n") >= 3, "友情").otherwise("陌生")
+    by_count = F.when(F.coalesce("n_dialogue", F.lit(0)) >= 2, "合作").when(F.col("n") >= 3, "友情").otherwise("陌生")
+    relation = F.when(F.col("strength") < 0.1, "陌生").otherwise(F.coalesce("felt", by_count))
     return rows.select("doc_id", "a", "b", "n", "strength", relation.alias("relation"))
 
 
+def centrality(edges: DataFrame) -> DataFrame:
+    """Per node of edges (doc_id, a, b, strength): number of partners and sum of strengths."""
+    ends = edges.select("doc_id", F.explode(F.array("a", "b")).alias("who"), "strength")
+    return ends.groupBy("doc_id", "who").agg(F.count(F.lit(1)).alias("degree"), rounded(F.sum("strength"), 3).alias("weight"))
+
+
 def communities(edges: DataFrame) -> DataFrame:
     """Members by relation label."""
     who = edges.select("doc_id", "relation", F.explode(F.array("a", "b")).alias("who"))
@@ -111,6 +140,8 @@ def scene_presence(scenes: DataFrame, mentions: DataFrame) -> DataFrame:
 
 
 def narrative_speed(rows: DataFrame) -> DataFrame:
+    """By length against the document's mean: scene with dialogue, ellipsis where the time text jumps, summary, else normal."""
     ratio = F.length("txt") / F.avg(F.length("txt")).over(Window.partitionBy("doc_id"))
-    kind = F.when((F.col("ratio") > 1.5) & F.col("d10").isNotNull(), "场景").when(F.col("ratio") < 0.5, "概述").otherwise("正常")
+    jumps = F.coalesce(F.col("time_txt").rlike("跳|年后|次日"), F.lit(False))
+    kind = F.when((F.col("ratio") > 1.5) & F.col("d10").isNotNull(), "场景").when((F.col("ratio") < 0.2) & jumps, "省略").when(F.col("ratio") < 0.5, "概述").otherwise("正常")
     return rows.withColumn("ratio", ratio).select("doc_id", "idx", kind.alias("speed"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabulon.functions.text import rounded
+
 from .aggregates import half_split_trend, head_tail_means, mode_first_seen, moments
 
 
@@ -65,10 +67,29 @@ def pace(rows: DataFrame) -> DataFrame:
 
 
 def emotion_arc(mood: DataFrame) -> DataFrame:
-    """Mean polarity at the head and the tail, and the shape between them."""
-    out = head_tail_means(mood.withColumn("score", polarity_score("polarity")), "score")
-    shape = F.when(F.col("tail") - F.col("head") > 0.3, "rise").when(F.col("tail") - F.col("head") < -0.3, "fall").otherwise("level")
-    return out.withColumn("shape", shape)
+    """Polarity at the head and tail (a tenth of the rows, 3 at least), trend, variance, peak, and the shape of the arc; too short below 5 rows."""
+    by = Window.partitionBy("doc_id")
+    rows = mood.withColumns({"score": polarity_score("polarity"), "rn": F.row_number().over(by.orderBy("idx")), "size": F.count(F.lit(1)).over(by)})
+    edge = F.greatest(F.lit(3), F.floor(F.col("size") / 10))
+    mean = lambda c: F.sum(F.when(c, F.col("score"))) / F.count_if(c)
+    out = rows.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), mean(F.col("rn") <= edge).alias("head"), mean(F.col("rn") > F.col("size") - edge).alias("tail"), F.sum("score").alias("total"), F.sum(F.col("score") * F.col("score")).alias("squares"),
+        F.count_if(F.col("score") < 0).alias("neg"), F.count_if(F.col("score") > 0).alias("pos"), F.max("intensity").alias("peak_intensity"), F.min_by("idx", F.struct(-F.coalesce("intensity", F.lit(0)), F.col("idx"))).alias("peak_idx"),
+    )
+    out = out.withColumns({"trend": F.col("tail") - F.col("head"), "variance": F.col("squares") / F.col("n") - (F.col("total") / F.col("n")) * (F.col("total") / F.col("n")), "neg": F.col("neg") / F.col("n"), "pos": F.col("pos") / F.col("n")})
+    side = lambda c: F.when(F.col(c) > 0.3, "positive").when(F.col(c) < -0.3, "negative").otherwise("mixed/neutral")
+    out = out.withColumns({"start_polarity": side("head"), "end_polarity": side("tail")})
+    end, neg, pos = F.col("end_polarity"), F.col("neg"), F.col("pos")
+    open_ = end == "mixed/neutral"
+    pattern = (
+        F.when(F.col("n") < 5, "数据不足").when((neg > 0.5) & ((end == "negative") | (F.col("trend") < -0.1)), "悲剧弧线（压抑→下行）")
+        .when((pos > 0.5) & ((end == "positive") | (F.col("trend") > 0.1)), "喜剧弧线（上升→圆满）")
+        .when((F.col("variance") > 0.3) & (open_ | ((neg > 0.3) & (pos > 0.3))), "悲喜剧弧线（起伏→释然）").when(F.col("variance") > 0.5, "波动型弧线（大起大落）")
+        .when(open_ & (neg > 0.3), "悲剧弧线（余韵悠长）").when(open_, "开放式结局（余韵悠长）").otherwise("平稳型弧线")
+    )
+    known = lambda c: F.when(F.col("n") >= 5, c)
+    confidence = F.when(F.col("n") >= 5, rounded(F.least(F.lit(0.9), 0.4 + F.col("n") * 0.01), 2)).otherwise(0.0)
+    return out.select("doc_id", pattern.alias("pattern"), *(known(F.col(c)).alias(c) for c in ("start_polarity", "end_polarity", "peak_intensity", "peak_idx")), known(rounded(F.col("trend"), 2)).alias("trend"), known(rounded(F.col("variance"), 2)).alias("variance"), confidence.alias("confidence"))
 
 
 def reader_experience(rows: DataFrame) -> DataFrame:

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from fabulon.functions.similarity import locate, seq_ratio
 from fabulon.operators import entities, scratchpad
+from fabulon.operators.sequence import with_previous
 
 from .fixture import annotated, segments
 
 
 def sim_seq_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = segments(spark, sf_dir).select("doc_id", "idx", F.left("txt", F.lit(60)).alias("head"), F.right("txt", F.lit(60)).alias("tail"))
-    return rows.select("doc_id", "idx", F.round(seq_ratio("head", "tail"), 6).alias("ratio"))
+    """Each segment against the one before, whole."""
+    rows = with_previous(segments(spark, sf_dir), "txt").filter("prev is not null")
+    return rows.select("doc_id", "idx", F.round(seq_ratio("prev_txt", "txt"), 6).alias("ratio"))
 
 
 def span_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,12 +37,5 @@ def object_leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.object_leaders(annotated(spark, sf_dir).select("doc_id", "idx", F.concat("cl", F.lit(" "), "t2").alias("text")))
 
 
-def entity_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's first word, found in all its segments."""
-    rows = segments(spark, sf_dir)
-    names = rows.groupBy("doc_id").agg(F.min_by(F.element_at(F.split("txt", "[^A-Za-z]+"), 1), "idx").alias("who")).filter(F.length("who") > 1)
-    return entities.mentions(rows, names)
-
-
 def queries() -> dict:
-    return {f.__name__: f for f in (sim_seq_ratio, span_fuzzy, scratchpad_fold, alias_clusters, object_leader_clusters, entity_mentions)}
+    return {f.__name__: f for f in (sim_seq_ratio, span_fuzzy, scratchpad_fold, alias_clusters, object_leader_clusters)}

@@ -39,6 +39,10 @@ FIELDS = [
     ("gap", "R", (5, 1, None), None),
     ("rel", "RT", E.RELATIONS, None),
     ("done", "DONE", (3, 0, None), None),
+    ("time_txt", "TIME", ["清晨", "次日上午", "三年后", "傍晚", "时间跳跃", "夜里", "第三章", "那年冬天"], ("N_TIME", 4)),
+    ("space_txt", "SPACE", ["在巴黎", "巴黎的画室里", "来到客厅", "客厅", "离开 车站附近", "街上"], ("N_SPACE", 4)),
+    ("word", "WORD", ["高兴", "害怕", "（旧）孤寂", "愤怒", "向往", "「羞愧」", "妒忌", "信任"], None),
+    ("sent", "SENT", ["王秀英走了，他看见张伟。", "她们说：这位先生，王秀英！", "张伟 和 李明 都在，那人他认识。", "小张伟不在。他们俩笑了", "李明；它们", "nothing"], None),
 ]
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabulon.functions import enums as E
+from fabulon.functions import similarity
 from fabulon.functions import text as X
 from fabulon.operators import aggregates as A
-from fabulon.operators import gate, joins, metrics, story, validate
+from fabulon.operators import entities, gate, joins, metrics, story, validate
 from fabulon.operators import graph as G
 from fabulon.operators import segmentation as S
 from fabulon.operators import sequence as Q
@@ -92,25 +93,50 @@ register("seg_greedy", table("documents", S.packed))
 register("qg_cjk_ratio", table("documents", gate.cjk_ratio), "SELECT doc_id, CASE WHEN length(text) > 0 THEN len(regexp_extract_all(text, '[一-鿿㐀-䶿　-〿＀-￯]')) / length(text) ELSE 0 END::DOUBLE AS ratio, CASE WHEN ratio >= 0.8 THEN 'pass' WHEN ratio >= 0.56 THEN 'warn' ELSE 'fail' END AS status FROM documents", raw=True)
 register("qg_quote_balance", table("documents", gate.quote_balance), "SELECT *, CASE WHEN imbalance <= 0.1 THEN 'pass' WHEN imbalance <= 0.2 THEN 'warn' ELSE 'fail' END AS status FROM (SELECT *, CASE WHEN n_open + n_close > 0 THEN abs(n_open - n_close) / (n_open + n_close) ELSE 0 END::DOUBLE AS imbalance FROM (SELECT doc_id, (length(text) - length(translate(text, '«“「『‘', '')))::BIGINT AS n_open, (length(text) - length(translate(text, '»”」』’', '')))::BIGINT AS n_close FROM documents))", raw=True)
 register("qg_garbage_pages", table("pages", lambda p: gate.garbage_density(p, "page_id", "html")), r"SELECT *, CASE WHEN density <= 0.001 THEN 'pass' WHEN density <= 0.01 THEN 'warn' ELSE 'fail' END AS status FROM (SELECT *, CASE WHEN n_chars > 0 THEN n_garbage / n_chars ELSE 0 END::DOUBLE AS density FROM (SELECT page_id, len(regexp_extract_all(html, '(?i)[\x{fffd}\x00-\x08\x0b\x0c\x0e-\x1f]|&nbsp;|&amp;|&lt;|&gt;|<br\s*/?>|<p\s*>|</p>|<div[^>]*>|</div>'))::BIGINT AS n_garbage, length(html)::BIGINT AS n_chars FROM pages))", raw=True)
-PARA = "para AS (SELECT doc_id, i - 1 AS pos, l[i] AS p FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents) WHERE trim(l[i], ' ') <> '')"
-PSTAT = f"{PARA}, ps AS (SELECT doc_id, count(*) AS n, avg(length(p)) AS mean, stddev_pop(length(p)) AS sd, avg(CASE WHEN length(p) < 10 THEN 1.0 ELSE 0.0 END) AS short FROM para GROUP BY 1), pst AS (SELECT doc_id, n, round(mean, 6) AS mean, round(sd / mean, 6) AS cv, round(short, 6) AS short, CASE WHEN n <= 2 THEN 'warn' WHEN sd / mean BETWEEN 0.2 AND 1.2 AND short < 0.3 THEN 'pass' WHEN sd / mean <= 2 AND short < 0.5 THEN 'warn' ELSE 'fail' END AS status FROM ps)"
-register("qg_paragraph_stats", table("documents", gate.paragraph_stats), f"WITH {PSTAT} SELECT * FROM pst", raw=True)
-register("qg_repetition", table("documents", gate.repeated_paragraphs), f"WITH {PARA} SELECT doc_id, count(*) FILTER (p = q AND length(p) > 20) AS n_repeated FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY pos) AS q FROM para) GROUP BY 1", raw=True)
+PARA = r"para AS (SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE list_filter(list_transform(regexp_split_to_array(text, '\n\s*\n'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') END AS p FROM documents)"
+
+
+def R(x: str, digits: int) -> str:
+    """The oracle's rounding: half up, in the steps of text.rounded."""
+    return f"(floor(({x})::DOUBLE * {float(10**digits)}::DOUBLE + 0.5::DOUBLE) / {float(10**digits)}::DOUBLE)"
+
+
+STATUS = "CASE WHEN score >= 100 THEN 'pass' WHEN score >= 70 THEN 'warn' ELSE 'fail' END"
+PSTAT = f"{PARA}, pl AS (SELECT doc_id, len(p)::BIGINT AS n, coalesce(list_sum(list_transform(p, lambda x: length(x)::DOUBLE)), 0) / greatest(len(p), 1) AS mean, coalesce(list_sum(list_transform(p, lambda x: (length(x) * length(x))::DOUBLE)), 0) / greatest(len(p), 1) AS sq, len(list_filter(p, lambda x: length(x) < 10)) / greatest(len(p), 1) AS short FROM para WHERE p IS NOT NULL), pd AS (SELECT *, sqrt(greatest(sq - mean * mean, 0::DOUBLE)) AS sd FROM pl), pc AS (SELECT *, CASE WHEN mean > 0 THEN sd / mean ELSE 0::DOUBLE END AS cv FROM pd), pst AS (SELECT doc_id, n, {R('mean', 1)} AS mean, {R('sd', 1)} AS sd, {R('cv', 3)} AS cv, {R('short', 3)} AS short, CASE WHEN n = 0 THEN 0 WHEN n <= 2 THEN 75 WHEN cv BETWEEN 0.2::DOUBLE AND 1.2::DOUBLE AND short < 0.3::DOUBLE THEN 100 WHEN cv <= 2 AND short < 0.5::DOUBLE THEN 70 ELSE 40 END::BIGINT AS score FROM pc)"
+register("qg_paragraph_stats", table("documents", gate.paragraph_stats), f"WITH {PSTAT} SELECT *, {STATUS} AS status FROM pst", raw=True)
 GRAMS = "g AS (SELECT doc_id, greatest(length(left(text, 5000)) - 4, 0)::BIGINT AS n_grams, len(list_distinct(list_transform(range(1, greatest(length(left(text, 5000)) - 4, 0) + 1), lambda i: substr(left(text, 5000), i, 5))))::BIGINT AS n_distinct FROM documents), gr AS (SELECT *, round(CASE WHEN n_grams > 0 THEN (n_grams - n_distinct) / n_grams ELSE 0 END, 6)::DOUBLE AS repeated FROM g)"
 register("qg_gram_repetition", table("documents", gate.gram_repetition), f"WITH {GRAMS} SELECT * FROM gr", raw=True)
-register("qg_verdict", table("documents", gate.verdict))
+REP = f"{PARA}, {GRAMS}, rp AS (SELECT doc_id, coalesce(len(p), -1) AS n, coalesce(len(list_filter(range(2, len(p) + 1), lambda i: p[i] = p[i - 1] AND length(p[i]) > 20)), 0)::BIGINT AS n_repeated, CASE WHEN n_grams > 1 THEN repeated ELSE 0 END AS ratio FROM para JOIN gr USING (doc_id)), rep AS (SELECT doc_id, n_repeated, {R('ratio', 3)} AS ratio, CASE WHEN n <= 0 THEN 0 WHEN n_repeated = 0 AND ratio < 0.3::DOUBLE THEN 100 WHEN n_repeated <= 2 AND ratio < 0.5::DOUBLE THEN 70 ELSE 40 END::BIGINT AS score FROM rp)"
+register("qg_repetition", table("documents", gate.repetition), f"WITH {REP} SELECT *, {STATUS} AS status FROM rep", raw=True)
+
+
+def _bounded(x: str) -> str:
+    return f"least(greatest(floor({x}), 0), 100)::DOUBLE"
+
+
+GARBAGE = r"len(regexp_extract_all(text, '(?i)[\x{fffd}\x00-\x08\x0b\x0c\x0e-\x1f]|&nbsp;|&amp;|&lt;|&gt;|<br\s*/?>|<p\s*>|</p>|<div[^>]*>|</div>'))"
+VERDICT = (
+    f"WITH {REP}, {PSTAT[len(PARA) + 2 :]}, c1 AS (SELECT doc_id, status, CASE status WHEN 'pass' THEN 100 WHEN 'warn' THEN {_bounded('ratio / 0.8::DOUBLE * 80')} ELSE {_bounded('ratio / 0.8::DOUBLE * 40')} END::DOUBLE AS score FROM ({_sql['qg_cjk_ratio']})), "
+    f"c2 AS (SELECT doc_id, status, CASE status WHEN 'pass' THEN 100 WHEN 'warn' THEN {_bounded('(1 - imbalance) * 80')} ELSE {_bounded('(1 - imbalance) * 50')} END::DOUBLE AS score FROM ({_sql['qg_quote_balance']})), "
+    f"c3 AS (SELECT doc_id, CASE WHEN d IS NULL THEN 'fail' WHEN d <= 0.001::DOUBLE THEN 'pass' WHEN d <= 0.01::DOUBLE THEN 'warn' ELSE 'fail' END AS status, CASE WHEN d IS NULL THEN 0 WHEN d <= 0.001::DOUBLE THEN 100 WHEN d <= 0.01::DOUBLE THEN {_bounded('(1 - d * 50) * 80')} ELSE {_bounded('(1 - d * 10) * 40')} END::DOUBLE AS score FROM (SELECT doc_id, CASE WHEN length(text) > 0 THEN {GARBAGE} / length(text) END AS d FROM documents)), "
+    f"v AS (SELECT doc_id, c1.score * 0.30::DOUBLE + c2.score * 0.15::DOUBLE + c3.score * 0.20::DOUBLE + pst.score * 0.20::DOUBLE + rep.score * 0.15::DOUBLE AS total, [c1.status, c2.status, c3.status, CASE WHEN pst.score >= 100 THEN 'pass' WHEN pst.score >= 70 THEN 'warn' ELSE 'fail' END, CASE WHEN rep.score >= 100 THEN 'pass' WHEN rep.score >= 70 THEN 'warn' ELSE 'fail' END] AS st FROM c1 JOIN c2 USING (doc_id) JOIN c3 USING (doc_id) JOIN pst USING (doc_id) JOIN rep USING (doc_id)) "
+    f"SELECT doc_id, {R('total', 2)} AS score, CASE WHEN list_contains(st, 'fail') THEN 'fail' WHEN list_contains(st, 'warn') THEN 'warn' ELSE 'pass' END AS verdict FROM v"
+)
+register("qg_verdict", table("documents", gate.verdict), VERDICT, raw=True)
 
 # metrics
 TOK = "tok AS (SELECT *, regexp_extract_all(txt, '[一-鿿]|[a-zA-Z0-9]+') AS t FROM seg)"
-register("qm_counts", lambda s, d: metrics.counts(segments(s, d)), f", {TOK} SELECT doc_id, idx, length(txt)::BIGINT AS char_count, len(t)::BIGINT AS word_count, s AS sentence_count, round(length(txt) / greatest(s, 1), 6) AS avg_sentence_length FROM (SELECT *, len(list_filter(regexp_split_to_array(txt, '[。！？!?.…]+'), lambda x: trim(x, ' ') <> ''))::BIGINT AS s FROM tok)")
-register("qm_ttr", lambda s, d: metrics.type_token_ratio(segments(s, d)), f", {TOK} SELECT doc_id, idx, round(len(list_distinct(t)) / greatest(len(t), 1), 6) AS ttr FROM tok")
-register("qm_punctuation", lambda s, d: metrics.punctuation_density(segments(s, d)), r"SELECT doc_id, idx, round(len(regexp_extract_all(txt, '[，。！？；：、" + '"' + r"''「」『』（）《》【】—…·,.!?;:()\[\]{}\-]')) / greatest(length(txt), 1), 6) AS density FROM seg")
-register("qm_dialogue_ratio", lambda s, d: metrics.dialogue_ratio(segments(s, d)), "SELECT doc_id, idx, round(coalesce(list_sum(list_transform(regexp_extract_all(txt, '(?s)[「『" + '"' + "“‘].*?[」』" + '"' + "”’]'), lambda x: length(x))), 0) / greatest(length(txt), 1), 6) AS dialogue_ratio FROM seg")
+register("qm_counts", lambda s, d: metrics.counts(segments(s, d)), f", {TOK} SELECT doc_id, idx, length(txt)::BIGINT AS char_count, len(t)::BIGINT AS word_count, s AS sentence_count, {R('length(txt) / greatest(s, 1)', 1)} AS avg_sentence_length FROM (SELECT *, len(list_filter(regexp_split_to_array(txt, '[。！？；…!?;]+'), lambda x: trim(x, ' ') <> ''))::BIGINT AS s FROM tok)")
+register("qm_ttr", lambda s, d: metrics.type_token_ratio(segments(s, d)), f", {TOK} SELECT doc_id, idx, {R('len(list_distinct(t)) / greatest(len(t), 1)', 4)} AS ttr FROM tok")
+register("qm_punctuation", lambda s, d: metrics.punctuation_density(segments(s, d)), "SELECT doc_id, idx, " + R(r"len(regexp_extract_all(txt, '[，。！？；：、" + '"' + r"''「」『』（）《》【】—…·,.!?;:()\[\]{}\-]')) / greatest(length(txt), 1)", 4) + " AS density FROM seg")
+register("qm_dialogue_ratio", lambda s, d: metrics.dialogue_ratio(segments(s, d)), "SELECT doc_id, idx, " + R("coalesce(list_sum(list_transform(regexp_extract_all(txt, '(?s)[「『" + '"' + "“‘].*?[」』" + '"' + "”’]'), lambda x: length(x))), 0) / greatest(length(txt), 1)", 4) + " AS dialogue_ratio FROM seg")
 SENSES = {"visual": ["light", "and", "in"], "sound": ["th", "ou"], "touch": ["re", "er", "st"]}
 _hits = lambda w: f"(length(txt) - length(replace(txt, '{w}', ''))) / {len(w)}"
-register("qm_sense_density", lambda s, d: metrics.word_density(segments(s, d), SENSES), "SELECT doc_id, idx, " + ", ".join(f"round(({' + '.join(map(_hits, ws))}) / greatest(length(txt), 1), 6) AS {k}" for k, ws in SENSES.items()) + " FROM seg")
-LEXICON = [("the", "noun", 1), ("of", "verb", 2), ("and", "noun", 1), ("to", "verb", 2), ("die", "noun", 1), ("la", "noun", 2), ("que", "verb", 1)]
-register("qm_lexicon_shares", lambda s, d: metrics.lexicon_shares(segments(s, d), s.createDataFrame(LEXICON, "w string, pos string, pol int")), f", {TOK}, lex(w, pos, pol) AS (VALUES {', '.join(map(str, LEXICON))}), e AS (SELECT doc_id, idx, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS x FROM tok) SELECT doc_id, idx, round(count(*) FILTER (pol = 1) / greatest(count(x), 1), 6) AS positive, round(count(*) FILTER (pol = 2) / greatest(count(x), 1), 6) AS negative, round(count(*) FILTER (pos = 'verb') / greatest(count(x), 1), 6) AS verbs, round(count(*) FILTER (pos = 'noun') / greatest(count(x), 1), 6) AS nouns FROM e LEFT JOIN lex ON lower(x) = w GROUP BY 1, 2")
+register("qm_sense_density", lambda s, d: metrics.word_density(segments(s, d), SENSES), "SELECT doc_id, idx, " + ", ".join(f"{R(f'({' + '.join(map(_hits, ws))}) / greatest(length(txt), 1)', 5)} AS {k}" for k, ws in SENSES.items()) + " FROM seg")
+LEXICON = [("the", "noun", 1, ["PA"]), ("of", "verb", 2, ["NB", "ND"]), ("and", "adj", 1, ["PB"]), ("to", "verb", 2, ["NE"]), ("die", "noun", 1, ["PF"]), ("la", "adj", 2, ["NC", "NI"]), ("que", "verb", 1, [])]
+_share = lambda cond: R(f"count(*) FILTER ({cond}) / greatest(count(x), 1)", 4)
+_parts = {"positive": "pol = 1", "negative": "pol = 2", "anxiety": f"len(list_intersect(cls, {metrics.ANXIETY})) > 0", "adjectives": "pos = 'adj'", "verbs": "pos = 'verb'", "nouns": "pos = 'noun'"}
+register("qm_lexicon_shares", lambda s, d: metrics.lexicon_shares(segments(s, d), s.createDataFrame(LEXICON, "w string, pos string, pol int, cls array<string>")), f", {TOK}, lex(w, pos, pol, cls) AS (VALUES {', '.join(f"('{w}', '{pos}', {pol}, {cls}::VARCHAR[])" for w, pos, pol, cls in LEXICON)}), e AS (SELECT doc_id, idx, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS x FROM tok) SELECT doc_id, idx, {', '.join(f'{_share(c)} AS {k}' for k, c in _parts.items())} FROM e LEFT JOIN lex ON lower(x) = w GROUP BY 1, 2")
 
 # validators and predicates: the oracle restates each rule
 BAD = "CASE WHEN d01 IN ('过渡') THEN '过度' ELSE d01 END AS d01, CASE WHEN inten = 10 THEN 11 ELSE inten END AS inten, CASE WHEN pol = 'mixed' THEN 'both' ELSE pol END AS pol"
@@ -184,7 +210,8 @@ register("graph_causal_edges", on_ann(lambda a: G.accepted(G.causal_edges(refs(a
 register("graph_rejected_edges", on_ann(lambda a: G.rejected(G.causal_edges(refs(a), a.withColumn("d01", F.when(F.col("d01") != "无法判断", F.col("d01")))))), f", {CAUSAL} SELECT e.doc_id, src, tgt, 'isolated' AS reason FROM edges e JOIN ann a ON a.doc_id = e.doc_id AND a.idx = src JOIN ann b ON b.doc_id = e.doc_id AND b.idx = tgt WHERE a.d01 = '无法判断' OR b.d01 = '无法判断'")
 register("graph_degree_position", on_ann(lambda a: G.degrees(G.accepted(G.causal_edges(refs(a), a)), a)), f", {CAUSAL}, {DEG} SELECT *, {POSITION} AS position FROM deg")
 register("graph_chains", on_ann(lambda a: G.chains(G.accepted(G.causal_edges(refs(a), a)))), f", {CAUSAL}, walk AS (SELECT DISTINCT doc_id, [src, tgt] AS p FROM edges UNION ALL SELECT w.doc_id, list_append(p, e.tgt) FROM walk w JOIN (SELECT DISTINCT doc_id, src, tgt FROM edges) e ON e.doc_id = w.doc_id AND e.src = p[len(p)] WHERE len(p) < 6 AND NOT list_contains(p, e.tgt)) SELECT doc_id, array_to_string(p, '>') AS path, (len(p) - 1)::BIGINT AS length FROM walk", recursive=True)
-register("graph_salience", on_ann(lambda a: G.salience(G.degrees(G.accepted(G.causal_edges(refs(a), a)), a), a, joins.neighbour_overlap(a))), f", {CAUSAL}, {DEG}, {JACCARD}, l AS (SELECT doc_id, idx, d01, length(txt) / max(length(txt)) OVER (PARTITION BY doc_id) AS len_ FROM ann), s AS (SELECT doc_id, idx, d01, round(0.4::DOUBLE * ({POSITION}) + 0.3::DOUBLE * len_ + 0.3::DOUBLE * CASE WHEN n > 0 THEN overlap / n ELSE 0 END, 6) AS salience FROM deg JOIN l USING (doc_id, idx) JOIN jac USING (doc_id, idx)) SELECT doc_id, idx, salience, d01 IN ('激励事件','高潮','转折','结局') AND salience >= 0.7 AS core, d01 IN ('转折','高潮') AND salience >= 0.8 AS turning FROM s")
+register("graph_salience", on_ann(lambda a: G.salience(G.degrees(G.accepted(G.causal_edges(refs(a), a)), a), a, joins.neighbour_overlap(a))), f", {CAUSAL}, {DEG}, {JACCARD}, l AS (SELECT doc_id, idx, d01, {R('least(length(txt) / avg(length(txt)) OVER (PARTITION BY doc_id), 2) / 2', 9)} AS len_ FROM ann), r AS (SELECT doc_id, idx, {R('CASE WHEN n > 0 THEN overlap / n ELSE 0.3::DOUBLE END', 9)} AS again FROM jac), s AS (SELECT doc_id, idx, d01, {R(f'({POSITION}) * 0.4::DOUBLE + len_ * 0.3::DOUBLE + again * 0.3::DOUBLE', 3)} AS salience FROM deg JOIN l USING (doc_id, idx) JOIN r USING (doc_id, idx)) SELECT doc_id, idx, salience, d01 IN ('激励事件','高潮','转折','结局') AND salience >= 0.7::DOUBLE AS core, d01 IN ('转折','高潮') OR salience >= 0.8::DOUBLE AS turning FROM s")
+register("graph_causal_types", on_ann(lambda a: G.causal_types(G.accepted(G.causal_edges(refs(a), a)).withColumnRenamed("edge_type", "kind"))), f", {CAUSAL}, e2 AS (SELECT doc_id, src AS idx, edge_type AS k FROM edges UNION ALL SELECT doc_id, tgt, edge_type FROM edges) SELECT doc_id, idx, CASE WHEN count(*) FILTER (k = 'ENABLE') > count(*) FILTER (k = 'CAUSE') THEN '间接因果' ELSE '直接因果' END AS causal_type FROM e2 GROUP BY 1, 2")
 register("graph_event_sequence", on_ann(lambda a: G.event_sequence(a, G.accepted(G.causal_edges(refs(a), a)))), f", {CAUSAL}, {DEG} SELECT doc_id, idx, row_number() {W} AS event_no, {FN} AS function, loc, year, in_degree, out_degree FROM deg JOIN ann USING (doc_id, idx) WHERE in_degree + out_degree > 0")
 register("graph_object_chains", on_ann(G.object_chains), ", p AS (SELECT doc_id, cl, itype, count(*) AS n, min(idx) AS f, max(idx) AS l FROM ann GROUP BY 1, 2, 3) SELECT doc_id, cl, sum(n)::BIGINT AS n, min(f) AS first_idx, max(l) AS last_idx, arg_max(itype, (n, -f)) AS itype, count(*) > 1 AS shifts FROM p GROUP BY 1, 2 HAVING sum(n) >= 2")
 
@@ -192,17 +219,20 @@ register("graph_object_chains", on_ann(G.object_chains), ", p AS (SELECT doc_id,
 def network(a: DataFrame) -> DataFrame:
     pairs = joins.co_occurrence(speakers(a))
     both = speakers(a).select("doc_id", "idx", F.col("who").alias("a")).join(speakers(a).select("doc_id", "idx", F.col("who").alias("b")), ["doc_id", "idx"]).filter("a < b")
-    strength = both.join(mood(a), ["doc_id", "idx"]).groupBy("doc_id", "a", "b").agg(F.avg("intensity").alias("mean_intensity"))
+    felt = G.relation_of(F.col("emo"))
+    strength = both.join(mood(a), ["doc_id", "idx"]).join(a.select("doc_id", "idx", "emo"), ["doc_id", "idx"]).groupBy("doc_id", "a", "b").agg(F.avg("intensity").alias("mean_intensity"), F.min_by(felt, F.when(felt.isNotNull(), F.col("idx"))).alias("felt"))
     talk = joins.co_occurrence(speakers(a.filter("d10 is not null"))).withColumnRenamed("n", "n_dialogue")
     return G.network_edges(pairs, strength, talk)
 
 
-NET = f"{MOOD}, pr AS (SELECT x.doc_id, x.idx, x.who AS a, y.who AS b FROM spk x JOIN spk y ON x.doc_id = y.doc_id AND x.idx = y.idx AND x.who < y.who), ne AS (SELECT pr.doc_id, a, b, count(*) AS n, avg(intensity) AS mi, count(*) FILTER (d10 IS NOT NULL) AS nd FROM pr JOIN mood USING (doc_id, idx) JOIN ann USING (doc_id, idx) GROUP BY 1, 2, 3), net AS (SELECT doc_id, a, b, n, strength, CASE WHEN strength < 0.1 THEN '陌生' WHEN nd >= 2 THEN '合作' WHEN n >= 3 THEN '友情' ELSE '陌生' END AS relation FROM (SELECT *, round(least(n / 10, 1) * 0.4::DOUBLE + least(mi / 10, 1) * 0.3::DOUBLE + least(nd / 5, 1) * 0.3::DOUBLE, 6) AS strength FROM ne))"
+_felt = "CASE " + " ".join(f"WHEN contains(emo, '{w}') THEN '{r}'" for w, r in G.RELATION_OF.items()) + " END"
+NET = f"{MOOD}, pr AS (SELECT x.doc_id, x.idx, x.who AS a, y.who AS b FROM spk x JOIN spk y ON x.doc_id = y.doc_id AND x.idx = y.idx AND x.who < y.who), ne AS (SELECT pr.doc_id, a, b, count(*) AS n, avg(intensity) AS mi, count(*) FILTER (d10 IS NOT NULL) AS nd, arg_min({_felt}, idx) FILTER ({_felt} IS NOT NULL) AS felt FROM pr JOIN mood USING (doc_id, idx) JOIN ann USING (doc_id, idx) GROUP BY 1, 2, 3), net AS (SELECT doc_id, a, b, n, strength, CASE WHEN strength < 0.1::DOUBLE THEN '陌生' ELSE coalesce(felt, CASE WHEN nd >= 2 THEN '合作' WHEN n >= 3 THEN '友情' ELSE '陌生' END) END AS relation FROM (SELECT *, {R('least(n / 10, 1) * 0.4::DOUBLE + least(mi / 10, 1) * 0.3::DOUBLE + least(nd / 5, 1) * 0.3::DOUBLE', 3)} AS strength FROM ne))"
+register("graph_centrality", on_ann(lambda a: G.centrality(network(a))), f", {NET} SELECT doc_id, who, count(*) AS degree, {R('sum(strength)', 3)} AS weight FROM (SELECT doc_id, a AS who, strength FROM net UNION ALL SELECT doc_id, b, strength FROM net) GROUP BY 1, 2")
 register("graph_network_edges", on_ann(network), f", {NET} SELECT * FROM net")
 register("graph_communities", on_ann(lambda a: G.communities(network(a))), f", {NET} SELECT doc_id, relation, string_agg(DISTINCT who, ',' ORDER BY who) AS members FROM (SELECT doc_id, relation, a AS who FROM net UNION ALL SELECT doc_id, relation, b FROM net) GROUP BY 1, 2")
 register("graph_entities", on_ann(lambda a: G.entities(speakers(a))), "SELECT doc_id, who, count(*) AS n, min(idx) AS first_idx, max(idx) AS last_idx FROM spk GROUP BY 1, 2")
 register("graph_scene_presence", on_ann(lambda a: G.scene_presence(Q.with_scenes(a), speakers(a))), f", {SCENES} SELECT spk.doc_id, scene, who, count(*) AS n FROM spk JOIN scenes ON scenes.doc_id = spk.doc_id AND idx BETWEEN first_idx AND last_idx GROUP BY 1, 2, 3")
-register("narrative_speed", on_ann(G.narrative_speed), "SELECT doc_id, idx, CASE WHEN r > 1.5 AND d10 IS NOT NULL THEN '场景' WHEN r < 0.5 THEN '概述' ELSE '正常' END AS speed FROM (SELECT *, length(txt) / avg(length(txt)) OVER (PARTITION BY doc_id) AS r FROM ann)")
+register("narrative_speed", on_ann(G.narrative_speed), "SELECT doc_id, idx, CASE WHEN r > 1.5 AND d10 IS NOT NULL THEN '场景' WHEN r < 0.2 AND coalesce(regexp_matches(time_txt, '跳|年后|次日'), false) THEN '省略' WHEN r < 0.5 THEN '概述' ELSE '正常' END AS speed FROM (SELECT *, length(txt) / avg(length(txt)) OVER (PARTITION BY doc_id) AS r FROM ann)")
 
 # characters and stories
 register("char_trajectory", on_ann(lambda a: story.trajectories(speakers(a), mood(a))), f", {MOOD} SELECT doc_id, who, count(*) AS n, round(avg(intensity), 6) AS mean_intensity, count(*) FILTER (intensity >= 7) AS n_key, arg_max(polarity, idx) AS final_polarity, sum({SCORE})::BIGINT AS balance FROM spk JOIN mood USING (doc_id, idx) GROUP BY 1, 2")
@@ -212,7 +242,13 @@ register("char_main", on_ann(lambda a: story.main_characters(speakers(a), a)), "
 register("narrative_focalization", on_ann(story.focalization), ", c AS (SELECT doc_id, persp, count(*) AS n, min(idx) AS f FROM ann GROUP BY 1, 2), m AS (SELECT doc_id, persp AS dominant FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) = 1) SELECT doc_id, dominant, count(DISTINCT persp) AS n_types, count(*) FILTER (sw = 0) AS n_switches FROM ann JOIN m USING (doc_id) GROUP BY 1, 2")
 register("narrative_timeline", on_ann(story.timeline), f", y AS (SELECT *, lag(year) {W} AS b FROM ann WHERE year IS NOT NULL) SELECT doc_id, count(*) AS n_years, count(*) FILTER (year > b) AS n_forward, count(*) FILTER (year < b) AS n_back FROM y GROUP BY 1")
 register("story_pace", on_ann(story.pace), f", {NUM}, p AS (SELECT doc_id, round(avg(pace), 6) AS mean, round(var_pop(pace), 6) AS variance, {TREND.format('pace')} AS trend FROM num GROUP BY 1) SELECT *, CASE WHEN mean >= 3.5 THEN 'fast' WHEN mean <= 2.5 THEN 'slow' ELSE 'medium' END AS kind FROM p")
-register("story_emotion_arc", on_ann(lambda a: story.emotion_arc(mood(a))), f", {MOOD}, m AS (SELECT doc_id, {SCORE} AS score, row_number() {W} AS rn, count(*) OVER (PARTITION BY doc_id) AS n FROM mood), h AS (SELECT doc_id, {HEADTAIL.format('score')} FROM m GROUP BY 1) SELECT *, CASE WHEN tail - head > 0.3 THEN 'rise' WHEN tail - head < -0.3 THEN 'fall' ELSE 'level' END AS shape FROM h")
+_side = lambda c: f"CASE WHEN {c} > 0.3::DOUBLE THEN 'positive' WHEN {c} < -0.3::DOUBLE THEN 'negative' ELSE 'mixed/neutral' END"
+ARC = f"{MOOD}, m AS (SELECT *, ({SCORE})::DOUBLE AS score, row_number() {W} AS rn, count(*) OVER (PARTITION BY doc_id) AS size FROM mood), h AS (SELECT doc_id, count(*) AS n, sum(score) FILTER (rn <= greatest(3, size // 10)) / count(*) FILTER (rn <= greatest(3, size // 10)) AS head, sum(score) FILTER (rn > size - greatest(3, size // 10)) / count(*) FILTER (rn > size - greatest(3, size // 10)) AS tail, sum(score * score) / count(*) - (sum(score) / count(*)) * (sum(score) / count(*)) AS variance, count(*) FILTER (score < 0) / count(*) AS neg, count(*) FILTER (score > 0) / count(*) AS pos, max(intensity) AS peak, arg_min(idx, (-coalesce(intensity, 0), idx)) AS peak_at FROM m GROUP BY 1), i AS (SELECT *, tail - head AS tr, {_side('head')} AS sp, {_side('tail')} AS ep FROM h)"
+register(
+    "story_emotion_arc", on_ann(lambda a: story.emotion_arc(mood(a))),
+    f", {ARC} SELECT doc_id, CASE WHEN n < 5 THEN '数据不足' WHEN neg > 0.5::DOUBLE AND (ep = 'negative' OR tr < -0.1::DOUBLE) THEN '悲剧弧线（压抑→下行）' WHEN pos > 0.5::DOUBLE AND (ep = 'positive' OR tr > 0.1::DOUBLE) THEN '喜剧弧线（上升→圆满）' WHEN variance > 0.3::DOUBLE AND (ep = 'mixed/neutral' OR (neg > 0.3::DOUBLE AND pos > 0.3::DOUBLE)) THEN '悲喜剧弧线（起伏→释然）' WHEN variance > 0.5::DOUBLE THEN '波动型弧线（大起大落）' WHEN ep = 'mixed/neutral' AND neg > 0.3::DOUBLE THEN '悲剧弧线（余韵悠长）' WHEN ep = 'mixed/neutral' THEN '开放式结局（余韵悠长）' ELSE '平稳型弧线' END AS pattern, "
+    f"CASE WHEN n >= 5 THEN sp END AS start_polarity, CASE WHEN n >= 5 THEN ep END AS end_polarity, CASE WHEN n >= 5 THEN peak END AS peak_intensity, CASE WHEN n >= 5 THEN peak_at END AS peak_idx, CASE WHEN n >= 5 THEN {R('tr', 2)} END AS trend, CASE WHEN n >= 5 THEN {R('variance', 2)} END AS variance, CASE WHEN n >= 5 THEN {R('least(0.9::DOUBLE, 0.4::DOUBLE + n * 0.01::DOUBLE)', 2)} ELSE 0 END::DOUBLE AS confidence FROM i",
+)
 register("story_reader_experience", on_ann(story.reader_experience), "SELECT doc_id, round(count(*) FILTER (d06 IN ('隐藏','误导')) / count(*), 6) AS suspense, round(count(*) FILTER (inten >= 7) / count(*), 6) AS tension, round(count(*) FILTER (emo_pol IN ('positive','negative')) / count(*), 6) AS involvement FROM ann GROUP BY 1")
 register("adapter_times_places", on_ann(story.times_and_places), ", o AS (SELECT doc_id, idx, 'time' AS kind, season AS value FROM ann WHERE season IS NOT NULL UNION ALL SELECT doc_id, idx, 'place', loc FROM ann WHERE loc IS NOT NULL), f AS (SELECT doc_id, kind, value, min(idx) AS first_idx FROM o GROUP BY 1, 2, 3) SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY first_idx, value) AS no FROM f")
 register("adapter_plot_buckets", on_ann(story.plot_buckets), f", {NUM} SELECT doc_id, ((rn - 1) * 3 // n)::BIGINT AS third, {FN} AS fn, count(*) AS n FROM num GROUP BY 1, 2, 3")
@@ -245,6 +281,49 @@ register("sink_sampling_plan", on_ann(lambda a: validate.sampling_tier(a).groupB
 register("lexicon_subset", on_ann(lambda a: A.lexicon_subset(a.selectExpr("loc as w0", "CASE itype WHEN '自然意象' THEN 'noun' WHEN '器物意象' THEN 'verb' WHEN '人体意象' THEN 'adj' ELSE 'x' END as pos", "cl as cls", "inten % 3 as pol", "doc_id * 100000 + idx as at").withColumn("w", F.right("w0", F.lit(2))).filter("w is not null"))), ", x AS (SELECT right(loc, 2) AS w, CASE itype WHEN '自然意象' THEN 'noun' WHEN '器物意象' THEN 'verb' WHEN '人体意象' THEN 'adj' ELSE 'x' END AS pos, cl AS cls, inten % 3 AS pol, doc_id * 100000 + idx AS at_ FROM ann WHERE loc IS NOT NULL), y AS (SELECT * FROM x WHERE pos <> 'x'), p AS (SELECT w, pol, count(*) AS n, min(at_) AS f FROM y GROUP BY 1, 2), q AS (SELECT w, pol FROM p QUALIFY row_number() OVER (PARTITION BY w ORDER BY n DESC, f) = 1) SELECT w, arg_min(pos, at_) AS pos, string_agg(DISTINCT cls, ',' ORDER BY cls) AS cls, q.pol AS pol FROM y JOIN q USING (w) GROUP BY w, q.pol")
 
 
+# rules on texts
+_hint = lambda c: "CASE " + " ".join(f"WHEN regexp_matches({c}, '{p}') THEN {i}" for i, p in enumerate(X.DAY, 1)) + " END"
+_marker = lambda c, k: f"nullif(regexp_extract({c}, '{X.MARKERS[k]}'), '')"
+register("dt_time_markers", on_ann(lambda a: a.select("doc_id", "idx", X.time_hint(F.col("time_txt")).cast("long").alias("hint"), *(X.time_marker(F.col("time_txt"), k).alias(k) for k in X.MARKERS))), f"SELECT doc_id, idx, ({_hint('time_txt')})::BIGINT AS hint, {', '.join(f'{_marker("time_txt", k)} AS {k}' for k in X.MARKERS)} FROM ann")
+_place = lambda c: f"nullif(trim(regexp_replace(regexp_replace({c}, '^(在|位于|到了|来到|进入|离开)\\s*', ''), '\\s*(里|中|内|上|下|旁|附近)$', '')), '')"
+register("str_plain_place", on_ann(lambda a: a.select("doc_id", "idx", X.plain_place(F.col("space_txt")).alias("place"))), f"SELECT doc_id, idx, {_place('space_txt')} AS place FROM ann")
+
+
+def continuity(a: DataFrame) -> DataFrame:
+    rows = Q.with_previous(a.select("doc_id", "idx", "time_txt", "space_txt"), "time_txt", "space_txt").filter("prev is not null")
+    return rows.select("doc_id", "idx", X.time_goes_on(F.col("prev_time_txt"), F.col("time_txt")).alias("time_goes_on"), X.same_place(F.col("prev_space_txt"), F.col("space_txt")).alias("same_place"))
+
+
+_explicit = lambda c: f"(({_hint(c)}) IS NOT NULL OR regexp_matches({c}, '{X.BY_CHAPTER}'))"
+register("dt_time_continuity", on_ann(continuity), f", p AS (SELECT *, {LAG('time_txt', 'space_txt')} FROM ann), c AS (SELECT *, {_hint('prev_time_txt')} AS h0, {_hint('time_txt')} AS h1, {_place('prev_space_txt')} AS pl0, {_place('space_txt')} AS pl1 FROM p WHERE prev IS NOT NULL) SELECT doc_id, idx, CASE WHEN prev_time_txt IS NOT NULL AND time_txt IS NOT NULL AND {_explicit('prev_time_txt')} AND {_explicit('time_txt')} THEN CASE WHEN h0 IS NOT NULL AND h1 IS NOT NULL THEN h1 >= h0 ELSE trim(prev_time_txt) = trim(time_txt) END ELSE true END AS time_goes_on, coalesce(contains(pl0, pl1) OR contains(pl1, pl0), true) AS same_place FROM c")
+_form = "trim(regexp_replace(regexp_replace(word, '[（(].*?[)）]', '', 'g'), '[《》「」『』\"“”''‘’·]', '', 'g'))"
+register("str_word_form", on_ann(lambda a: a.select("doc_id", "idx", X.word_form(F.col("word")).alias("form"))), f"SELECT doc_id, idx, {_form} AS form FROM ann")
+for _layer in similarity.TERMS:
+    _term = "CASE word " + " ".join(f"WHEN '{x}' THEN '{y}'" for x, y in similarity.TERMS[_layer].items()) + " ELSE word END"
+    register(f"term_changes_{_layer}", on_ann(lambda a, layer=_layer: similarity.normalised_rows(a, "word", layer)[1]), f"SELECT word AS old, {_term} AS new, count(*) AS n FROM ann WHERE word <> {_term} GROUP BY 1, 2")
+    register(f"term_rows_{_layer}", on_ann(lambda a, layer=_layer: similarity.normalised_rows(a.select("doc_id", "idx", "word"), "word", layer)[0]), f"SELECT doc_id, idx, {_term} AS word FROM ann")
+register("str_anchor", on_ann(lambda a: a.select("doc_id", "idx", X.anchor(F.col("txt")).alias("a")).select("doc_id", "idx", "a.text", F.col("a.start").cast("long").alias("start"), F.col("a.end").cast("long").alias("end"))), "SELECT doc_id, idx, left(txt, 24) AS text, (instr(txt, left(txt, 6)) - 1)::BIGINT AS start, (instr(txt, left(txt, 6)) - 1 + length(left(txt, 24)))::BIGINT AS end FROM ann")
+# fixed names of the derived sentences
+NAMED = ["王秀英", "秀英", "张伟", "李明"]
+FEMALE, MALE = "秀英华娟", "伟明强刚"
+_names = lambda a: a.select("doc_id").distinct().withColumn("who", F.explode(F.array(*map(F.lit, NAMED))))
+_sent = lambda a: a.select("doc_id", "idx", F.col("sent").alias("txt"))
+_at = lambda part: f"list_filter(range(1, length(sent) + 1), lambda i: substr(sent, i, length({part})) = {part})"
+NAMES_SQL = f"nm AS (SELECT doc_id, idx, sent, who, unnest({_at('who')}) AS pos FROM ann, (VALUES {', '.join(f"('{n}')" for n in NAMED)}) v(who)), np AS (SELECT doc_id, idx, who, pos FROM nm WHERE NOT (pos > 1 AND regexp_matches(substr(sent, pos - 1, 1), '[一-鿿]')) AND NOT regexp_matches(substr(sent, pos + length(who), 1), '[一-鿿]'))"
+PRON_SQL = f"pn AS (SELECT doc_id, idx, text, gender, unnest({_at('text')}) AS pos FROM ann, (VALUES {', '.join(f"('{w}', '{g}')" for g, ws in entities.PRONOUNS.items() for w in ws)}) v(text, gender))"
+register("entity_name_places", on_ann(lambda a: entities.name_places(_sent(a), _names(a))), f", {NAMES_SQL} SELECT * FROM np")
+register("entity_mentions", on_ann(lambda a: entities.mentions(_sent(a), _names(a))), f", {NAMES_SQL} SELECT doc_id, idx, who, count(*) AS n FROM np GROUP BY 1, 2, 3")
+register("entity_pronouns", on_ann(lambda a: entities.pronouns(_sent(a))), f", {PRON_SQL} SELECT doc_id, idx, text, gender, pos FROM pn")
+_marks = lambda chars: f"len(list_intersect(list_distinct(string_split(who, '')), string_split('{chars}', '')))"
+GENDER_SQL = f"CASE WHEN {_marks(FEMALE)} > {_marks(MALE)} THEN 'female' WHEN {_marks(MALE)} > {_marks(FEMALE)} THEN 'male' END"
+register("entity_gender", on_ann(lambda a: _names(a).withColumn("gender", entities.gender_of(F.col("who"), FEMALE, MALE))), f"SELECT DISTINCT doc_id, who, {GENDER_SQL} AS gender FROM ann, (VALUES {', '.join(f"('{n}')" for n in NAMED)}) v(who)")
+register(
+    "entity_resolved_pronouns", on_ann(lambda a: entities.resolved_pronouns(_sent(a), entities.name_places(_sent(a), _names(a)).withColumn("gender", entities.gender_of(F.col("who"), FEMALE, MALE)), entities.pronouns(_sent(a)))),
+    f", {NAMES_SQL}, {PRON_SQL}, g AS (SELECT *, {GENDER_SQL} AS gender FROM np), l AS (SELECT doc_id, idx, arg_max(who, (-length(who), pos, who)) FILTER (gender = 'male') AS m, arg_max(who, (-length(who), pos, who)) FILTER (gender = 'female') AS f FROM g GROUP BY 1, 2), k AS (SELECT a.doc_id, a.idx, last_value(m IGNORE NULLS) OVER o AS m, last_value(f IGNORE NULLS) OVER o AS f FROM ann a LEFT JOIN l ON l.doc_id = a.doc_id AND l.idx = a.idx WINDOW o AS (PARTITION BY a.doc_id ORDER BY a.idx ROWS UNBOUNDED PRECEDING)) "
+    "SELECT doc_id, idx, text, pos, CASE gender WHEN 'male' THEN m WHEN 'female' THEN f END AS resolved_to, 0.7::DOUBLE AS confidence FROM pn JOIN k USING (doc_id, idx) WHERE CASE gender WHEN 'male' THEN m WHEN 'female' THEN f END IS NOT NULL",
+)
+
+
 def queries() -> dict[str, Query]:
     from fabulon.streaming import events
 
