@@ -72,3 +72,54 @@ def prompts(rows: DataFrame) -> DataFrame:
     memory = F.when(F.coalesce("summary", F.lit("")) != "", F.concat(F.lit("\nmemory: "), F.col("summary"))).otherwise("")
     text = F.concat(F.lit("segment: "), F.col("idx").cast("string"), F.lit("\nbefore: "), context("context_prev", "(start)"), F.lit("\nafter: "), context("context_next", "(end)"), F.lit("\n---\n"), F.col("txt"), F.lit("\n---"), memory, F.lit("\n"), why)
     return rows.select("doc_id", "idx", text.alias("prompt"))
+
+
+def imagery(craft: DataFrame) -> DataFrame:
+    """One row for each item of D15 (an array of structs) in order, of unknown type where none is given; rows without items give none."""
+    item = craft.select("doc_id", "idx", F.posexplode("d15").alias("pos", "i"))
+    return item.select("doc_id", "idx", F.col("pos").cast("long").alias("pos"), "i.text", F.coalesce("i.type", F.lit("unknown")).alias("type"), "i.cluster", "i.start", "i.end")
+
+
+def padded(rows: DataFrame, segments: DataFrame, version: str) -> DataFrame:
+    """rows (doc_id, idx, ..) with text, segment_id and schema_version filled in from segments where they lack."""
+    known = segments.select("doc_id", "idx", F.col("txt").alias("_txt"), F.col("segment_id").alias("_segment"))
+    out = rows.join(known, ["doc_id", "idx"], "left")
+    return out.withColumns({"txt": F.coalesce("txt", "_txt"), "segment_id": F.coalesce("segment_id", "_segment"), "schema_version": F.coalesce("schema_version", F.lit(version))}).drop("_txt", "_segment")
+
+
+def first_seen(rows: DataFrame, column: str) -> DataFrame:
+    """The distinct values of a column by document, in the order of their first segments."""
+    first = rows.filter(F.col(column).isNotNull()).groupBy("doc_id", column).agg(F.min("idx").alias("at"))
+    return first.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", F.col(column).alias("v")))), lambda x: x["v"]).alias("values"))
+
+
+def export_counters(rows: DataFrame) -> DataFrame:
+    """Rows by document and status."""
+    return rows.groupBy("doc_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def enum_schema(layer: str) -> dict:
+    """A JSON schema that holds the closed values of a layer (structure or emotion)."""
+    from fabulon.functions import enums as E
+
+    text = lambda values: {"type": "string", "enum": list(values)}
+    number = lambda low, high: {"type": "integer", "minimum": low, "maximum": high}
+    of = lambda **properties: {"type": "object", "properties": properties, "required": list(properties)}
+    feeling = of(emotion=text(E.EMOTIONS), intensity=number(1, 10), polarity=text(E.POLARITY))
+    layers = {
+        "structure": of(D01=text(E.D01), D04=of(core=text(E.D04_CORE), intensity=number(1, 10), polarity=text(E.POLARITY)), D05=number(1, 5), D07=of(type=text(E.D07)), D10={"enum": [*E.D10, None]}, D11={"type": "array", "items": text(E.D11), "minItems": 1}),
+        "emotion": of(primary=feeling),
+    }
+    return of(layers=of(**{layer: layers[layer]}))
+
+
+def filled_spans(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items (.., txt, text, start, end) with spans that lack or are wrong found by exact or white-space match, and the report of what changed."""
+    from fabulon.functions.similarity import locate
+
+    right = F.substring(F.col("txt"), F.col("start") + 1, F.col("end") - F.col("start")) == F.col("text")
+    met = items.withColumn("_ok", F.coalesce(right, F.lit(False))).withColumn("_at", locate("txt", "text"))
+    usable = F.col("_at.level").isin("exact", "whitespace_normalized")
+    change = ~F.col("_ok") & usable
+    out = met.withColumns({"start": F.when(change, F.col("_at.start")).otherwise(F.col("start")), "end": F.when(change, F.col("_at.end")).otherwise(F.col("end")), "filled": change})
+    return out.drop("_ok", "_at"), out.groupBy(F.col("_at.level").alias("level"), "filled").agg(F.count(F.lit(1)).alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabulon.functions import enums as E
+from fabulon.functions.text import holds, quoted
 
 # fixed values: keys that a merged row must have
 MERGED = ("segment_id", "chapter", "section_type", "text_span")
@@ -62,14 +63,76 @@ def confidence_rules() -> list[Rule]:
     ]
 
 
+# fixed values: dimensions of each layer's confidence, and whether they must be numbers
+DIMENSIONS = {"structure": (["D01", "D04", "D05", "D07", "D08", "D10", "D11"], True), "interpretation": (["D06", "D09"], False), "craft": (["D13", "D14", "D15", "D16", "D17", "D18"], False), "emotion": (["D19"], True)}
+
+
+def dimension_rules(layer: str) -> list[Rule]:
+    """The confidence's method, and its numbers (a map per_dimension) for the dimensions of a layer."""
+    names, needed = DIMENSIONS[layer]
+    value = lambda d: F.get(F.array(F.col("per_dimension")[d]), F.lit(0))
+    bad = lambda d: F.coalesce(~value(d).between(0, 1) | F.isnan(value(d)), F.lit(needed))
+    return [("confidence_method", "error", outside("confidence_method", E.CONFIDENCE_METHODS)), *((f"per_dimension.{d}", "error", bad(d)) for d in names)]
+
+
+def _null_or(condition: Column, of: Column) -> Column:
+    """Broken only where `of` is there."""
+    return F.coalesce(of.isNotNull() & ~F.coalesce(condition, F.lit(False)), F.lit(False))
+
+
+def structure_detail_rules() -> list[Rule]:
+    """D07.is_switch_point, D08 (a struct), D11 (an array), D12 (a struct or null) and the section."""
+    d12 = F.col("d12")
+    return [
+        ("D07.is_switch_point", "error", F.col("is_switch_point").isNull()), ("D08", "error", F.col("d08").isNull()),
+        ("D08._time_type", "error", _null_or(F.col("d08.time_type").isin(*E.D08_TIME_TYPES), F.col("d08.time_type"))), ("D08._narrative_level", "error", _null_or(F.col("d08.narrative_level").isin(*E.D08_LEVELS), F.col("d08.narrative_level"))),
+        ("D11", "error", F.coalesce(F.size("d11") < 1, F.lit(True)) | F.col("d11").isNull()), ("D11 value", "error", F.coalesce(F.exists("d11", lambda x: ~F.coalesce(x.isin(*E.D11), F.lit(False))), F.lit(False))),
+        ("D12.mode", "error", _null_or(F.col("d12.mode").isin(*E.D12), d12)), ("D12.density", "error", _null_or(F.col("d12.density").between(0, 1), F.col("d12.density"))),
+        ("D12.is_summary", "error", _null_or(F.col("d12.is_summary").isNotNull(), d12)), ("D12.is_scene", "error", _null_or(F.col("d12.is_scene").isNotNull(), d12)), ("section_type", "error", outside("section_type", E.SECTIONS)),
+    ]
+
+
 def interpretation_rules() -> list[Rule]:
     return [("D06", "error", outside("d06", E.D06, nullable=True)), ("D09", "error", F.size("themes") > 3), ("D09 repeated", "warning", F.size(F.array_distinct("themes")) < F.size("themes"))]
 
 
+def interpretation_detail_rules() -> list[Rule]:
+    """Quotes in D06's content stand in the segment (white space aside), techniques and the narrator's reliability are legal."""
+    quotes = F.filter(quoted(F.coalesce(F.col("content"), F.lit(""))), lambda q: q != "")
+    absent = F.exists(quotes, lambda q: ~holds(F.col("txt"), q))
+    return [
+        ("D06 quote", "error", F.coalesce(absent, F.lit(False))), ("D06._techniques", "error", F.coalesce(F.exists("techniques", lambda x: ~F.coalesce(x.isin(*E.D06_TECHNIQUES), F.lit(False))), F.lit(False))),
+        ("narrator_reliability", "error", _null_or(F.col("reliability").isin(*E.RELIABILITY), F.col("reliability"))),
+    ]
+
+
 def emotion_rules() -> list[Rule]:
     return [("emotion", "error", outside("emo", E.EMOTIONS)), ("emotion.intensity", "error", ~F.col("emo_int").between(1, 10)), ("emotion.polarity", "error", outside("emo_pol", E.POLARITY)), ("target", "warning", F.col("emo_tgt").isNull())]
 
 
+def _feeling(c: Column) -> Column:
+    """Whether a struct (emotion, intensity, polarity) is legal."""
+    return F.coalesce(c["emotion"].isin(*E.EMOTIONS) & c["intensity"].between(1, 10) & c["polarity"].isin(*E.POLARITY), F.lit(False))
+
+
+def emotion_detail_rules() -> list[Rule]:
+    """secondary (an array of feelings or null, two at most), target and trigger (structs or null), arc (a struct with a shift, or null) and expression (a
+    struct whose key phrases stand in the segment)."""
+    few = F.size("secondary") <= 2
+    phrases = F.col("expression.key_phrases")
+    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    arc = F.col("arc")
+    return [
+        ("secondary empty", "error", F.coalesce(F.col("secondary").isNotNull() & (F.size("secondary") == 0), F.lit(False))), ("secondary many", "warning", F.coalesce(F.size("secondary") > 2, F.lit(False))),
+        ("secondary", "error", F.coalesce(few & F.exists("secondary", lambda x: ~_feeling(x)), F.lit(False))), ("target.name", "error", F.col("target").isNotNull() & blank(F.col("target.name"))),
+        ("trigger.description", "error", F.col("trigger").isNotNull() & blank(F.col("trigger.description"))), ("arc.has_shift", "error", arc.isNotNull() & ~F.coalesce(F.col("arc.has_shift"), F.lit(False))),
+        ("arc.shift_point", "error", arc.isNotNull() & F.coalesce(F.col("arc.has_shift"), F.lit(False)) & blank(F.col("arc.shift_point"))),
+        ("arc.before", "error", arc.isNotNull() & F.coalesce(F.col("arc.has_shift"), F.lit(False)) & ~_feeling(F.col("arc.before"))), ("arc.after", "error", arc.isNotNull() & F.coalesce(F.col("arc.has_shift"), F.lit(False)) & ~_feeling(F.col("arc.after"))),
+        ("expression", "error", F.col("expression").isNull() | F.col("expression.direct").isNull() | F.col("expression.indirect").isNull()),
+        ("key_phrases", "error", F.coalesce(F.size(phrases) < 1, F.lit(True)) | phrases.isNull()), ("key_phrases not in text", "error", F.coalesce(F.exists(phrases, lambda p: ~blank(p) & ~holds(F.col("txt"), p)), F.lit(False))),
+    ]
+
+
 def relation_rules() -> list[Rule]:
     return [("relation", "error", outside("rel", E.RELATIONS)), ("backwards", "error", F.col("tgt") < F.col("src")), ("confidence", "error", ~F.col("conf").between(0, 1))]
 

@@ -11,7 +11,7 @@ from fabulon.functions import enums as E
 from fabulon.functions import similarity
 from fabulon.functions import text as X
 from fabulon.operators import aggregates as A
-from fabulon.operators import entities, gate, joins, metrics, story, validate
+from fabulon.operators import entities, gate, joins, layers, metrics, story, validate
 from fabulon.operators import graph as G
 from fabulon.operators import segmentation as S
 from fabulon.operators import sequence as Q
@@ -324,6 +324,42 @@ register(
 )
 
 
+# details of the layers, each rule broken in some rows
+_no = lambda kind: f"cast(NULL AS {kind})"
+DETAIL = {
+    "structure": (
+        validate.structure_detail_rules,
+        ["CASE WHEN idx % 11 = 0 THEN NULL ELSE true END AS is_switch_point", "CASE WHEN idx % 13 = 0 THEN NULL ELSE named_struct('time_type', CASE WHEN idx % 5 = 0 THEN 'sideways' ELSE 'linear' END, 'narrative_level', CASE WHEN idx % 7 = 0 THEN '9' END) END AS d08", "CASE WHEN idx % 6 = 0 THEN array() WHEN idx % 6 = 1 THEN array('环境描写', '别的') ELSE array('环境描写') END AS d11", "CASE WHEN idx % 4 > 0 THEN named_struct('mode', CASE WHEN idx % 3 = 0 THEN '别的' ELSE '场景' END, 'density', CASE WHEN idx % 9 = 0 THEN 1.5D ELSE 0.5D END, 'is_summary', CASE WHEN idx % 10 = 0 THEN NULL ELSE false END, 'is_scene', CASE WHEN idx % 12 = 1 THEN NULL ELSE true END) END AS d12", "CASE WHEN idx % 8 = 0 THEN 'cover' ELSE 'body' END AS section_type"],
+        [("D07.is_switch_point", "idx % 11 = 0"), ("D08", "idx % 13 = 0"), ("D08._time_type", "idx % 13 <> 0 AND idx % 5 = 0"), ("D08._narrative_level", "idx % 13 <> 0 AND idx % 7 = 0"), ("D11", "idx % 6 = 0"), ("D11 value", "idx % 6 = 1"), ("D12.mode", "idx % 4 > 0 AND idx % 3 = 0"), ("D12.density", "idx % 4 > 0 AND idx % 9 = 0"), ("D12.is_summary", "idx % 4 > 0 AND idx % 10 = 0"), ("D12.is_scene", "idx % 4 > 0 AND idx % 12 = 1"), ("section_type", "idx % 8 = 0")], [],
+    ),
+    "interpretation": (
+        validate.interpretation_detail_rules,
+        ["txt", "CASE WHEN idx % 3 = 0 THEN concat('「', left(txt, 3), '」与「~~无~~」') WHEN idx % 3 = 1 THEN concat('「', trim(left(txt, 3)), '」') END AS content", "CASE WHEN idx % 4 = 0 THEN array('延迟揭示', '别的') WHEN idx % 4 = 1 THEN array('延迟揭示') END AS techniques", "CASE WHEN idx % 5 = 0 THEN '别的' WHEN idx % 5 = 1 THEN '可靠' END AS reliability"],
+        [("D06 quote", "idx % 3 = 0 OR idx % 3 = 2 AND false"), ("D06._techniques", "idx % 4 = 0"), ("narrator_reliability", "idx % 5 = 0")], [],
+    ),
+    "emotion": (
+        validate.emotion_detail_rules,
+        ["txt", "CASE idx % 5 WHEN 0 THEN NULL WHEN 1 THEN filter(array(named_struct('emotion', '喜悦', 'intensity', 3, 'polarity', 'positive')), x -> false) WHEN 2 THEN array_repeat(named_struct('emotion', '喜悦', 'intensity', 3, 'polarity', 'positive'), 3) WHEN 3 THEN array(named_struct('emotion', '喜悦', 'intensity', 13, 'polarity', 'positive')) ELSE array(named_struct('emotion', '喜悦', 'intensity', 3, 'polarity', 'positive')) END AS secondary", "CASE WHEN idx % 3 > 0 THEN named_struct('name', CASE WHEN idx % 6 = 1 THEN ' ' ELSE 'c' END) END AS target", "CASE WHEN idx % 4 > 0 THEN named_struct('description', CASE WHEN idx % 8 = 1 THEN NULL ELSE 'd' END) END AS trigger",
+         "CASE WHEN idx % 7 > 0 THEN named_struct('has_shift', idx % 7 > 1, 'shift_point', CASE WHEN idx % 7 = 2 THEN '' ELSE 'p' END, 'before', named_struct('emotion', CASE WHEN idx % 7 = 3 THEN '别的' ELSE '喜悦' END, 'intensity', 3, 'polarity', 'positive'), 'after', named_struct('emotion', '悲伤', 'intensity', 3, 'polarity', CASE WHEN idx % 7 = 4 THEN 'up' ELSE 'negative' END)) END AS arc",
+         "CASE WHEN idx % 9 > 0 THEN named_struct('direct', CASE WHEN idx % 9 = 1 THEN NULL ELSE true END, 'indirect', false, 'key_phrases', CASE WHEN idx % 9 = 2 THEN array() WHEN idx % 9 = 3 THEN array('~~无~~') ELSE array(left(trim(txt), 4)) END) END AS expression"],
+        [("secondary empty", "idx % 5 = 1"), ("secondary", "idx % 5 = 3"), ("target.name", "idx % 6 = 1"), ("trigger.description", "idx % 8 = 1"), ("arc.has_shift", "idx % 7 = 1"), ("arc.shift_point", "idx % 7 = 2"), ("arc.before", "idx % 7 = 3"), ("arc.after", "idx % 7 = 4"), ("expression", "idx % 9 IN (0, 1)"), ("key_phrases", "idx % 9 IN (0, 2)"), ("key_phrases not in text", "idx % 9 = 3")], [("secondary many", "idx % 5 = 2")],
+    ),
+}
+for _layer, (_rules, _columns, _errors, _warnings) in DETAIL.items():
+    register(f"val_{_layer}_details", on_ann(lambda a, rules=_rules, columns=_columns: validate.flat(validate.checked(a.selectExpr("doc_id", "idx", *columns), rules()))), f", e AS (SELECT doc_id, idx, {listed(*_errors)} AS errors, {listed(*_warnings) if _warnings else repr('')} AS warnings FROM ann) SELECT doc_id, idx, errors, warnings, errors = '' AS is_valid FROM e")
+for _layer, (_names, _needed) in validate.DIMENSIONS.items():
+    register(
+        f"val_dimensions_{_layer}",
+        on_ann(lambda a, layer=_layer, names=_names: validate.flat(validate.checked(a.selectExpr("doc_id", "idx", "CASE WHEN idx % 4 = 0 THEN 'guess' ELSE 'human_review' END AS confidence_method", "map(" + ", ".join(f"'{d}', CASE WHEN idx % {i + 5} = 0 THEN NULL WHEN idx % {i + 5} = 1 THEN 1.5D ELSE 0.5D END" for i, d in enumerate(names)) + ") AS per_dimension"), validate.dimension_rules(layer)))),
+        f", e AS (SELECT doc_id, idx, {listed(('confidence_method', 'idx % 4 = 0'), *((f'per_dimension.{d}', f'idx % {i + 5} = 1' + (f' OR idx % {i + 5} = 0' if _needed else '')) for i, d in enumerate(_names)))} AS errors FROM ann) SELECT doc_id, idx, errors, '' AS warnings, errors = '' AS is_valid FROM e",
+    )
+register("proj_imagery", on_ann(lambda a: layers.imagery(a.selectExpr("doc_id", "idx", "CASE WHEN idx % 3 > 0 THEN array(named_struct('text', left(txt, 2), 'type', itype, 'cluster', cl, 'start', 0L, 'end', 2L), named_struct('text', 'x', 'type', cast(NULL AS string), 'cluster', cl, 'start', 1L, 'end', 2L)) END AS d15"))), "SELECT doc_id, idx, 0::BIGINT AS pos, left(txt, 2) AS text, itype AS type, cl AS cluster, 0::BIGINT AS start, 2::BIGINT AS end FROM ann WHERE idx % 3 > 0 UNION ALL SELECT doc_id, idx, 1, 'x', 'unknown', cl, 1, 2 FROM ann WHERE idx % 3 > 0")
+register("proj_padded", on_ann(lambda a: layers.padded(a.selectExpr("doc_id", "idx", "CASE WHEN idx % 2 = 0 THEN 'own' END AS txt", "CASE WHEN idx % 3 = 0 THEN 'id' END AS segment_id", "CASE WHEN idx % 5 = 0 THEN '2.5.0' END AS schema_version"), a.selectExpr("doc_id", "idx", "txt", "concat(doc_id, '_seg_', idx) as segment_id"), "2.10.0")), "SELECT doc_id, idx, CASE WHEN idx % 2 = 0 THEN 'own' ELSE txt END AS txt, CASE WHEN idx % 3 = 0 THEN 'id' ELSE concat(doc_id, '_seg_', idx) END AS segment_id, CASE WHEN idx % 5 = 0 THEN '2.5.0' ELSE '2.10.0' END AS schema_version FROM ann")
+register("agg_first_seen", on_ann(lambda a: layers.first_seen(a, "loc").select("doc_id", F.array_join("values", ",").alias("values"))), "SELECT doc_id, string_agg(loc, ',' ORDER BY at_, loc) AS values FROM (SELECT doc_id, loc, min(idx) AS at_ FROM ann WHERE loc IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
+register("agg_export_counters", on_ann(layers.export_counters), "SELECT doc_id, status, count(*) AS n FROM ann GROUP BY 1, 2")
+register("sink_filled_spans", on_ann(lambda a: layers.filled_spans(a.selectExpr("doc_id", "idx", "txt", "CASE WHEN idx % 3 = 2 THEN '~~无~~' ELSE substring(trim(txt), 2, 5) END AS text", "CASE WHEN idx % 3 = 0 THEN -1L END AS start", "CASE WHEN idx % 3 = 0 THEN 4L END AS end").filter("length(trim(txt)) > 8 and trim(text) = text and length(text) = 5"))[0].select("doc_id", "idx", "text", "start", "end", "filled")), ", t AS (SELECT doc_id, idx, txt, CASE WHEN idx % 3 = 2 THEN '~~无~~' ELSE substr(trim(txt, ' '), 2, 5) END AS text FROM ann) SELECT doc_id, idx, text, CASE WHEN idx % 3 = 2 THEN NULL ELSE instr(txt, text) - 1 END::BIGINT AS start, CASE WHEN idx % 3 = 2 THEN NULL ELSE instr(txt, text) + 4 END::BIGINT AS end, idx % 3 <> 2 AS filled FROM t WHERE length(trim(txt, ' ')) > 8 AND trim(text, ' ') = text AND length(text) = 5")
+
+
 def queries() -> dict[str, Query]:
     from fabulon.streaming import events
 

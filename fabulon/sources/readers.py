@@ -90,6 +90,18 @@ def cross_refs(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("document_id", F.explode("cross_refs").alias("r")).select("document_id", "r.*")
 
 
+def layer_paths(spark: SparkSession, folder: str, document: str, layers: list[str]) -> dict[str, str]:
+    """The file of each layer of a document that is there: beside the segments first, else in the document's own folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = {}
+    for layer in layers:
+        for path in (f"{folder}/{document}_{layer}.jsonl", f"{folder}/{document}/{document}_{layer}.jsonl"):
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            if layer not in found and at.getFileSystem(conf).exists(at):
+                found[layer] = path
+    return found
+
+
 def batch_files(spark: SparkSession, path: str, pattern: str, schema: str) -> DataFrame:
     """Rows of the JSON-lines files of a pattern, with the name of each one's file."""
     return spark.read.schema(schema).option("pathGlobFilter", pattern).json(path).withColumn("file", F.col("_metadata.file_name"))
