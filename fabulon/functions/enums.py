@@ -45,6 +45,32 @@ BEATS = [
 # fixed values: edge types of relations and the confidence floor of each
 EDGE_TYPES = {"因果": ("CAUSE", 0.75), "伏笔-回收": ("ENABLE", 0.65)}
 
+# fixed values: key words of traits and their weight
+TRAITS = {
+    "责任感强": (1.0, ["必须", "责任", "担当", "配平", "保护", "守护"]), "勇敢": (1.0, ["冲", "不怕", "勇往直前", "牺牲", "冲锋"]), "懦弱": (1.0, ["怕", "退缩", "不敢", "逃避", "颤抖"]),
+    "机智": (1.0, ["想办法", "灵机", "巧妙", "计策", "反应快"]), "谨慎": (1.0, ["小心", "仔细", "检查", "确认", "稳妥"]), "冲动": (1.0, ["二话不说", "直接", "贸然", "不顾", "急躁"]),
+    "忠诚": (1.0, ["服从", "坚守", "不背叛", "信任", "追随"]), "善良": (1.0, ["心疼", "同情", "帮助", "温柔", "关心"]), "残忍": (1.0, ["冷酷", "无情", "残忍", "狠毒", "冷漠"]),
+    "幽默": (0.8, ["笑", "调侃", "玩笑", "滑稽", "逗"]), "严肃": (0.8, ["严肃", "凝重", "沉重", "不苟言笑", "认真"]), "敏感": (0.8, ["在意", "多想", "敏感", "细腻", "察觉"]),
+    "豁达": (0.8, ["无所谓", "看开", "洒脱", "不在乎", "释然"]), "固执": (0.8, ["坚持", "倔强", "不改", "认定", "顽固"]), "灵活": (0.8, ["随机应变", "变通", "灵活", "调整", "适应"]),
+    "自信": (0.9, ["肯定", "确信", "自信", "胸有成竹", "没问题"]), "自卑": (0.9, ["不如", "差", "不行", "没用", "自卑"]), "冷静": (0.9, ["冷静", "镇定", "平静", "不慌", "沉稳"]),
+    "焦虑": (0.9, ["焦虑", "紧张", "不安", "心慌", "着急"]), "果断": (0.9, ["果断", "立刻", "马上", "毫不犹豫", "决断"]), "犹豫": (0.9, ["犹豫", "迟疑", "纠结", "徘徊", "拿不定"]),
+    "无私": (0.9, ["奉献", "牺牲", "为别人", "不计较", "付出"]), "自私": (0.9, ["只为自己", "自私", "不顾别人", "利己", "贪心"]), "温柔": (0.9, ["温柔", "柔和", "轻声", "温暖", "体贴"]),
+    "冷酷": (0.9, ["冷酷", "冰冷", "冷淡", "无情", "刻薄"]), "热情": (0.9, ["热情", "热烈", "积极", "主动", "热心"]), "冷漠": (0.9, ["冷漠", "冷淡", "无所谓", "漠不关心", "疏离"]),
+    "理想主义": (0.8, ["理想", "信念", "追求", "梦想", "执着"]), "现实主义": (0.8, ["现实", "实际", "务实", "利益", "权衡"]),
+}
+# fixed values: key words of genres
+GENRES = {
+    "科幻": ["科幻", "星际", "宇宙", "未来", "科技", "机器人", "AI", "人工智能", "外星", "太空", "文明", "星舰", "量子", "赛博", "末世", "末日", "外星人", "入侵", "能量", "飞船", "空间站", "虚拟", "赛博朋克", "宏原子", "球状闪电", "等离子", "高能物理", "实验装置", "粒子", "超导", "纳米", "基因", "克隆", "时空", "维度", "平行宇宙", "意识上传"],
+    "言情": ["爱情", "恋爱", "言情", "情感", "暗恋", "告白", "分手", "婚姻", "暧昧", "痴情", "虐恋", "甜宠", "初恋", "相思", "情侣", "恋人", "表白", "失恋"],
+    "悬疑": ["悬疑", "推理", "侦探", "谜团", "真相", "阴谋", "反转", "伏笔", "悬念", "揭秘", "凶案", "破案", "谜题", "线索"],
+    "战争": ["战争", "军事", "战斗", "战役", "军队", "武器", "防御", "入侵", "保卫战", "前线", "战场", "士兵", "将军", "轰炸", "抵抗", "炮火", "弹药", "部队", "指挥官"],
+    "历史": ["历史", "古代", "朝代", "传记", "回忆录", "年代", "世纪", "王朝", "宫廷", "史诗", "编年", "史料", "考古"],
+    "奇幻": ["奇幻", "魔法", "玄幻", "修仙", "精灵", "龙族", "异世界", "巫师", "咒语", "神魔", "妖怪", "剑与魔法", "斗气"],
+    "都市": ["都市", "城市", "职场", "生活", "日常", "社会", "白领", "打工", "北漂", "沪漂", "市井", "公寓", "地铁", "写字楼"],
+    "成长": ["成长", "青春", "校园", "励志", "蜕变", "觉醒", "自我实现", "追梦", "迷茫", "顿悟", "成熟", "理想", "追求", "灵魂", "自由", "天才", "创作"],
+    "现实": ["苦难", "命运", "死亡", "贫穷", "贫苦", "疾病", "饥荒", "家庭", "亲情", "乡土", "土地", "生存", "活着", "平凡", "生活", "离别", "生死", "回忆", "岁月", "劳动", "希望", "绝望", "悲欢", "人性", "时代"],
+}
+
 
 def all_sets() -> dict[str, list[str]]:
     """Every closed set by name."""

@@ -85,7 +85,7 @@ def five_intervals(rows: DataFrame, hit) -> DataFrame:
     return rows.groupBy("doc_id", "interval").agg(F.round(F.count_if(hit) / F.max("size"), 6).alias("density"))
 
 
-def keyword_scores(tags: DataFrame, genres: dict[str, list[str]]) -> DataFrame:
+def keyword_scores(tags: DataFrame, genres: dict[str, list[str]] = E.GENRES) -> DataFrame:
     """Per document and genre the number of tags (with repeats) that hold one of its key words."""
     hits = {g: F.exists(F.array(*(F.lit(w) for w in ws)), lambda w: F.contains(F.col("tag"), w)) for g, ws in genres.items()}
     names = F.array_compact(F.array(*(F.when(h, F.lit(g)) for g, h in hits.items())))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabulon.functions.enums import TRAITS
 from fabulon.functions.text import rounded
 
 from .aggregates import half_split_trend, head_tail_means, mode_first_seen, moments
@@ -133,11 +134,11 @@ def redacted(rows: DataFrame, hidden: tuple[str, ...] = ("txt", "text", "anchor"
     return out
 
 
-def traits(items: DataFrame, lexicon: dict[str, list[str]], most: int = 5) -> DataFrame:
-    """The strongest traits of each character from weighted texts (doc_id, who, text, weight): every key word that a text holds counts."""
-    hits = F.array(*(F.struct(F.lit(t).alias("trait"), sum(F.contains(F.col("text"), F.lit(w)).cast("int") for w in ws).alias("hits")) for t, ws in lexicon.items()))
+def traits(items: DataFrame, lexicon: dict[str, tuple[float, list[str]]] = TRAITS, most: int = 5) -> DataFrame:
+    """The strongest traits of each character from weighted texts (doc_id, who, text, weight): every key word that a text holds counts, by the trait's weight."""
+    hits = F.array(*(F.struct(F.lit(t).alias("trait"), sum(F.contains(F.col("text"), F.lit(w)).cast("int") for w in ws).alias("hits"), F.lit(by).alias("by")) for t, (by, ws) in lexicon.items()))
     rows = items.select("doc_id", "who", "weight", F.explode(hits).alias("h")).filter("h.hits > 0")
-    score = rows.groupBy("doc_id", "who", F.col("h.trait").alias("trait")).agg(F.round(F.sum(F.col("h.hits") * F.col("weight")), 6).alias("score"))
+    score = rows.groupBy("doc_id", "who", F.col("h.trait").alias("trait")).agg(F.round(F.sum(F.col("h.hits") * F.col("weight") * F.col("h.by")), 6).alias("score"))
     by = Window.partitionBy("doc_id", "who").orderBy(F.desc("score"), "trait")
     return score.withColumn("rank", F.row_number().over(by).cast("long")).filter(F.col("rank") <= most)
 

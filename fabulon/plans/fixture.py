@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fabulon.functions import enums as E
 
+THEMES = ["爱情", "战争", "未来世界", "死亡与牺牲", "校园成长", "城市生活", "真相", "魔法", "信念与追求"]
 KEY = "concat(doc_id, '|', idx, '|', '{}')"
 # name, tag, values (a list, or (count, first, prefix)), null when the draw of (tag, n) is 0
 FIELDS = [
@@ -30,8 +31,8 @@ FIELDS = [
     ("conf", "CONF", (101, 0, None), None),
     ("status", "STATUS", E.STATUS, None),
     ("sw", "SW", (8, 0, None), None),
-    ("t1", "T1", (9, 0, "tag"), None),
-    ("t2", "T2", (9, 0, "tag"), None),
+    ("t1", "T1", THEMES, None),
+    ("t2", "T2", THEMES, None),
     ("s1", "S1", (7, 0, "c"), None),
     ("s2", "S2", (7, 0, "c"), None),
     ("cl", "I1", (11, 0, "cl"), None),

@@ -192,7 +192,7 @@ PLACE = "CASE act " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(E.AC
 register("agg_first_occurrence_ranges", on_ann(A.act_ranges), f", {NUM}, a AS (SELECT doc_id, {ACTS} AS act, min(rn - 1) AS first, count(*) AS labelled, max(n) AS n FROM num WHERE {ACTS} IS NOT NULL GROUP BY 1, 2), p AS (SELECT *, {PLACE} AS place FROM a) SELECT p.doc_id, p.act, p.first AS start_segment, coalesce((SELECT arg_min(q.first, q.place) FROM p q WHERE q.doc_id = p.doc_id AND q.place > p.place AND q.first > p.first) - 1, p.n - 1) AS end_segment, p.labelled FROM p")
 register("agg_beats", on_ann(A.beats), f", {NUM}, beat(beat, a, z) AS (VALUES {', '.join(f"('{b}', {a}::DOUBLE, {z}::DOUBLE)" for b, a, z in E.BEATS)}) SELECT doc_id, beat, count(*) AS rows, round(avg(inten), 6) AS mean FROM num JOIN beat ON rn - 1 BETWEEN trunc(n * a)::INT AND least(trunc(n * z)::INT, n - 1) GROUP BY 1, 2")
 register("agg_five_intervals", on_ann(lambda a: A.five_intervals(a, F.col("d10").isNotNull())), f", {NUM}, b AS (SELECT *, greatest(n // 5, 1) AS size, (rn - 1) // greatest(n // 5, 1) AS interval_ FROM num) SELECT doc_id, interval_::BIGINT AS interval, round(count(*) FILTER (d10 IS NOT NULL) / max(size), 6) AS density FROM b WHERE interval_ < 5 GROUP BY 1, 2")
-GENRES = {"even": ["tag0", "tag2", "tag4", "tag6", "tag8"], "low": ["tag0", "tag1", "tag2"], "seven": ["7"]}
+GENRES = E.GENRES
 register("agg_genre_score", on_ann(lambda a: A.keyword_scores(tags(a), GENRES)), " UNION ALL ".join(f"SELECT doc_id, '{g}' AS genre, count(*) AS score FROM tags WHERE {' OR '.join(f"contains(tag, '{w}')" for w in ws)} GROUP BY 1" for g, ws in GENRES.items()))
 CRAFTED = "items AS (SELECT doc_id, unnest(['D13','D14','D15','D16','D17']) AS dim, [t1, d01, itype, pol, persp] AS k, unnest([1,2,3,4,5]) AS i FROM ann)"
 register("agg_quality_score", on_ann(lambda a: A.quality_score(a.select("doc_id", F.posexplode(F.array("t1", "d01", "itype", "pol", "persp")).alias("p", "kind")).withColumn("dim", F.concat(F.lit("D1"), (F.col("p") + 3).cast("string"))))), f", {CRAFTED}, per AS (SELECT doc_id, dim, count(*) AS n, count(DISTINCT k[i]) AS kinds FROM items GROUP BY 1, 2), w(dim, w, c, t) AS (VALUES {', '.join(f"('{k}', {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for k, (a, b, c) in A.CRAFT.items())}) SELECT doc_id, round(sum((0.4::DOUBLE + least(n / c, 1) * 0.4::DOUBLE + least(kinds / t, 1) * 0.2::DOUBLE) * w) * 100, 4) AS score FROM per JOIN w USING (dim) GROUP BY 1")
@@ -256,7 +256,7 @@ register("story_graph", on_ann(lambda a: story.story_graph(scenes=Q.scenes(a).se
 
 
 # further summaries
-TRAITS = {"first": ["tag1", "tag2"], "second": ["tag2", "c3"], "third": ["tag7", "c5", "cl1"]}
+TRAITS = E.TRAITS
 
 
 def trait_items(a: DataFrame) -> DataFrame:
@@ -265,7 +265,7 @@ def trait_items(a: DataFrame) -> DataFrame:
 
 
 _trait = lambda ws: " + ".join(f"contains(text, '{w}')::INT" for w in ws)
-register("char_traits", on_ann(lambda a: story.traits(trait_items(a), TRAITS)), ", it AS (SELECT doc_id, s1 AS who, concat(t1, ' ', s2) AS text, 1.0::DOUBLE AS weight FROM ann UNION ALL SELECT doc_id, s2, concat(t2, ' ', cl), 0.5::DOUBLE FROM ann), h AS (" + " UNION ALL ".join(f"SELECT doc_id, who, '{t}' AS trait, ({_trait(ws)}) AS hits, weight FROM it" for t, ws in TRAITS.items()) + "), sc AS (SELECT doc_id, who, trait, round(sum(hits * weight), 6) AS score FROM h WHERE hits > 0 GROUP BY 1, 2, 3) SELECT *, row_number() OVER (PARTITION BY doc_id, who ORDER BY score DESC, trait) AS rank FROM sc QUALIFY rank <= 5")
+register("char_traits", on_ann(lambda a: story.traits(trait_items(a), TRAITS)), ", it AS (SELECT doc_id, s1 AS who, concat(t1, ' ', s2) AS text, 1.0::DOUBLE AS weight FROM ann UNION ALL SELECT doc_id, s2, concat(t2, ' ', cl), 0.5::DOUBLE FROM ann), h AS (" + " UNION ALL ".join(f"SELECT doc_id, who, '{t}' AS trait, ({_trait(ws)}) AS hits, weight * {by}::DOUBLE AS weight FROM it" for t, (by, ws) in TRAITS.items()) + "), sc AS (SELECT doc_id, who, trait, round(sum(hits * weight), 6) AS score FROM h WHERE hits > 0 GROUP BY 1, 2, 3) SELECT *, row_number() OVER (PARTITION BY doc_id, who ORDER BY score DESC, trait) AS rank FROM sc QUALIFY rank <= 5")
 MAIN = "tot AS (SELECT doc_id, count(*) AS total FROM ann GROUP BY 1), cnt AS (SELECT doc_id, who, count(*) AS n, min(idx) AS f FROM spk GROUP BY 1, 2), mainc AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f, who) AS rank, who, n FROM cnt JOIN tot USING (doc_id) WHERE n >= greatest(3, total * 0.05::DOUBLE) QUALIFY rank <= 15)"
 register("char_biography", on_ann(lambda a: story.biographies(speakers(a), a, mood(a), network(a))), f", {NET}, {MAIN}, life AS (SELECT doc_id, who, min(idx) AS first_idx, max(idx) AS last_idx, count(*) FILTER (d01 IN ('转折','高潮')) AS n_turning, round(avg(intensity), 6) AS mean_intensity FROM spk JOIN ann USING (doc_id, idx) JOIN mood USING (doc_id, idx) GROUP BY 1, 2), bo AS (SELECT doc_id, a AS who, b AS other, strength FROM net UNION ALL SELECT doc_id, b, a, strength FROM net), nr AS (SELECT doc_id, who, string_agg(other, ',' ORDER BY rn) AS relations FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, who ORDER BY strength DESC, other) AS rn FROM bo) WHERE rn <= 8 GROUP BY 1, 2) SELECT m.doc_id, m.who, m.rank, m.n, first_idx, last_idx, n_turning, mean_intensity, coalesce(relations, '') AS relations FROM mainc m JOIN life USING (doc_id, who) LEFT JOIN nr USING (doc_id, who)")
 _scores = "sco AS (" + " UNION ALL ".join(f"SELECT doc_id, '{g}' AS genre, count(*) AS score FROM tags WHERE {' OR '.join(f"contains(tag, '{w}')" for w in ws)} GROUP BY 1" for g, ws in GENRES.items()) + ")"
