@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,26 @@ def shared_dir(spark: SparkSession) -> str:
     return LOCAL_DIR
 
 
+#: Folders of operator calls whose results may not be written yet.
+_open: list[str] = []
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the tables of all operator calls so far. Only where all their results have been written elsewhere, as between the stages of a pipeline."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _open:
+        at = jvm.org.apache.hadoop.fs.Path(_open.pop())
+        at.getFileSystem(conf).delete(at, True)
+    gc.collect()
+    jvm.System.gc()  # plans that are done let go of the files of their shuffles
+
+
 class Scratch:
     """Tables of one operator call, each under a path of its own."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-        self.made: dict[int, str] = {}
+        _open.append(self.root)
         self.n = 0
 
     def cut(self, df: DataFrame, *observed) -> DataFrame:
@@ -33,10 +48,14 @@ class Scratch:
         path = f"{self.root}/t{self.n}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.made[id(out)] = path
         out._fabulon_path = path
         return out
 
+    def release(self) -> None:
+        """Let the driver forget plans that are done, so that the files of their shuffles go."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table that no later plan reads."""
         path = getattr(df, "_fabulon_path", None)

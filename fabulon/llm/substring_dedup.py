@@ -138,47 +138,54 @@ def _windows(window: int, least: int):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (seed, part, kind, ghost, doc, pos) sorted by seed, part, doc and pos -> (doc, other, x, y, kind, seed): each occurrence that is no ghost with the
-    first ones of its seed in the earliest text and in the last one before its own."""
-    held = None  # the key; doc and place of its first occurrence, of that in the last doc, and in the doc before that one
+    """Rows (seed, doc, at) sorted by all three -> (doc, other, xy, seed): each occurrence that is no ghost with the first ones of its seed in the
+    earliest text and in the last one before its own. at: place * 8 + kind * 2 + ghost; xy: both places and the kind (see places_of)."""
+    held = None  # the seed; doc and place of its first occurrence, of that in the last doc, and in the doc before that one
     for batch in batches:
         if not batch.num_rows:
             continue
-        s, part, kind, ghost, d, p = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6))
+        s, d, p = (batch.column(i).to_numpy() for i in range(3))
         if held is not None:  # what is known of the seed so far, as rows before the batch
-            s, part, kind, ghost = (np.concatenate([np.full(3, x), y]) for x, y in zip(held[0], (s, part, kind, ghost), strict=True))
-            d, p = np.concatenate([held[1], d]), np.concatenate([held[2], p])
-        new = np.concatenate([[True], (s[1:] != s[:-1]) | (part[1:] != part[:-1])])
+            s, d, p = np.concatenate([np.full(3, held[0]), s]), np.concatenate([held[1], d]), np.concatenate([held[2], p])
+        new = np.concatenate([[True], s[1:] != s[:-1]])
         text = new | np.concatenate([[True], d[1:] != d[:-1]])
         number = np.arange(len(s))
         first, own = (np.maximum.accumulate(np.where(m, number, 0)) for m in (new, text))
         last = np.where(new[own], own, np.concatenate([[0], own[:-1]])[own])
-        own_only = (number >= (3 if held is not None else 0)) & (ghost == 0)
+        own_only = (number >= (3 if held is not None else 0)) & (p & 1 == 0)
         z = len(s) - 1
         out = []
         for partner in (first, last):
-            hit = own_only & (d != d[partner]) & ((partner != first) | (partner is first))
-            out.append((d[hit], d[partner[hit]], p[hit], p[partner[hit]], kind[hit], s[hit]))
+            hit = np.flatnonzero(own_only & (d != d[partner]) & ((partner != first) | (partner is first)))
+            to = partner[hit]
+            out.append((d[hit], d[to], (p[hit] >> 3 << 34) + (p[to] >> 3 << 2) + (p[hit] >> 1 & 3), s[hit]))
         back = [first[z], last[z], own[z]]
-        held = ((s[z], part[z], kind[z], 0), d[back], p[back])
-        found = [np.concatenate(c) for c in zip(*out, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(found, (np.int64, np.int64, np.int32, np.int32, np.int8, np.int64), strict=True)], ["doc", "other", "x", "y", "kind", "seed"])
+        held = (s[z], d[back], p[back])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["doc", "other", "xy", "seed"])
+
+
+def places_of(xy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place in the text, place in the other, and kind."""
+    return xy >> 34, xy >> 2 & 0xFFFFFFFF, xy & 3
 
 
 def partners(seeds: DataFrame, often: DataFrame, frequent: DataFrame, ranges: list[int] | None, scratch: Scratch) -> DataFrame:
-    """(doc, other, x, y, kind, seed) for the occurrences (seed, doc, pos, kind). often: those of the seeds frequent (hot), of which there are FREQUENT at
-    most; they are dealt by ranges of documents too: up to a bound of `ranges` (or of quantiles), and beyond the one before."""
+    """(doc, other, xy, seed) for the occurrences (seed, doc, pos, kind). often: those of the seeds frequent (hot), of which there are FREQUENT at
+    most; they are dealt by ranges of documents too: up to a bound of `ranges` (or of quantiles), and beyond the one before. The number of the
+    range takes the place of the lowest bits of such a seed."""
     if ranges is None:
         ranges = often.agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
     part = F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(ranges))]).cast("array<long>"), lambda b: b < F.col("doc"))) if ranges else F.lit(0)
+    named = (F.col("seed").bitwiseAND(F.lit(-RANGES))).bitwiseOR(F.col("part").cast("long"))
+    at = lambda kind, ghost: (F.col("pos").cast("long") * 8 + kind * 2 + ghost).alias("at")
     dealt = seeds.join(frequent, F.col("seed") == F.col("hot"), "left").withColumn("part", F.when(F.col("hot").isNotNull(), part).otherwise(0))
-    sums = often.withColumn("part", part).groupBy("seed", "kind", "part").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max(F.struct("doc", (-F.col("pos")).alias("pos"))).alias("high"))
-    sums = scratch.cut(sums.select("seed", "kind", "part", "low", F.struct(F.col("high.doc").alias("doc"), (-F.col("high.pos")).alias("pos")).alias("high")))
+    rows = dealt.select(F.when(F.col("hot").isNotNull(), named).otherwise(F.col("seed")).alias("seed"), "doc", at(F.col("kind"), 0))
+    sums = often.withColumn("part", part).groupBy("seed", "part").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max(F.struct("doc", (-F.col("pos")).alias("pos"))).alias("high"))
+    sums = scratch.cut(sums.select("seed", "part", "low", F.struct(F.col("high.doc").alias("doc"), (-F.col("high.pos")).alias("pos")).alias("high")))
     by = Window.partitionBy("seed").orderBy("part")  # RANGES rows at most
-    known = sums.select("seed", "kind", "part", F.first("low").over(by).alias("low"), F.lag("high").over(by).alias("high")).filter("high is not null")
-    ghosts = known.withColumn("g", F.explode(F.array_distinct(F.array("low", "high")))).select("seed", "part", "kind", F.lit(1).alias("ghost"), F.col("g.doc").alias("doc"), F.col("g.pos").alias("pos"))
-    rows = dealt.select("seed", "part", "kind", F.lit(0).alias("ghost"), "doc", "pos").unionAll(ghosts)
-    return rows.repartition("seed", "part").sortWithinPartitions("seed", "part", "doc", "pos").mapInArrow(trimmed(_met), "doc long, other long, x int, y int, kind byte, seed long")
+    known = sums.select("seed", "part", F.first("low").over(by).alias("low"), F.lag("high").over(by).alias("high")).filter("high is not null")
+    ghosts = known.withColumn("g", F.explode(F.array_distinct(F.array("low", "high")))).select(named.alias("seed"), F.col("g.doc").alias("doc"), F.col("g.pos").alias("pos")).select("seed", "doc", at(F.lit(0), 1))
+    return rows.unionAll(ghosts).repartition("seed").sortWithinPartitions("seed", "doc", "at").mapInArrow(trimmed(_met), "doc long, other long, xy long, seed long")
 
 
 def diagonals(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> np.ndarray:
@@ -276,11 +283,12 @@ def runs(other: np.ndarray, x: np.ndarray, y: np.ndarray, n: int) -> list[tuple[
 
 
 def _unresolved(n: int, least: int):
-    """Rows (doc, other, x, y, seed) of equal middles of n words, sorted by doc -> (open): seeds in no run of more than `least` words."""
+    """Rows (doc, other, xy, seed) of equal middles of n words, sorted by doc -> (open): seeds in no run of more than `least` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in words.groups(batches, 1):
-            other, x, y, seed = (group.column(c).to_numpy().astype(np.int64) for c in (1, 2, 3, 4))
+            other, seed = group.column(1).to_numpy(), group.column(3).to_numpy()
+            x, y, _ = places_of(group.column(2).to_numpy())
             held = np.zeros(int(x.max()) + 2, dtype=np.int64)
             for _, x0, x1, _, _ in runs(other, x, y, n):
                 if x1 - x0 > least:
@@ -292,11 +300,12 @@ def _unresolved(n: int, least: int):
 
 
 def _chained(k: int, window: int, gap: float, span: int, least: int):
-    """Rows (doc, other, x, y, kind) sorted by doc -> (doc, other, x0, x1, y0, y1)."""
+    """Rows (doc, other, xy) sorted by doc -> (doc, other, x0, x1, y0, y1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in words.groups(batches, 1):
-            other, x, y, kind = (group.column(c).to_numpy().astype(np.int64) for c in (1, 2, 3, 4))
+            other = group.column(1).to_numpy()
+            x, y, kind = places_of(group.column(2).to_numpy())
             wide, covered = kind != SHORT, None
             known = [r for n, of in ((max(least + 2 - window, 1), MIDDLE), (least + 1, LONG)) for r in runs(other[kind == of], x[kind == of], y[kind == of], n) if r[2] - r[1] > least]
             if len(known):  # the anchors of runs are seen at their ends and between; words of the text that runs cover
@@ -496,12 +505,15 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     middles = first.filter(F.col("kind") == MIDDLE)
     shared = scratch.cut(middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("seed").alias("held")))
     middles = scratch.cut(middles.join(shared, F.col("seed") == F.col("held"), "left_semi"))
+    scratch.drop(first)
     met = scratch.cut(counted_partners(middles, scratch))
     size = max(least + 2 - window, 1)
-    open_ = met.repartition("doc").sortWithinPartitions("doc").select("doc", "other", "x", "y", "seed").mapInArrow(trimmed(_unresolved(size, least)), "open long").distinct()
-    places = middles.join(scratch.cut(open_), F.col("seed") == F.col("open"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    open_ = met.repartition("doc").sortWithinPartitions("doc").select("doc", "other", "xy", "seed").mapInArrow(trimmed(_unresolved(size, least)), "open long").distinct()
+    upper = lambda c: F.col(c).bitwiseAND(F.lit(-RANGES))  # noqa: E731  without the number of a range
+    places = middles.join(scratch.cut(open_), upper("seed") == upper("open"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
     windows = scratch.cut(text.join(scratch.cut(places), F.col("doc") == F.col("in")).select("doc", "text", "at").mapInArrow(trimmed(_windows(window, least)), kinds))
     anchors = short.unionAll(met).unionAll(counted_partners(windows, scratch)).drop("seed")
+    scratch.release()
     found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
     sources = scratch.cut(found.filter("y0 >= 0").select("other").distinct())
     pieces = text.join(sources, F.col("doc") == F.col("other"), "left_semi").select("doc", "text").mapInArrow(trimmed(_blocks(block)), "src long, block int, body binary")
