@@ -134,6 +134,7 @@ SENSES = {"visual": ["light", "and", "in"], "sound": ["th", "ou"], "touch": ["re
 _hits = lambda w: f"(length(txt) - length(replace(txt, '{w}', ''))) / {len(w)}"
 register("qm_sense_density", lambda s, d: metrics.word_density(segments(s, d), SENSES), "SELECT doc_id, idx, " + ", ".join(f"{R(f'({' + '.join(map(_hits, ws))}) / greatest(length(txt), 1)', 5)} AS {k}" for k, ws in SENSES.items()) + " FROM seg")
 LEXICON = [("the", "noun", 1, ["PA"]), ("of", "verb", 2, ["NB", "ND"]), ("and", "adj", 1, ["PB"]), ("to", "verb", 2, ["NE"]), ("die", "noun", 1, ["PF"]), ("la", "adj", 2, ["NC", "NI"]), ("que", "verb", 1, [])]
+POLAR = [x[:3] for x in LEXICON]
 _share = lambda cond: R(f"count(*) FILTER ({cond}) / greatest(count(x), 1)", 4)
 _parts = {"positive": "pol = 1", "negative": "pol = 2", "anxiety": f"len(list_intersect(cls, {metrics.ANXIETY})) > 0", "adjectives": "pos = 'adj'", "verbs": "pos = 'verb'", "nouns": "pos = 'noun'"}
 register("qm_lexicon_shares", lambda s, d: metrics.lexicon_shares(segments(s, d), s.createDataFrame(LEXICON, "w string, pos string, pol int, cls array<string>")), f", {TOK}, lex(w, pos, pol, cls) AS (VALUES {', '.join(f"('{w}', '{pos}', {pol}, {cls}::VARCHAR[])" for w, pos, pol, cls in LEXICON)}), e AS (SELECT doc_id, idx, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS x FROM tok) SELECT doc_id, idx, {', '.join(f'{_share(c)} AS {k}' for k, c in _parts.items())} FROM e LEFT JOIN lex ON lower(x) = w GROUP BY 1, 2")
@@ -274,7 +275,7 @@ register("jn_target_reuse", on_ann(lambda a: joins.reuse_edges(a, "emo_tgt")), "
 register("jn_imagery_reuse", on_ann(lambda a: joins.reuse_edges(a, "cl")), "SELECT * FROM (SELECT doc_id, cl AS value, lag(idx) OVER (PARTITION BY doc_id, cl ORDER BY idx) AS src, idx AS tgt FROM ann) WHERE src IS NOT NULL")
 register("jn_boundary_lookup", on_ann(lambda a: joins.boundary_lookup(Q.adjacent_pairs(a).select("doc_id", "idx", "next_idx"), refs(a).select("doc_id", F.col("src").alias("a"), F.col("tgt").alias("b"), F.lit(True).alias("is_boundary")))), f", p AS (SELECT * FROM (SELECT doc_id, idx, lead(idx) {W} AS next_idx FROM ann) WHERE next_idx IS NOT NULL) SELECT p.doc_id, p.idx, p.next_idx, r.src IS NOT NULL AS is_boundary FROM p LEFT JOIN refs r ON r.doc_id = p.doc_id AND r.src = p.idx AND r.tgt = p.next_idx")
 register("agg_coverage_gap", lambda s, d: A.coverage_gap(s.createDataFrame([(e,) for e in [*E.EMOTIONS, "none"]], "name string"), annotated(s, d).select(F.col("emo").alias("name"))), f", c(name) AS (VALUES {', '.join(f"('{e}')" for e in [*E.EMOTIONS, 'none'])}) SELECT name, count(emo) AS n FROM c LEFT JOIN ann ON emo = name GROUP BY 1")
-register("agg_polarity_vote", lambda s, d: A.polarity_vote(metrics.lexicon_shares(segments(s, d), s.createDataFrame(LEXICON, "w string, pos string, pol int")), annotated(s, d)), f", {TOK}, lex(w, pos, lp) AS (VALUES {', '.join(map(str, LEXICON))}), e AS (SELECT doc_id, idx, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS x FROM tok), v AS (SELECT doc_id, idx, count(*) FILTER (lp = 1) AS p, count(*) FILTER (lp = 2) AS n FROM e LEFT JOIN lex ON lower(x) = w GROUP BY 1, 2) SELECT doc_id, round(avg(CASE WHEN (CASE WHEN p > 0 AND p >= n THEN 'positive' WHEN n > 0 THEN 'negative' ELSE 'neutral' END) = pol THEN 1.0 ELSE 0.0 END), 6) AS consistency FROM v JOIN ann USING (doc_id, idx) GROUP BY 1")
+register("agg_polarity_vote", lambda s, d: A.polarity_vote(metrics.lexicon_shares(segments(s, d), s.createDataFrame(LEXICON, "w string, pos string, pol int, cls array<string>")), annotated(s, d)), f", {TOK}, lex(w, pos, lp) AS (VALUES {', '.join(map(str, POLAR))}), e AS (SELECT doc_id, idx, unnest(CASE WHEN len(t) = 0 THEN [NULL] ELSE t END) AS x FROM tok), v AS (SELECT doc_id, idx, count(*) FILTER (lp = 1) AS p, count(*) FILTER (lp = 2) AS n FROM e LEFT JOIN lex ON lower(x) = w GROUP BY 1, 2) SELECT doc_id, round(avg(CASE WHEN (CASE WHEN p > 0 AND p >= n THEN 'positive' WHEN n > 0 THEN 'negative' ELSE 'neutral' END) = pol THEN 1.0 ELSE 0.0 END), 6) AS consistency FROM v JOIN ann USING (doc_id, idx) GROUP BY 1")
 register("val_craft", on_ann(lambda a: validate.checked(a.selectExpr("doc_id", "idx", "'D15' as dim", "CASE WHEN cl = 'cl3' THEN '无' ELSE itype END as kind", "left(txt, 6) as text", "0 as start", "CASE WHEN cl = 'cl4' THEN length(txt) + 1 ELSE 1 END as `end`", "txt as segment"), validate.craft_rules()).selectExpr("doc_id", "idx", "array_join(errors, ';') as errors")), f"SELECT doc_id, idx, {listed(('text', "trim(left(txt, 6), ' ') = ''"), ('kind', "cl = 'cl3'"), ('bounds', "cl = 'cl4'"))} AS errors FROM ann")
 register("norm_segment_number", lambda s, d: Q.with_previous(segments(s, d)).select("doc_id", "idx", X.segment_number(F.concat(F.lit("d_"), F.when(F.col("idx") % 3 == 0, "seg_").when(F.col("idx") % 3 == 1, "scene_").otherwise("x"), F.col("idx").cast("string"))).cast("long").alias("number")), "SELECT doc_id, idx, idx AS number FROM seg")
 register("sink_sampling_plan", on_ann(lambda a: validate.sampling_tier(a).groupBy("doc_id", "tier").agg(F.array_join(F.sort_array(F.collect_list("idx")), ",").alias("segments"))), ", t AS (SELECT doc_id, idx, CASE WHEN d01 IN ('激励事件','转折','高潮','结局') OR inten >= 6 OR sw = 0 THEN 'deep' WHEN d01 IN ('过渡','背景铺垫') THEN 'skip' ELSE 'light' END AS tier FROM ann) SELECT doc_id, tier, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS segments FROM t GROUP BY 1, 2")
