@@ -515,13 +515,23 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     anchors = short.unionAll(met).unionAll(counted_partners(windows, scratch)).drop("seed")
     scratch.release()
     found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
+    for done in (middles, met, windows):  # only what is found is read from here on
+        scratch.drop(done)
+    del short, anchors
+    scratch.release()
     sources = scratch.cut(found.filter("y0 >= 0").select("other").distinct())
     pieces = text.join(sources, F.col("doc") == F.col("other"), "left_semi").select("doc", "text").mapInArrow(trimmed(_blocks(block)), "src long, block int, body binary")
     needs = found.filter("y0 >= 0").withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {slack + SHIFT}, 0) div {block}").cast("int"), F.expr(f"(y1 + {slack + SHIFT}) div {block}").cast("int"))))
-    met = needs.join(scratch.cut(pieces), (F.col("other") == F.col("src")) & (F.col("need") == F.col("block")))
+    pieces = scratch.cut(pieces)
+    scratch.release()
+    met = needs.join(pieces, (F.col("other") == F.col("src")) & (F.col("need") == F.col("block")))
     of_chain = met.groupBy("doc", "other", "x0", "x1", "y0", "y1").agg(F.collect_list(F.struct("block", "body")).alias("blocks"))
     of_chain = of_chain.unionAll(found.filter("y0 < 0").withColumn("blocks", F.array().cast("array<struct<block:int,body:binary>>")))
-    return scratch.cut(of_chain.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("other", "x0", "x1", "y0", "y1", "blocks")).alias("chains")))
+    out = scratch.cut(of_chain.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("other", "x0", "x1", "y0", "y1", "blocks")).alias("chains")))
+    for done in (found, pieces):
+        scratch.drop(done)
+    scratch.release()
+    return out
 
 
 def numbered(docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
