@@ -91,8 +91,8 @@ def _of_k(h: np.ndarray, rows: np.ndarray, counts: np.ndarray, k: int) -> tuple[
     return words.shingles(h[whole], rows[whole], counts, k)
 
 
-def _seeded(k: int, window: int, least: int):
-    """(doc, text) -> (seed, doc, pos, kind): short seeds and middles of long ones."""
+def _seeded(k: int, window: int, least: int, hot: np.ndarray | None = None, middles: bool = True):
+    """(doc, text) -> (seed, doc, pos, kind): short seeds (those of the sorted `hot`, if given) and, if asked, middles of long ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, lo, hi, h, rows, counts in _texts(batches):
@@ -106,11 +106,18 @@ def _seeded(k: int, window: int, least: int):
             number = again - np.flatnonzero(first)[np.cumsum(first)[again] - 1]
             with np.errstate(over="ignore"):
                 counted = words.mix(s[again] + number.astype(np.uint64) * U(0x9E3779B97F4A7C15))
-            s2, r2, p2 = _of_k(h, rows, counts, max(least + 2 - window, 1))
-            keep = minimizers(s2, r2, hi - lo, min(window, least + 1)) & (counts[r2] > least)
-            s2, r2, p2 = s2[keep], r2[keep], p2[keep]
-            kind = np.repeat([SHORT, MIDDLE], [len(s) + len(again), len(s2)]).astype(np.int8)
-            s, r, p = np.concatenate([s, counted, s2]), np.concatenate([r, r[again], r2]), np.concatenate([p, p[again], p2])
+            s, r, p = np.concatenate([s, counted]), np.concatenate([r, r[again]]), np.concatenate([p, p[again]])
+            if hot is not None:
+                keep = np.zeros(len(s), bool)
+                if len(hot):
+                    keep = hot[np.minimum(np.searchsorted(hot, s.view(np.int64)), len(hot) - 1)] == s.view(np.int64)
+                s, r, p = s[keep], r[keep], p[keep]
+            kind = np.full(len(s), SHORT, np.int8)
+            if middles:
+                s2, r2, p2 = _of_k(h, rows, counts, max(least + 2 - window, 1))
+                keep = minimizers(s2, r2, hi - lo, min(window, least + 1)) & (counts[r2] > least)
+                s, r, p = np.concatenate([s, s2[keep]]), np.concatenate([r, r2[keep]]), np.concatenate([p, p2[keep]])
+                kind = np.concatenate([kind, np.full(int(keep.sum()), MIDDLE, np.int8)])
             ids = batch.column(0).to_numpy()[lo:hi]
             yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(ids[r]), pa.array(p.astype(np.int32)), pa.array(kind)], ["seed", "doc", "pos", "kind"])
 
@@ -492,16 +499,17 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     small_batches(docs.sparkSession)
     text = docs.select("doc", "text").filter("doc is not null and text is not null")
     kinds = "seed long, doc long, pos int, kind byte"
-    seeded = lambda rows: rows.mapInArrow(trimmed(_seeded(k, window, least)), kinds)
+    seeded = lambda rows, **which: rows.mapInArrow(trimmed(_seeded(k, window, least, **which)), kinds)
     # seeds that are frequent in a part of the documents, FREQUENT at most, and ranges of their documents
-    few = scratch.cut(seeded(text.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0)).filter(F.col("kind") == SHORT).groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 200).alias("docs")).filter("n > 1"))
+    few = scratch.cut(seeded(text.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0), middles=False).groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 200).alias("docs")).filter("n > 1"))
     least_n = max(64, (few.agg(F.sum("n")).first()[0] or 0) // FREQUENT + 1)
     few = few.filter(F.col("n") >= least_n)
     frequent = F.broadcast(few.select(F.col("seed").alias("hot")))
     ranges = few.select(F.explode("docs").alias("doc")).agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
     # middles that stand in two documents, and the occurrences of frequent seeds
-    first = scratch.cut(seeded(text).join(frequent, F.col("seed") == F.col("hot"), "left").filter((F.col("kind") == MIDDLE) | F.col("hot").isNotNull()).drop("hot"))
-    short = partners(seeded(text).filter(F.col("kind") == SHORT), first.filter(F.col("kind") == SHORT), frequent, ranges, scratch)
+    hot = np.array(sorted(r[0] for r in few.select("seed").collect()), dtype=np.int64)  # FREQUENT at most, as each has that share of the rows
+    first = scratch.cut(seeded(text, hot=hot))
+    short = partners(seeded(text, middles=False), first.filter(F.col("kind") == SHORT), frequent, ranges, scratch)
     middles = first.filter(F.col("kind") == MIDDLE)
     shared = scratch.cut(middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("seed").alias("held")))
     middles = scratch.cut(middles.join(shared, F.col("seed") == F.col("held"), "left_semi"))
