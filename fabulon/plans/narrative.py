@@ -141,7 +141,8 @@ register("norm_layer_kind", on_ann(lambda a: raw(a).select("doc_id", "idx", laye
 register(
     "ingest_commit",
     on_ann(lambda a: layers.committed(a.selectExpr("doc_id", "idx", "'D15' as dim", "CASE WHEN cl = 'cl3' THEN '无' ELSE itype END as kind", "CASE WHEN cl = 'cl2' THEN '一二三四五六' ELSE left(txt, 6) END as text", "cast(0 as bigint) as start", "cast(CASE WHEN cl = 'cl4' THEN length(txt) + 1 ELSE length(left(txt, 6)) END as bigint) as `end`", "txt as segment")).select("doc_id", "idx", "start", "end", "text", "outcome")),
-    "SELECT doc_id, idx, 0::BIGINT AS start, length(left(txt, 6))::BIGINT AS end, CASE WHEN cl = 'cl2' THEN '一二三四五六' ELSE left(txt, 6) END AS text, CASE WHEN cl IN ('cl2', 'cl3') THEN 'rejected' WHEN cl = 'cl4' THEN 'repaired' ELSE 'valid' END AS outcome FROM ann WHERE trim(left(txt, 6)) <> ''",
+    # a repaired quote loses the white space at its ends, and its span goes to the first place of what is left
+    r", q AS (SELECT *, CASE WHEN cl = 'cl2' THEN '一二三四五六' ELSE left(txt, 6) END AS quote, regexp_replace(left(txt, 6), '^\s+|\s+$', '', 'g') AS bare FROM ann) SELECT doc_id, idx, CASE WHEN cl = 'cl4' THEN instr(txt, bare) - 1 ELSE 0 END::BIGINT AS start, CASE WHEN cl = 'cl4' THEN instr(txt, bare) - 1 + length(bare) ELSE length(left(txt, 6)) END::BIGINT AS end, CASE WHEN cl = 'cl4' THEN bare ELSE quote END AS text, CASE WHEN cl IN ('cl2', 'cl3') THEN 'rejected' WHEN cl = 'cl4' THEN 'repaired' ELSE 'valid' END AS outcome FROM q",
 )
 _section = lambda name, column, table="ann": f"SELECT doc_id, '{name}' AS section, {column} AS value, min(idx) AS f, count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY 1, 3"
 register("report_sections", on_ann(writers.sections), f", s AS ({' UNION ALL '.join(_section(n, c) for n, c in writers.SECTIONS.items())}) SELECT doc_id, section, row_number() OVER (PARTITION BY doc_id, section ORDER BY n DESC, f, value) AS rank, value, n FROM s QUALIFY rank <= 10")

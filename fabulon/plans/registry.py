@@ -348,11 +348,11 @@ DETAIL = {
 }
 for _layer, (_rules, _columns, _errors, _warnings) in DETAIL.items():
     register(f"val_{_layer}_details", on_ann(lambda a, rules=_rules, columns=_columns: validate.flat(validate.checked(a.selectExpr("doc_id", "idx", *columns), rules()))), f", e AS (SELECT doc_id, idx, {listed(*_errors)} AS errors, {listed(*_warnings) if _warnings else repr('')} AS warnings FROM ann) SELECT doc_id, idx, errors, warnings, errors = '' AS is_valid FROM e")
-for _layer, (_names, _needed) in validate.DIMENSIONS.items():
+for _layer, (_dims, _needed) in validate.DIMENSIONS.items():
     register(
         f"val_dimensions_{_layer}",
-        on_ann(lambda a, layer=_layer, names=_names: validate.flat(validate.checked(a.selectExpr("doc_id", "idx", "CASE WHEN idx % 4 = 0 THEN 'guess' ELSE 'human_review' END AS confidence_method", "map(" + ", ".join(f"'{d}', CASE WHEN idx % {i + 5} = 0 THEN NULL WHEN idx % {i + 5} = 1 THEN 1.5D ELSE 0.5D END" for i, d in enumerate(names)) + ") AS per_dimension"), validate.dimension_rules(layer)))),
-        f", e AS (SELECT doc_id, idx, {listed(('confidence_method', 'idx % 4 = 0'), *((f'per_dimension.{d}', f'idx % {i + 5} = 1' + (f' OR idx % {i + 5} = 0' if _needed else '')) for i, d in enumerate(_names)))} AS errors FROM ann) SELECT doc_id, idx, errors, '' AS warnings, errors = '' AS is_valid FROM e",
+        on_ann(lambda a, layer=_layer, names=_dims: validate.flat(validate.checked(a.selectExpr("doc_id", "idx", "CASE WHEN idx % 4 = 0 THEN 'guess' ELSE 'human_review' END AS confidence_method", "map(" + ", ".join(f"'{d}', CASE WHEN idx % {i + 5} = 0 THEN NULL WHEN idx % {i + 5} = 1 THEN 1.5D ELSE 0.5D END" for i, d in enumerate(names)) + ") AS per_dimension"), validate.dimension_rules(layer)))),
+        f", e AS (SELECT doc_id, idx, {listed(('confidence_method', 'idx % 4 = 0'), *((f'per_dimension.{d}', f'idx % {i + 5} = 1' + (f' OR idx % {i + 5} = 0' if _needed else '')) for i, d in enumerate(_dims)))} AS errors FROM ann) SELECT doc_id, idx, errors, '' AS warnings, errors = '' AS is_valid FROM e",
     )
 register("proj_imagery", on_ann(lambda a: layers.imagery(a.selectExpr("doc_id", "idx", "CASE WHEN idx % 3 > 0 THEN array(named_struct('text', left(txt, 2), 'type', itype, 'cluster', cl, 'start', 0L, 'end', 2L), named_struct('text', 'x', 'type', cast(NULL AS string), 'cluster', cl, 'start', 1L, 'end', 2L)) END AS d15"))), "SELECT doc_id, idx, 0::BIGINT AS pos, left(txt, 2) AS text, itype AS type, cl AS cluster, 0::BIGINT AS start, 2::BIGINT AS end FROM ann WHERE idx % 3 > 0 UNION ALL SELECT doc_id, idx, 1, 'x', 'unknown', cl, 1, 2 FROM ann WHERE idx % 3 > 0")
 register("proj_padded", on_ann(lambda a: layers.padded(a.selectExpr("doc_id", "idx", "CASE WHEN idx % 2 = 0 THEN 'own' END AS txt", "CASE WHEN idx % 3 = 0 THEN 'id' END AS segment_id", "CASE WHEN idx % 5 = 0 THEN '2.5.0' END AS schema_version"), a.selectExpr("doc_id", "idx", "txt", "concat(doc_id, '_seg_', idx) as segment_id"), "2.10.0")), "SELECT doc_id, idx, CASE WHEN idx % 2 = 0 THEN 'own' ELSE txt END AS txt, CASE WHEN idx % 3 = 0 THEN 'id' ELSE concat(doc_id, '_seg_', idx) END AS segment_id, CASE WHEN idx % 5 = 0 THEN '2.5.0' ELSE '2.10.0' END AS schema_version FROM ann")
