@@ -137,9 +137,12 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
     Two texts are linked when 100 * |intersection| >= percent * |union| of their sets of distinct shingles of k words.
     component_id is the smallest doc_id reachable by links, kept says whether it is the row's own.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    scratch = Scratch(spark)
+    small_batches(docs.sparkSession)
+    with Scratch(docs.sparkSession) as scratch:
+        return _near_duplicates(docs, scratch, k, percent, bands, rows, tile)
+
+
+def _near_duplicates(docs: DataFrame, scratch: Scratch, k: int, percent: int, bands: int, rows: int, tile: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = scratch.cut(docs.mapInArrow(trimmed(_signed(k, bands, rows)), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"))
     of_set = signed.filter("n_shingles > 0 and doc_id is not null")
@@ -175,4 +178,5 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, bands: in
     # rows that repeat a doc_id can stand in several classes: their components are one
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(found, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    # a row of numbers for each document: all that is left of the call
+    return scratch.keep(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")))

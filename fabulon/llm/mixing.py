@@ -196,7 +196,6 @@ def mix(docs: DataFrame, sources: Column, size: Column, *, weights: tuple[float,
     `most` times.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark)
     new = ["size", "source_size", "target", "taken"]
     rest = [c for c in docs.columns if c not in new]
     own = "__mix_"
@@ -204,30 +203,31 @@ def mix(docs: DataFrame, sources: Column, size: Column, *, weights: tuple[float,
         own += "_"
     c_size, c_of, c_h = (F.col(own + c) for c in ("size", "of", "h"))
     base = docs.withColumns({own + "size": size, own + "of": F.to_json(F.struct(F.array_sort(F.array_distinct(sources)).alias("s"))), own + "h": F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), F.lit(1 << HASH))})
-    slim = scratch.cut(base.select(F.col("doc_id").cast("long").alias("id"), c_size.alias("n"), c_of.alias("k"), c_h.alias("h")))
-    found = slim.groupBy("k").agg(F.sum("n").alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    patterns = sorted((r["k"], json.loads(r["k"]).get("s") or [None], r["n"]) for r in found)
-    names = sorted({s for _, of, _ in patterns for s in of}, key=lambda s: (s is None, [ord(c) for c in s or ""]))
-    place = {s: i for i, s in enumerate(names)}
-    sizes = [0] * len(names)
-    for _, of, n in patterns:
-        for s in of:
-            sizes[place[s]] += n
-    targets = shares(sizes, [float(weights[i % len(weights)]) for i in range(len(names))], share * sum(n for _, _, n in patterns), most)
-    flow = min_cost_flow([(n, tuple(place[s] for s in of)) for _, of, n in patterns], [round(t) for t in targets], tuple(i * i for i in range(most)))
-    plan = []
-    for (key, of, n), sent in zip(patterns, flow, strict=True):
-        first = place[min(of, key=lambda s: place[s])]
-        whole, part = divmod(sum(sent.values()), n) if n else (0, 0)
-        plan.append((key, whole, part, sizes[first], targets[first]))
-    chosen, below = select(scratch, scratch.cut(slim.groupBy("k", "id", "h").agg(F.sum("n").alias("n"))), {key: part for key, _, part, _, _ in plan})
-    kinds = [("k", T.StringType()), ("whole", T.LongType()), ("part", T.LongType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("below", T.LongType())]
-    plan_of = F.broadcast(spark.createDataFrame([(*x, below.get(x[0], 0)) for x in plan], T.StructType([T.StructField(own + c, t) for c, t in kinds])))  # MAX_PATTERNS rows at most
-    # an item of the first pass is of one doc_id: all its rows together
-    several = scratch.cut(slim.groupBy("k", "id").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).filter("rows > 1").select(F.col("k").alias(own + "k7"), F.col("id").alias(own + "id7"), F.col("n").alias(own + "n7")))
-    ids = chosen.select(F.col("k").alias(own + "k2"), F.col("id").alias(own + "id2")).distinct()
+    with Scratch(spark) as scratch:
+        slim = scratch.cut(base.select(F.col("doc_id").cast("long").alias("id"), c_size.alias("n"), c_of.alias("k"), c_h.alias("h")))
+        found = slim.groupBy("k").agg(F.sum("n").alias("n")).limit(MAX_PATTERNS + 1).collect()
+        if len(found) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+        patterns = sorted((r["k"], json.loads(r["k"]).get("s") or [None], r["n"]) for r in found)
+        names = sorted({s for _, of, _ in patterns for s in of}, key=lambda s: (s is None, [ord(c) for c in s or ""]))
+        place = {s: i for i, s in enumerate(names)}
+        sizes = [0] * len(names)
+        for _, of, n in patterns:
+            for s in of:
+                sizes[place[s]] += n
+        targets = shares(sizes, [float(weights[i % len(weights)]) for i in range(len(names))], share * sum(n for _, _, n in patterns), most)
+        flow = min_cost_flow([(n, tuple(place[s] for s in of)) for _, of, n in patterns], [round(t) for t in targets], tuple(i * i for i in range(most)))
+        plan = []
+        for (key, of, n), sent in zip(patterns, flow, strict=True):
+            first = place[min(of, key=lambda s: place[s])]
+            whole, part = divmod(sum(sent.values()), n) if n else (0, 0)
+            plan.append((key, whole, part, sizes[first], targets[first]))
+        chosen, below = select(scratch, scratch.cut(slim.groupBy("k", "id", "h").agg(F.sum("n").alias("n"))), {key: part for key, _, part, _, _ in plan})
+        kinds = [("k", T.StringType()), ("whole", T.LongType()), ("part", T.LongType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("below", T.LongType())]
+        plan_of = F.broadcast(spark.createDataFrame([(*x, below.get(x[0], 0)) for x in plan], T.StructType([T.StructField(own + c, t) for c, t in kinds])))  # MAX_PATTERNS rows at most
+        # an item of the first pass is of one doc_id: all its rows together
+        several = scratch.keep(slim.groupBy("k", "id").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).filter("rows > 1").select(F.col("k").alias(own + "k7"), F.col("id").alias(own + "id7"), F.col("n").alias(own + "n7")))
+        ids = scratch.keep(chosen.select(F.col("k").alias(own + "k2"), F.col("id").alias(own + "id2")).distinct())
     id_of = F.col("doc_id").cast("long")
     out = base.join(plan_of, c_of == F.col(own + "k"), "left").join(ids, (c_of == F.col(own + "k2")) & id_of.eqNullSafe(F.col(own + "id2")), "left").join(several, (c_of == F.col(own + "k7")) & id_of.eqNullSafe(F.col(own + "id7")), "left")
     item = F.coalesce(F.col(own + "n7"), c_size)

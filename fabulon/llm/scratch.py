@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_DIR = "file:///tmp/checkpoints/fabulon"
+#: Lets a write give up the files of its own shuffles at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,46 +21,52 @@ def shared_dir(spark: SparkSession) -> str:
     return LOCAL_DIR
 
 
-#: Folders of operator calls whose results may not be written yet.
-_open: list[str] = []
-
-
-def sweep(spark: SparkSession) -> None:
-    """Delete the tables of all operator calls so far. Only where all their results have been written elsewhere, as between the stages of a pipeline."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _open:
-        at = jvm.org.apache.hadoop.fs.Path(_open.pop())
-        at.getFileSystem(conf).delete(at, True)
-    gc.collect()
-    jvm.System.gc()  # plans that are done let go of the files of their shuffles
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 class Scratch:
-    """Tables of one operator call, each under a path of its own."""
+    """Tables of one operator call, each under a path of its own.
+
+    As a context manager it deletes its tables at the end of the block, but for those that `keep` wrote: what a block returns reads
+    kept tables and the caller's own, so that no other call's end can take them away. Without a block all tables stay."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-        _open.append(self.root)
         self.n = 0
 
-    def cut(self, df: DataFrame, *observed) -> DataFrame:
-        """Write `df` and return a reader of it: lost executors cost a reread, not a recomputation."""
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete(self.spark, self.root)
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Write `df` and return a reader of it: lost executors cost a reread, not a recomputation. The shuffles of the write go with its end."""
+        self.n += 1
+        return self._written(df, f"{self.root}/t{self.n}")
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """cut, for a small table that the call's result reads: it stays after the block."""
         self.n += 1
-        path = f"{self.root}/t{self.n}"
-        df.write.parquet(path)
+        return self._written(df, f"{self.root}-kept/t{self.n}")
+
+    def _written(self, df: DataFrame, path: str) -> DataFrame:
+        before = self.spark.conf.get(CLEANUP, None)
+        if before is not None:
+            self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is not None:
+                self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._fabulon_path = path
         return out
 
-    def release(self) -> None:
-        """Let the driver forget plans that are done, so that the files of their shuffles go."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
-    def drop(self, df: DataFrame) -> None:
-        """Delete a table that no later plan reads."""
-        path = getattr(df, "_fabulon_path", None)
-        if path:
-            jvm = self.spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no later plan reads."""
+        for df in tables:
+            if path := getattr(df, "_fabulon_path", None):
+                delete(self.spark, path)

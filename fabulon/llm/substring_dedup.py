@@ -521,24 +521,17 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     places = middles.join(scratch.cut(open_), upper("seed") == upper("open"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
     windows = scratch.cut(text.join(scratch.cut(places), F.col("doc") == F.col("in")).select("doc", "text", "at").mapInArrow(trimmed(_windows(window, least)), kinds))
     anchors = short.unionAll(met).unionAll(counted_partners(windows, scratch)).drop("seed")
-    scratch.release()
     found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
-    for done in (middles, met, windows):  # only what is found is read from here on
-        scratch.drop(done)
-    del short, anchors
-    scratch.release()
+    scratch.drop(middles, met, windows)  # only what is found is read from here on
     sources = scratch.cut(found.filter("y0 >= 0").select("other").distinct())
     pieces = text.join(sources, F.col("doc") == F.col("other"), "left_semi").select("doc", "text").mapInArrow(trimmed(_blocks(block)), "src long, block int, body binary")
     needs = found.filter("y0 >= 0").withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {slack + SHIFT}, 0) div {block}").cast("int"), F.expr(f"(y1 + {slack + SHIFT}) div {block}").cast("int"))))
     pieces = scratch.cut(pieces)
-    scratch.release()
     met = needs.join(pieces, (F.col("other") == F.col("src")) & (F.col("need") == F.col("block")))
     of_chain = met.groupBy("doc", "other", "x0", "x1", "y0", "y1").agg(F.collect_list(F.struct("block", "body")).alias("blocks"))
     of_chain = of_chain.unionAll(found.filter("y0 < 0").withColumn("blocks", F.array().cast("array<struct<block:int,body:binary>>")))
     out = scratch.cut(of_chain.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("other", "x0", "x1", "y0", "y1", "blocks")).alias("chains")))
-    for done in (found, pieces):
-        scratch.drop(done)
-    scratch.release()
+    scratch.drop(found, pieces)
     return out
 
 
@@ -553,7 +546,7 @@ def numbered(docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     texts = rows.join(many, F.col("doc") == F.col("many"), "left_semi").groupBy(F.col("doc").alias(name + "d"), *(m.alias(f"{name}{i}") for i, m in enumerate(marks("doc", "text")))).agg(F.min(F.substring("text", 1, 64)).alias("head"))
     late = F.pmod(F.col(name + "0"), F.lit(1 << 61)) + F.lit(1 << 62)
     first = F.row_number().over(Window.partitionBy(name + "d").orderBy("head", name + "0")) == 1
-    texts = scratch.cut(texts.withColumn(name + "n", F.when(~first, late)).filter(f"{name}n is not null").drop("head"))
+    texts = scratch.keep(texts.withColumn(name + "n", F.when(~first, late)).filter(f"{name}n is not null").drop("head"))
     same = (doc == F.col(name + "d")) & (marks(doc, text)[0] == F.col(name + "0")) & (marks(doc, text)[1] == F.col(name + "1"))
     return docs.join(texts, same, "left").withColumn(name, F.coalesce(F.col(name + "n"), doc)).select(*[F.col(f"`{c}`") for c in docs.columns], name)
 
@@ -572,29 +565,40 @@ def _passages(row_text: str | None, found: list | None, least: int, similar: flo
     return repeats(row_text, sorted(rows), least, similar, slack, block)
 
 
-def repeated_passages(docs: DataFrame, *, least: int = LEAST, similar: float = SIMILAR, slack: int = SLACK, block: int = BLOCK, **seeding) -> DataFrame:
-    """(doc_id, first_word, end_word, n_words, other_id, similarity): the passages that a document repeats from earlier ones."""
-    scratch = Scratch(docs.sparkSession)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = numbered(base, scratch, "doc")
-    found = find_chains(rows, scratch, least=least, slack=slack, block=block, **seeding)
-    late = rows.filter("doc != doc_id").select(F.col("doc").alias("number"), F.col("doc_id").alias("owner")).distinct()
+def _found(base: DataFrame, number: str, scratch: Scratch, least: int, similar: float, slack: int, block: int, **seeding) -> DataFrame:
+    """(number, first_word, end_word, n_words, other, similarity), a kept table: the passages that the rows (number, text) repeat from earlier ones."""
+    rows = base.select(F.col(number).alias("doc"), F.col("text").cast("string").alias("text"))
+    chains = find_chains(rows, scratch, least=least, slack=slack, block=block, **seeding)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
         for batch in batches:
             rows = [(doc, a, z, z - a, other, alike) for doc, text, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True) for a, z, other, alike in _passages(text, c, least, similar, slack, block)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "first_word", "end_word", "n_words", "other_id", "similarity"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["number", "first_word", "end_word", "n_words", "other", "similarity"])
+
+    # rows that are equal have one number and the same passages
+    met = rows.join(chains, F.col("doc") == F.col("of")).select("doc", "text", "chains")
+    return scratch.keep(met.mapInArrow(trimmed(run), "number long, first_word long, end_word long, n_words long, other long, similarity double"))
 
-    spans = rows.join(found, F.col("doc") == F.col("of")).select("doc_id", "text", "chains").mapInArrow(trimmed(run), "doc_id long, first_word long, end_word long, n_words long, other_id long, similarity double")
-    return spans.join(late, F.col("other_id") == F.col("number"), "left").withColumn("other_id", F.coalesce("owner", "other_id")).drop("number", "owner")
+
+def repeated_passages(docs: DataFrame, *, least: int = LEAST, similar: float = SIMILAR, slack: int = SLACK, block: int = BLOCK, **seeding) -> DataFrame:
+    """(doc_id, first_word, end_word, n_words, other_id, similarity): the passages that a document repeats from earlier ones."""
+    with Scratch(docs.sparkSession) as scratch:
+        rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), scratch, "doc")
+        spans = _found(rows, "doc", scratch, least, similar, slack, block, **seeding)
+        late = scratch.keep(rows.filter("doc != doc_id").select("doc", F.col("doc_id").alias("owner")).distinct())
+    first, second = (late.select(F.col("doc").alias(f"d{i}"), F.col("owner").alias(f"o{i}")) for i in (1, 2))
+    out = spans.join(first, F.col("number") == F.col("d1"), "left").join(second, F.col("other") == F.col("d2"), "left")
+    return out.select(F.coalesce("o1", "number").alias("doc_id"), "first_word", "end_word", "n_words", F.coalesce("o2", "other").alias("other_id"), "similarity")
 
 
 def drop_repeats(docs: DataFrame, *, least: int = LEAST, similar: float = SIMILAR, slack: int = SLACK, block: int = BLOCK, **seeding) -> DataFrame:
     """docs, in all their columns, with the repeated passages cut out of text."""
-    scratch, own = Scratch(docs.sparkSession), unused(docs, "__passages")
-    rows = numbered(docs, scratch, own)
-    found = find_chains(rows.select(F.col(own).alias("doc"), F.col("text").cast("string").alias("text")), scratch, least=least, slack=slack, block=block, **seeding).select(F.col("of").alias(own + "of"), F.col("chains").alias(own + "chains"))
+    own = unused(docs, "__passages")
+    with Scratch(docs.sparkSession) as scratch:
+        rows = numbered(docs, scratch, own)
+        spans = _found(rows, own, scratch, least, similar, slack, block, **seeding)
+    cuts = spans.groupBy(F.col("number").alias(own + "of")).agg(F.sort_array(F.collect_set(F.struct("first_word", "end_word"))).alias(own + "cuts"))
     at = docs.columns.index("text")
     width = len(docs.columns)
 
@@ -605,11 +609,11 @@ def drop_repeats(docs: DataFrame, *, least: int = LEAST, similar: float = SIMILA
             if held.null_count < len(held):
                 new = texts.to_pylist()
                 for i in np.flatnonzero(held.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                    new[i] = without(new[i], _passages(new[i], held[i].as_py(), least, similar, slack, block)) if new[i] else new[i]
+                    new[i] = without(new[i], [(c["first_word"], c["end_word"]) for c in held[i].as_py()]) if new[i] else new[i]
                 texts = pa.array(new, texts.type)
             columns = [batch.column(c) for c in range(width)]
             columns[at] = texts
             yield pa.RecordBatch.from_arrays(columns, names=list(batch.schema.names[:width]))
 
-    met = rows.join(found, F.col(own) == F.col(own + "of"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], own + "chains")
+    met = rows.join(cuts, F.col(own) == F.col(own + "of"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], own + "cuts")
     return met.mapInArrow(trimmed(run), docs.schema)
