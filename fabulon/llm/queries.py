@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, language_id, lm, minhash_dedup, mixing, pieces, quality, substring_dedup, vector_dedup
+from . import ann, bpe, chat, language_id, lm, minhash_dedup, mixing, pieces, quality, runs, substring_dedup, vector_dedup
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -77,12 +77,17 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of texts of which one in ten has a tail that repeats itself."""
+    return runs.run_summaries(table(spark, sf_dir, "documents"), change=runs.planted_tail)
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_ann, op2_vector_dedup, op3_chat, op4_bpe, op5_quality, op6_mixing, op7_substring_dedup, op8_lm, op9_language_id, op10_minhash_dedup, op12_sentencepiece]
+    found = [op1_ann, op2_vector_dedup, op3_chat, op4_bpe, op5_quality, op6_mixing, op7_substring_dedup, op8_lm, op9_language_id, op10_minhash_dedup, op11_periodic_runs, op12_sentencepiece]
     return {f.__name__: f for f in found}
 
 
