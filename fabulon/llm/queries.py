@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, language_id, lm, minhash_dedup, mixing, pieces, quality, runs, substring_dedup, vector_dedup
+from . import alignment, ann, bpe, chat, language_id, lm, minhash_dedup, mixing, pieces, quality, runs, substring_dedup, vector_dedup
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -86,8 +87,12 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_counts(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_ann, op2_vector_dedup, op3_chat, op4_bpe, op5_quality, op6_mixing, op7_substring_dedup, op8_lm, op9_language_id, op10_minhash_dedup, op11_periodic_runs, op12_sentencepiece]
+    found = [op1_ann, op2_vector_dedup, op3_chat, op4_bpe, op5_quality, op6_mixing, op7_substring_dedup, op8_lm, op9_language_id, op10_minhash_dedup, op11_periodic_runs, op12_sentencepiece, op13_alignment]
     return {f.__name__: f for f in found}
 
 
