@@ -46,6 +46,9 @@ TABLE, FLUSH, BATCH = 150_000, 2_000_000, 64
 #: A space between two characters that neither tokenizer takes for white space or for a marker of it.
 _BLANK = rf"\s{MARK}᠎​﻿"
 _SPACE = re.compile(f" (?<=[^{_BLANK}] )(?=[^{_BLANK}])")
+_PLAIN = re.compile(f"[^{_BLANK}](?:[^{MARK}]*[^{_BLANK}])?")
+#: Pieces that are encoded at a time.
+TOGETHER = 2000
 
 
 class Pair:
@@ -79,25 +82,38 @@ class Pair:
 
     def _encoded(self, texts: list[str]) -> list[tuple]:
         """For each text (number of ids of A, of B, groups each with `;` behind it, links as bytes); an empty tuple where the bytes differ."""
-        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        raw = [(" " + t).encode() for t in texts]
-        covers = lambda of, ids: b"".join(map(of.__getitem__, ids))
-        fine = [covers(self.a_bytes, x) == r == covers(self.b_bytes, y) for r, x, y in zip(raw, a, b, strict=True)]
         out: list[tuple] = [()] * len(texts)
-        good = [i for i, f in enumerate(fine) if f]
-        if good:
-            for i, found in zip(good, self._aligned([a[i] for i in good], [b[i] for i in good], [len(raw[i]) for i in good]), strict=True):
-                out[i] = found
+        # pieces without white space at their ends are encoded as one text, with spaces between, which come apart again
+        plain = [i for i, t in enumerate(texts) if self.apart and _PLAIN.fullmatch(t)]
+        for lo in range(0, len(plain), TOGETHER):
+            part = plain[lo : lo + TOGETHER]
+            whole = " ".join([texts[i] for i in part])
+            found = self._aligned(*self._ids([whole])[0], [len(texts[i].encode()) + 1 for i in part], (" " + whole).encode())
+            if found is None:  # some piece's bytes differ
+                plain = plain[:lo]
+                break
+            for i, x in zip(part, found, strict=True):
+                out[i] = x
+        done = set(plain)
+        rest = [i for i in range(len(texts)) if i not in done]
+        for i, ids in zip(rest, self._ids([texts[i] for i in rest]), strict=True):
+            raw = (" " + texts[i]).encode()
+            found = self._aligned(*ids, [len(raw)], raw)
+            out[i] = found[0] if found else ()
         return out
 
-    def _aligned(self, a: list[list[int]], b: list[list[int]], size: list[int]) -> Iterator[tuple[int, int, str, bytes]]:
-        """Texts of the same bytes end to end: both tokenizers' tokens by the byte at which they end."""
-        flat = lambda parts: np.fromiter((i for p in parts for i in p), dtype=np.int64)
-        ids_a, ids_b = flat(a), flat(b)
+    def _ids(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return list(zip([x.ids for x in a], self.b.encode(texts, num_threads=1), strict=True)) if texts else []
+
+    def _aligned(self, a: list[int], b: list[int], size: list[int], whole: bytes) -> list[tuple[int, int, str, bytes]] | None:
+        """Texts of `size` bytes end to end: both tokenizers' tokens by the byte at which they end. None if their bytes are not those of the whole."""
+        if not b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b)):
+            return None
+        ids_a, ids_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         end_a, end_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
         common, in_a, in_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        links = ids_b[in_b] << 32 | ids_a[in_a]
+        links = (ids_b[in_b] << 32 | ids_a[in_a]).tobytes()
         # a group's tokens of A, then its tokens of B
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         tokens = np.empty(len(ids_a) + len(ids_b), dtype=object)
@@ -107,12 +123,10 @@ class Pair:
         ):
             tokens[place] = text[0][ids]
             tokens[place[last]] = text[1][ids[last]]
-        cut = np.concatenate([[0], np.searchsorted(common, np.cumsum(size), side="right")])
-        at = 0
-        for x, y, lo, hi in zip(a, b, cut.tolist(), cut[1:].tolist(), strict=False):
-            n, m = len(x), len(y)
-            yield n, m, "".join(tokens[at : at + n + m].tolist()), links[lo:hi].tobytes()
-            at += n + m
+        ends = np.cumsum(size)
+        upto = [[0, *np.searchsorted(x, ends, side="right").tolist()] for x in (end_a, end_b, common)]
+        tokens = tokens.tolist()
+        return [(x1 - x0, y1 - y0, "".join(tokens[x0 + y0 : x1 + y1]), links[8 * g0 : 8 * g1]) for x0, x1, y0, y1, g0, g1 in zip(upto[0], upto[0][1:], upto[1], upto[1][1:], upto[2], upto[2][1:], strict=False)]
 
     def rows(self, texts: list[str]) -> list[tuple[int, int, str, bytes] | None]:
         """(number of ids of A, of B, groups as text, links as bytes of int64) of each text; None without tokens."""
