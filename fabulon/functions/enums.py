@@ -58,6 +58,20 @@ TRAITS = {
     "冷酷": (0.9, ["冷酷", "冰冷", "冷淡", "无情", "刻薄"]), "热情": (0.9, ["热情", "热烈", "积极", "主动", "热心"]), "冷漠": (0.9, ["冷漠", "冷淡", "无所谓", "漠不关心", "疏离"]),
     "理想主义": (0.8, ["理想", "信念", "追求", "梦想", "执着"]), "现实主义": (0.8, ["现实", "实际", "务实", "利益", "权衡"]),
 }
+# fixed values: words of the five senses
+SENSES = {
+    "visual": ["看", "望", "瞧", "盯", "瞥", "瞪", "瞄", "注视", "凝视", "环视", "俯视", "仰视", "瞥见", "看清", "看见", "看到", "目光", "眼神", "眼睛", "眼", "视线", "颜色", "色彩", "光",
+        "亮", "暗", "黑", "白", "红", "绿", "蓝", "黄", "灰", "金", "银", "紫", "橙", "影", "影子", "阴影", "光辉", "光芒", "闪烁", "闪耀", "耀眼", "刺眼", "模糊", "清晰"],
+    "auditory": ["听", "闻", "声响", "声音", "声", "响", "叫", "喊", "吼", "啸", "鸣", "啼", "嚎", "哭", "笑", "叹", "哼", "呢喃", "低语", "耳语", "沉默", "寂静", "安静", "嘈杂",
+        "喧闹", "喧哗", "震耳", "刺耳", "悦耳", "动听", "旋律", "节奏", "音调", "音色", "音量", "回声", "回音", "余音", "钟声", "鼓声", "琴声", "风声", "雨声", "雷声", "水声", "脚步声", "敲门声",
+        "门响"],
+    "tactile": ["摸", "触", "碰", "揉", "捏", "抓", "握", "拍", "打", "抚摸", "触摸", "触感", "粗糙", "光滑", "柔软", "坚硬", "冰冷", "冰凉", "温暖", "温热", "烫", "凉", "冷", "热",
+        "暖", "刺痛", "疼痛", "痛", "痒", "麻", "酸", "胀", "沉重", "轻盈", "软", "硬", "湿", "干", "黏", "滑", "涩", "紧绷", "松弛"],
+    "olfactory": ["闻", "嗅", "气味", "味道", "香", "臭", "芬芳", "芳香", "清香", "幽香", "醇香", "腥", "膻", "腐", "霉", "酸臭", "刺鼻", "浓郁", "淡雅", "香气", "臭味", "气息", "香味",
+        "异味", "花香", "果香", "酒香", "茶香", "药香", "泥土气息", "海风气息"],
+    "gustatory": ["尝", "吃", "喝", "咽", "嚼", "咬", "舔", "吞", "味道", "滋味", "口感", "酸", "甜", "苦", "辣", "咸", "涩", "鲜", "淡", "浓", "美味", "难吃", "甘甜", "苦涩", "辛辣",
+        "酸甜", "咸鲜", "清淡", "油腻", "清爽", "醇厚", "干涩", "润滑", "酥脆", "软糯", "嚼劲", "回味", "余味"],
+}
 # fixed values: key words of genres
 GENRES = {
     "科幻": ["科幻", "星际", "宇宙", "未来", "科技", "机器人", "AI", "人工智能", "外星", "太空", "文明", "星舰", "量子", "赛博", "末世", "末日", "外星人", "入侵", "能量", "飞船", "空间站", "虚拟", "赛博朋克", "宏原子", "球状闪电", "等离子", "高能物理", "实验装置", "粒子", "超导", "纳米", "基因", "克隆", "时空", "维度", "平行宇宙", "意识上传"],

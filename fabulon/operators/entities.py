@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabulon.functions import patterns
 from fabulon.functions.similarity import leaders, ratio
 from fabulon.functions.text import CJK
 
@@ -53,14 +54,11 @@ def places(text: str, part: Column) -> Column:
 
 def name_places(rows: DataFrame, names: DataFrame) -> DataFrame:
     """(doc_id, idx, who, pos): each place of a document's names of two characters or more in its segments, unless an ideograph stands right before or
-    after it. Candidates are met by their first two characters, so that a segment meets the names that may stand in it and no others."""
-    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("txt") - 1), lambda i: F.substring(F.col("txt"), i, F.lit(2))))
-    text = rows.filter(F.length("txt") > 1).select("doc_id", "idx", "txt", F.explode(pairs).alias("pair"))
-    met = text.join(names.filter(F.length("who") > 1).select(F.col("doc_id").alias("d2"), "who", F.substring("who", 1, 2).alias("head")).distinct(), (F.col("doc_id") == F.col("d2")) & (F.col("pair") == F.col("head")))
-    found = met.select("doc_id", "idx", "txt", "who", F.explode(places("txt", F.col("who"))).alias("pos"))
-    near = lambda i: F.substring(F.col("txt"), i, F.lit(1)).rlike(CJK)
-    inside = (F.when(F.col("pos") > 1, near(F.col("pos") - 1)).otherwise(False)) | near(F.col("pos") + F.length("who"))
-    return found.filter(~inside).select("doc_id", "idx", "who", F.col("pos").cast("long").alias("pos"))
+    after it. All names are looked for in one pass; a document's own are kept."""
+    own = names.filter(F.length("who") > 1).select("doc_id", "who").distinct()
+    met = patterns.find(rows.select("doc_id", "idx", "txt"), own.select(F.col("who").alias("w")))
+    inside = F.coalesce(F.col("before").rlike(CJK), F.lit(False)) | F.coalesce(F.col("after").rlike(CJK), F.lit(False))
+    return met.filter(~inside).select("doc_id", "idx", F.col("w").alias("who"), "pos").join(own, ["doc_id", "who"], "left_semi").select("doc_id", "idx", "who", "pos")
 
 
 def mentions(rows: DataFrame, names: DataFrame) -> DataFrame:

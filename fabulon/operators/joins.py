@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabulon.functions import patterns
+
 KEY = ["doc_id", "idx"]
 
 
@@ -70,9 +72,13 @@ def canonical_names(names: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def contained(names: DataFrame, others: DataFrame) -> DataFrame:
-    """Pairs of one document in which one name holds the other; the join is per document."""
-    met = names.select("doc_id", "a").join(others.select("doc_id", "b"), "doc_id")
-    return met.filter((F.length("a") > 0) & (F.length("b") > 0) & (F.contains("a", "b") | F.contains("b", "a")))
+    """(doc_id, a, b): pairs of one document, a of names and b of others, in which one holds the other; empty names are in none. The names of either side are looked for in those
+    of the other in one pass, so that a document's names never meet pair by pair."""
+    a = names.select("doc_id", "a").filter(F.length("a") > 0).distinct()
+    b = others.select("doc_id", "b").filter(F.length("b") > 0).distinct()
+    holds = patterns.find(a.withColumn("txt", F.col("a")), b.select(F.col("b").alias("w"))).select("doc_id", "a", F.col("w").alias("b")).join(b, ["doc_id", "b"], "left_semi")
+    held = patterns.find(b.withColumn("txt", F.col("b")), a.select(F.col("a").alias("w"))).select("doc_id", F.col("w").alias("a"), "b").join(a, ["doc_id", "a"], "left_semi")
+    return holds.select("doc_id", "a", "b").union(held.select("doc_id", "a", "b")).distinct()
 
 
 def deduplicated(refs: DataFrame, priority: str) -> DataFrame:
