@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,10 +113,39 @@ def tsv(spark: SparkSession, path: str, columns: int = 12) -> DataFrame:
     return spark.read.text(path).select(cells.alias("cells")).filter((F.size("cells") >= columns) & (F.element_at("cells", 1) != "English Word"))
 
 
-def markdown_terms(spark: SparkSession, path: str) -> DataFrame:
-    """Bold first cells of the rows of Markdown tables."""
-    word = F.regexp_extract("value", r"^\|\s*\*\*([^*]+)\*\*\s*\|", 1)
-    return spark.read.text(path).select(word.alias("word")).filter("word <> ''")
+def lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """(path, block, line, value): the lines of text files with what tells their order: the place at which a part of a file begins, and a number that rises within the part."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    return rows.withColumn("line", F.monotonically_increasing_id())
+
+
+def joined_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text): JSON lines as one text for each file, their texts in the order of the file with a blank line between.
+
+    A line's text is that of its text span, else its text, else its content; empty ones, blank lines and lines that are no JSON are left out, and a file without texts has an empty
+    one. Files are read in parts, by as many tasks as there are: the parts' places and the lines' numbers put them together again.
+    """
+    first = lambda *names: F.coalesce(*(F.nullif(F.get_json_object("value", f"$.{n}"), F.lit("")) for n in names))
+    rows = lines_in_order(spark, path).withColumn("_t", F.when(F.try_parse_json("value").isNotNull(), first("text_span.text", "text", "content")))
+    found = rows.groupBy("path").agg(F.array_sort(F.collect_list(F.when(F.col("_t").isNotNull(), F.struct("block", "line", "_t")))).alias("l"))
+    return found.select("path", F.array_join(F.transform("l", lambda x: x["_t"]), "\n\n").alias("text"))
+
+
+def markdown_terms(spark: SparkSession, path: str, section: str | None = None) -> DataFrame:
+    """(word) bold first cells of the rows of Markdown tables; with `section`, a pattern, only below a heading that it matches, up to the next heading of its level or above."""
+    lines = lines_in_order(spark, path)
+    level = F.length(F.regexp_extract("value", r"^(#{1,6})\s", 1))
+    word = F.regexp_extract("value", r"^\|\s*\*\*([^*]+)\*\*\s*\|", 1).alias("word")
+    if section is None:
+        return lines.select(word).filter("word <> ''")
+    # the last heading that opens the section, and whether one of its level or above has come since
+    order = Window.partitionBy("path").orderBy("block", "line").rowsBetween(Window.unboundedPreceding, 0)
+    opens = (level > 0) & F.col("value").rlike(section)
+    marked = lines.withColumn("_opened", F.last(F.when(opens, F.struct(level.alias("level"), "block", "line")), ignorenulls=True).over(order)).withColumn("_level", level)
+    inner = Window.partitionBy("path", "_opened").orderBy("block", "line").rowsBetween(Window.unboundedPreceding, 0)
+    closes = (F.col("_level") > 0) & (F.col("_level") <= F.col("_opened.level")) & ~F.col("value").rlike(section)
+    inside = marked.filter("_opened is not null").withColumn("_closed", F.max(closes.cast("int")).over(inner)).filter("_closed = 0")
+    return inside.select(word).filter("word <> ''")
 
 
 def lexicon(spark: SparkSession, path: str) -> DataFrame:
