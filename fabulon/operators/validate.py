@@ -137,6 +137,30 @@ def relation_rules() -> list[Rule]:
     return [("relation", "error", outside("rel", E.RELATIONS)), ("backwards", "error", F.col("tgt") < F.col("src")), ("confidence", "error", ~F.col("conf").between(0, 1))]
 
 
+# fixed values: keys that a relation and a file of relations must have
+REFERENCE, REFERENCES = ("ref_id", "relation_type", "source", "target"), ("schema_version", "doc_id", "cross_refs")
+
+
+def reference_rules(ref: str = "ref") -> list[Rule]:
+    """For a relation as JSON text: its keys, its type, and at either end, where that is an object, the segment and (a warning) the text it is anchored to."""
+    at = lambda p: F.get_json_object(ref, f"$.{p}")
+    keys = lambda of: F.coalesce(F.json_object_keys(of), F.array().cast("array<string>"))
+    node = lambda end: F.when(F.array_contains(keys(ref), end), at(end)).otherwise("{}")
+    is_object = lambda end: F.coalesce(F.startswith(node(end), F.lit("{")), F.lit(False))
+    anchor = lambda end: F.coalesce(F.get_json_object(node(end), "$.anchor_text"), F.lit(""))
+    return [
+        *((f"missing {k}", "error", ~F.array_contains(keys(ref), k)) for k in REFERENCE), ("relation_type", "error", ~F.coalesce(at("relation_type").isin(*E.RELATIONS), F.lit(False))),
+        *((f"{end}.segment_id", "error", is_object(end) & ~F.array_contains(keys(node(end)), "segment_id")) for end in ("source", "target")), *((f"{end}.anchor_text", "warning", is_object(end) & (anchor(end) == "")) for end in ("source", "target")),
+    ]
+
+
+def references_rules(raw: str = "raw") -> list[Rule]:
+    """For a file of relations as JSON text: its keys, and that its relations are an array."""
+    keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+    refs = F.get_json_object(raw, "$.cross_refs")
+    return [*((f"missing {k}", "error", ~F.array_contains(keys, k)) for k in REFERENCES), ("cross_refs", "error", F.array_contains(keys, "cross_refs") & ~F.coalesce(F.startswith(refs, F.lit("[")), F.lit(False)))]
+
+
 def craft_rules() -> list[Rule]:
     """For exploded craft items (dim, kind, text, start, end, segment text)."""
     legal = {"D14": E.RHETORIC, "D15": E.IMAGERY, "D16": E.DICTION, "D17": E.SYNTAX}
