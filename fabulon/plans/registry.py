@@ -364,7 +364,7 @@ register("sink_filled_spans", on_ann(lambda a: layers.filled_spans(a.selectExpr(
 def queries() -> dict[str, Query]:
     from fabulon.streaming import events
 
-    from . import calibration, custom, narrative, rules, vocabulary  # noqa: F401
+    from . import calibration, custom, narrative, networks, rules, vocabulary  # noqa: F401
 
     return dict(_queries) | custom.queries() | events.queries()
 
@@ -372,6 +372,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from fabulon.streaming import events
 
-    from . import calibration, narrative, rules, vocabulary  # noqa: F401
+    from . import calibration, narrative, networks, rules, vocabulary  # noqa: F401
 
     return dict(_sql) | events.oracle_sql()
