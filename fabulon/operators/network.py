@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     Every name takes the least label of its neighbours and then that of its label, until none changes: the labels' ways halve with each round. Nulls and links of a name
     to itself are left out. The rounds are jobs on names and links, aggregated before they are dealt out; the driver sees one number of each.
     """
-    once = links.select("doc_id", "a", "b").filter("a is not null and b is not null and a != b").distinct()
+    once = links.select("doc_id", "a", "b").filter("doc_id is not null and a is not null and b is not null and a != b").distinct()
     both = _cut(once.unionByName(once.select("doc_id", F.col("b").alias("a"), F.col("a").alias("b"))))
     at = _cut(both.groupBy("doc_id", F.col("a").alias("name")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
     while True:

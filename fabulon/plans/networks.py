@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabulon.operators import graph, joins, network
+from fabulon.sources import reports, writers
 
 from .fixture import speakers
 from .registry import R, on_ann, register
@@ -75,3 +76,20 @@ register(
     "sh AS (SELECT d.doc_id, ex.who FROM (SELECT DISTINCT doc_id FROM ann) d, ex WHERE (SELECT count(*) FROM kn WHERE kn.doc_id = d.doc_id AND kn.who = ex.who) < m) "
     "SELECT doc_id, idx, who FROM kn UNION SELECT ann.doc_id, idx, sh.who FROM ann JOIN sh ON sh.doc_id = ann.doc_id JOIN al ON al.who = sh.who AND al.alias <> '' AND contains(sent, al.alias)",
 )
+
+
+# reports of all documents: their digest, as one row has the whole text
+def overview(a: DataFrame) -> DataFrame:
+    """A further section: means of each document."""
+    n = a.groupBy("doc_id").agg(F.count(F.lit(1)).alias("segments"), F.max("inten").alias("peak"))
+    return n.select("doc_id", F.lit("overview").alias("section"), F.posexplode(F.array(F.struct(F.lit("segments").alias("name"), F.col("segments").cast("string").alias("value")), F.struct(F.lit("peak").alias("name"), F.col("peak").cast("string").alias("value")))).alias("rank", "x")).select("doc_id", "section", "rank", "x.name", "x.value")
+
+
+_one = lambda name, c: f"SELECT doc_id, {list(writers.SECTIONS).index(name)} AS place, '{name}' AS section, {c}::VARCHAR AS value, count(*) AS n, min(idx) AS f FROM ann WHERE {c} IS NOT NULL GROUP BY 1, 4"
+REPORT = (
+    f", fr AS ({' UNION ALL '.join(_one(k, v) for k, v in writers.SECTIONS.items())}), fk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, section ORDER BY n DESC, f, value) AS r FROM fr), "
+    "pt AS (SELECT doc_id, place, section, r, value, n::VARCHAR AS note FROM fk WHERE r <= 10 UNION ALL SELECT doc_id, 99, 'overview', 0, 'segments', count(*)::VARCHAR FROM ann GROUP BY 1 UNION ALL SELECT doc_id, 99, 'overview', 1, 'peak', max(inten)::VARCHAR FROM ann GROUP BY 1), "
+    "st AS (SELECT doc_id, place, concat(chr(10), '## ', section, chr(10), chr(10), '| value | n |', chr(10), '|-|-|', chr(10), string_agg(concat('| ', value, ' | ', note, ' |', chr(10)), '' ORDER BY r)) AS t FROM pt GROUP BY 1, 2, section), sd AS (SELECT doc_id, string_agg(t, '' ORDER BY place) AS t FROM st GROUP BY 1), "
+    "ln AS (SELECT doc_id, count(*) AS n, string_agg(concat('- ', idx, ': ', d01, ', ', emo, ' ', inten, ', ', coalesce(loc, '-'), chr(10)), '' ORDER BY idx) AS t FROM ann GROUP BY 1)"
+)
+register("report_markdown", on_ann(lambda a: reports.composed(a, overview(a), "markdown").select("doc_id", F.sha2("report", 256).alias("sha256"), F.length("report").cast("long").alias("n_chars"))), f"{REPORT}, rp AS (SELECT ln.doc_id, concat('# Document ', ln.doc_id, chr(10), chr(10), n, ' segments', chr(10), sd.t, chr(10), '## segments', chr(10), chr(10), ln.t) AS t FROM ln JOIN sd ON sd.doc_id = ln.doc_id) SELECT doc_id, sha256(t) AS sha256, length(t)::BIGINT AS n_chars FROM rp")
