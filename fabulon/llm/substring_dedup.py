@@ -509,7 +509,8 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     # middles that stand in two documents, and the occurrences of frequent seeds
     hot = np.array(sorted(r[0] for r in few.select("seed").collect()), dtype=np.int64)  # FREQUENT at most, as each has that share of the rows
     first = scratch.cut(seeded(text, hot=hot))
-    short = partners(seeded(text, middles=False), first.filter(F.col("kind") == SHORT), frequent, ranges, scratch)
+    # written before anything else is made, so that the shuffle of the seeds, the largest of all, ends here
+    short = scratch.cut(partners(seeded(text, middles=False), first.filter(F.col("kind") == SHORT), frequent, ranges, scratch).drop("seed"))
     middles = first.filter(F.col("kind") == MIDDLE)
     shared = scratch.cut(middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("seed").alias("held")))
     middles = scratch.cut(middles.join(shared, F.col("seed") == F.col("held"), "left_semi"))
@@ -520,9 +521,9 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     upper = lambda c: F.col(c).bitwiseAND(F.lit(-RANGES))  # noqa: E731  without the number of a range
     places = middles.join(scratch.cut(open_), upper("seed") == upper("open"), "left_semi").groupBy(F.col("doc").alias("in")).agg(F.sort_array(F.collect_set("pos")).alias("at"))
     windows = scratch.cut(text.join(scratch.cut(places), F.col("doc") == F.col("in")).select("doc", "text", "at").mapInArrow(trimmed(_windows(window, least)), kinds))
-    anchors = short.unionAll(met).unionAll(counted_partners(windows, scratch)).drop("seed")
+    anchors = short.unionAll(met.drop("seed")).unionAll(counted_partners(windows, scratch).drop("seed"))
     found = scratch.cut(anchors.repartition("doc").sortWithinPartitions("doc").mapInArrow(trimmed(_chained(k, window, gap, SPAN, least)), "doc long, other long, x0 int, x1 int, y0 int, y1 int"))
-    scratch.drop(middles, met, windows)  # only what is found is read from here on
+    scratch.drop(short, middles, met, windows)  # only what is found is read from here on
     sources = scratch.cut(found.filter("y0 >= 0").select("other").distinct())
     pieces = text.join(sources, F.col("doc") == F.col("other"), "left_semi").select("doc", "text").mapInArrow(trimmed(_blocks(block)), "src long, block int, body binary")
     needs = found.filter("y0 >= 0").withColumn("need", F.explode(F.sequence(F.expr(f"greatest(y0 - {slack + SHIFT}, 0) div {block}").cast("int"), F.expr(f"(y1 + {slack + SHIFT}) div {block}").cast("int"))))
