@@ -5,9 +5,9 @@ list of public vocabulary entries with which it begins, or that it is as a whole
 subword id after the words before (self-attention, trained in numpy) times that of the word among the words of this id (counts over
 all training texts, 0.5 added to each known word and to one unknown word). So the probabilities of all words add up to 1.
 
-The subwords are chosen by the word counts of all training texts. The attention model is trained on one in SHARE of them, at every size: a start is
+The subwords are chosen by the word counts of all training texts. The attention model is trained on all of them too: a start is
 fitted on the driver (`steps` steps on about `bound` texts, chosen by a hash of doc_id), from which each shard of about SHARD texts takes one pass over
-all of its windows; the model is the mean of what the shards come to, by their tokens. So texts, steps and subword counts grow with the corpus, and
+all of its windows; the shards hold every training text once, and the model is the mean of what they come to, by their tokens. So texts, steps and subword counts grow with the corpus, and
 the outcome does not depend on how Spark deals the rows. Every training token is counted, in a shuffle. Scoring goes over windows of 32 ids of
 which the last 16 are scored, so that each token is scored once with at least 16 ids of context (or all there are), many windows at once. The most
 frequent words (HEAD at most) are sent to the executors with their counts; all other words of a text are joined with
@@ -34,8 +34,8 @@ from .scratch import Scratch
 
 WINDOW, HALF, IDS, DIM, HIDDEN, HEAD, BOUND, STEPS, PREFIX = 32, 16, 128, 16, 32, 1 << 18, 1500, 700, 6
 FLUSH = 3_000_000
-#: Texts of a shard, training texts of which one is taken, windows of a step in a shard, the first rate there, and the number of sums that the driver adds up.
-SHARD, SHARE, BATCH, RATE, SUMS = 1500, 4, 128, 0.003, 64
+#: Texts of a shard, training texts of which one is taken (1: every one), windows of a step in a shard, the first rate there, and the number of sums that the driver adds up.
+SHARD, SHARE, BATCH, RATE, SUMS = 1500, 1, 128, 0.003, 64
 U = np.uint64
 END = int(words.mix(np.array([0x454E44], dtype=np.uint64))[0])
 
@@ -148,6 +148,11 @@ def choose_subwords(counted: DataFrame, vocabulary: set[bytes]) -> Subwords:
     return Subwords(*(Counter({known[r["entry"]]: r["n"] for r in found if r["kind"] == kind}) for kind in (0, 1)))
 
 
+def by(a: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """a @ matrix as one product over all windows."""
+    return (a.reshape(-1, a.shape[-1]) @ matrix).reshape(*a.shape[:-1], matrix.shape[-1])
+
+
 class Attention:
     """One layer of masked self-attention with a small feed-forward part, in numpy."""
 
@@ -164,7 +169,7 @@ class Attention:
         p = self.p
         x = p["E"][ids] + p["P"]
         h = x[:, HALF:]
-        q, k, v = h @ p["q"], x @ p["k"], x @ p["v"]
+        q, k, v = by(h, p["q"]), by(x, p["k"]), by(x, p["v"])
         s = q @ k.transpose(0, 2, 1)
         s *= np.float32(DIM**-0.5)
         s += MASK
@@ -173,9 +178,9 @@ class Attention:
         np.exp(s, out=s)
         s /= s.sum(axis=2, keepdims=True)
         o = s @ v
-        y = h + o @ p["o"]
-        z = np.maximum(y @ p["w1"] + p["b1"], 0)
-        u = y + z @ p["w2"]
+        y = h + by(o, p["o"])
+        z = np.maximum(by(y, p["w1"]) + p["b1"], 0)
+        u = y + by(z, p["w2"])
         logits = (u.reshape(-1, DIM) @ p["out"]).reshape(len(ids), HALF, self.n)
         logits += p["b"]
         return logits, (x, h, q, k, v, s, o, y, z, u)
@@ -199,21 +204,20 @@ class Attention:
         d = logits * (weight / max(1.0, weight.sum()))[:, :, None]
         flat = lambda a: a.reshape(-1, a.shape[-1])
         g = {"out": flat(u).T @ flat(d), "b": flat(d).sum(0)}
-        du = d @ p["out"].T
-        dz = (du @ p["w2"].T) * (z > 0)
+        du = by(d, p["out"].T)
+        dz = by(du, p["w2"].T) * (z > 0)
         g |= {"w2": flat(z).T @ flat(du), "w1": flat(y).T @ flat(dz), "b1": flat(dz).sum(0)}
-        dy = du + dz @ p["w1"].T
+        dy = du + by(dz, p["w1"].T)
         g["o"] = flat(o).T @ flat(dy)
-        do = dy @ p["o"].T
+        do = by(dy, p["o"].T)
         ds = do @ v.transpose(0, 2, 1)
         ds = s * (ds - (ds * s).sum(axis=2, keepdims=True)) * np.float32(DIM**-0.5)
         dv, dq, dk = s.transpose(0, 2, 1) @ do, ds @ k, ds.transpose(0, 2, 1) @ q
         g |= {"q": flat(h).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv)}
-        dx = dk @ p["k"].T + dv @ p["v"].T
-        dx[:, HALF:] += dy + dq @ p["q"].T
+        dx = by(dk, p["k"].T) + by(dv, p["v"].T)
+        dx[:, HALF:] += dy + by(dq, p["q"].T)
         g["P"] = dx.sum(0)
-        g["E"] = np.zeros_like(p["E"])
-        np.add.at(g["E"], ids.ravel(), flat(dx))
+        g["E"] = np.bincount((ids.reshape(-1, 1) * DIM + np.arange(DIM)).ravel(), dx.ravel(), p["E"].size).reshape(p["E"].shape).astype(np.float32)
         return g
 
     def fit(self, ids: np.ndarray, wanted: np.ndarray, weight: np.ndarray, steps: int = STEPS, batch: int = 128, rate: float = 0.01) -> None:
@@ -342,9 +346,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_on_all(teach: DataFrame, n: int, subwords: Subwords, start: Attention, scratch: Scratch) -> Attention:
-    """The mean, by tokens, of the models that shards of one in SHARE of the n training texts come to from `start`."""
-    shards = max(1, -(-n // (SHARD * SHARE)))
-    teach = teach.filter(F.pmod(F.xxhash64("doc_id", F.lit(22)), F.lit(SHARE)) == 0)
+    """The mean, by tokens, of the models that shards of the n training texts, each of them in one, come to from `start`."""
+    shards = max(1, -(-n // SHARD))
     sent = teach.sparkSession.sparkContext.broadcast((subwords, start))
     dealt = teach.select(F.pmod(F.xxhash64("doc_id", F.lit(21)), F.lit(shards)).alias("shard"), "doc_id", "text")
     models = scratch.cut(dealt.repartition("shard").sortWithinPartitions("shard", "doc_id", "text").mapInArrow(trimmed(_trained(sent)), "shard long, n long, model binary"))

@@ -676,6 +676,18 @@ def test_subwords_and_training_take_all_texts(spark, monkeypatch):
     assert (model.log10(inputs, wanted) * weight).sum() > (start.log10(inputs, wanted) * weight).sum()
 
 
+def test_every_training_text_teaches(spark, monkeypatch):
+    """With the module's own settings the shards hold all tokens of all training texts, each once."""
+    monkeypatch.setattr(lm, "SHARD", 50)
+    teach = spark.range(400).selectExpr("id as doc_id", "repeat('common word ', cast(id % 7 as int)) as text")
+    subwords, cuts, cut = lm.Subwords(Counter({b"common": 1}), Counter()), [], Scratch.cut
+    monkeypatch.setattr(Scratch, "cut", lambda self, df: cuts.append(cut(self, df)) or cuts[-1])
+    start = lm.Attention(subwords.n, np.full(subwords.n, 1 / subwords.n))
+    model = lm.train_on_all(teach, 400, subwords, start, Scratch(spark))
+    assert sum(r["n"] for r in cuts[0].collect()) == sum(2 * (i % 7) + 1 for i in range(400)) and cuts[0].count() == 8
+    assert not np.allclose(model.flat(), start.flat())
+
+
 def test_attention_is_causal_and_its_gradient_right():
     m = lm.Attention(12, np.full(12, 1 / 12))
     rng = np.random.default_rng(0)
