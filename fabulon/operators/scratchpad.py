@@ -10,9 +10,11 @@ from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fabulon.functions.similarity import alias_similarity, best_match
+from fabulon.llm.words import groups
 
 MOST_ALIASES, CUT, SAME_EVENT, KNOWN = 10, 50, 0.75, 0.5
 FIRST_PERSON = "我"
@@ -172,21 +174,38 @@ class Scratchpad:
 SCHEMA = "doc_id long, n_characters long, n_events long, n_open long, n_pending long, summary string"
 
 
-def row_of(doc: int, pad: Scratchpad) -> pd.DataFrame:
+#: Documents of a batch that a task gives back.
+BATCH = 1000
+
+
+def values_of(doc: int, pad: Scratchpad) -> dict:
     s = pad.statistics()
-    return pd.DataFrame([{"doc_id": doc, "n_characters": s["characters"], "n_events": s["events"], "n_open": s["open"], "n_pending": s["pending"], "summary": pad.summary()}])
+    return {"doc_id": doc, "n_characters": s["characters"], "n_events": s["events"], "n_open": s["open"], "n_pending": s["pending"], "summary": pad.summary()}
+
+
+def row_of(doc: int, pad: Scratchpad) -> pd.DataFrame:
+    return pd.DataFrame([values_of(doc, pad)])
 
 
 def fold(rows: DataFrame) -> DataFrame:
     """One row for each document from rows (doc_id, idx, emo_tgt, s1, d01, d06, txt)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pad = Scratchpad()
-        for r in pdf.sort_values("idx").itertuples():
-            pad.step(int(r.idx), r.emo_tgt, (r.s1,), r.d01, r.d06, r.txt)
-        return row_of(int(pdf.doc_id.iloc[0]), pad)
-
-    return rows.select("doc_id", "idx", "emo_tgt", "s1", "d01", "d06", "txt").groupBy("doc_id").applyInPandas(run, SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for group in groups(batches, 1):
+            pad = Scratchpad()
+            doc, *columns = (c.to_pylist() for c in group.columns)
+            for idx, emo_tgt, s1, d01, d06, txt in zip(*columns, strict=True):
+                pad.step(int(idx), emo_tgt, (s1,), d01, d06, txt)
+            out.append(values_of(int(doc[0]), pad))
+            if len(out) == BATCH:
+                yield pa.RecordBatch.from_pylist(out)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_pylist(out)
+
+    # documents in a row within a task: a group of pandas for each of them costs more than its fold
+    return rows.select("doc_id", "idx", "emo_tgt", "s1", "d01", "d06", "txt").repartition("doc_id").sortWithinPartitions("doc_id", "idx").mapInArrow(run, SCHEMA)
 
 
 def stream_step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
