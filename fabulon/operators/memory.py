@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from .scratchpad import CUT, Scratchpad
+from fabulon.llm.words import groups
+
+from .scratchpad import BATCH, CUT, Scratchpad
 
 # fixed values: pronouns, things that are no person, turning functions, prefixes of templates
 THIRD = ("他", "她", "它", "他们", "她们", "它们", "此人", "该人", "这人", "那人")
@@ -137,14 +140,14 @@ INPUT = ["doc_id", "idx", "target", "secondary", "voices", "speakers", "d01", "m
 SCHEMA = "doc_id long, last_idx long, n_characters long, n_events long, n_open long, n_pending long, outline string"
 
 
-def _row(doc: int, last: int, m: Memory) -> pd.DataFrame:
+def _values(doc: int, last: int, m: Memory) -> dict:
     s = m.statistics()
-    return pd.DataFrame([{"doc_id": doc, "last_idx": last, "n_characters": s["characters"], "n_events": s["events"], "n_open": s["open"], "n_pending": s["pending"], "outline": m.outline(last)}])
+    return {"doc_id": doc, "last_idx": last, "n_characters": s["characters"], "n_events": s["events"], "n_open": s["open"], "n_pending": s["pending"], "outline": m.outline(last)}
 
 
-def _fold(m: Memory, rows: pd.DataFrame) -> int:
+def _fold(m: Memory, rows: list[dict]) -> int:
     last = 0
-    for row in rows.sort_values("idx", kind="stable").to_dict("records"):
+    for row in rows:
         m.take(row)
         last = int(row["idx"])
     return last
@@ -154,12 +157,20 @@ def remembered(rows: DataFrame) -> DataFrame:
     """(doc_id, last_idx, numbers.., outline) of each document of the rows (INPUT): names are strings or arrays of them, null or empty where a segment has none. Rows without idx
     are left out; of a repeated segment each row is taken in."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = Memory()
-        last = _fold(m, pdf)
-        return _row(int(pdf.doc_id.iloc[0]), last, m)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for group in groups(batches, 1):
+            m, held = Memory(), group.to_pylist()
+            out.append(_values(int(held[0]["doc_id"]), _fold(m, held), m))
+            if len(out) == BATCH:
+                yield pa.RecordBatch.from_pylist(out)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_pylist(out)
 
-    return rows.select(*INPUT).filter(F.col("doc_id").isNotNull() & F.col("idx").isNotNull()).groupBy("doc_id").applyInPandas(run, SCHEMA)
+    # documents in a row within a task: a group of pandas for each of them costs more than its fold
+    known = rows.select(*INPUT).filter(F.col("doc_id").isNotNull() & F.col("idx").isNotNull())
+    return known.repartition("doc_id").sortWithinPartitions("doc_id", "idx").mapInArrow(run, SCHEMA)
 
 
 def running(stream: DataFrame) -> DataFrame:
@@ -167,8 +178,8 @@ def running(stream: DataFrame) -> DataFrame:
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         m = Memory.load(state.get[0]) if state.exists else Memory()
-        last = _fold(m, pd.concat(list(batches)))
+        last = _fold(m, pd.concat(list(batches)).sort_values("idx", kind="stable").to_dict("records"))
         state.update((m.dump(),))
-        yield _row(int(key[0]), last, m)
+        yield pd.DataFrame([_values(int(key[0]), last, m)])
 
     return stream.select(*INPUT).filter(F.col("doc_id").isNotNull() & F.col("idx").isNotNull()).groupBy("doc_id").applyInPandasWithState(step, SCHEMA, "pad string", "update", GroupStateTimeout.NoTimeout)
