@@ -5,7 +5,7 @@ Rows are (doc_id, idx, layer, raw): the JSON text of a layer's row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from fabulon.functions import enums as E
@@ -21,6 +21,8 @@ MOOD_POLARITY = {
 }
 KINDS = {"D14_rhetoric": ("type", E.RHETORIC), "D15_imagery": ("type", E.IMAGERY), "D16_diction": ("pos", E.DICTION), "D17_syntax": ("type", E.SYNTAX)}
 WEIGHTS = {"validation": 0.30, "completeness": 0.25, "span": 0.20, "enums": 0.15, "consistency": 0.10}
+#: Closed values: the column that holds one, its place in the layer's object and what is legal.
+GIVEN = {"_d01": ("D01", E.D01), "_d04": ("D04.core", E.D04_CORE), "_d07": ("D07.type", E.D07)}
 METHOD, SINCE = "recalibrated_v382", "v3.8.2"
 
 
@@ -41,7 +43,12 @@ def _items(dim: str) -> Column:
 
 def _named(dim: str, key: str) -> Column:
     """The kinds of a dimension's items, without empty ones."""
-    return F.filter(F.transform(_items(dim), lambda x: x[key]), lambda v: F.coalesce(v, F.lit("")) != "")
+    return F.filter(F.transform(F.col(f"_{dim}"), lambda x: x[key]), lambda v: F.coalesce(v, F.lit("")) != "")
+
+
+def opened(rows: DataFrame, layer: Column) -> DataFrame:
+    """rows with what the terms read more than once of the layer's object (_l), each parsed once: closed values, and the items of a craft row."""
+    return rows.withColumns({v: _at(path) for v, (path, _) in GIVEN.items()} | {f"_{dim}": F.when(layer == "craft", _items(dim)) for dim in REQUIRED["craft"]})
 
 
 def _among(kinds: Column, legal: list[str]) -> Column:
@@ -59,8 +66,7 @@ def completeness(layer: Column) -> Column:
 
 def enum_validity(layer: Column) -> Column:
     """The share of closed values that are legal, of those that are there; 1 without any."""
-    given = [(v, legal) for v, legal in ((_at("D01"), E.D01), (_at("D04.core"), E.D04_CORE), (_at("D07.type"), E.D07))]
-    known = [F.when(F.coalesce(v, F.lit("")) != "", v.isin(*legal).cast("int")) for v, legal in given]
+    known = [F.when(F.coalesce(F.col(v), F.lit("")) != "", F.col(v).isin(*legal).cast("int")) for v, (_, legal) in GIVEN.items()]
     total, good = sum(F.when(k.isNotNull(), 1).otherwise(0) for k in known), sum(F.coalesce(k, F.lit(0)) for k in known)
     for dim, (key, legal) in KINDS.items():
         kinds = F.when(layer == "craft", _named(dim, key))
@@ -71,11 +77,11 @@ def enum_validity(layer: Column) -> Column:
 
 def span_accuracy(layer: Column) -> Column:
     """Mean over a craft row's quotes of 1 with a span that has both ends and .5 without; 1 for all else."""
-    quotes = F.filter(F.concat(*(_items(d) for d in REQUIRED["craft"])), lambda x: F.coalesce(x["text"], F.lit("")) != "")
+    quotes = F.filter(F.concat(*(F.col(f"_{d}") for d in REQUIRED["craft"])), lambda x: F.coalesce(x["text"], F.lit("")) != "")
     ends = lambda x: F.json_object_keys(x["span"])
     whole = lambda x: F.coalesce(F.array_contains(ends(x), "start") & F.array_contains(ends(x), "end"), F.lit(False))
-    n = F.size(quotes)
-    return F.when((layer == "craft") & (n > 0), (n + F.size(F.filter(quotes, whole))) / (2 * n)).otherwise(1.0)
+    spans = F.transform(quotes, lambda x: F.when(whole(x), 1.0).otherwise(0.5))
+    return F.when(layer == "craft", F.aggregate(spans, F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")), lambda a, v: F.struct((a["sum"] + v).alias("sum"), (a["n"] + 1).alias("n")), lambda a: F.when(a["n"] > 0, a["sum"] / a["n"]).otherwise(1.0))).otherwise(1.0)
 
 
 def consistency(layer: Column) -> Column:
@@ -97,15 +103,15 @@ def terms(rows: DataFrame) -> DataFrame:
     mood = [("_core", "layers.structure.D04.core", "string"), ("_intensity", "layers.structure.D04.intensity", "double")]
     felt = [("_emotion", "layers.emotion.primary.emotion", "string"), ("_strength", "layers.emotion.primary.intensity", "double"), ("_polarity", "layers.emotion.primary.polarity", "string")]
     pick = lambda fields, of: F.struct(*(F.get_json_object(of, f"$.{p}").try_cast(t).alias(n) for n, p, t in fields))
-    last = lambda name, of: rows.filter(F.col("layer") == name).groupBy(*KEY).agg(F.max("raw").alias("_x")).select(*[F.col(k).alias(f"{of}_{k}") for k in KEY], pick(mood if name == "structure" else felt, "_x").alias(of))
-    one = rows
-    for name, of in (("structure", "_m"), ("emotion", "_f")):
-        other = last(name, of)
-        one = one.join(other, [F.col(k) == F.col(f"{of}_{k}") for k in KEY], "left").drop(*(f"{of}_{k}" for k in KEY))
     own = F.col("layer")
-    one = one.withColumns({"_m": F.when(own == "structure", pick(mood, "raw")).otherwise(F.col("_m")), "_f": F.when(own == "emotion", pick(felt, "raw")).otherwise(F.col("_f")), "_l": _layer(F.col("raw"), own)})
+    # one exchange by segment; rows without a key have no other layer
+    known, segment = F.col("doc_id").isNotNull() & F.col("idx").isNotNull(), Window.partitionBy(*KEY)
+    last = lambda name: F.max(F.when((own == name) & known, F.col("raw"))).over(segment)
+    one = rows.withColumns({"_m": last("structure"), "_f": last("emotion")})
+    one = one.withColumns({"_m": F.when(own == "structure", F.col("raw")).when(own == "emotion", F.col("_m")), "_f": F.when(own == "emotion", F.col("raw")).when(own == "structure", F.col("_f")), "_l": _layer(F.col("raw"), own)})
+    one = one.withColumns({"_m": pick(mood, "_m"), "_f": pick(felt, "_f")})
     one = one.withColumns({n: F.col(f"_m.{n}") for n, _, _ in mood} | {n: F.col(f"_f.{n}") for n, _, _ in felt})
-    one = one.withColumns({"validation": F.lit(1.0), "completeness": completeness(own), "span": span_accuracy(own), "enums": enum_validity(own), "consistency": consistency(own)})
+    one = opened(one, own).withColumns({"validation": F.lit(1.0), "completeness": completeness(own), "span": span_accuracy(own), "enums": enum_validity(own), "consistency": consistency(own)})
     return one.withColumn("confidence", rounded(sum(F.col(t) * w for t, w in WEIGHTS.items()), 3)).select(*rows.columns, *WEIGHTS, "confidence")
 
 

@@ -41,3 +41,16 @@ def test_grams_are_counted_without_a_step_for_each(spark):
         grams = [t[:5000][j : j + 5] for j in range(len(t[:5000]) - 4)] if t else []
         if t is not None:
             assert got[i][:2] == (len(grams), len(set(grams)))
+
+
+def test_votes_leave_their_task_once(spark):
+    plans = plan(entry.queries()["lex_vote"](spark, DIR))
+    assert "Join" not in plans and "Aggregate" not in plans
+
+
+def test_messages_judge_each_row_once(spark):
+    assert "Union" not in plan(entry.queries()["commit_messages"](spark, DIR))
+
+
+def test_terms_read_their_rows_once(spark):
+    assert "Join" not in plan(entry.queries()["conf_terms"](spark, DIR))
