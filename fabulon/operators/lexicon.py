@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +28,34 @@ def vote(rows: DataFrame, lexicon: DataFrame, listed: int = 10, **bounds) -> Dat
     From left to right a word of two characters goes before one of one character, and what it covers is passed. The dominant polarity is positive if no other has more, else
     negative if no other has more, else neutral; neutral without words. `words` lists the first `listed` as `word:polarity`. A null text has no words.
     """
+    known = patterns.small(lexicon.select("w", "polarity"), **bounds)
+    if known is None:
+        out = _joined_votes(rows, lexicon, listed, bounds)
+    else:
+        of = defaultdict(list)
+        for r in known:
+            of[r["w"]].append((r["w"] if r["polarity"] is None else f"{r['w']}:{r['polarity']}", r["polarity"]))
+        sent = rows.sparkSession.sparkContext.broadcast({w: sorted(x, key=lambda v: v[0]) for w, x in of.items()})
+
+        def made(found: list[tuple[int, str]]) -> dict:
+            said = sent.value
+            hits = [x for _, w in found for x in said[w]]
+            n = Counter([p for _, p in hits])
+            return {p: n[p] for p in POLARITY.values()} | {"matched": len(hits), "words": ",".join([x for x, _ in hits[:listed]])}
+
+        out = patterns.in_rows(rows.select(*KEY, "txt"), list(of), made, "positive long, negative long, neutral long, matched long, words string", mode=patterns.LONGEST)
+    p, q, z = F.col("positive"), F.col("negative"), F.col("neutral")
+    dominant = F.when(F.col("matched") == 0, "neutral").when((p >= q) & (p >= z), "positive").when((q >= p) & (q >= z), "negative").otherwise("neutral")
+    return out.withColumn("dominant", dominant).select(*KEY, "positive", "negative", "neutral", "matched", "dominant", "words")
+
+
+def _joined_votes(rows: DataFrame, lexicon: DataFrame, listed: int, bounds: dict) -> DataFrame:
+    """The counts of vote by joins, for a lexicon that is too large for one automaton."""
     hits = patterns.find(rows.select(*KEY, "txt"), lexicon.select("w"), mode=patterns.LONGEST, **bounds).select(*KEY, "w", "pos").join(lexicon, "w")
     n = lambda p: F.count_if(F.col("polarity") == p).alias(p)
     first = F.slice(F.array_sort(F.collect_list(F.struct("pos", F.concat_ws(":", "w", "polarity").alias("x")))), 1, listed)
     counted = hits.groupBy(*KEY).agg(n("positive"), n("negative"), n("neutral"), F.count(F.lit(1)).alias("matched"), F.array_join(F.transform(first, lambda s: s["x"]), ",").alias("words"))
-    out = rows.select(*KEY).join(counted, KEY, "left").fillna(0, ["positive", "negative", "neutral", "matched"]).fillna("", ["words"])
-    p, q, z = F.col("positive"), F.col("negative"), F.col("neutral")
-    dominant = F.when(F.col("matched") == 0, "neutral").when((p >= q) & (p >= z), "positive").when((q >= p) & (q >= z), "negative").otherwise("neutral")
-    return out.withColumn("dominant", dominant).select(*KEY, "positive", "negative", "neutral", "matched", "dominant", "words")
+    return rows.select(*KEY).join(counted, KEY, "left").fillna(0, ["positive", "negative", "neutral", "matched"]).fillna("", ["words"])
 
 
 def consistency(votes: DataFrame, annotated: DataFrame) -> DataFrame:
