@@ -155,11 +155,9 @@ def ruled(rules: Callable[[], list[Rule]], versions: tuple[str, ...] = VERSIONS)
 def messages(layer: str, rows: DataFrame) -> DataFrame:
     """(doc_id, idx, layer, kind, message): what was said of the rows of a layer, one row each: errors, warnings, quotes that are nowhere and notes of repairs."""
     kinds = {"errors": "error", "warnings": "warning", "lost": "unmatched", "notes": "repair"}
-    parts = [rows.select(*KEY, F.lit(layer).alias("layer"), F.lit(k).alias("kind"), F.explode(c).alias("message")) for c, k in kinds.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # one pass: a union of the kinds would judge and repair each row once for each of them
+    said = lambda c, k: F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda m: F.struct(F.lit(k).alias("kind"), m.alias("message")))
+    return rows.select(*KEY, F.lit(layer).alias("layer"), F.explode(F.concat(*(said(c, k) for c, k in kinds.items()))).alias("_x")).select(*KEY, "layer", "_x.kind", "_x.message")
 
 
 def run(spark: SparkSession, root: str, incoming: dict[str, DataFrame], judges: dict[str, Callable[[DataFrame], DataFrame]], before: Callable[[str], None] = lambda layer: None) -> dict[str, dict[str, int]]:
