@@ -5,7 +5,7 @@ import random
 import pytest
 
 import __spark_entry__ as entry
-from fabulon.functions import similarity
+from fabulon.functions import ratios, similarity
 from fabulon.operators.gate import gram_repetition
 
 DIR = "/root/testdata/sf0.001"
@@ -27,6 +27,28 @@ def test_near_ratio_is_the_ratio_where_it_reaches():
             assert got == exact if exact >= least else got < least
 
 
+def test_ratios_are_those_of_difflib():
+    made = [words(300, s, letters, most) for s, letters, most in ((3, "ab", 40), (4, "abcdefgh ", 150), (5, "abcdefghijklmnopqrstuvwxyz    eeett", 460), (6, "日本🙂ab", 250), (7, "aab", 260))]
+    a = [t for some in made for t in some]
+    b = [t[len(t) // 3 :] + t[: len(t) // 4] + u[:9] if i % 2 else u for i, (t, u) in enumerate(zip(a, a[1:] + a[:1]))]
+    a, b = a + ["", "", "a" * 250, "xy" * 150], b + ["", "a", "a" * 250, "xy" * 140 + "z"]
+    assert ratios.ratios(a, b).tolist() == [similarity.ratio(p, q) for p, q in zip(a, b)]
+
+
+def test_ratios_of_many_places_are_halved_and_then_left_to_difflib(monkeypatch):
+    a, b = words(60, 8, "ab", 30) + ["ab" * 90] * 3, words(60, 9, "ab", 30) + ["ba" * 95] * 3
+    monkeypatch.setattr(ratios, "PLACES", 300)
+    assert ratios.ratios(a, b).tolist() == [similarity.ratio(p, q) for p, q in zip(a, b)]
+
+
+def test_segments_are_compared_many_at_once(spark, monkeypatch):
+    rows = entry.queries()["sim_seq_ratio"](spark, DIR)
+    assert rows.count() > 0
+    monkeypatch.setattr(similarity, "ratio", None)  # the plain function, a pair at a time
+    told = spark.createDataFrame([(1, "abc", "abd"), (2, None, None), (3, "", "a")], "i int, a string, b string").select("i", similarity.seq_ratio("a", "b").alias("r"))
+    assert {r.i: round(r.r, 6) for r in told.collect()} == {1: 0.666667, 2: 1.0, 3: 0.0}
+
+
 @pytest.mark.parametrize("query", ["scratchpad_fold", "memory_fold", "alias_clusters", "object_leader_clusters"])
 def test_no_group_of_pandas_for_each_document(spark, query):
     df = entry.queries()[query](spark, DIR)
