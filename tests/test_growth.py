@@ -76,3 +76,29 @@ def test_messages_judge_each_row_once(spark):
 
 def test_terms_read_their_rows_once(spark):
     assert "Join" not in plan(entry.queries()["conf_terms"](spark, DIR))
+
+
+def test_spans_of_many_rows_are_those_of_a_plain_search(spark, monkeypatch):
+    def plain(text, quote, least):
+        best, n = (0.0, 0, 0), len(quote)
+        for size in range(max(1, int(n * 0.7)), min(len(text), int(n * 1.5) + 1) + 1):
+            for a in range(0, len(text) - size + 1, max(1, size // 4)):
+                score = similarity.ratio(text[a : a + size], quote)
+                if score > best[0]:
+                    best = (score, a, a + size)
+                    if score >= similarity.SURE:
+                        return a, a + size, "fuzzy_similarity", round(score, 4)
+        return (best[1], best[2], "fuzzy_similarity", round(best[0], 4)) if best[0] >= least else None
+
+    texts = words(60, 11, "abcde", 90) + words(20, 12, "ab", 60)
+    quotes = [t[5:17] + "~" + t[18:30] if i % 3 else t[9:2:-1] + "~" for i, t in enumerate(texts)]
+    wanted = [plain(t, q, 0.7) if t else None for t, q in zip(texts, quotes)]
+    assert sum(w is not None for w in wanted) > 20
+    assert similarity.fuzzy_spans(texts, quotes, 0.7) == wanted == [similarity.fuzzy_span(t, q, 0.7) for t, q in zip(texts, quotes)]
+    for name, value in (("CELLS", 300), ("ROWS", 7), ("WINDOWS", 5), ("OFTEN", 0)):
+        monkeypatch.setattr(similarity, name, value)
+    assert similarity.fuzzy_spans(texts, quotes, 0.7) == wanted
+
+
+def test_quotes_are_spread_before_they_are_searched(spark):
+    assert "RepartitionByExpression" in plan(entry.queries()["span_fuzzy"](spark, DIR))
