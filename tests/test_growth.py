@@ -6,7 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from fabulon.functions import ratios, similarity
+from fabulon.operators import relations
 from fabulon.operators.gate import gram_repetition
+from fabulon.plans.fixture import annotated
 
 DIR = "/root/testdata/sf0.001"
 
@@ -102,3 +104,13 @@ def test_spans_of_many_rows_are_those_of_a_plain_search(spark, monkeypatch):
 
 def test_quotes_are_spread_before_they_are_searched(spark):
     assert "RepartitionByExpression" in plan(entry.queries()["span_fuzzy"](spark, DIR))
+
+
+@pytest.mark.parametrize("query", ["rel_rules", "rel_curated_first"])
+def test_relations_are_dealt_by_number_of_rows(spark, monkeypatch, query):
+    whole = sorted(map(tuple, entry.queries()[query](spark, DIR).collect()), key=repr)
+    monkeypatch.setattr(relations, "ROWS", 40)
+    rows = entry.queries()[query](spark, DIR)
+    segments = annotated(spark, DIR).count()
+    assert segments > 40 * 8 and f", {-(-segments // 40)}" in "".join(line for line in plan(rows).splitlines() if "RepartitionByExpression" in line)
+    assert sorted(map(tuple, rows.collect()), key=repr) == whole
