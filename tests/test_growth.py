@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from fabulon.functions import ratios, similarity
-from fabulon.operators import relations
+from fabulon.operators import nested, relations
 from fabulon.operators.gate import gram_repetition
 from fabulon.plans.fixture import annotated
 
@@ -114,3 +114,17 @@ def test_relations_are_dealt_by_number_of_rows(spark, monkeypatch, query):
     segments = annotated(spark, DIR).count()
     assert segments > 40 * 8 and f", {-(-segments // 40)}" in "".join(line for line in plan(rows).splitlines() if "RepartitionByExpression" in line)
     assert sorted(map(tuple, rows.collect()), key=repr) == whole
+
+
+def test_nested_texts_are_opened_without_their_schema_at_each_level(spark):
+    rows = entry.queries()["nested_values"](spark, DIR)
+    lines = [line for line in plan(rows).splitlines() if "schema_of_variant" in line]
+    assert len(lines) <= 1 and "Aggregate" not in plan(rows)
+
+
+def test_exports_of_deep_texts_that_are_hidden_or_broken(spark):
+    texts = ['{"a": {"b": [1]}}', '{"source": ' + "[" * 60 + "]" * 60 + "}", "[" * 90, "[1]", None]
+    assert nested.deepest_of(spark.createDataFrame([(t,) for t in texts[:2]], "raw string")) == 61
+    for some in (texts, texts[:1] + texts[3:]):
+        got = {tuple(r) for r in nested.exported(spark.createDataFrame(list(enumerate(some)), "idx long, raw string")).select("idx", "path", "value").collect()}
+        assert got == {(0, "$.a.b[0]", "1")} | ({(1, "$.source", nested.HIDDEN)} if len(some) > 3 else set())
