@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from fabulon.functions import ratios, similarity
-from fabulon.operators import nested, relations
+from fabulon.operators import gate, nested, relations
 from fabulon.operators.gate import gram_repetition
 from fabulon.plans.fixture import annotated
 
@@ -128,3 +128,18 @@ def test_exports_of_deep_texts_that_are_hidden_or_broken(spark):
     for some in (texts, texts[:1] + texts[3:]):
         got = {tuple(r) for r in nested.exported(spark.createDataFrame(list(enumerate(some)), "idx long, raw string")).select("idx", "path", "value").collect()}
         assert got == {(0, "$.a.b[0]", "1")} | ({(1, "$.source", nested.HIDDEN)} if len(some) > 3 else set())
+
+
+def test_grams_are_counted_by_numbers(monkeypatch):
+    wide = "".join(map(chr, range(0x4E00, 0x4E00 + 9000)))
+    texts = [*words(40, 15, "abc ", 60), "", "abcd", "日本語🙂" * 9, "x" * 6000, wide, wide[:50] * 2]
+    for size in (1, 2, 5):
+        assert gate.distinct_grams(texts, size).tolist() == [len({t[i : i + size] for i in range(len(t) - size + 1)}) for t in texts]
+    assert gate.distinct_grams([], 5).tolist() == [] and gate.distinct_grams(["", ""], 5).tolist() == [0, 0]
+
+
+def test_garbage_is_counted_one_by_one(spark):
+    assert "(?=" in gate.GARBAGE  # most places are passed by one look
+    texts = ["a&nbsp;b<BR />c<div x=1>�\x01\t&AMP;</P><p >< &lt", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r[1] for r in gate.garbage_density(rows, "doc_id", "text").orderBy("doc_id").collect()] == [8, 0, None]
