@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -55,10 +57,15 @@ def canonical(groups: DataFrame, mentions: DataFrame) -> DataFrame:
     return groups.join(best, ["doc_id", "component"]).select("doc_id", "name", "component", "canonical")
 
 
-def _ends(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """rows (doc_id, _id, src, tgt, ..) met with pairs a < b of names of which one end holds, or is held by, src and the other tgt; once for each row and pair."""
-    given = rows.select("doc_id", F.explode(F.array("src", "tgt")).alias("b")).distinct()
-    alike = contained(names.select("doc_id", F.col("who").alias("a")), given).select("doc_id", F.col("a").alias("who"), F.col("b").alias("given"))
+def _alike(names: DataFrame, *tables: DataFrame) -> DataFrame:
+    """(doc_id, who, given): names, each with the src and tgt of the tables that it holds or is held by; found once, for all of them."""
+    ends = [t.select("doc_id", F.explode(F.array("src", "tgt")).alias("b")) for t in tables]
+    given = _cut(reduce(DataFrame.unionAll, ends).distinct())
+    return _cut(contained(names.select("doc_id", F.col("who").alias("a")), given).select("doc_id", F.col("a").alias("who"), F.col("b").alias("given")))
+
+
+def _ends(rows: DataFrame, alike: DataFrame) -> DataFrame:
+    """rows (doc_id, _id, src, tgt, ..) met with pairs a < b of names of which one end holds, or is held by, src and the other tgt (alike); once for each row and pair."""
     one = alike.select("doc_id", F.col("given").alias("src"), F.col("who").alias("x"))
     two = alike.select("doc_id", F.col("given").alias("tgt"), F.col("who").alias("y"))
     met = rows.join(one, ["doc_id", "src"]).join(two, ["doc_id", "tgt"]).filter("x != y")
@@ -72,11 +79,13 @@ def edges(pairs: DataFrame, felt: DataFrame, talked: DataFrame) -> DataFrame:
     tgt. Names meet by what they hold, never pair by pair. Strength: .4 of segments together / 10, .3 of the mean intensity / 10, .3 of dialogues / 5, each part 1 at most; relation: the first
     that an emotion tells (by idx, then emotion), else by two dialogues, else by three segments together; under a strength of .1 they are strangers.
     """
-    names = pairs.select("doc_id", F.explode(F.array("a", "b")).alias("who")).distinct()
-    emotions = _ends(felt.withColumn("_id", F.struct("idx", "src", "tgt", "emo")), names)
+    pairs = _cut(pairs)  # counts of segments together, which every step below would take again
+    names = _cut(pairs.select("doc_id", F.explode(F.array("a", "b")).alias("who")).distinct())
+    alike = _alike(names, felt, talked)
+    emotions = _ends(felt.withColumn("_id", F.struct("idx", "src", "tgt", "emo")), alike)
     told = relation_of(F.col("emo"))
     of_emotion = emotions.groupBy("doc_id", "a", "b").agg(F.count(F.lit(1)).alias("n_emotions"), F.avg("inten").alias("_mean"), F.min_by(told, F.when(told.isNotNull(), F.struct("idx", "emo"))).alias("_told"))
-    spoken = _ends(talked.withColumn("_id", F.struct("src", "tgt")), names).groupBy("doc_id", "a", "b").agg(F.sum("n").alias("n_dialogue"))
+    spoken = _ends(talked.withColumn("_id", F.struct("src", "tgt")), alike).groupBy("doc_id", "a", "b").agg(F.sum("n").alias("n_dialogue"))
     rows = pairs.join(of_emotion, ["doc_id", "a", "b"], "left").join(spoken, ["doc_id", "a", "b"], "left").fillna(0, ["n_emotions", "n_dialogue"])
     part = lambda c, full, w: F.least(F.coalesce(c, F.lit(0.0)) / full, F.lit(1.0)) * w
     strength = rounded(part(F.col("n"), 10, 0.4) + part(F.col("_mean"), 10, 0.3) + part(F.col("n_dialogue"), 5, 0.3), 3)

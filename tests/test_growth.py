@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from fabulon.functions import ratios, similarity
-from fabulon.operators import gate, nested, relations
+from fabulon.operators import gate, joins, nested, network, relations
 from fabulon.operators.gate import gram_repetition
 from fabulon.plans.fixture import annotated
 
@@ -143,3 +143,10 @@ def test_garbage_is_counted_one_by_one(spark):
     texts = ["a&nbsp;b<BR />c<div x=1>�\x01\t&AMP;</P><p >< &lt", "", None]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [r[1] for r in gate.garbage_density(rows, "doc_id", "text").orderBy("doc_id").collect()] == [8, 0, None]
+
+
+def test_names_of_a_network_are_looked_for_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(network, "contained", lambda *a: calls.append(1) or joins.contained(*a))
+    rows = entry.queries()["net_edges"](spark, DIR)
+    assert len(calls) == 1 and rows.count() > 0
