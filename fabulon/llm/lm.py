@@ -165,57 +165,70 @@ class Attention:
         self.n = n
 
     def forward(self, ids: np.ndarray) -> tuple:
-        """ids (windows, WINDOW) of inputs -> log probabilities (windows, HALF, n) of what follows the last HALF, and the parts."""
+        """ids (windows, WINDOW) of inputs -> scores, up to a sum for each row, (windows * HALF, n) of what follows the last HALF, and the parts."""
         p = self.p
-        x = p["E"][ids] + p["P"]
-        h = x[:, HALF:]
-        q, k, v = by(h, p["q"]), by(x, p["k"]), by(x, p["v"])
+        x = p["E"][ids]
+        x += p["P"]
+        h = np.ascontiguousarray(x[:, HALF:])
+        q, k, v = by(h, p["q"] * np.float32(DIM**-0.5)), by(x, p["k"]), by(x, p["v"])
         s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(DIM**-0.5)
         s += MASK
-        s += np.where(ids == self.n, np.float32(-1e9), np.float32(0))[:, None, :]
+        before = ids == self.n
+        if before.any():
+            s += np.where(before, np.float32(-1e9), np.float32(0))[:, None, :]
         s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
+        s *= (1 / (s.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32))).reshape(len(ids), HALF, 1)
         o = s @ v
-        y = h + by(o, p["o"])
-        z = np.maximum(by(y, p["w1"]) + p["b1"], 0)
-        u = y + by(z, p["w2"])
-        logits = (u.reshape(-1, DIM) @ p["out"]).reshape(len(ids), HALF, self.n)
+        y = by(o, p["o"])
+        y += h
+        z = by(y, p["w1"])
+        z += p["b1"]
+        np.maximum(z, 0, out=z)
+        u = by(z, p["w2"])
+        u += y
+        logits = u.reshape(-1, DIM) @ p["out"]
         logits += p["b"]
         return logits, (x, h, q, k, v, s, o, y, z, u)
 
     def log10(self, ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """log10 probability of each wanted id (windows, HALF)."""
         logits, _ = self.forward(ids)
-        top = logits.max(axis=2)
-        own = np.take_along_axis(logits, wanted[:, :, None].astype(np.int64), axis=2)[:, :, 0]
-        logits -= top[:, :, None]
+        top = logits.max(axis=1)
+        own = logits[np.arange(len(logits)), wanted.ravel()]
+        logits -= top[:, None]
         np.exp(logits, out=logits)
-        return (own - top - np.log(logits.sum(axis=2))).astype(np.float64) / np.log(10)
+        return ((own - top - np.log(logits @ np.ones(self.n, np.float32))).astype(np.float64) / np.log(10)).reshape(wanted.shape)
 
     def gradients(self, ids: np.ndarray, wanted: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
-        logits, (x, h, q, k, v, s, o, y, z, u) = self.forward(ids)
-        logits -= logits.max(axis=2, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=2, keepdims=True)
-        np.put_along_axis(logits, wanted[:, :, None], np.take_along_axis(logits, wanted[:, :, None], 2) - 1, 2)
-        d = logits * (weight / max(1.0, weight.sum()))[:, :, None]
+        d, (x, h, q, k, v, s, o, y, z, u) = self.forward(ids)
+        share = (weight / max(1.0, weight.sum())).astype(np.float32).ravel()
+        d -= d.max(axis=1, keepdims=True)
+        np.exp(d, out=d)
+        d *= (share / (d @ np.ones(self.n, np.float32)))[:, None]
+        d[np.arange(len(d)), wanted.ravel()] -= share
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        g = {"out": flat(u).T @ flat(d), "b": flat(d).sum(0)}
-        du = by(d, p["out"].T)
-        dz = by(du, p["w2"].T) * (z > 0)
-        g |= {"w2": flat(z).T @ flat(du), "w1": flat(y).T @ flat(dz), "b1": flat(dz).sum(0)}
-        dy = du + by(dz, p["w1"].T)
+        total = lambda a: np.ones(len(a), np.float32) @ a
+        g = {"out": flat(u).T @ d, "b": total(d)}
+        du = (d @ p["out"].T).reshape(u.shape)
+        dz = by(du, p["w2"].T)
+        dz *= z > 0
+        g |= {"w2": flat(z).T @ flat(du), "w1": flat(y).T @ flat(dz), "b1": total(flat(dz))}
+        dy = by(dz, p["w1"].T)
+        dy += du
         g["o"] = flat(o).T @ flat(dy)
         do = by(dy, p["o"].T)
         ds = do @ v.transpose(0, 2, 1)
-        ds = s * (ds - (ds * s).sum(axis=2, keepdims=True)) * np.float32(DIM**-0.5)
-        dv, dq, dk = s.transpose(0, 2, 1) @ do, ds @ k, ds.transpose(0, 2, 1) @ q
+        ds -= (do * o).sum(axis=2, keepdims=True)
+        ds *= s
+        dv, dq, dk = s.transpose(0, 2, 1) @ do, ds @ k, ds.transpose(0, 2, 1) @ q  # q is scaled
+        dq *= np.float32(DIM**-0.5)
         g |= {"q": flat(h).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv)}
-        dx = by(dk, p["k"].T) + by(dv, p["v"].T)
-        dx[:, HALF:] += dy + by(dq, p["q"].T)
+        dx = by(dk, p["k"].T)
+        dx += by(dv, p["v"].T)
+        dx[:, HALF:] += dy
+        dx[:, HALF:] += by(dq, p["q"].T)
         g["P"] = dx.sum(0)
         g["E"] = np.bincount((ids.reshape(-1, 1) * DIM + np.arange(DIM)).ravel(), dx.ravel(), p["E"].size).reshape(p["E"].shape).astype(np.float32)
         return g
@@ -390,9 +403,9 @@ def _scored(shared):
                 base = np.bincount(row[hit], np.log10(c / m.of_all), hi - lo).astype(float)  # without a hit it counts in integers
                 inside = np.bincount(row[hit], np.log10(c / m.of_id[ids[hit]]), hi - lo).astype(float)
                 inputs, wanted, weight, of = windows(ids, counts, m.subwords.n)
-                for a in range(0, len(inputs), 512):
-                    found = m.attention.log10(inputs[a : a + 512], wanted[a : a + 512]) * weight[a : a + 512]
-                    inside += np.bincount(of[a : a + 512], found.sum(axis=1), hi - lo)
+                for a in range(0, len(inputs), BATCH):  # few at a time stay in the cache
+                    found = m.attention.log10(inputs[a : a + BATCH], wanted[a : a + BATCH]) * weight[a : a + BATCH]
+                    inside += np.bincount(of[a : a + BATCH], found.sum(axis=1), hi - lo)
                 known = np.bincount(row[hit], minlength=hi - lo)
                 rest = np.flatnonzero(~hit)
                 order = rest[np.lexsort((h[rest], row[rest]))]
