@@ -8,7 +8,8 @@
    before its own among those with the seed - two rows at most for each occurrence, however common the passage. So a passage whose seeds stand
    somewhere earlier as well mostly meets the last text that holds it. The occurrences are sorted and read as a stream, so that a
    seed of any frequency takes no memory; seeds that a sample shows to be frequent are dealt by ranges of documents as well, each of which begins with
-   the seed's first occurrence and the last one before the range.
+   the seed's first occurrence and the last one before the range. Short seeds are dealt in buckets of about BUCKET occurrences, so that a
+   row of the shuffle holds many.
    Word for word repeats of more than `least` words are found whatever else holds parts of them. Each has a middle of `least` + 2 - window words (a
    minimizer) in both texts; occurrences of middles that stand in two documents meet like those of short seeds. Where the middles in a row of one
    text do not amount to more than `least` words with one other, every window of `least` + 1 words around
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words
@@ -48,6 +49,8 @@ SPAN, PIECE, SHIFT = 10, 1024, 8
 MISS, FALL = 1.0, 12.0
 #: Part of the documents that shows which seeds are frequent, share of its rows that makes a seed so, and ranges of documents of such a seed.
 SAMPLE, FREQUENT, RANGES = 64, 10_000, 64
+#: Occurrences of short seeds in a bucket, fewest buckets, occurrences that a task holds before it deals them out, and characters of text for one of them.
+BUCKET, BUCKETS, HELD, PER_SEED = 1 << 17, 1024, 1 << 21, 11
 #: Kinds of seeds: short ones, middles of long ones, and windows of more than `least` words.
 SHORT, MIDDLE, LONG = 0, 1, 2
 U = np.uint64
@@ -176,34 +179,122 @@ def places_of(xy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return xy >> 34, xy >> 2 & 0xFFFFFFFF, xy & 3
 
 
+def _packed(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """(bucket, seeds, docs, ats): the rows (seed, doc, at) in one row for each bucket, as bytes."""
+    of = (words.mix(seed.view(U)) >> U(32)).astype(np.int64) % buckets
+    order = np.argsort(of, kind="stable")
+    of = of[order]
+    cuts = np.flatnonzero(np.diff(of, prepend=-1))
+    ends = np.append(cuts[1:], len(of))
+    at = at.astype(np.int32 if not len(at) or at.max() < 1 << 31 else np.int64)
+    parts = [[v[a:z].tobytes() for a, z in zip(cuts, ends, strict=True)] for v in (seed[order], doc[order], at[order])]
+    return pa.RecordBatch.from_arrays([pa.array(of[cuts].astype(np.int32)), *(pa.array(v, pa.binary()) for v in parts)], ["bucket", "seeds", "docs", "ats"])
+
+
+PACKED = "bucket int, seeds binary, docs binary, ats binary"
+
+
+def _dealt(seeded, hot: np.ndarray, ranges: np.ndarray, buckets: int):
+    """(doc, text) -> packed rows of the short seeds that `seeded` makes; those in `hot` (sorted) carry the number of their range of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in seeded(batches):
+            s, d, p, kind = (batch.column(i).to_numpy() for i in range(4))
+            if len(hot) and len(s):
+                often = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
+                s = np.where(often, s & np.int64(-RANGES) | np.searchsorted(ranges, d), s)
+            held.append((s, d, p.astype(np.int64) * 8 + kind * 2))
+            size += len(s)
+            if size > HELD:
+                yield _packed(*(np.concatenate(v) for v in zip(*held, strict=True)), buckets)
+                held, size = [], 0
+        if size:
+            yield _packed(*(np.concatenate(v) for v in zip(*held, strict=True)), buckets)
+
+    return run
+
+
+def _ghosts_packed(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _packed(*(batch.column(i).to_numpy() for i in range(3)), buckets)
+
+    return run
+
+
+def _met_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_met of packed rows sorted by bucket, without the seed."""
+    for group in words.groups(batches, 1):
+        seeds, docs, ats = (group.column(i).to_pylist() for i in (1, 2, 3))
+        s = np.frombuffer(b"".join(seeds), np.int64)
+        order = np.argsort(s)
+        same = s[order][1:] == s[order][:-1]
+        order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]  # a seed that stands once meets none
+        d = np.frombuffer(b"".join(docs), np.int64)[order]
+        at = np.concatenate([np.frombuffer(a, np.int32 if len(a) * 2 == len(x) else np.int64) for a, x in zip(ats, seeds, strict=True)])[order].astype(np.int64)
+        s = s[order]
+        order = np.lexsort((at, d, s))
+        for batch in _met(iter([pa.RecordBatch.from_arrays([pa.array(v[order]) for v in (s, d, at)], ["seed", "doc", "at"])])):
+            yield batch.select(["doc", "other", "xy"])
+
+
+def short_partners(text: DataFrame, seeded, often: DataFrame, hot: np.ndarray, ranges: list[int], scratch: Scratch) -> DataFrame:
+    """(doc, other, xy) for the short seeds of the texts: what `partners` finds for them. often: the occurrences of the seeds hot."""
+    bounds = sorted(set(ranges))
+    size = text.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(BUCKETS, size // (PER_SEED * BUCKET))
+    rows = text.select("doc", "text").mapInArrow(trimmed(_dealt(seeded, hot, np.array(bounds, dtype=np.int64), buckets)), PACKED)
+    if len(hot):
+        rows = rows.unionAll(ghosts_of(often, part_of(bounds), scratch).mapInArrow(trimmed(_ghosts_packed(buckets)), PACKED))
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_met_packed), "doc long, other long, xy long")
+
+
+def part_of(ranges: list[int]) -> Column:
+    """The number of the range of a document."""
+    return F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(ranges))]).cast("array<long>"), lambda b: b < F.col("doc"))) if ranges else F.lit(0)
+
+
+def _named() -> Column:
+    return (F.col("seed").bitwiseAND(F.lit(-RANGES))).bitwiseOR(F.col("part").cast("long"))
+
+
+def ghosts_of(often: DataFrame, part: Column, scratch: Scratch) -> DataFrame:
+    """(seed, doc, at): for each range of documents of a frequent seed its first occurrence, and the last one before the range."""
+    sums = often.withColumn("part", part).groupBy("seed", "part").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max(F.struct("doc", (-F.col("pos")).alias("pos"))).alias("high"))
+    sums = scratch.cut(sums.select("seed", "part", "low", F.struct(F.col("high.doc").alias("doc"), (-F.col("high.pos")).alias("pos")).alias("high")))
+    by = Window.partitionBy("seed").orderBy("part")  # RANGES rows at most
+    known = sums.select("seed", "part", F.first("low").over(by).alias("low"), F.lag("high").over(by).alias("high")).filter("high is not null")
+    found = known.withColumn("g", F.explode(F.array_distinct(F.array("low", "high")))).select(_named().alias("seed"), F.col("g.doc").alias("doc"), F.col("g.pos").alias("pos"))
+    return found.select("seed", "doc", (F.col("pos").cast("long") * 8 + 1).alias("at"))
+
+
 def partners(seeds: DataFrame, often: DataFrame, frequent: DataFrame, ranges: list[int] | None, scratch: Scratch) -> DataFrame:
     """(doc, other, xy, seed) for the occurrences (seed, doc, pos, kind). often: those of the seeds frequent (hot), of which there are FREQUENT at
     most; they are dealt by ranges of documents too: up to a bound of `ranges` (or of quantiles), and beyond the one before. The number of the
     range takes the place of the lowest bits of such a seed."""
     if ranges is None:
         ranges = often.agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
-    part = F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(ranges))]).cast("array<long>"), lambda b: b < F.col("doc"))) if ranges else F.lit(0)
-    named = (F.col("seed").bitwiseAND(F.lit(-RANGES))).bitwiseOR(F.col("part").cast("long"))
-    at = lambda kind, ghost: (F.col("pos").cast("long") * 8 + kind * 2 + ghost).alias("at")
+    part = part_of(ranges)
     dealt = seeds.join(frequent, F.col("seed") == F.col("hot"), "left").withColumn("part", F.when(F.col("hot").isNotNull(), part).otherwise(0))
-    rows = dealt.select(F.when(F.col("hot").isNotNull(), named).otherwise(F.col("seed")).alias("seed"), "doc", at(F.col("kind"), 0))
-    sums = often.withColumn("part", part).groupBy("seed", "part").agg(F.min(F.struct("doc", "pos")).alias("low"), F.max(F.struct("doc", (-F.col("pos")).alias("pos"))).alias("high"))
-    sums = scratch.cut(sums.select("seed", "part", "low", F.struct(F.col("high.doc").alias("doc"), (-F.col("high.pos")).alias("pos")).alias("high")))
-    by = Window.partitionBy("seed").orderBy("part")  # RANGES rows at most
-    known = sums.select("seed", "part", F.first("low").over(by).alias("low"), F.lag("high").over(by).alias("high")).filter("high is not null")
-    ghosts = known.withColumn("g", F.explode(F.array_distinct(F.array("low", "high")))).select(named.alias("seed"), F.col("g.doc").alias("doc"), F.col("g.pos").alias("pos")).select("seed", "doc", at(F.lit(0), 1))
-    return rows.unionAll(ghosts).repartition("seed").sortWithinPartitions("seed", "doc", "at").mapInArrow(trimmed(_met), "doc long, other long, xy long, seed long")
+    at = F.col("pos").cast("long") * 8 + F.col("kind") * 2
+    rows = dealt.select(F.when(F.col("hot").isNotNull(), _named()).otherwise(F.col("seed")).alias("seed"), "doc", at.alias("at"))
+    return rows.unionAll(ghosts_of(often, part, scratch)).repartition("seed").sortWithinPartitions("seed", "doc", "at").mapInArrow(trimmed(_met), "doc long, other long, xy long, seed long")
 
 
 def diagonals(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> np.ndarray:
     """Segments (x0, x1, y0, y1, words) of anchors on one diagonal that follow within `reach` words; ends are exclusive."""
     order = np.lexsort((x, x - y))
     x, y = x[order], y[order]
-    new = np.concatenate([[True], (np.diff(x - y) != 0) | (np.diff(x) > reach)])
-    a = np.flatnonzero(new)
-    b = np.append(a[1:], len(x)) - 1
-    gains = np.where(new, k, np.minimum(np.diff(x, prepend=x[0]), k))
-    return np.stack([x[a], x[b] + k, y[a], y[b] + k, np.add.reduceat(gains, a)], axis=1)
+    d, step = x - y, x[1:] - x[:-1]
+    a = np.flatnonzero((d[1:] != d[:-1]) | (step > reach)) + 1
+    a, b = np.append(0, a), np.append(a - 1, len(x) - 1)
+    gains = np.append(k, np.minimum(step, k))
+    gains[a] = k
+    out = np.empty((len(a), 5), dtype=np.int64)
+    out[:, 0], out[:, 1], out[:, 2], out[:, 3], out[:, 4] = x[a], x[b] + k, y[a], y[b] + k, np.add.reduceat(gains, a)
+    return out
 
 
 class Fenwick:
@@ -332,10 +423,13 @@ def _chained(k: int, window: int, gap: float, span: int, least: int):
                     found.append((o, x0, x0 + window, y0, y0 + window))
                 if x1 + 1 >= len(covered) or covered[x1 + 1] == covered[x1]:
                     found.append((o, x1 - window, x1, y1 - window, y1))
-            cuts = [0, *(np.flatnonzero(other[1:] != other[:-1]) + 1).tolist(), len(other)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if a == b or x[a:b].max() - x[a:b].min() + k < span:
-                    continue
+            cuts = np.flatnonzero(np.concatenate([[True], other[1:] != other[:-1]])) if len(other) else np.zeros(0, np.int64)
+            ends = np.append(cuts[1:], len(other))
+            wide = cuts
+            if len(other):  # nor are those all of whose words are in runs
+                low, high = np.minimum.reduceat(x, cuts), np.maximum.reduceat(x, cuts) + k
+                wide = np.flatnonzero((high - low >= span) & (covered is None or covered[high] - covered[low] < high - low))
+            for a, b in zip(cuts[wide].tolist(), ends[wide].tolist(), strict=True):
                 segments = diagonals(x[a:b], y[a:b], k, 2 * window)
                 for chain in chains(segments, gap):
                     lo, hi = segments[chain[0], 0], segments[chain[-1], 1]
@@ -383,11 +477,11 @@ def aligned(a: list, b: list) -> list[tuple[int, int]]:
     for i, w in enumerate(a):
         where[w] = where.get(w, 0) | 1 << i
     full = (1 << len(a)) - 1
-    rows = [full]
-    for w in b:
-        v = rows[-1]
-        u = v & where.get(w, 0)
-        rows.append(((v + u) | (v - u)) & full)
+    rows, v = [full], full
+    for of in map(where.get, b):
+        if of is not None and (u := v & of):
+            v = ((v + u) | (v - u)) & full
+        rows.append(v)
     # a zero bit i in row j: word i of a adds one to what the words of a up to it share with the first j of b
     out, i, j = [], len(a) - 1, len(b)
     while i >= 0 and j:
@@ -404,19 +498,27 @@ def aligned(a: list, b: list) -> list[tuple[int, int]]:
 
 def stretches(pairs: list[tuple[int, int]], similar: float) -> list[tuple[int, int, int, int, float]]:
     """(p0, p1, q0, q1, similarity) of the stretches of an alignment that are dense in equal words and as similar as asked."""
-    runs, start, best, score, high = [], 0, 0, 1.0, 1.0
-    for n in range(1, len(pairs) + 1):
-        fall = MISS * (max(pairs[n][0] - pairs[n - 1][0], pairs[n][1] - pairs[n - 1][1]) - 1) if n < len(pairs) else np.inf
+    if not pairs:
+        return []
+    places = np.array(pairs)
+    steps = np.diff(places, axis=0).max(axis=1) if len(pairs) > 1 else np.zeros(0, np.int64)
+    gaps = np.flatnonzero(steps > 1)
+    runs, start, best, score, high, at = [], 0, 0, 1.0, 1.0, 0
+    for last, fall in zip([*gaps.tolist(), len(pairs) - 1], [*(MISS * (steps[gaps] - 1)).tolist(), np.inf], strict=True):
+        score += last - at  # words that follow one another in both texts
+        if score >= high:
+            best, high = last, score
+        at = last + 1
         if score - fall < max(0.0, high - FALL):
             runs.append((start, best))
-            start, best, score, high = n, n, 1.0, 1.0
+            start, best, score, high = at, at, 1.0, 1.0
         else:
             score += 1 - fall
             if score >= high:
-                best, high = n, score
+                best, high = at, score
     out = []
-    for lo, hi in runs if pairs else []:
-        x, y = np.array(pairs[lo : hi + 1]).T
+    for lo, hi in runs:
+        x, y = places[lo : hi + 1].T
         n = hi + 1 - lo
         alike = n / max(x[-1] - x[0] + 1, y[-1] - y[0] + 1)
         i, j = 0, n - 1
@@ -489,8 +591,9 @@ def without(text: str, spans: list[tuple]) -> str:
 def counted_partners(seeds: DataFrame, scratch: Scratch) -> DataFrame:
     """partners of written occurrences (seed, doc, pos, kind); seeds of over 1/FREQUENT of the rows are frequent."""
     many = max(4096, seeds.count() // FREQUENT + 1)
-    frequent = F.broadcast(scratch.cut(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= many).select(F.col("seed").alias("hot"))))
-    often = scratch.cut(seeds.join(frequent, F.col("seed") == F.col("hot"), "left_semi"))
+    frequent = scratch.cut(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= many).select(F.col("seed").alias("hot")))
+    hot = [r["hot"] for r in frequent.collect()]  # FREQUENT at most
+    often, frequent = scratch.cut(seeds.filter(F.col("seed").isin(hot) if hot else F.lit(False))), F.broadcast(frequent)
     return partners(seeds, often, frequent, None, scratch)
 
 
@@ -501,16 +604,16 @@ def find_chains(docs: DataFrame, scratch: Scratch, *, k: int = K, window: int =
     kinds = "seed long, doc long, pos int, kind byte"
     seeded = lambda rows, **which: rows.mapInArrow(trimmed(_seeded(k, window, least, **which)), kinds)
     # seeds that are frequent in a part of the documents, FREQUENT at most, and ranges of their documents
-    few = scratch.cut(seeded(text.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0), middles=False).groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 200).alias("docs")).filter("n > 1"))
+    part = text.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0)
+    few = scratch.cut(seeded(part, middles=False).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     least_n = max(64, (few.agg(F.sum("n")).first()[0] or 0) // FREQUENT + 1)
     few = few.filter(F.col("n") >= least_n)
-    frequent = F.broadcast(few.select(F.col("seed").alias("hot")))
-    ranges = few.select(F.explode("docs").alias("doc")).agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
     # middles that stand in two documents, and the occurrences of frequent seeds
     hot = np.array(sorted(r[0] for r in few.select("seed").collect()), dtype=np.int64)  # FREQUENT at most, as each has that share of the rows
+    ranges = (seeded(part, hot=hot, middles=False).agg(F.percentile_approx("doc", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] if len(hot) else None) or []
     first = scratch.cut(seeded(text, hot=hot))
     # written before anything else is made, so that the shuffle of the seeds, the largest of all, ends here
-    short = scratch.cut(partners(seeded(text, middles=False), first.filter(F.col("kind") == SHORT), frequent, ranges, scratch).drop("seed"))
+    short = scratch.cut(short_partners(text, _seeded(k, window, least, middles=False), first.filter(F.col("kind") == SHORT), hot, ranges, scratch))
     middles = first.filter(F.col("kind") == MIDDLE)
     shared = scratch.cut(middles.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("seed").alias("held")))
     middles = scratch.cut(middles.join(shared, F.col("seed") == F.col("held"), "left_semi"))
@@ -559,11 +662,18 @@ def unused(docs: DataFrame, name: str) -> str:
     return name
 
 
-def _passages(row_text: str | None, found: list | None, least: int, similar: float, slack: int, block: int) -> list[tuple[int, int, int, float]]:
-    if not row_text or not found:
-        return []
-    rows = [(c["other"], c["x0"], c["x1"], c["y0"], c["y1"], [(b["block"], b["body"]) for b in c["blocks"]]) for c in found]
-    return repeats(row_text, sorted(rows), least, similar, slack, block)
+def _chains(column: pa.Array) -> Iterator[list[tuple]]:
+    """For each row the chains (other, x0, x1, y0, y1, blocks) of a column of lists, in order."""
+    chains = column.flatten()
+    blocks = chains.field("blocks").flatten()
+    pairs = list(zip(blocks.field("block").to_pylist(), blocks.field("body").to_pylist(), strict=True))
+    sizes = chains.field("blocks").value_lengths().to_pylist()
+    ends = np.cumsum([0, *sizes]).tolist()
+    rows = list(zip(*(chains.field(c).to_pylist() for c in ("other", "x0", "x1", "y0", "y1")), (pairs[a:z] for a, z in zip(ends, ends[1:], strict=False)), strict=True))
+    at = 0
+    for n in column.value_lengths().fill_null(0).to_pylist():
+        yield sorted(rows[at : at + n])
+        at += n
 
 
 def _found(base: DataFrame, number: str, scratch: Scratch, least: int, similar: float, slack: int, block: int, **seeding) -> DataFrame:
@@ -574,7 +684,7 @@ def _found(base: DataFrame, number: str, scratch: Scratch, least: int, similar:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
         for batch in batches:
-            rows = [(doc, a, z, z - a, other, alike) for doc, text, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True) for a, z, other, alike in _passages(text, c, least, similar, slack, block)]
+            rows = [(doc, a, z, z - a, other, alike) for doc, text, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _chains(batch.column(2)), strict=True) if text for a, z, other, alike in repeats(text, c, least, similar, slack, block)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["number", "first_word", "end_word", "n_words", "other", "similarity"])
 
     # rows that are equal have one number and the same passages
